@@ -18,7 +18,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Fixed values of byte-level BPE: the pre-split pattern, and the printable bytes that stand for themselves.
 PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -192,9 +193,6 @@ def compiled(definition: str) -> Automaton:
     return Automaton(j["model"]["vocab"], merges, special)
 
 
-SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-
 def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256 (and, if named, the ids and the decoded text) to every row.
 
@@ -202,9 +200,9 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
     file must be readable on every executor; the automaton is compiled once a task and its word memory is bounded, so
     a task needs the same memory at any input size. There is no shuffle: a lost executor costs its own tasks only.
     """
-    new = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
-    new |= {ids: "array<bigint>"} if ids else {}
-    new |= {decoded: "string"} if decoded else {}
+    new: dict[str, T.DataType] = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    new |= {ids: T.ArrayType(T.LongType())} if ids else {}
+    new |= {decoded: T.StringType()} if decoded else {}
     kept = [c for c in docs.columns if c not in new]
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = source.schema
@@ -229,7 +227,7 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
                     out[ids].append(np.frombuffer(data, "<u4").astype(np.int64))
                 if decoded:
                     out[decoded].append(back.decode())
-            arrays = [pa.array(out[c], {"bigint": pa.int64(), "string": pa.string()}.get(new[c], pa.list_(pa.int64()))) for c in new]
+            arrays = [pa.array(out[c], to_arrow_type(new[c])) for c in new]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *new])
 
     return source.mapInArrow(encode_batches, schema)

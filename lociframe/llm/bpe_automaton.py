@@ -205,9 +205,7 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
     new |= {decoded: T.StringType()} if decoded else {}
     kept = [c for c in docs.columns if c not in new]
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.schema
-    for name, kind in new.items():
-        schema = schema.add(name, kind)
+    schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = None

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import Spans, mixed, pieces, split_words, text_buffer
 from .shared import held_out
@@ -235,4 +235,4 @@ def scored(docs: DataFrame, net: Network | None, text: str = "text", score: str
             values = text_scores(model, data, offsets) if model else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*batch.schema.names, score])
 
-    return source.mapInArrow(score_batches, source.schema.add(score, "double"))
+    return source.mapInArrow(score_batches, T.StructType([*source.schema.fields, T.StructField(score, T.DoubleType())]))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, toxicity
+from . import bpe_automaton, language_id, toxicity
 from .shared import held_out
 
 
@@ -29,8 +29,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.learned(docs)
+    out = language_id.identified(docs.select("doc_id", "text"), model).withColumn("held_out", held_out())
+    return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_toxicity": op3_toxicity, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op3_toxicity": op3_toxicity, "op8_language_id": op8_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

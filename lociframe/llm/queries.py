@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, toxicity
+from . import bpe_automaton, language_id, sharding, toxicity, url_filter
 from .shared import held_out
 
 
@@ -36,8 +36,26 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+#: The rules of op4 (fixed values).
+URL_RULES = [
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_toxicity": op3_toxicity, "op8_language_id": op8_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, sharding, toxicity, url_filter
+from . import bpe_automaton, language_id, sharding, simhash, toxicity, url_filter
 from .shared import held_out
 
 
@@ -54,8 +54,12 @@ def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, radius=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, sharding, simhash, toxicity, url_filter
+from . import bpe_automaton, language_id, recompression, sharding, simhash, toxicity, url_filter
 from .shared import held_out
 
 
@@ -22,6 +22,11 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return recompression.without_repeats(docs, size=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -59,7 +64,7 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, recompression, sharding, simhash, toxicity, url_filter
+from . import bpe_automaton, language_id, recompression, sharding, simhash, suffix_dedup, toxicity, url_filter
 from .shared import held_out
 
 
@@ -34,6 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op7_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.without_repeats(docs, size=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.learned(docs)
@@ -64,7 +69,7 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, recompression, sharding, simhash, suffix_dedup, toxicity, url_filter
+from . import bpe_automaton, language_id, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from .shared import held_out
 
 
@@ -34,6 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op6_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return threshold_topk.top_k(vectors, k=10, queries="vec_id % 100 = 0", scale=1024)
+
+
 def op7_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.without_repeats(docs, size=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -69,8 +74,21 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), e AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY 1, 2
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_threshold_topk": TOP_K_SQL}

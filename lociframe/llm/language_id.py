@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .bytes_np import pieces, text_buffer
-from .shared import held_out
+from .shared import held_out, row_key
 
 ROWS, WIDE, GRAMS = 1 << 15, 16, (3, 4)
 #: The bound on what is learned from: rows of each language, and the length of a text among them.
@@ -126,12 +126,14 @@ def trained(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 4
 
 def learned(docs: DataFrame) -> Model | None:
     """From text and lang of rows that are not held out: of each language the SAMPLE_ROWS first in the order of a hash
-    of the text, among those of up to SAMPLE_CHARS characters. Spark cuts every partition to as many before the
-    shuffle, so a hot language is no burden."""
-    marked = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text", "doc_id")
-    rows = marked.select("lang", "text", "doc_id").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_ROWS)
-    found = sorted(rows.select("lang", "text").collect())
+    of the text, among those of up to SAMPLE_CHARS characters. Ranks are taken over hashes, cut in every partition
+    before the shuffle, so a hot language is no burden; then the texts of so few rows are read."""
+    usable = ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)
+    marked = docs.where(usable).select("lang", "text", row_key().alias("row"))
+    first = Window.partitionBy("lang").orderBy("row")
+    ranked = marked.select("lang", "row").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_ROWS)
+    rows = marked.join(F.broadcast(ranked.select("row").distinct()), "row").select("lang", "text").collect()
+    found = sorted({tuple(r) for r in rows})
     return trained([r[1] for r in found], [r[0] for r in found])
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, language_id, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
+from . import bpe_automaton, decontamination, language_id, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from .shared import held_out
 
 
@@ -27,6 +27,11 @@ def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.without_repeats(docs, size=35).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -74,7 +79,7 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
 
 
 TOP_K_SQL = """

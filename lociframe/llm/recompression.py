@@ -5,7 +5,9 @@ a left symbol before a right one, sides being drawn from the symbols' names, and
 for, so that every task gives equal things equal names without asking the others. What happens to a symbol depends on its
 neighbours only; hence equal stretches are parsed alike but for the symbols that a round may tie to what stands outside.
 Popping these at both ends of a window, round by round, leaves a sequence that is the window's own: two windows are
-equal iff their popped sequences are. The first symbol of the highest round that survives is the window's anchor.
+equal iff their popped sequences are. A window's anchor is the symbol of most words that survives inside it after
+ANCHOR_ROUND (of as long ones the one of the greatest name, then the first); if none does, the first symbol of the last
+round that leaves one.
 
 Only windows whose anchor occurs elsewhere with other surroundings are compared one by one; whole segments of windows
 that recur as they are, as copies do, are found by their digest.
@@ -26,7 +28,7 @@ from .repeats import SEGMENT, sorted_out, spans_of
 from .shared import row_key, written
 
 IS_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
-ROUNDS = 40
+ROUNDS, ANCHOR_ROUND = 40, 2
 
 
 class Words:
@@ -43,10 +45,25 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets + np.arange(n + 1))
 
 
+def first_greatest(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each range [left, right), which is not empty, the first place of its greatest value."""
+    out, sizes = np.empty(len(left), np.int64), right - left
+    table, width = np.arange(len(values)), 1
+    while True:
+        now = np.flatnonzero((sizes >= width) & (sizes < 2 * width))
+        a, b = table[left[now]], table[right[now] - width]
+        out[now] = np.where(values[a] >= values[b], a, b)
+        if not len(left) or sizes.max() < 2 * width:
+            return out
+        a, b = table[:-width], table[width:]
+        table, width = np.where(values[a] >= values[b], a, b), 2 * width
+
+
 class Windows:
-    """Popped sequences of all windows of `size` words: digest `name`, anchor key `key`, first word of the anchor `place`."""
+    """Of all windows of `size` words: anchor key `key`, first word of the anchor `place` and, if `names` are asked for, the
+    digest `name` of the popped sequence."""
 
-    def __init__(self, words: Words, size: int):
+    def __init__(self, words: Words, size: int, names: bool = True):
         counts = np.maximum(np.diff(words.first) - size + 1, 0)
         self.owner = np.repeat(np.arange(len(counts)), counts)
         self.nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -56,10 +73,11 @@ class Windows:
         level = words.symbols
         text = np.repeat(np.arange(len(counts)), np.diff(words.first))
         at = np.arange(len(level))  # the first word of each symbol
+        width = np.ones(len(level), np.uint64)
         alive, left, right = np.arange(n), self.start.copy(), self.start + size
         head, tail = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         for k in range(ROUNDS):
-            if not len(alive):
+            if not len(alive) or k > ANCHOR_ROUND and not names:
                 break
             # runs
             first = np.flatnonzero(np.concatenate([[True], (level[1:] != level[:-1]) | (text[1:] != text[:-1])]))
@@ -77,7 +95,7 @@ class Windows:
                 self.key[alive[one]], self.place[alive[one]] = level[left[one]], at[left[one]]
             length = (end - first).astype(np.uint64)
             level = np.where(length == 1, level[first], mixed(level[first] + length * np.uint64(0xC2B2AE3D27D4EB4F)))
-            text, at = text[first], at[first]
+            text, at, width = text[first], at[first], np.add.reduceat(width, first)
             left, right = low + 1, high
             # pairs
             side = (mixed(level + np.uint64(k + 1)) >> np.uint64(17)) & np.uint64(1) == 1
@@ -99,21 +117,21 @@ class Windows:
             joined = level[kept].copy()
             two = pair[kept]
             joined[two] = mixed(mixed(joined[two] + np.uint64(0x165667B19E3779F9)) * np.uint64(7) + level[kept[two] + 1])
-            level, text, at = joined, text[kept], at[kept]
+            level, text, at, width = joined, text[kept], at[kept], np.add.reduceat(width, kept)
             more = left < right
             self.name[alive[~more]] = mixed(head[~more] * np.uint64(11) + tail[~more] + np.uint64(k))
             alive, head, tail = alive[more], head[more], tail[more]
             left, right = new[left[more]], new[right[more] - 1] + 1
-            self.key[alive], self.place[alive] = level[left] + np.uint64(k), at[left]
-        plain = Spans(words.symbols)
-        self.check = plain.hash(self.start, self.start + size)
+            if k <= ANCHOR_ROUND:
+                chosen = left if k < ANCHOR_ROUND else first_greatest((width << np.uint64(48)) | (level >> np.uint64(16)), left, right)
+                self.key[alive], self.place[alive] = level[chosen] + np.uint64(k), at[chosen]
 
 
 def _segments(size: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             words = Words(*text_buffer(batch.column(1)))
-            w = Windows(words, size)
+            w = Windows(words, size, names=False)
             if not len(w.start):
                 continue
             rows = np.asarray(batch.column(0).cast(pa.int64()))
@@ -133,6 +151,7 @@ def _opened(size: int):
         for batch in pieces(batches, "text"):
             words = Words(*text_buffer(batch.column(1)))
             w = Windows(words, size)
+            check = Spans(words.symbols).hash(w.start, w.start + size)
             counts = np.maximum(np.diff(words.first) - size + 1, 0)
             begin = np.cumsum(counts) - counts
             spans = batch.column(2)
@@ -141,7 +160,7 @@ def _opened(size: int):
             at, n = (np.asarray(flat.field(k)).astype(np.int64) for k in (0, 1))
             pick = np.repeat(begin[owner] + at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             rows = np.asarray(batch.column(0).cast(pa.int64()))
-            arrays = [w.name[pick].view(np.int64), w.check[pick].view(np.int64), rows[w.owner[pick]], w.nth[pick].astype(np.int32)]
+            arrays = [w.name[pick].view(np.int64), check[pick].view(np.int64), rows[w.owner[pick]], w.nth[pick].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["name", "check", "row", "at"])
 
     return opened

@@ -75,8 +75,8 @@ def text_probabilities(model: Model, data: np.ndarray, offsets: np.ndarray) -> n
     return p / p.sum(1, keepdims=True)
 
 
-def trained(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 4.0, seed: int = 5) -> Model | None:
-    """None if there is no row to learn from."""
+def trained(texts: list[str], langs: list[str], steps: int = 7000, rate: float = 4.0, seed: int = 5) -> Model | None:
+    """None if there is no row to learn from. At least `steps` steps, one text each, and three rounds over the sample."""
     if not texts:
         return None
     rng = np.random.default_rng(seed)
@@ -91,6 +91,7 @@ def trained(texts: list[str], langs: list[str], epochs: int = 6, rate: float = 4
     apart = rng.random(len(texts)) < APART
     apart &= len(texts) >= 20
     own = [k for k in np.flatnonzero(~apart) if len(bags[k])]
+    epochs = max(3, -(-steps // max(1, len(own))))
     for epoch in range(epochs):
         step = np.float32(rate * (1 - epoch / epochs))
         for k in rng.permutation(own):

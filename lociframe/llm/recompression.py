@@ -172,7 +172,7 @@ def repeated_windows(docs: DataFrame, size: int, text: str = "text") -> DataFram
     repeated, opened = sorted_out(own.mapInArrow(_segments(size), SEGMENT))
     wanted = opened.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
     names = own.join(wanted, "row").select("row", "text", "spans").mapInArrow(_opened(size), "name long, check long, row long, at int")
-    names = written(names.distinct(), "windows")
+    names = written(names, "windows")  # rows that repeat come twice, and so do their windows, which are repeated
     twice = names.groupBy("name", "check").count().where("count > 1").select("name", "check")
     single = names.join(twice, ["name", "check"], "left_semi").select("row", "at", F.lit(1).alias("n"))
     return spans_of(repeated, single)

@@ -10,9 +10,9 @@ of the anchor's offset in it), row (identity of the document row), at (first win
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .shared import written
+from .shared import dropped, written
 
 SEGMENT = "key long, seg long, row long, at int, n int"
 
@@ -29,6 +29,8 @@ def sorted_out(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_key = segments.groupBy("key").agg(F.count(F.lit(1)).alias("of_key"), F.min("seg").alias("low"), F.max("seg").alias("high")).where("of_key > 1")
     by_key = written(by_key.select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
     shared = written(segments.join(by_key, "key"), "segments")
+    dropped(segments)
+    dropped(by_key)
     counts = written(shared.where("mixed").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("place")), "segments")
     opened = counts.select("key", "place.*", (F.col("c") > 1).alias("whole"))
     repeated = shared.where("not mixed").select("row", "at", "n").unionByName(
@@ -44,6 +46,3 @@ def spans_of(*found: DataFrame) -> DataFrame:
         table = table.unionByName(more.select("row", "at", "n"))
     return table.distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
 
-
-def keyed(docs: DataFrame, row: Column) -> DataFrame:
-    return docs.withColumn("__row", row)

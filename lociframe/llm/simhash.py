@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .components import components
-from .shared import written
+from .shared import dropped, written
 
 #: Fingerprints under one signature from which it is refined by the rest of the bits.
 HOT = 500
@@ -92,7 +92,10 @@ def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = H
     cut_masks = F.element_at(F.array(*[F.array(*[F.lit(m) for m in cuts]) for cuts in refined]), F.col("k"))
     busy = shared.join(crowded, ["k", "v"], "left_semi").select("k", "v", "fp", F.posexplode(cut_masks).alias("p", "mask"))
     busy = busy.select("k", "v", "p", F.col("fp").bitwiseAND(F.col("mask")).alias("w"), "fp")
-    return plain.unionByName(within(busy, "k", "v", "p", "w")).distinct()
+    links = written(plain.unionByName(within(busy, "k", "v", "p", "w")).distinct(), "links")
+    dropped(shared)
+    dropped(crowded)
+    return links
 
 
 def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
@@ -143,7 +146,10 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     both = pairs.join(found.select(F.col("key").alias("x"), F.col("shingles").alias("p")), "x").join(found.select(F.col("key").alias("y"), F.col("shingles").alias("q")), "y")
     common = F.size(F.array_intersect("p", "q"))
     alike = both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    return components(alike).select(F.col("node").alias("key"), F.col("component").alias("root"))
+    groups = components(alike).select(F.col("node").alias("key"), F.col("component").alias("root"))
+    for done in (prints, links, pairs, found):
+        dropped(done)
+    return groups
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:

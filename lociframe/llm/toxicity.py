@@ -166,8 +166,9 @@ def text_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-worst))
 
 
-def trained(texts: list[str], toxic: list[int], epochs: int = 10, rate: float = 0.01, seed: int = 7) -> Network | None:
-    """Multiple-instance training: the worst window of each text stands for it. None if there are not two classes."""
+def trained(texts: list[str], toxic: list[int], steps: int = 400, rate: float = 0.01, seed: int = 7) -> Network | None:
+    """Multiple-instance training: the worst window of each text stands for it. None if there are not two classes. At least
+    `steps` batches of 64 texts, and three rounds over the sample."""
     y = np.asarray(toxic, np.float32)
     if not len(y) or y.min() == y.max():
         return None
@@ -178,7 +179,7 @@ def trained(texts: list[str], toxic: list[int], epochs: int = 10, rate: float =
     balance = np.where(y > 0, 1 / max(1, (y > 0).sum()), CLEAN_WEIGHT / max(1, (y == 0).sum())) * len(y) / (1 + CLEAN_WEIGHT)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     sizes, step = np.diff(np.append(gram_start, len(grams))), 0
-    for _ in range(epochs):
+    for _ in range(max(3, -(-steps // -(-len(texts) // 64)))):
         logits = window_logits(net, net.vectors(words, grams, gram_start), index) + rng.normal(0, 1e-3, len(index))
         order = np.lexsort((-logits, owner))
         chosen = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]

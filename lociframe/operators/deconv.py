@@ -25,10 +25,11 @@ def duplicated_genes(expr: DataFrame, by: Sequence[str] = ("sample_id",)) -> Dat
 
 
 def align_to_reference(expr: DataFrame, reference: DataFrame) -> DataFrame:
-    """sample_id, gene_id, value for every gene of the reference; what a sample lacks is 0."""
+    """sample_id, gene_id, value for every gene of the reference; what a sample lacks is 0.
+
+    The result has a row for each sample and gene by definition; it is made gene by gene from one row a sample."""
     genes, samples = reference.select("gene_id").distinct(), expr.select("sample_id").distinct()
-    # a sample gets its missing genes by an anti join, so that only these rows are made
-    wanted = genes.join(samples, F.lit(True))
+    wanted = genes.crossJoin(samples)
     return wanted.join(expr.select("sample_id", "gene_id", "value"), ["sample_id", "gene_id"], "left").select("sample_id", "gene_id", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 

@@ -93,6 +93,19 @@ def reads_by_biotype(matrix: DataFrame, by: Sequence[str] = ("sample_id",)) -> D
     return share_of_total(sums, "reads", by, "percent").withColumn("percent", F.round(F.col("percent") * 100, 2))
 
 
+def genes_seen(tables: Sequence[DataFrame], valid: DataFrame, key: str = "gene_id") -> DataFrame:
+    """The genes that any of the tables holds, among the valid ones."""
+    seen = tables[0].select(key)
+    for more in tables[1:]:
+        seen = seen.union(more.select(key))
+    return seen.distinct().join(valid, key, "left_semi")
+
+
+def id_sets(a: DataFrame, b: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct keys that only `a` holds, and those that both hold."""
+    return a.select(key).subtract(b.select(key)), a.select(key).intersect(b.select(key))
+
+
 def expressed(matrix: DataFrame, value: str = "norm_expr") -> DataFrame:
     return matrix.where(F.col(value) > 0)
 

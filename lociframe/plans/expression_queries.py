@@ -108,8 +108,8 @@ QUERIES = {
         sql(MATRIX + ", " + CLUSTERS + " SELECT sample_id, gene_type, count(*) AS genes, round(sum(read_counts), 2) AS reads FROM m GROUP BY 1, 2 UNION ALL SELECT sample_id, 'circRNAs', count(*), round(CAST(sum(reads) AS DOUBLE), 2) FROM u GROUP BY 1", *V, "v_calls")),
     "u2_union_calls": (lambda s, d: C.union_calls(v_calls(s, d).where("caller = 'F'"), v_calls(s, d).where("caller <> 'F'"), ("A", "B")).groupBy("caller").agg(F.count("*").alias("calls"), F.sum("reads").alias("reads")),
         sql("SELECT CASE WHEN caller = 'F' THEN 'A' ELSE 'B' END AS caller, count(*) AS calls, CAST(sum(reads) AS BIGINT) AS reads FROM v_calls GROUP BY 1", "v_calls")),
-    "u3_id_sets": (lambda s, d: v_calls(s, d).where("caller = 'F'").select("s").subtract(v_calls(s, d).where("caller <> 'F'").select("s")), sql("SELECT s FROM v_calls WHERE caller = 'F' EXCEPT SELECT s FROM v_calls WHERE caller <> 'F'", "v_calls")),
-    "u5_genes_seen": (lambda s, d: v_counts(s, d).where("sense > 0").select("gene_id").union(v_counts(s, d).where("antisense > 0").select("gene_id")).distinct().join(v_exon(s, d).where("gene_id % 2 = 0"), "gene_id", "left_semi"),
+    "u3_id_sets": (lambda s, d: X.id_sets(v_calls(s, d).where("caller = 'F'"), v_calls(s, d).where("caller <> 'F'"), "s")[0], sql("SELECT s FROM v_calls WHERE caller = 'F' EXCEPT SELECT s FROM v_calls WHERE caller <> 'F'", "v_calls")),
+    "u5_genes_seen": (lambda s, d: X.genes_seen([v_counts(s, d).where("sense > 0"), v_counts(s, d).where("antisense > 0")], v_exon(s, d).where("gene_id % 2 = 0")),
         sql("SELECT DISTINCT gene_id FROM v_counts WHERE (sense > 0 OR antisense > 0) AND gene_id IN (SELECT gene_id FROM v_exon WHERE gene_id % 2 = 0)", *V)),
     "p24_circ_ids": (lambda s, d: v_calls(s, d).select(*[x.alias(n) for n, x in zip(("circ_id1", "circ_id2"), C.circ_ids(F.col("chrom").cast("string"), F.col("s"), F.col("e"), F.col("gene_id"), F.col("symbol")))]).withColumn("p", C.parse_circ_id(F.col("circ_id1"))).selectExpr("circ_id1", "circ_id2", "p.s as s", "p.e as e", "p.gene as gene"),
         sql("SELECT chrom || ':' || s || '|' || e || '|' || gene_id AS circ_id1, chrom || ':' || s || '|' || e || '|' || symbol AS circ_id2, s, e, gene_id AS gene FROM v_calls", "v_calls")),

@@ -8,7 +8,7 @@ part, so copies cost nothing; signatures that very many fingerprints share are r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from .components import components
 from .shared import dropped, written
 
-#: Fingerprints under one signature from which it is refined by the rest of the bits.
-HOT = 500
+#: Fingerprints under one signature beyond which they are not compared pair by pair.
+HOT = 32
 
 
 def shingles(text: str, size: int) -> list[bytes]:
@@ -66,8 +66,13 @@ def _segments(parts: int, bits: list[int]) -> list[list[int]]:
     return [bits[len(bits) * k // parts : len(bits) * (k + 1) // parts] for k in range(parts)]
 
 
-def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = HOT) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints that differ in at most `radius` bits (up to 62)."""
+def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = HOT, settle: Callable[[DataFrame], DataFrame] = components) -> DataFrame:
+    """(a, b), a < b: pairs of distinct fingerprints that differ in at most `radius` bits (up to 62).
+
+    All such pairs of up to `hot` fingerprints under a signature are there; of more, enough that everything that all
+    pairs connect is connected. `settle` gives (node, component) of the links among the first pairs that hold; with a
+    `settle` that confirms only some of them, all pairs between what it leaves apart are there.
+    """
     parts = _segments(radius // 2 + 1, list(range(64)))
     masks, refined = [], []
     for part in parts:
@@ -89,10 +94,26 @@ def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = H
         return a.join(b, list(keys)).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
 
     plain = within(shared.join(crowded, ["k", "v"], "left_anti"), "k", "v")
-    cut_masks = F.element_at(F.array(*[F.array(*[F.lit(m) for m in cuts]) for cuts in refined]), F.col("k"))
-    busy = shared.join(crowded, ["k", "v"], "left_semi").select("k", "v", "fp", F.posexplode(cut_masks).alias("p", "mask"))
-    busy = busy.select("k", "v", "p", F.col("fp").bitwiseAND(F.col("mask")).alias("w"), "fp")
-    links = written(plain.unionByName(within(busy, "k", "v", "p", "w")).distinct(), "links")
+    if crowded.isEmpty():
+        links = written(plain.distinct(), "links")
+    else:
+        busy = written(shared.join(crowded, ["k", "v"], "left_semi"), "signatures")
+        close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
+        first = busy.groupBy("k", "v").agg(F.min("fp").alias("a"))
+        stars = busy.join(first, ["k", "v"]).where((F.col("a") < F.col("fp")) & close("a", "fp"))
+        stars = written(stars.select("a", F.col("fp").alias("b")).distinct(), "links")
+        groups = settle(stars)
+        tagged = busy.join(groups, busy.fp == groups.node, "left").select("k", "v", "fp", F.coalesce("component", "fp").alias("g"))
+        tagged = written(tagged, "signatures")
+        largest = tagged.groupBy("k", "v", "g").count().groupBy("k", "v").agg(F.max_by("g", F.struct("count", "g")).alias("top"))
+        rest = tagged.join(largest, ["k", "v"]).where(F.col("g") != F.col("top")).drop("top")
+        cut_masks = F.element_at(F.array(*[F.array(*[F.lit(m) for m in cuts]) for cuts in refined]), F.col("k"))
+        cut = lambda df, *names: df.select("k", "v", F.posexplode(cut_masks).alias("p", "mask"), "fp", "g").select("k", "v", "p", F.col("fp").bitwiseAND(F.col("mask")).alias("w"), F.col("fp").alias(names[0]), F.col("g").alias(names[1]))
+        across = cut(tagged, "x", "gx").join(cut(rest, "y", "gy"), ["k", "v", "p", "w"]).where((F.col("gx") != F.col("gy")) & close("x", "y"))
+        across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        links = written(plain.unionByName(stars).unionByName(across).distinct(), "links")
+        for done in (busy, stars, tagged):
+            dropped(done)
     dropped(shared)
     dropped(crowded)
     return links
@@ -127,12 +148,29 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     """
     keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
     prints = written(fingerprints(keyed, 1, distinct=True).select("key", "fp").distinct(), "fingerprints")
-    links = hamming_links(prints, radius)
-    same = prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).distinct()
-    left, right = prints.select(F.col("key").alias("x"), F.col("fp").alias("a")), prints.select(F.col("key").alias("y"), F.col("fp").alias("b"))
-    crowded = prints.groupBy("fp").count().where("count > 1").select(F.col("fp").alias("a"))
-    pairs = links.join(left, "a").join(right, "b").select("x", "y")
-    pairs = pairs.unionByName(same.join(crowded, "a", "left_semi").join(left, "a").join(right, "b").where("x < y").select("x", "y"))
+    single = prints.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    of = lambda table, fp, key: table.select(F.col("fp").alias(fp), F.col("key").alias(key))
+
+    def settle(stars: DataFrame) -> DataFrame:
+        pairs = written(stars.join(of(single, "a", "x"), "a").join(of(single, "b", "y"), "b"), "candidates")
+        sure = alike(keyed, pairs.select("x", "y"), shingle, similarity).join(pairs, ["x", "y"])
+        groups = components(sure)
+        dropped(pairs)
+        return groups
+
+    links = hamming_links(prints, radius, settle=settle)
+    crowded = prints.groupBy("fp").count().where("count > 1").select("fp")
+    pairs = links.join(of(prints, "a", "x"), "a").join(of(prints, "b", "y"), "b").select("x", "y")
+    several = prints.join(crowded, "fp", "left_semi")
+    same = of(several, "a", "x").join(of(several, "a", "y"), "a").where("x < y").select("x", "y")
+    groups = components(alike(keyed, pairs.unionByName(same), shingle, similarity), "x", "y")
+    dropped(prints)
+    dropped(links)
+    return groups.select(F.col("node").alias("key"), F.col("component").alias("root"))
+
+
+def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (x, y: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
     pairs = written(pairs, "candidates")
     wanted = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
 
@@ -141,15 +179,14 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
             own = [np.unique(hashed(shingles(v.as_py() or "", shingle))).view(np.int64) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    found = keyed.join(wanted, "key", "left_semi").mapInArrow(sets, "key long, shingles array<long>").dropDuplicates(["key"])
+    found = keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(sets, "key long, shingles array<long>")
     found = written(found, "shingles")
     both = pairs.join(found.select(F.col("key").alias("x"), F.col("shingles").alias("p")), "x").join(found.select(F.col("key").alias("y"), F.col("shingles").alias("q")), "y")
     common = F.size(F.array_intersect("p", "q"))
-    alike = both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    groups = components(alike).select(F.col("node").alias("key"), F.col("component").alias("root"))
-    for done in (prints, links, pairs, found):
-        dropped(done)
-    return groups
+    sure = written(both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select("x", "y"), "links")
+    dropped(found)
+    dropped(pairs)
+    return sure
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:

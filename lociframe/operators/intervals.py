@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 TILE = 100_000
 #: A row that would fall into more bins than this is joined on a coarser level of bins.
 SPREAD = 64
+#: The coarsest level; its bins are SPREAD ** LEVELS times as wide as the first.
+LEVELS = 2
 
 
 def _bins(start: Column, end: Column, width: Column) -> Column:
@@ -17,10 +19,10 @@ def _bins(start: Column, end: Column, width: Column) -> Column:
 
 
 def _levels(df: DataFrame, start: str, end: str, width: int) -> Column:
-    """The level whose bins (SPREAD times as wide each) the row crosses at most SPREAD of; 0 first."""
+    """The first level on which the row crosses at most SPREAD bins, or the coarsest."""
     size = (F.col(end) - F.col(start)).cast("double") / width
     level = F.lit(0)
-    for k in range(1, 6):
+    for k in range(1, LEVELS + 1):
         level = F.when(size > SPREAD**k, k).otherwise(level)
     return level
 
@@ -34,7 +36,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     a = left.where(F.col(l_start) < F.col(l_end)).withColumn("__la", _levels(left, l_start, l_end, width))
     b = right.where(F.col(r_start) < F.col(r_end)).withColumn("__lb", _levels(right, r_start, r_end, width))
     # each row also stands on all coarser levels, so that rows of different levels meet on the coarser one
-    up = lambda own: F.explode(F.sequence(own, F.lit(5)))
+    up = lambda own: F.explode(F.sequence(own, F.lit(LEVELS)))
     a = a.withColumn("__level", up(F.col("__la")))
     b = b.withColumn("__level", up(F.col("__lb")))
     wide = F.lit(width) * F.pow(F.lit(SPREAD), F.col("__level"))

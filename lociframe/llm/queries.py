@@ -95,5 +95,25 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+URL_SQL = r"""
+WITH RECURSIVE p AS (SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+t AS (SELECT url, host, regexp_replace(unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>', 0)), '\s+', ' ', 'g') AS tag FROM q WHERE url IS NOT NULL AND strpos(url, '://') > 0),
+f AS (SELECT url, host, substr(url, 1, strpos(url, '://') - 1) AS scheme, coalesce(
+    nullif(CASE WHEN regexp_matches(tag, '(?i)\brel ?= ?["'']?canonical\b') THEN regexp_extract(tag, '(?i)\bhref ?= ?["'']?([^"'' >]+)', 1) END, ''),
+    nullif(CASE WHEN regexp_matches(tag, '(?i)http-equiv ?= ?["'']?refresh\b') THEN regexp_extract(tag, '(?i)\burl ?= ?["'']?([^"'' >]+)', 1) END, '')) AS target FROM t),
+g AS (SELECT url AS a, CASE WHEN starts_with(target, '//') THEN scheme || ':' || target WHEN starts_with(target, '/') THEN scheme || '://' || host || target WHEN contains(target, '://') THEN target END AS b FROM f),
+e AS (SELECT DISTINCT translate(regexp_extract(a, '(?s)^(.*?://[^/?#]*)([^#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(a, '(?s)^(.*?://[^/?#]*)([^#]*)', 2) AS a,
+    translate(regexp_extract(b, '(?s)^(.*?://[^/?#]*)([^#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(b, '(?s)^(.*?://[^/?#]*)([^#]*)', 2) AS b FROM g WHERE b IS NOT NULL),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+n AS (SELECT a, regexp_extract(a, '://([^/?#]*)', 1) AS host, regexp_extract(a, '://[^/?#]*([^?#]*)', 1) AS path FROM (SELECT DISTINCT a FROM u)),
+r AS (SELECT a FROM n WHERE RULE IN ('net/', 'example.com/de/') UNION SELECT u.b FROM r JOIN u ON u.a = r.a),
+w AS (SELECT page_id, host, path, RULE AS rule, translate(regexp_extract(url, '(?s)^(.*?://[^/?#]*)([^#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(url, '(?s)^(.*?://[^/?#]*)([^#]*)', 2) AS node FROM q)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN node IN (SELECT a FROM r) THEN 'block' ELSE 'allow' END AS verdict FROM w
+""".replace("RULE", """CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END""")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_threshold_topk": TOP_K_SQL}
+    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL}

@@ -154,6 +154,20 @@ def test_url_filter(spark):
     }
 
 
+def test_url_sql_says_the_same(spark):
+    import duckdb
+    import pandas as pd
+
+    link, jump = '<html><LINK href="http://a.Example.net/zz" rel="canonical"></html>', "<meta content='0; url=/next' http-equiv='refresh'>"
+    rows = [(3, "http://site.org/fr/x", link), (4, "http://site.org/de/x", link), (5, "https://Q.org/start", jump), (6, "https://q.org/next", link), (7, None, link), (8, "no scheme", link), (9, "http://example.net", None)]
+    pages = pd.DataFrame(rows, columns=["page_id", "url", "html"])
+    con = duckdb.connect()
+    con.register("pages", pages)
+    want = con.execute(entry.oracle_sql()["op4_url_filter"]).fetchall()
+    out = url_filter.judged(spark.createDataFrame(rows, "page_id bigint, url string, html string"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
 def test_decontamination(spark):
     rng = random.Random(11)
     words = ["w%d" % k for k in range(400)]

@@ -12,7 +12,7 @@ import pyarrow.compute
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that a task works on at once; a longer text is a piece of its own.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_500_000
 
 
 def powers(base: int, n: int) -> np.ndarray:

@@ -3,7 +3,9 @@
 A 64-bit fingerprint is cut into so few segments (radius div 2, plus one) that two fingerprints within the radius agree
 in one segment up to one bit. Each segment is indexed once for every bit of it left out, so such a pair shares a
 signature; signatures are joined by equality and the distance is verified. Distinct fingerprints (or texts) only take
-part, so copies cost nothing; signatures that very many fingerprints share are refined by the other segments first.
+part, so copies cost nothing. Under a signature that more than HOT of them share, all are compared with a few of them
+first, and further pairs are made only between the groups that this leaves: pairs within a group would add nothing to
+what is connected.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from .shared import dropped, written
 
 #: Fingerprints under one signature beyond which they are not compared pair by pair.
 HOT = 32
+#: With so many of them each is compared first.
+CENTRES = 8
 
 
 def shingles(text: str, size: int) -> list[bytes]:
@@ -66,12 +70,12 @@ def _segments(parts: int, bits: list[int]) -> list[list[int]]:
     return [bits[len(bits) * k // parts : len(bits) * (k + 1) // parts] for k in range(parts)]
 
 
-def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = HOT, settle: Callable[[DataFrame], DataFrame] = components) -> DataFrame:
-    """(a, b), a < b: pairs of distinct fingerprints that differ in at most `radius` bits (up to 62).
+def hamming_links(prints: DataFrame, radius: int, hot: int = HOT, settle: Callable[[DataFrame], DataFrame] = components) -> DataFrame:
+    """(a, b), a < b: pairs of nodes whose fingerprints (prints: node, fp) differ in at most `radius` bits (up to 62).
 
-    All such pairs of up to `hot` fingerprints under a signature are there; of more, enough that everything that all
-    pairs connect is connected. `settle` gives (node, component) of the links among the first pairs that hold; with a
-    `settle` that confirms only some of them, all pairs between what it leaves apart are there.
+    All such pairs of up to `hot` nodes under a signature are there; of more, enough that everything that all pairs
+    connect is connected. `settle` gives (node, component) of the links among the first pairs that hold; with a `settle`
+    that confirms only some of them, all pairs between what it leaves apart are there.
     """
     parts = _segments(radius // 2 + 1, list(range(64)))
     masks, refined = [], []
@@ -82,34 +86,49 @@ def hamming_links(prints: DataFrame, radius: int, name: str = "fp", hot: int = H
             masks.append(_signed(sum(1 << b for b in part if b != bit)))
             refined.append([_signed(sum(1 << b for b in cut)) for cut in cuts])
     of = lambda values, k: F.element_at(F.array(*[F.lit(v) for v in values]), k)
-    signed = prints.select(F.col(name).alias("fp")).distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(64))))
-    signed = signed.select("k", F.col("fp").bitwiseAND(of(masks, F.col("k"))).alias("v"), "fp")
-    order = Window.partitionBy("k", "v").orderBy("fp")
-    shared = signed.withColumn("other", F.coalesce(F.lag("fp").over(order), F.lead("fp").over(order))).where("other is not null").drop("other")
+    whole = [_signed(sum(1 << b for b in part)) for part in parts]
+    own_part = [_signed(sum(1 << b for b in part)) for part in parts for _ in part]
+
+    def close(a: str, b: str) -> Column:
+        """Within the radius, and not under an earlier signature as well, so that a pair is made once."""
+        x = F.col(a).bitwiseXOR(F.col(b))
+        out = F.bit_count(x) <= radius
+        for part, mask in list(zip(parts, whole))[:-1]:
+            out &= (F.col("k") <= part[-1] + 1) | (F.bit_count(x.bitwiseAND(mask)) > 1)
+        return out & (F.col("k").isin(*[part[0] + 1 for part in parts]) | (x.bitwiseAND(of(own_part, F.col("k"))) != 0))
+
+    signed = prints.select("node", "fp").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(64))))
+    signed = signed.select("k", F.col("fp").bitwiseAND(of(masks, F.col("k"))).alias("v"), "fp", "node")
+    order = Window.partitionBy("k", "v").orderBy("node")
+    shared = signed.withColumn("other", F.coalesce(F.lag("node").over(order), F.lead("node").over(order))).where("other is not null").drop("other")
     shared = written(shared, "signatures")
     crowded = written(shared.groupBy("k", "v").count().where(F.col("count") > hot).select("k", "v"), "signatures")
-
-    def within(table: DataFrame, *keys: str) -> DataFrame:
-        a, b = table.select(*keys, F.col("fp").alias("a")), table.select(*keys, F.col("fp").alias("b"))
-        return a.join(b, list(keys)).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).select("a", "b")
-
-    plain = within(shared.join(crowded, ["k", "v"], "left_anti"), "k", "v")
+    few = shared.join(crowded, ["k", "v"], "left_anti")
+    one = few.select("k", "v", F.col("node").alias("a"), F.col("fp").alias("fa"))
+    two = few.select("k", "v", F.col("node").alias("b"), F.col("fp").alias("fb"))
+    plain = one.join(two, ["k", "v"]).where((F.col("a") < F.col("b")) & close("fa", "fb")).select("a", "b")
     if crowded.isEmpty():
         links = written(plain.distinct(), "links")
     else:
         busy = written(shared.join(crowded, ["k", "v"], "left_semi"), "signatures")
-        close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
-        first = busy.groupBy("k", "v").agg(F.min("fp").alias("a"))
-        stars = busy.join(first, ["k", "v"]).where((F.col("a") < F.col("fp")) & close("a", "fp"))
-        stars = written(stars.select("a", F.col("fp").alias("b")).distinct(), "links")
-        groups = settle(stars)
-        tagged = busy.join(groups, busy.fp == groups.node, "left").select("k", "v", "fp", F.coalesce("component", "fp").alias("g"))
+        # the first by several hashes: mostly the same few nodes under all signatures of a large group
+        firsts = [F.min_by(F.struct("node", "fp"), F.xxhash64("node", F.lit(k))) for k in range(CENTRES)]
+        first = busy.groupBy("k", "v").agg(F.array_distinct(F.array(*firsts)).alias("c")).select("k", "v", F.explode("c").alias("c"))
+        first = first.select("k", "v", F.col("c.node").alias("a"), F.col("c.fp").alias("fa"))
+        stars = busy.join(first, ["k", "v"]).where((F.col("a") != F.col("node")) & close("fa", "fp"))
+        stars = written(stars.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "links")
+        groups = settle(stars).withColumnRenamed("node", "member")
+        tagged = busy.join(groups, busy.node == groups.member, "left").select("k", "v", "fp", "node", F.coalesce("component", "node").alias("g"))
         tagged = written(tagged, "signatures")
         largest = tagged.groupBy("k", "v", "g").count().groupBy("k", "v").agg(F.max_by("g", F.struct("count", "g")).alias("top"))
         rest = tagged.join(largest, ["k", "v"]).where(F.col("g") != F.col("top")).drop("top")
         cut_masks = F.element_at(F.array(*[F.array(*[F.lit(m) for m in cuts]) for cuts in refined]), F.col("k"))
-        cut = lambda df, *names: df.select("k", "v", F.posexplode(cut_masks).alias("p", "mask"), "fp", "g").select("k", "v", "p", F.col("fp").bitwiseAND(F.col("mask")).alias("w"), F.col("fp").alias(names[0]), F.col("g").alias(names[1]))
-        across = cut(tagged, "x", "gx").join(cut(rest, "y", "gy"), ["k", "v", "p", "w"]).where((F.col("gx") != F.col("gy")) & close("x", "y"))
+
+        def cut(df: DataFrame, node: str, fp: str, group: str) -> DataFrame:
+            own = df.select("k", "v", F.posexplode(cut_masks).alias("p", "mask"), "fp", "node", "g")
+            return own.select("k", "v", "p", F.col("fp").bitwiseAND(F.col("mask")).alias("w"), F.col("node").alias(node), F.col("fp").alias(fp), F.col("g").alias(group))
+
+        across = cut(tagged, "x", "fx", "gx").join(cut(rest, "y", "fy", "gy"), ["k", "v", "p", "w"]).where((F.col("gx") != F.col("gy")) & close("fx", "fy"))
         across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         links = written(plain.unionByName(stars).unionByName(across).distinct(), "links")
         for done in (busy, stars, tagged):
@@ -128,7 +147,7 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
     """
     own = written(fingerprints(docs.select("doc_id", "text"), size).select("doc_id", "fp"), "fingerprints")
     prints = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(hamming_links(prints, radius))
+    roots = components(hamming_links(prints.select(F.col("fp").alias("node"), "fp"), radius))
     rooted = prints.join(roots, prints.fp == roots.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     found = rooted.join(least, "root").select("fp", "component_id")
@@ -147,32 +166,18 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     words serve the fingerprint because one changed word changes one of them but five shingles.
     """
     keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
-    prints = written(fingerprints(keyed, 1, distinct=True).select("key", "fp").distinct(), "fingerprints")
-    single = prints.groupBy("fp").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")).where("n = 1")
-    of = lambda table, fp, key: table.select(F.col("fp").alias(fp), F.col("key").alias(key))
-
-    def settle(stars: DataFrame) -> DataFrame:
-        pairs = written(stars.join(of(single, "a", "x"), "a").join(of(single, "b", "y"), "b"), "candidates")
-        sure = alike(keyed, pairs.select("x", "y"), shingle, similarity).join(pairs, ["x", "y"])
-        groups = components(sure)
-        dropped(pairs)
-        return groups
-
-    links = hamming_links(prints, radius, settle=settle)
-    crowded = prints.groupBy("fp").count().where("count > 1").select("fp")
-    pairs = links.join(of(prints, "a", "x"), "a").join(of(prints, "b", "y"), "b").select("x", "y")
-    several = prints.join(crowded, "fp", "left_semi")
-    same = of(several, "a", "x").join(of(several, "a", "y"), "a").where("x < y").select("x", "y")
-    groups = components(alike(keyed, pairs.unionByName(same), shingle, similarity), "x", "y")
+    prints = written(fingerprints(keyed, 1, distinct=True).select(F.col("key").alias("node"), "fp").distinct(), "fingerprints")
+    confirmed = lambda pairs: components(alike(keyed, pairs, shingle, similarity))
+    links = hamming_links(prints, radius, settle=confirmed)
+    groups = confirmed(links)
     dropped(prints)
     dropped(links)
     return groups.select(F.col("node").alias("key"), F.col("component").alias("root"))
 
 
 def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (x, y: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
-    pairs = written(pairs, "candidates")
-    wanted = pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct()
+    """The pairs (a, b: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
+    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,11 +186,10 @@ def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -
 
     found = keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(sets, "key long, shingles array<long>")
     found = written(found, "shingles")
-    both = pairs.join(found.select(F.col("key").alias("x"), F.col("shingles").alias("p")), "x").join(found.select(F.col("key").alias("y"), F.col("shingles").alias("q")), "y")
+    both = pairs.join(found.select(F.col("key").alias("a"), F.col("shingles").alias("p")), "a").join(found.select(F.col("key").alias("b"), F.col("shingles").alias("q")), "b")
     common = F.size(F.array_intersect("p", "q"))
-    sure = written(both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select("x", "y"), "links")
+    sure = written(both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select("a", "b"), "links")
     dropped(found)
-    dropped(pairs)
     return sure
 
 

@@ -27,7 +27,7 @@ from .shared import row_key, written
 
 GRAM = 16
 BUCKET = 20_000
-PIECE = 2_000_000
+PIECE = 1_500_000
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:

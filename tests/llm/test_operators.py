@@ -86,7 +86,7 @@ def test_hamming_links(spark, radius, hot):
     centres = [rng.getrandbits(64) for _ in range(4)]
     prints = {c ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(0, 6))) & (1 << 64) - 1 for c in centres for _ in range(25)}
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    got = {tuple(r) for r in simhash.hamming_links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), radius, hot=hot).collect()}
+    got = {tuple(r) for r in simhash.hamming_links(spark.createDataFrame([(p, p) for p in signed], "node bigint, fp bigint"), radius, hot=hot).collect()}
     want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= radius}
     if hot == 500:
         assert got == want

@@ -11,7 +11,7 @@ import pyarrow.compute
 #: An odd multiplier and its inverse modulo 2^64, for polynomial hashes (fixed values).
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-#: Bytes of text that a task works on at once; a longer text is a piece of its own.
+#: Bytes of text that a task works on at once (it needs some 100 bytes of memory for each); a longer text is a piece of its own.
 PIECE_BYTES = 1_500_000
 
 

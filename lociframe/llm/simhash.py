@@ -6,10 +6,14 @@ signature; signatures are joined by equality and the distance is verified. Disti
 part, so copies cost nothing. Under a signature that more than HOT of them share, all are compared with a few of them
 first, and further pairs are made only between the groups that this leaves: pairs within a group would add nothing to
 what is connected.
+
+Texts are linked by their shingles in the end: pairs beyond the radius come from an equality join over the least shingle
+hashes of each text, which misses none.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +28,9 @@ from .shared import dropped, written
 HOT = 32
 #: With so many of them each is compared first.
 CENTRES = 8
+#: Shingles are counted in one text of so many to tell the common ones, of which the commonest are sent to the tasks:
+#: both only set an order, and leave the result as it is.
+SAMPLE, COMMON = 16, 200_000
 
 
 def shingles(text: str, size: int) -> list[bytes]:
@@ -161,30 +168,118 @@ def _text_key(text: Column) -> Column:
 def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
     """(key, root): the group of every distinct text that is not alone; `key` is `text_key`.
 
-    Candidates are texts whose fingerprints over their distinct words differ in at most `radius` bits; they are linked if
-    the Jaccard similarity of their sets of `shingle`-word shingles is at least `similarity`, verified exactly. Single
-    words serve the fingerprint because one changed word changes one of them but five shingles.
+    Two texts are linked if the Jaccard similarity of their sets of `shingle`-word shingles is at least `similarity`; links
+    are verified exactly. Texts whose fingerprints over their distinct words differ in at most `radius` bits are compared
+    first; single words serve the fingerprint because one changed word changes one of them but five shingles. Cut and
+    extended texts lie further apart: `shingle_links` has every pair that the first links leave apart.
     """
     keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
     prints = written(fingerprints(keyed, 1, distinct=True).select(F.col("key").alias("node"), "fp").distinct(), "fingerprints")
     confirmed = lambda pairs: components(alike(keyed, pairs, shingle, similarity))
     links = hamming_links(prints, radius, settle=confirmed)
-    groups = confirmed(links)
+    sure = alike(keyed, links, shingle, similarity)
     dropped(prints)
     dropped(links)
+    groups = components(sure.unionByName(shingle_links(keyed, sure, shingle, similarity)))
     return groups.select(F.col("node").alias("key"), F.col("component").alias("root"))
 
 
-def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def common_shingles(keyed: DataFrame, shingle: int) -> np.ndarray:
+    """Hashes, sorted, of shingles that many texts of a sample share. Any set of them serves the order of `least_shingles`."""
+    sample = _shingle_sets(keyed.where(F.pmod("key", F.lit(SAMPLE)) == 0), shingle).dropDuplicates(["key"])
+    counts = sample.select(F.explode("shingles").alias("h")).groupBy("h").count().where(F.col("count") >= max(2, HOT // SAMPLE))
+    top = counts.orderBy(F.col("count").desc(), "h").limit(COMMON).select("h").toPandas()
+    return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def least_shingles(keyed: DataFrame, shingle: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """(key, n, least): number of distinct shingles of every distinct text, and so many of its first ones, in the order
+    of their hashes with the common ones last, that two texts of the similarity share one of them at least."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, out = [], []
+            for value in batch.column(1):
+                own = np.unique(hashed(shingles(value.as_py() or "", shingle)))
+                if len(common):
+                    often = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+                    own = np.concatenate([own[~often], own[often]])
+                sizes.append(len(own))
+                out.append(own[: _prefix(len(own), similarity)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.list_(pa.int64()))], ["key", "n", "least"])
+
+    return keyed.mapInArrow(first, "key long, n int, least array<long>").dropDuplicates(["key"])
+
+
+def _prefix(n: int, similarity: float) -> int:
+    return n - math.ceil(n * similarity - 1e-9) + 1
+
+
+def shingle_links(keyed: DataFrame, links: DataFrame, shingle: int, similarity: float, hot: int = HOT) -> DataFrame:
+    """(a, b): links of texts, verified, that join what the given links leave apart: all that all pairs connect is connected.
+
+    An equality join over the least shingles proposes pairs of different groups of the links. It is exact: of two texts of
+    the similarity, both have a common shingle among their least ones. A pair goes on to `alike` only if it shares so many
+    of them that the rest can make it up. Shingles with more than `hot` texts outside their largest group are settled by
+    a few centres first, so that fewer groups are left to be compared pair by pair.
+    """
+    texts = written(least_shingles(keyed, shingle, similarity, common_shingles(keyed, shingle)), "shingles")
+    near = Window.partitionBy("h").orderBy("key")
+    marks = texts.select("key", F.explode("least").alias("h")).withColumn("other", F.coalesce(F.lag("key").over(near), F.lead("key").over(near)))
+    marks = written(marks.where("other is not null").select("h", "key"), "marks")
+    sizes = written(texts.select("key", "n").join(marks.select("key").distinct(), "key"), "marks")
+    dropped(texts)
+
+    def tagged(sure: DataFrame) -> DataFrame:
+        """Marks with the group of their texts and whether it is the largest of the shingle; shingles of one group are out."""
+        groups = components(sure)
+        own = sizes.join(groups, sizes.key == groups.node, "left").select("key", "n", F.coalesce("component", "key").alias("g"))
+        out = marks.join(own, "key")
+        many = out.groupBy("h", "g").count().groupBy("h").agg(F.max_by("g", F.struct("count", "g")).alias("top"), F.count(F.lit(1)).alias("groups"), F.sum("count").alias("all"), F.max("count").alias("most"))
+        return written(out.join(many.where("groups > 1"), "h").select("h", "key", "n", "g", (F.col("g") == F.col("top")).alias("top"), (F.col("all") - F.col("most")).alias("rest")), "marks")
+
+    def pairs(left: DataFrame, right: DataFrame, once: Column) -> DataFrame:
+        x = left.select("h", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("g").alias("gx"))
+        y = right.select("h", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("g").alias("gy"), "top")
+        fits = (F.col("nx") >= F.col("ny") * similarity - 1e-9) & (F.col("ny") >= F.col("nx") * similarity - 1e-9)
+        return x.join(y, "h").where((F.col("gx") != F.col("gy")) & fits & once).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "nx", "ny")
+
+    now = tagged(links)
+    crowded = now.where(F.col("rest") > hot)
+    stars = None
+    if not crowded.isEmpty():
+        firsts = [F.min_by(F.struct("key", "n", "g", "top"), F.xxhash64("key", F.lit(k))) for k in range(CENTRES)]
+        centres = crowded.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("c")).select("h", F.explode("c").alias("c")).select("h", "c.key", "c.n", "c.g", "c.top")
+        stars = alike(keyed, written(pairs(centres, crowded, F.lit(True)).select("a", "b").distinct(), "links"), shingle, similarity)
+        dropped(now)
+        now = tagged(links.unionByName(stars))
+    found = pairs(now.where(~F.col("top")), now, F.col("top") | (F.col("x") < F.col("y")))
+    # what two texts share is at most what their least shingles share and the other shingles of the one with more of them
+    shared = F.col("shared") + F.ceil(F.greatest("nx", "ny") * similarity - 1e-9) - 1
+    enough = shared >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
+    found = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+    found = written(found.where(enough).select("a", "b"), "links")
+    sure = alike(keyed, found, shingle, similarity)
+    for done in (marks, sizes, now, found):
+        dropped(done)
+    return sure.unionByName(stars) if stars is not None else sure
+
+
+def _shingle_sets(keyed: DataFrame, shingle: int) -> DataFrame:
+    """(key, shingles): the distinct shingle hashes of every text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.unique(hashed(shingles(v.as_py() or "", shingle))).view(np.int64) for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    found = keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(sets, "key long, shingles array<long>")
+    return keyed.mapInArrow(sets, "key long, shingles array<long>")
+
+
+def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
+    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    found = _shingle_sets(keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]), shingle)
     found = written(found, "shingles")
     both = pairs.join(found.select(F.col("key").alias("a"), F.col("shingles").alias("p")), "a").join(found.select(F.col("key").alias("b"), F.col("shingles").alias("q")), "b")
     common = F.size(F.array_intersect("p", "q"))

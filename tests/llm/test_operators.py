@@ -106,6 +106,39 @@ def test_deduplicated(spark):
     assert sorted(r.doc_id for r in got.collect()) == [5, 6, 10, 20] and got.columns == ["doc_id", "text", "lang"]
 
 
+def edited(rng, n=12):
+    """Texts of 40 to 300 words with cut, extended and changed copies, beside a stretch that many texts share."""
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(3000)]
+    notice, texts = rng.sample(words, 30), []
+    for _ in range(n):
+        base = rng.sample(words, rng.randrange(40, 300))
+        m = len(base)
+        texts += [base, base[: m * 83 // 100], base[m // 10 :], base + rng.sample(words, m // 5), rng.sample(words, m // 10) + base]
+        texts.append([w if rng.random() > 0.02 else rng.choice(words) for w in base])
+    texts += [rng.sample(words, 8) + notice + rng.sample(words, k % 9) for k in range(40)] + [notice, notice[:28], ["one"], []]
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("hot, sample", [(32, 16), (2, 1)])
+def test_text_groups_misses_no_pair(spark, monkeypatch, hot, sample):
+    texts = edited(random.Random(5))
+    sets = [set(simhash.shingles(t, 5)) for t in texts]
+    want = {k: k for k in range(len(texts))}
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and want[i] != want[j]:
+                a, b = want[i], want[j]
+                want = {k: b if v == a else v for k, v in want.items()}
+    whole = simhash.shingle_links
+    monkeypatch.setattr(simhash, "SAMPLE", sample)
+    monkeypatch.setattr(simhash, "shingle_links", lambda *a: whole(*a, hot=hot))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    keys = {r.doc_id: r.key for r in df.select("doc_id", simhash._text_key(F.col("text")).alias("key")).collect()}
+    roots = {r.key: r.root for r in simhash.text_groups(df).collect()}
+    got = [roots.get(keys[k], keys[k]) for k in range(len(texts))]
+    assert len(set(zip(got, want.values()))) == len(set(got)) == len(set(want.values())) < len(texts) - 30
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     data = [(k, [float(x) for x in rng.integers(-3, 4, 5) / 7]) for k in range(60)] + [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0]), (202, [float("nan")] * 5), (203, [float("inf")] * 5), (300, [0.0] * 5), (301, []), (None, [1.0] * 5)]

@@ -2,7 +2,8 @@
 
 DataFrame functions only. Texts and items are lower-cased and cut into words of letters and digits; shingles are SHINGLE
 words (an item of fewer words is one shingle). A document holds an item if a window of as many words has a weighted
-shingle similarity (sum of least counts by sum of greatest counts) of at least the threshold.
+shingle similarity (sum of least counts by sum of greatest counts) of at least the threshold; a document of fewer words
+than the item is one window.
 
 Only windows that hold enough of the shingles of some item of their size can reach it, so fingerprints are taken of
 these windows. Fingerprints are cut into radius + 1 blocks; two within the radius agree in a block, so an equality join
@@ -102,11 +103,12 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
         return out
 
     side = lambda: F.when(F.col("size") > 0, F.col("size")).otherwise(-F.col("m"))
-    places = hashes(docs).select("key", "size", F.posexplode_outer("hs").alias("at", "h"))  # an inner one would have its filter pushed into the lambdas
-    hits = places.join(marks.select("h", "m", side().alias("size")), ["h", "size"]).select("key", "size", "m", "at").distinct()
-    n = F.when(F.col("size") > 0, F.col("m") - F.col("size") + 1).otherwise(F.lit(1))
-    need = F.greatest(F.lit(1), F.ceil(2 * F.col("n") * threshold / (1 + threshold) - 1e-9).cast("int"))
-    gathered = hits.groupBy("key", "size", "m").agg(F.sort_array(F.collect_list("at")).alias("ats")).withColumn("n", n).withColumn("need", need)
+    places = hashes(docs).select("key", "size", F.size("hs").alias("all"), F.posexplode_outer("hs").alias("at", "h"))  # an inner one would have its filter pushed into the lambdas
+    hits = places.join(marks.select("h", "m", side().alias("size")), ["h", "size"]).select("key", "size", "all", "m", "at").distinct()
+    of_item = F.when(F.col("size") > 0, F.col("m") - F.col("size") + 1).otherwise(F.lit(1))
+    need = F.greatest(F.lit(1), F.ceil((of_item + F.col("n")) * threshold / (1 + threshold) - 1e-9).cast("int"))
+    gathered = hits.groupBy("key", "size", "all", "m").agg(F.sort_array(F.collect_list("at")).alias("ats"))
+    gathered = gathered.withColumn("n", F.least(of_item, F.col("all"))).withColumn("need", need)  # a text of fewer shingles is one window
     gathered = gathered.where(F.size("ats") >= F.col("need"))
     starts = F.flatten(
         F.transform(

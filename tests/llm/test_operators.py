@@ -218,6 +218,25 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs.limit(0), asked).count() == decontamination.contaminated(docs, asked.limit(0)).count() == 0
 
 
+def test_documents_shorter_than_an_item(spark):
+    asked = spark.read.parquet(SF + "/benchmark.parquet").select("item_id", "text")
+    cut_of = lambda w: {"first": w[1:], "end": w[: len(w) - max(1, len(w) // 20)], "half": w[: len(w) // 2], "middle": w[: len(w) // 2] + w[len(w) // 2 + 1 :]}
+    items = {r.item_id: r.w for r in asked.select("item_id", decontamination.words_of(F.col("text")).alias("w")).collect()}
+    rows, held = [], {}
+    for item, words in items.items():
+        for kind, cut in cut_of(words).items():
+            rows.append((f"{kind} {item}", " ".join(cut)))
+            p, q = (Counter(zip(*(w[k:] for k in range(5)))) for w in (words, cut))
+            held[rows[-1][0]] = (p & q).total() / max((p | q).total(), 1)
+    want = {(name, int(name.split()[1])): s for name, s in held.items() if s >= 0.8}
+    assert {name.split()[0] for name, _ in want} == {"first", "end", "middle"}
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = decontamination.contaminated(docs, asked).collect()
+    got = {(r.doc_id, r.item_id): (r.start, r.similarity) for r in found if int(r.doc_id.split()[1]) == r.item_id}
+    assert got == {k: (0, round(s, 6)) for k, s in want.items()}
+    assert decontamination.decontaminated(docs, asked).count() == len(rows) - len({r.doc_id for r in found})
+
+
 def test_weighted_similarity(spark):
     row = spark.createDataFrame([([1, 1, 2, 3], [1, 2, 2, 3])], "a array<bigint>, b array<bigint>")
     assert row.select(decontamination.similarity("a", "b").alias("s")).first().s == 3 / 5

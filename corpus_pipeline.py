@@ -8,8 +8,8 @@ from lociframe.llm import bpe_automaton, decontamination, simhash, suffix_dedup,
 from lociframe.llm.queries import table
 from lociframe.llm.shared import written
 
-#: Repeated passages go from this many bytes on: about 40 words.
-PASSAGE_BYTES = 250
+#: Repeated passages go from this many bytes on (about 40 words), or from this many words on.
+PASSAGE_BYTES, PASSAGE_WORDS = 250, 51
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once; n_chars follows the text."""
-    cut = suffix_dedup.without_repeats(docs, size=PASSAGE_BYTES, kept_text="text")
+    cut = suffix_dedup.without_repeats(docs, size=PASSAGE_BYTES, words=PASSAGE_WORDS, kept_text="text")
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

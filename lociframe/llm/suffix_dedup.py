@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import Spans, mixed, pieces, text_buffer
@@ -117,6 +118,30 @@ def _names(size: int):
     return names
 
 
+def _short_passages(words: int, size: int):
+    """Windows of `words` whole words that are shorter than `size` bytes."""
+    gap = np.zeros(256, bool)
+    gap[[0x20, *range(0x09, 0x0E)]] = True
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int, int, int]] = []
+            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                body = value.as_py().encode("utf-8", "replace")
+                inside = np.concatenate([[False], ~gap[np.frombuffer(body, np.uint8)], [False]])
+                edges = np.flatnonzero(inside[1:] != inside[:-1])
+                first, last = edges[::2][: max(len(edges) // 2 - words + 1, 0)], edges[1::2][words - 1 :]
+                for k in np.flatnonzero(last - first < size):
+                    a, b = int(first[k]), int(last[k])
+                    digest = xxhash.xxh3_128_digest(body[a:b])
+                    # n as of windows of `size` bytes, so that the last of them ends where the passage ends
+                    out.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), row, a, b - a - size + 1))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], ["name", "check", "row", "at", "n"])
+
+    return passages
+
+
 def bucket_spans(anchors: list[int], bodies: list[bytes], size: int) -> list[list[tuple[int, int]]]:
     """For each text of a bucket, ranges (low, high) of distances before the anchor at which a window starts that another
     text of the bucket has as well."""
@@ -188,8 +213,11 @@ def _sorted_buckets(size: int):
     return buckets
 
 
-def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """(row, spans): for every document row that has some, the starts of `size`-byte windows that also start elsewhere."""
+def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int = BUCKET, words: int | None = None) -> DataFrame:
+    """(row, spans): for every document row that has some, the starts of `size`-byte windows that also start elsewhere.
+
+    With `words`, windows of so many words count as well, where they are shorter than `size` bytes: n is 0 or less then.
+    """
     own = docs.select(row_key(text=text).alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     repeated, opened = sorted_out(own.mapInArrow(_segments(size), SEGMENT))
     crowded = written(opened.groupBy("key").count().where(F.col("count") > bucket).select("key"), "keys")
@@ -205,20 +233,24 @@ def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int
     names = written(names, "windows")
     twice = names.groupBy("name", "check").count().where("count > 1").select("name", "check")
     single = names.join(twice, ["name", "check"], "left_semi").select("row", "at", F.lit(1).alias("n"))
-    return spans_of(repeated, sorted_, single)
+    if words is None:
+        return spans_of(repeated, sorted_, single)
+    short = written(own.mapInArrow(_short_passages(words, size), "name long, check long, row long, at int, n int"), "windows")
+    again = short.groupBy("name", "check").count().where("count > 1").select("name", "check")
+    return spans_of(repeated, sorted_, single, short.join(again, ["name", "check"], "left_semi").select("row", "at", "n"))
 
 
-def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_text: str | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_text: str | None = None, words: int | None = None) -> DataFrame:
     """Adds n_bytes, n_removed, n_spans and kept_sha256 to every row (and the kept text, if `kept_text` names a column).
 
-    A byte of the UTF-8 text goes if a string of `size` bytes over it occurs elsewhere in any document, its own included,
-    as the documents were given; n_spans counts the maximal removed stretches. Null counts as empty; a text shorter than
+    A byte of the UTF-8 text goes if a string of `size` bytes (or of `words` whole words, if given) over it occurs
+    elsewhere in any document, its own included, as the documents were given; n_spans counts the maximal removed stretches. Null counts as empty; a text shorter than
     `size` stays whole; repeated rows repeat each other and lose what their windows cover. In `kept_text`, characters
     that a cut split are left out. Columns of these names that `docs` already has are replaced (kept_text may be `text`).
     """
     new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()} | ({kept_text: T.StringType()} if kept_text else {})
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c == text], row_key(text=text).alias("__row"))
-    joined = source.join(repeated_windows(docs, size, text).withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    joined = source.join(repeated_windows(docs, size, text, words=words).withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
     output = [c for c in docs.columns if c not in new]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in output]).schema.fields, *(T.StructField(k, v) for k, v in new.items())])
 

@@ -6,10 +6,15 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
 
 from lociframe.llm import recompression, suffix_dedup
 from lociframe.llm.deep_shallow import deep_shallow
 
+SF = "/root/testdata/sf0.001"
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id bigint, text string, note string, n_words int"
 
@@ -79,6 +84,18 @@ def test_kept_text_and_empty_tables(spark):
     assert kept == {1: "xyz", 2: "uvw", 3: None}
 
 
+def test_passages_of_short_words(spark):
+    rng = random.Random(3)
+    short = lambda n: " ".join(rng.choice("abcdefgh") for _ in range(n))
+    own, fifty, more = short(400), short(50), short(60)
+    texts = [f"long first {fifty} lasts", f"{fifty} other end", f"nothing {more} ends", f"{more}", f"another\n{more}x", own[:300], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs, 250, kept_text="text", words=51).collect()}
+    assert kept == {0: texts[0], 1: texts[1], 2: "nothing  ends", 3: "", 4: "another\n" + more[-2:] + "x", 5: texts[5], 6: None}
+    cut = corpus_pipeline.cut_repeats(spark, docs.withColumn("n_chars", F.lit(0)), SF)
+    assert {r.doc_id: r.text for r in cut.collect()} == kept
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_deep_shallow_sorts(seed):
     rng = random.Random(seed)

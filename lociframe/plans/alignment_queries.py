@@ -27,7 +27,7 @@ def sets(s, d):
 
 
 def quantified(s, d, **kw):
-    return E.quantify(v_aln(s, d), exons(s, d), max_iter=3, tol=0.0, **kw)
+    return E.quantify(v_aln(s, d), exons(s, d), **kw)
 
 
 def ambiguous(s, d):
@@ -89,9 +89,9 @@ QUERIES = {
         sql(f"""p AS (SELECT *, {bit(128)} AS two FROM v_aln WHERE {PRIMARY}), b AS (SELECT sample_id, qname FROM p GROUP BY 1, 2 HAVING count(DISTINCT two) = 2)
         SELECT CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN 'AACGT' ELSE 'ACGTT' END AS seq, CASE WHEN {bit(16)} THEN 'EDCBA' ELSE 'ABCDE' END AS qual, count(*) AS n FROM p SEMI JOIN b USING (sample_id, qname) GROUP BY 1, 2, 3""", "v_aln")),
     "e1_positional_em": (lambda s, d: E.positional_em(
-            fragments(s, d).where("blocks_r1 is not null").select("sample_id", "chrom", "qname", F.col("frag").alias("locus"), "score", F.inline("blocks_r1")), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), max_iter=3, tol=0.0, width=64
+            fragments(s, d).where("blocks_r1 is not null").select("sample_id", "chrom", "qname", F.col("frag").alias("locus"), "score", F.inline("blocks_r1")), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
         ).select("sample_id", "chrom", "qname", "locus", F.round("fraction", 6).alias("fraction")), None),
-    "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0, max_iter=3, tol=0.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), None),
+    "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), None),
     "e3_resolve_multi": (lambda s, d: E.resolve_multi(fragments(s, d).select("frag", (1 / (1 + F.col("score"))).alias("fraction"), F.lit(False).alias("spliced"), F.lit(False).alias("pas")), sets(s, d))[0].select("gene_id", F.round("count", 6).alias("count")), None),
     "e4_quantify": (lambda s, d: quantified(s, d).select("gene_id", "length", "counts_uniq", *[F.round(c, 3).alias(c) for c in ("tpm_uniq", "counts_multi", "counts_total", "tpm")]), None),
     "e4_quantify_unique": (lambda s, d: quantified(s, d, mode="unique", genes="unique").select("gene_id", "counts_uniq", F.round("tpm", 3).alias("tpm")), None),

@@ -1,5 +1,8 @@
 """What holds whatever the data and the partitions."""
 
+import inspect
+
+import pytest
 from pyspark.sql import functions as F
 
 from lociframe.operators import em, express, intervals
@@ -33,3 +36,19 @@ def test_em_counts_add_up(spark):
     counts, alpha = em.gene_em(amb, alignment_queries.em_counts(spark, SF), 250.0, max_iter=5)
     assert abs(counts.agg(F.sum("em_count")).first()[0] - amb.count()) < 1e-6
     assert abs(alpha.agg(F.sum("alpha")).first()[0] - 1) < 1e-9
+
+
+@pytest.mark.parametrize("name, operator", [("e1_positional_em", "positional_em"), ("e2_gene_em", "gene_em"), ("e4_quantify", "quantify"), ("a37_quant_summary", "quantify")])
+def test_em_queries_run_to_the_tolerance(spark, monkeypatch, name, operator):
+    asked, whole = [], inspect.signature(getattr(em, operator))
+
+    def seen(*args, **kw):
+        call = whole.bind(*args, **kw)
+        call.apply_defaults()
+        asked.append((call.arguments["max_iter"], call.arguments["tol"]))
+        raise InterruptedError
+
+    monkeypatch.setattr(em, operator, seen)
+    with pytest.raises(InterruptedError):
+        alignment_queries.QUERIES[name][0](spark, SF)
+    assert asked == [(100, 1e-3)]

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from .shared import dropped, written
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Count and an order-free digest of an edge table: one row to the driver."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edge table, written, and its count and order-free digest, observed on the way: one row to the driver."""
+    seen = Observation()
+    digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    table = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest")), "edges")
+    return table, (seen.get["n"], seen.get["digest"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,11 +35,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     numbers a round reach the driver. Rounds grow with the logarithm of the number of nodes.
     """
     u, v = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
-    table = written(edges.where(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct(), "edges")
-    mark = _mark(table)
+    table, mark = _marked(edges.where(F.col(a) != F.col(b)).select(u.alias("u"), v.alias("v")).distinct())
     while mark[0]:
-        after = written(_small_star(_large_star(table)), "edges")
-        after_mark = _mark(after)
+        after, after_mark = _marked(_small_star(_large_star(table)))
         dropped(table)
         table, mark, before = after, after_mark, mark
         if mark == before:

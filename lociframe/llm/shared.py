@@ -12,9 +12,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor sees; one is made up only where the cluster names none (tests)."""
+    """The folder that every executor sees. One is made up only in local mode, where the driver's folder is everybody's."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -36,6 +38,16 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of `df` has them (upper and lower case are one to Spark)."""
+    own = {c.lower() for c in df.columns}
+
+    def free(name: str) -> str:
+        return name if name.lower() not in own else free(name + "_")
+
+    return [free(f"__{name}") for name in names]
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Identity of a document row: rows that are equal in id and text share it, and are treated alike."""
     return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))

@@ -7,14 +7,14 @@ part, so copies cost nothing. Under a signature that more than HOT of them share
 first, and further pairs are made only between the groups that this leaves: pairs within a group would add nothing to
 what is connected.
 
-Texts are linked by their shingles in the end: pairs beyond the radius come from an equality join over the least shingle
-hashes of each text, which misses none.
+Texts are linked by their shingles in the end: the pairs that fingerprints propose are verified, and pairs beyond the
+radius come from an equality join over the least shingle hashes of each text, which misses none.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +22,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .components import components
-from .shared import dropped, written
+from .shared import dropped, fresh, written
 
-#: Fingerprints under one signature beyond which they are not compared pair by pair.
+#: Fingerprints (texts) under one signature (mark) beyond which all are compared with a few of them first.
 HOT = 32
 #: With so many of them each is compared first.
 CENTRES = 8
 #: Shingles are counted in one text of so many to tell the common ones, of which the commonest are sent to the tasks:
 #: both only set an order, and leave the result as it is.
 SAMPLE, COMMON = 16, 200_000
+#: Rounds in which the texts under a mark are compared with one of them.
+ROUNDS = 2
 
 
 def shingles(text: str, size: int) -> list[bytes]:
@@ -77,12 +79,11 @@ def _segments(parts: int, bits: list[int]) -> list[list[int]]:
     return [bits[len(bits) * k // parts : len(bits) * (k + 1) // parts] for k in range(parts)]
 
 
-def hamming_links(prints: DataFrame, radius: int, hot: int = HOT, settle: Callable[[DataFrame], DataFrame] = components) -> DataFrame:
+def hamming_links(prints: DataFrame, radius: int, hot: int = HOT) -> DataFrame:
     """(a, b), a < b: pairs of nodes whose fingerprints (prints: node, fp) differ in at most `radius` bits (up to 62).
 
     All such pairs of up to `hot` nodes under a signature are there; of more, enough that everything that all pairs
-    connect is connected. `settle` gives (node, component) of the links among the first pairs that hold; with a `settle`
-    that confirms only some of them, all pairs between what it leaves apart are there.
+    connect is connected.
     """
     parts = _segments(radius // 2 + 1, list(range(64)))
     masks, refined = [], []
@@ -106,9 +107,8 @@ def hamming_links(prints: DataFrame, radius: int, hot: int = HOT, settle: Callab
 
     signed = prints.select("node", "fp").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(64))))
     signed = signed.select("k", F.col("fp").bitwiseAND(of(masks, F.col("k"))).alias("v"), "fp", "node")
-    order = Window.partitionBy("k", "v").orderBy("node")
-    shared = signed.withColumn("other", F.coalesce(F.lag("node").over(order), F.lead("node").over(order))).where("other is not null").drop("other")
-    shared = written(shared, "signatures")
+    counted = signed.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k", "v")
+    shared = written(signed.join(counted, ["k", "v"], "left_semi"), "signatures")
     crowded = written(shared.groupBy("k", "v").count().where(F.col("count") > hot).select("k", "v"), "signatures")
     few = shared.join(crowded, ["k", "v"], "left_anti")
     one = few.select("k", "v", F.col("node").alias("a"), F.col("fp").alias("fa"))
@@ -124,7 +124,7 @@ def hamming_links(prints: DataFrame, radius: int, hot: int = HOT, settle: Callab
         first = first.select("k", "v", F.col("c.node").alias("a"), F.col("c.fp").alias("fa"))
         stars = busy.join(first, ["k", "v"]).where((F.col("a") != F.col("node")) & close("fa", "fp"))
         stars = written(stars.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "links")
-        groups = settle(stars).withColumnRenamed("node", "member")
+        groups = components(stars).withColumnRenamed("node", "member")
         tagged = busy.join(groups, busy.node == groups.member, "left").select("k", "v", "fp", "node", F.coalesce("component", "node").alias("g"))
         tagged = written(tagged, "signatures")
         largest = tagged.groupBy("k", "v", "g").count().groupBy("k", "v").agg(F.max_by("g", F.struct("count", "g")).alias("top"))
@@ -165,104 +165,128 @@ def _text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
 
 
-def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
-    """(key, root): the group of every distinct text that is not alone; `key` is `text_key`.
+def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, hot: int = HOT) -> DataFrame:
+    """(key, root): the group of every distinct text that is not alone; `key` is `_text_key`.
 
     Two texts are linked if the Jaccard similarity of their sets of `shingle`-word shingles is at least `similarity`; links
     are verified exactly. Texts whose fingerprints over their distinct words differ in at most `radius` bits are compared
-    first; single words serve the fingerprint because one changed word changes one of them but five shingles. Cut and
-    extended texts lie further apart: `shingle_links` has every pair that the first links leave apart.
+    first, by deletion-variant signatures; single words serve the fingerprint because one changed word changes one of them
+    but five shingles. Signatures are long (two segments for a radius of 3), so they stay selective as the corpus grows.
+    Cut and extended texts lie further apart: an equality join over the least shingles of each text has every pair that
+    the first links leave apart.
     """
     keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
-    prints = written(fingerprints(keyed, 1, distinct=True).select(F.col("key").alias("node"), "fp").distinct(), "fingerprints")
-    confirmed = lambda pairs: components(alike(keyed, pairs, shingle, similarity))
-    links = hamming_links(prints, radius, settle=confirmed)
-    sure = alike(keyed, links, shingle, similarity)
-    dropped(prints)
-    dropped(links)
-    groups = components(sure.unionByName(shingle_links(keyed, sure, shingle, similarity)))
-    return groups.select(F.col("node").alias("key"), F.col("component").alias("root"))
+    texts = written(prepared(keyed, shingle, similarity, common_shingles(keyed, shingle)), "shingles")
+    close = settled(shared(texts.select("key", "n", "fp", F.explode(signatures(F.col("fp"), radius)).alias("b"))), None, keyed, shingle, similarity, radius, hot)
+    near = settled(shared(texts.select("key", "n", "fp", F.explode("least").alias("b"))), close, keyed, shingle, similarity, hot=hot)
+    dropped(texts)
+    return near.select(F.col("node").alias("key"), F.col("component").alias("root"))
+
+
+def signatures(fp: Column, radius: int) -> Column:
+    """One value for every bit of the fingerprint: the segment that holds it, without the bit."""
+    parts = _segments(radius // 2 + 1, list(range(64)))
+    return F.array(*[F.xxhash64(F.lit(bit), fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in part if b != bit))))) for part in parts for bit in part])
 
 
 def common_shingles(keyed: DataFrame, shingle: int) -> np.ndarray:
-    """Hashes, sorted, of shingles that many texts of a sample share. Any set of them serves the order of `least_shingles`."""
+    """Hashes, sorted, of shingles that many texts of a sample share. Any set of them serves the order of `prepared`."""
     sample = _shingle_sets(keyed.where(F.pmod("key", F.lit(SAMPLE)) == 0), shingle).dropDuplicates(["key"])
-    counts = sample.select(F.explode("shingles").alias("h")).groupBy("h").count().where(F.col("count") >= max(2, HOT // SAMPLE))
+    counts = sample.select(F.explode("shingles").alias("h")).groupBy("h").count().where(F.col("count") >= 2)
     top = counts.orderBy(F.col("count").desc(), "h").limit(COMMON).select("h").toPandas()
     return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
 
 
-def least_shingles(keyed: DataFrame, shingle: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """(key, n, least): number of distinct shingles of every distinct text, and so many of its first ones, in the order
-    of their hashes with the common ones last, that two texts of the similarity share one of them at least."""
+def prepared(keyed: DataFrame, shingle: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """(key, n, fp, least) of every distinct text: number of distinct shingles, fingerprint over the distinct words, and so
+    many of the first shingles, in the order of their hashes with the common ones last, that two texts of the similarity
+    share one of them at least."""
+    broadcast = keyed.sparkSession.sparkContext.broadcast(common)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = broadcast.value
         for batch in batches:
-            sizes, out = [], []
+            sizes, prints, out = [], [], []
             for value in batch.column(1):
-                own = np.unique(hashed(shingles(value.as_py() or "", shingle)))
-                if len(common):
-                    often = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
-                    own = np.concatenate([own[~often], own[often]])
+                text = value.as_py() or ""
+                own = np.unique(hashed(shingles(text, shingle)))
+                if len(often):
+                    last = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
+                    own = np.concatenate([own[~last], own[last]])
                 sizes.append(len(own))
+                prints.append(fingerprint(hashed(list(set(shingles(text, 1))))))
                 out.append(own[: _prefix(len(own), similarity)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(out, pa.list_(pa.int64()))], ["key", "n", "least"])
+            arrays = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(out, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "fp", "least"])
 
-    return keyed.mapInArrow(first, "key long, n int, least array<long>").dropDuplicates(["key"])
+    return keyed.mapInArrow(first, "key long, n int, fp long, least array<long>").dropDuplicates(["key"])
 
 
 def _prefix(n: int, similarity: float) -> int:
     return n - math.ceil(n * similarity - 1e-9) + 1
 
 
-def shingle_links(keyed: DataFrame, links: DataFrame, shingle: int, similarity: float, hot: int = HOT) -> DataFrame:
-    """(a, b): links of texts, verified, that join what the given links leave apart: all that all pairs connect is connected.
+def shared(marks: DataFrame) -> DataFrame:
+    """The marks (b, key, n, fp) whose bucket b holds another text as well. Counts are aggregated before the shuffle, and the
+    join is one that adaptive execution splits, so a bucket of very many texts is no task of its own."""
+    more = marks.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b")
+    return written(marks.join(more, "b", "left_semi"), "marks")
 
-    An equality join over the least shingles proposes pairs of different groups of the links. It is exact: of two texts of
-    the similarity, both have a common shingle among their least ones. A pair goes on to `alike` only if it shares so many
-    of them that the rest can make it up. Shingles with more than `hot` texts outside their largest group are settled by
-    a few centres first, so that fewer groups are left to be compared pair by pair.
-    """
-    texts = written(least_shingles(keyed, shingle, similarity, common_shingles(keyed, shingle)), "shingles")
-    near = Window.partitionBy("h").orderBy("key")
-    marks = texts.select("key", F.explode("least").alias("h")).withColumn("other", F.coalesce(F.lag("key").over(near), F.lead("key").over(near)))
-    marks = written(marks.where("other is not null").select("h", "key"), "marks")
-    sizes = written(texts.select("key", "n").join(marks.select("key").distinct(), "key"), "marks")
-    dropped(texts)
 
-    def tagged(sure: DataFrame) -> DataFrame:
-        """Marks with the group of their texts and whether it is the largest of the shingle; shingles of one group are out."""
-        groups = components(sure)
-        own = sizes.join(groups, sizes.key == groups.node, "left").select("key", "n", F.coalesce("component", "key").alias("g"))
-        out = marks.join(own, "key")
-        many = out.groupBy("h", "g").count().groupBy("h").agg(F.max_by("g", F.struct("count", "g")).alias("top"), F.count(F.lit(1)).alias("groups"), F.sum("count").alias("all"), F.max("count").alias("most"))
-        return written(out.join(many.where("groups > 1"), "h").select("h", "key", "n", "g", (F.col("g") == F.col("top")).alias("top"), (F.col("all") - F.col("most")).alias("rest")), "marks")
-
-    def pairs(left: DataFrame, right: DataFrame, once: Column) -> DataFrame:
-        x = left.select("h", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("g").alias("gx"))
-        y = right.select("h", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("g").alias("gy"), "top")
-        fits = (F.col("nx") >= F.col("ny") * similarity - 1e-9) & (F.col("ny") >= F.col("nx") * similarity - 1e-9)
-        return x.join(y, "h").where((F.col("gx") != F.col("gy")) & fits & once).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "nx", "ny")
-
-    now = tagged(links)
-    crowded = now.where(F.col("rest") > hot)
-    stars = None
-    if not crowded.isEmpty():
-        firsts = [F.min_by(F.struct("key", "n", "g", "top"), F.xxhash64("key", F.lit(k))) for k in range(CENTRES)]
-        centres = crowded.groupBy("h").agg(F.array_distinct(F.array(*firsts)).alias("c")).select("h", F.explode("c").alias("c")).select("h", "c.key", "c.n", "c.g", "c.top")
-        stars = alike(keyed, written(pairs(centres, crowded, F.lit(True)).select("a", "b").distinct(), "links"), shingle, similarity)
+def settled(marks: DataFrame, groups: DataFrame | None, keyed: DataFrame, shingle: int, similarity: float, radius: int | None = None, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
+    """(node, component): the groups that all verified pairs of texts under one mark make, with the given ones.
+
+    A text is compared only with texts that are not in its group yet. Under a mark that more than `hot` texts outside its
+    largest group bear, all are compared with one of them first, the least by a hash of the round: mostly the same text
+    under all marks of a large group, so that a group of copies is settled by about as many comparisons as it has texts.
+    After `rounds` such rounds at most, all pairs of different groups under a mark are compared. With a `radius`, marks are
+    signatures and only pairs of fingerprints within it are compared; else marks are the least shingles, and a pair is
+    compared only if it shares so many of them that the other shingles can make up the rest.
+    """
+    links = written(groups.select(F.col("node").alias("a"), F.col("component").alias("b")), "links") if groups is not None else None
+
+    def state() -> DataFrame:
+        """b, key, n, fp, g (group), c (the text to compare with), top (the largest group), crowded; marks of one group are out."""
+        own = marks.withColumn("g", F.col("key"))
+        if links is not None:
+            own = marks.join(components(links).withColumnRenamed("node", "key"), "key", "left").select("b", "key", "n", "fp", F.coalesce("component", "key").alias("g"))
+        order = F.xxhash64("key", F.lit(k))
+        parts = own.groupBy("b", "g").agg(F.count(F.lit(1)).alias("of"), F.min_by(F.struct("key", "n", "fp", "g"), order).alias("c"), F.min(order).alias("o"))
+        whole = parts.groupBy("b").agg(
+            F.max_by("g", F.struct("of", "g")).alias("top"), (F.sum("of") - F.max("of") > hot).alias("crowded"), F.min_by("c", "o").alias("c"), F.count(F.lit(1)).alias("groups")
+        )
+        return written(own.join(whole.where("groups > 1").drop("groups"), "b"), "marks")
+
+    def fits(n: str, m: str, p: str, q: str) -> Column:
+        sizes = (F.col(n) >= F.col(m) * similarity - 1e-9) & (F.col(m) >= F.col(n) * similarity - 1e-9)
+        return sizes & (F.bit_count(F.col(p).bitwiseXOR(F.col(q))) <= radius) if radius is not None else sizes
+
+    k = 0
+    now = state()
+    while k < rounds:
+        pairs = now.where("crowded and g <> c.g").select("key", "n", "fp", F.col("c.key").alias("other"), F.col("c.n").alias("m"), F.col("c.fp").alias("q")).where(fits("n", "m", "fp", "q"))
+        pairs = written(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "pairs")
+        sure = alike(keyed, pairs, shingle, similarity)
+        dropped(pairs)
+        if sure.isEmpty():
+            break
+        links = sure if links is None else links.unionByName(sure)
         dropped(now)
-        now = tagged(links.unionByName(stars))
-    found = pairs(now.where(~F.col("top")), now, F.col("top") | (F.col("x") < F.col("y")))
-    # what two texts share is at most what their least shingles share and the other shingles of the one with more of them
-    shared = F.col("shared") + F.ceil(F.greatest("nx", "ny") * similarity - 1e-9) - 1
-    enough = shared >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - 1e-9
-    found = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
-    found = written(found.where(enough).select("a", "b"), "links")
+        k += 1
+        now = state()
+    one = now.where("g <> top").select("b", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("fp").alias("px"), F.col("g").alias("gx"))
+    two = now.select("b", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("fp").alias("py"), F.col("g").alias("gy"), (F.col("g") == F.col("top")).alias("ty"))
+    met = one.join(two, "b").where((F.col("gx") != F.col("gy")) & fits("nx", "ny", "px", "py") & (F.col("ty") | (F.col("x") < F.col("y"))))
+    met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("nx", "ny")).alias("big"), F.max(F.least("nx", "ny")).alias("small"))
+    if radius is None:  # of the texts' shingles they share at most so many of the least ones, and of the others what the larger has
+        most = F.col("shared") + F.ceil(F.col("big") * similarity - 1e-9) - 1
+        met = met.where(most >= similarity / (1 + similarity) * (F.col("big") + F.col("small")) - 1e-9)
+    found = written(met.select("a", "b"), "pairs")
     sure = alike(keyed, found, shingle, similarity)
-    for done in (marks, sizes, now, found):
+    out = components(sure if links is None else links.unionByName(sure))
+    for done in (now, found, marks):
         dropped(done)
-    return sure.unionByName(stars) if stars is not None else sure
+    return out
 
 
 def _shingle_sets(keyed: DataFrame, shingle: int) -> DataFrame:
@@ -288,14 +312,16 @@ def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -
     return sure
 
 
-def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
+def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:
     """`docs` with one row of each group of exact or near copies: that of the least doc_id (null last).
 
     A null text counts as empty, so of all null and empty texts one row stays; repeated rows are copies of each other.
+    Spark cuts the ranks to the first row of a group in every task before the shuffle, so a group of copies that a third of
+    all rows belong to arrives as one row a task.
     """
+    key, group, nth = fresh(docs, "key", "group", "nth")
     groups = text_groups(docs, shingle, similarity, radius)
-    root = F.coalesce(F.col("__root"), F.col("__key"))
-    first = Window.partitionBy("__group").orderBy(F.col("doc_id").asc_nulls_last(), "__key")
-    keyed = docs.withColumn("__key", _text_key(F.col("text")))
-    joined = keyed.join(groups.select(F.col("key").alias("__key"), F.col("root").alias("__root")), "__key", "left").withColumn("__group", root)
-    return joined.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns)
+    keyed = docs.withColumn(key, _text_key(F.col("text")))
+    joined = keyed.join(groups.select(F.col("key").alias(key), F.col("root").alias(group)), key, "left").withColumn(group, F.coalesce(group, key))
+    first = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), key)
+    return joined.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

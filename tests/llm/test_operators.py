@@ -102,8 +102,10 @@ def test_deduplicated(spark):
     base = [" ".join(rng.sample(words, 200)) for _ in range(6)]
     near = base[0].replace(base[0].split()[100], "changed")
     rows = [(10, base[0], "x"), (11, near, "x"), (12, base[0], "x"), (12, base[0], "x"), (5, base[1], None), (6, base[2], "y"), (None, base[1], "z"), (20, None, "n"), (21, "", "n")]
-    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
-    assert sorted(r.doc_id for r in got.collect()) == [5, 6, 10, 20] and got.columns == ["doc_id", "text", "lang"]
+    for clash in ("lang", "__key", "key"):
+        got = simhash.deduplicated(spark.createDataFrame(rows, f"doc_id bigint, text string, {clash} string"))
+        assert sorted(r.doc_id for r in got.collect()) == [5, 6, 10, 20] and got.columns == ["doc_id", "text", clash]
+    assert simhash.deduplicated(got.limit(0)).count() == 0
 
 
 def edited(rng, n=12):
@@ -129,12 +131,10 @@ def test_text_groups_misses_no_pair(spark, monkeypatch, hot, sample):
             if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and want[i] != want[j]:
                 a, b = want[i], want[j]
                 want = {k: b if v == a else v for k, v in want.items()}
-    whole = simhash.shingle_links
     monkeypatch.setattr(simhash, "SAMPLE", sample)
-    monkeypatch.setattr(simhash, "shingle_links", lambda *a: whole(*a, hot=hot))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     keys = {r.doc_id: r.key for r in df.select("doc_id", simhash._text_key(F.col("text")).alias("key")).collect()}
-    roots = {r.key: r.root for r in simhash.text_groups(df).collect()}
+    roots = {r.key: r.root for r in simhash.text_groups(df, hot=hot).collect()}
     got = [roots.get(keys[k], keys[k]) for k in range(len(texts))]
     assert len(set(zip(got, want.values()))) == len(set(got)) == len(set(want.values())) < len(texts) - 30
 

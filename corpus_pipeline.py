@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lociframe.llm import bpe_automaton, decontamination, simhash, suffix_dedup, toxicity
 from lociframe.llm.queries import table
-from lociframe.llm.shared import written
+from lociframe.llm.shared import dropped, written
 
 #: Repeated passages go from this many bytes on (about 40 words), or from this many words on.
 PASSAGE_BYTES, PASSAGE_WORDS = 250, 51
@@ -54,7 +54,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = written(docs, name)
+            if k:
+                dropped(before)
     return docs

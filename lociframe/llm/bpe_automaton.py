@@ -6,6 +6,11 @@ its target without the v-transition, and adds a w-transition to where u, v led.
 the state it leaves, so a state is named by the last label read, and it is stored as the list of gadgets that split it
 plus the state it was copied from. What remains is deterministic: exactly one path of labels spells a byte string, and
 it is the BPE tokenization.
+
+For reading bytes, the labels are compiled once more, into the transition table of a pattern-matching automaton: a state
+for every beginning of a label, a transition for every byte, and the labels that end there. A word is read byte by byte;
+at each place exactly one of the labels that end there continues the path of the bytes before it. So the walk never turns
+back and takes time linear in the length.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +44,8 @@ def byte_symbols() -> dict[str, int]:
 class Automaton:
     """The compiled automaton: the labels, and the split lists of the states.
 
-    `label[t]` is the bytes of the arc label with id t, `by_bytes` the labels that some path uses. `born[t]` is the number of the merge that added it (-1 for a
+    `label[t]` is the bytes of the arc label with id t; `step`, `fall`, `ends` and `next_end` are the byte table (see
+    `compile_bytes`). `born[t]` is the number of the merge that added it (-1 for a
     byte), `left` and `right` its two parts. `split[(t, x)]` is the number of the gadget that took the x-transition out
     of the state t.
     """
@@ -58,8 +65,7 @@ class Automaton:
         reachable = {t for token, t in vocabulary.items() if len(token) == 1}
         for number, (u, v) in enumerate(merges):
             self.add_gadget(number, vocabulary[u], vocabulary[v], vocabulary[u + v], reachable)
-        self.by_bytes = {self.label[t]: t for t in reachable}
-        self.longest = max(map(len, self.by_bytes))
+        self.compile_bytes(sorted(reachable))
         self.allowed: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -106,37 +112,67 @@ class Automaton:
             t_limit = min(t_limit, self.born[t])
             t = self.right[t]
 
-    def path(self, data: bytes) -> list[int]:
-        """The only path of labels that spells `data`.
+    def compile_bytes(self, labels: list[int]) -> None:
+        """The byte table of the labels that some path uses.
 
-        All valid paths that reach a place end in the same state there, so a place that leads nowhere is tried once, and
-        the walk, longest label first, takes time linear in the length.
+        `step[state << 8 | byte]` is the next state and `fall[state]` the state of the longest other beginning of a label
+        that ends there, for bytes without a step. `ends[state]` is the label that the state spells, or -1, and
+        `next_end[state]` the next shorter state that spells a label, or 0.
         """
-        by_bytes, known, n, longest = self.by_bytes, self.allowed, len(data), self.longest
-        out: list[int] = []
-        lengths: list[int] = []
-        dead: set[int] = set()
-        i, state, size = 0, -1, min(n, longest)
-        while i < n:
-            while size:
-                t = by_bytes.get(data[i : i + size])
-                if t is not None and (not dead or i + size not in dead):
-                    free = state < 0 or known.get(state << 32 | t)
-                    if free is None:
-                        free = self.arc(state, t)
-                    if free:
-                        break
-                size -= 1
-            if size:
-                out.append(t)
-                lengths.append(size)
-                i, state, size = i + size, t, min(n - i - size, longest)
-            else:  # the first place always has a path
-                dead.add(i)
-                out.pop()
-                size = lengths.pop()
-                i, state, size = i - size, out[-1] if out else -1, size - 1
-        return out
+        self.step: dict[int, int] = {}
+        self.ends = [-1]
+        for t in labels:
+            state = 0
+            for byte in self.label[t]:
+                after = self.step.get(state << 8 | byte)
+                if after is None:
+                    after = self.step[state << 8 | byte] = len(self.ends)
+                    self.ends.append(-1)
+                state = after
+            self.ends[state] = t
+        children: dict[int, list[tuple[int, int]]] = {}
+        for edge, after in self.step.items():
+            children.setdefault(edge >> 8, []).append((edge & 255, after))
+        self.fall, self.next_end = [0] * len(self.ends), [0] * len(self.ends)
+        level = [0]
+        while level:
+            below = []
+            for state in level:
+                for byte, after in children.get(state, ()):
+                    if state:
+                        back = self.fall[state]
+                        while back and back << 8 | byte not in self.step:
+                            back = self.fall[back]
+                        back = self.fall[after] = self.step.get(back << 8 | byte, 0)
+                        self.next_end[after] = back if self.ends[back] >= 0 else self.next_end[back]
+                    below.append(after)
+            level = below
+
+    def path(self, data: bytes) -> list[int]:
+        """The only path of labels that spells `data`: the last label of every beginning of `data`, then back from its end."""
+        step, fall, ends, next_end, known, label = self.step, self.fall, self.ends, self.next_end, self.allowed, self.label
+        last = [-1]
+        state = 0
+        for i, byte in enumerate(data, 1):
+            while state and state << 8 | byte not in step:
+                state = fall[state]
+            state = step.get(state << 8 | byte, 0)
+            at = state if ends[state] >= 0 else next_end[state]
+            while True:  # single bytes are labels, and one of the labels that end here fits
+                t = ends[at]
+                before = last[i - len(label[t])]
+                free = before < 0 or known.get(before << 32 | t)
+                if free is None:
+                    free = self.arc(before, t)
+                if free:
+                    break
+                at = next_end[at]
+            last.append(t)
+        out, i = [], len(data)
+        while i:
+            out.append(last[i])
+            i -= len(label[last[i]])
+        return out[::-1]
 
     def word_ids(self, word: str) -> bytes:
         ids = self.words.get(word)
@@ -193,12 +229,19 @@ def compiled(definition: str) -> Automaton:
     return Automaton(j["model"]["vocab"], merges, special)
 
 
+@lru_cache(maxsize=2)
+def compiled_file(path: str) -> Automaton:
+    """One automaton a worker process and definition, with its memory of words, which is bounded."""
+    with open(path, encoding="utf-8") as f:
+        return compiled(f.read())
+
+
 def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256 (and, if named, the ids and the decoded text) to every row.
 
     A null text counts as empty: no tokens. Columns of these names that `docs` already has are replaced. The definition
-    file must be readable on every executor; the automaton is compiled once a task and its word memory is bounded, so
-    a task needs the same memory at any input size. There is no shuffle: a lost executor costs its own tasks only.
+    file must be readable on every executor; the automaton is compiled once a worker process and its word memory is bounded,
+    so a task needs the same memory at any input size. There is no shuffle: a lost executor costs its own tasks only.
     """
     new: dict[str, T.DataType] = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     new |= {ids: T.ArrayType(T.LongType())} if ids else {}
@@ -208,11 +251,8 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
     schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = None
+        automaton = compiled_file(definition_path)
         for batch in batches:
-            if automaton is None:
-                with open(definition_path, encoding="utf-8") as f:
-                    automaton = compiled(f.read())
             column = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {c: [] for c in new}
             for value in column:

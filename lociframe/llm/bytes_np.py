@@ -8,18 +8,29 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-#: An odd multiplier and its inverse modulo 2^64, for polynomial hashes (fixed values).
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
+#: Primes under 2^31 and a base for each, for polynomial hashes: two for names, two for checks of names (fixed values).
+FIELDS = ((2147483647, 1263082241, 2147483629, 1804601963), (2147483587, 1596734029, 2147483579, 1430278571))
 #: Bytes of text that a task works on at once (it needs some 100 bytes of memory for each); a longer text is a piece of its own.
 PIECE_BYTES = 1_500_000
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, np.uint64(base))
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def powers(base: int, n: int, prime: int) -> np.ndarray:
+    """1, base, base squared and so on; a worker keeps those that a piece of text needs."""
+    known = _POWERS.get((base, prime))
+    if known is not None and len(known) >= n:
+        return known[:n]
+    size = max(n, PIECE_BYTES + 100_000)
+    out, k, step = np.ones(size, np.uint64), 1, np.uint64(base % prime)
+    while k < size:
+        m = min(k, size - k)
+        out[k : k + m] = out[:m] * step % np.uint64(prime)
+        step, k = step * step % np.uint64(prime), 2 * k
+    if size <= 4 * PIECE_BYTES:
+        _POWERS[base, prime] = out
+    return out[:n]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -33,16 +44,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Hashes of any span of a sequence of unsigned 64-bit integers, from one prefix sum."""
-
-    def __init__(self, values: np.ndarray):
-        n = len(values)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * powers(BASE, n), out=self.sums[1:])
-        self.back = powers(BASE_INVERSE, n + 1)
+    """Hashes of any span of a sequence of unsigned 64-bit integers, from prefix sums of polynomials over two prime fields (62
+    bits together). `check` takes two other fields, so that both hashes of two different spans are hardly ever equal."""
+
+    def __init__(self, values: np.ndarray, check: bool = False):
+        n, field = len(values), FIELDS[check]
+        self.parts = []
+        for prime, base in (field[:2], field[2:]):
+            p = np.uint64(prime)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((values % p + np.uint64(1)) * powers(base, n, prime) % p, out=sums[1:])
+            self.parts.append((p, sums, powers(pow(base, -1, prime), n + 1, prime)))
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        (p, a, back), (q, b, rear) = self.parts
+        one, two = (a[end] - a[start]) % p * back[start] % p, (b[end] - b[start]) % q * rear[start] % q
+        return mixed((one << np.uint64(31) | two) + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
 def split_words(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,18 +71,19 @@ def split_words(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and where each row begins (one entry more than rows); null counts as empty."""
-    column = column.cast(pa.large_string()).fill_null("") if column.null_count else column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    """The bytes of a string (or binary) column and where each row begins (one entry more than rows); null counts as empty."""
+    column = column.cast(pa.large_binary())
+    column = column.fill_null(b"") if column.null_count else column
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     buffer = column.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows again, in batches that hold about `most` bytes of text at most."""
+    """The rows again, in batches that hold about `most` bytes of text at most; a longer text is a batch of its own."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -75,3 +93,28 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = PIECE_BYT
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
+
+
+def overlapping(batches: Iterator[pa.RecordBatch], column: str, overlap: int, is_word: np.ndarray | None = None, most: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, data, offsets, shift): `pieces`, with the bytes and beginnings of their texts; a longer text comes in several
+    parts of about `most` bytes, one at a time, which share `overlap` bytes (words, with `is_word`: cut between words) with
+    the part before. `shift` counts the bytes (words) of each text before the part."""
+    for batch in pieces(batches, column, most):
+        data, offsets = text_buffer(batch.column(batch.schema.get_field_index(column)))
+        if len(data) <= 2 * most:
+            yield batch, data, offsets, np.zeros(batch.num_rows, np.int64)
+            continue
+        for row in range(batch.num_rows):
+            own = data[offsets[row] : offsets[row + 1]]
+            starts, ends = split_words(own, is_word) if is_word is not None else (None, None)
+            count, a = len(starts) if is_word is not None else len(own), 0
+            while True:
+                if is_word is None:
+                    b, part = min(count, a + most + overlap), own[a : a + most + overlap]
+                else:
+                    b = min(count, max(int(np.searchsorted(starts, starts[a] + most)) if count else 0, a + 1) + overlap)
+                    part = own[starts[a] : ends[b - 1]] if count else own[:0]
+                yield batch.slice(row, 1), part, np.array([0, len(part)]), np.array([a])
+                if b >= count:
+                    break
+                a = b - overlap

@@ -14,19 +14,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import written
+from .shared import dropped, fresh, small, written
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 15
-#: Up to so many rows of 16 bytes a side is broadcast, after they are counted; beyond, the join shuffles.
-BROADCAST_ROWS = 1_000_000
 #: Counters of three bits share a 63-bit integer, 21 bits each.
 LANES, LANE_BITS = 22, 21
 
 
-def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def words_of(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
 
@@ -87,8 +81,14 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
     long_ = asked.where(F.col("m") >= size).select("item_id", "m", shingle_hashes(F.col("w"), size).alias("q"), F.lit(size).alias("size"))
     short = asked.where(F.col("m") < size).select("item_id", "m", F.array(F.xxhash64(F.concat_ws(" ", "w"))).alias("q"), F.lit(0).alias("size"))
     # a short item is one shingle of all its words; texts show it as a stretch of as many
-    asked = written(long_.unionByName(short).withColumn("n", F.size("q")), "items")
-    marks = small(written(asked.select(F.explode("q").alias("h"), "m", "size").distinct(), "marks"))
+    tables: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        tables.append(written(df, name))
+        return tables[-1]
+
+    asked = kept(long_.unionByName(short).withColumn("n", F.size("q")), "items")
+    marks = small(kept(asked.select(F.explode("q").alias("h"), "m", "size").distinct(), "marks"))
     lengths = [r[0] for r in asked.where("size = 0").select("m").distinct().collect()]  # at most size - 1 values
 
     def hashes(texts: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
         return out
 
     side = lambda: F.when(F.col("size") > 0, F.col("size")).otherwise(-F.col("m"))
-    places = hashes(docs).select("key", "size", F.size("hs").alias("all"), F.posexplode_outer("hs").alias("at", "h"))  # an inner one would have its filter pushed into the lambdas
+    places = hashes(docs.select("text")).select("key", "size", F.size("hs").alias("all"), F.posexplode_outer("hs").alias("at", "h"))  # an inner one would have its filter pushed into the lambdas
     hits = places.join(marks.select("h", "m", side().alias("size")), ["h", "size"]).select("key", "size", "all", "m", "at").distinct()
     of_item = F.when(F.col("size") > 0, F.col("m") - F.col("size") + 1).otherwise(F.lit(1))
     need = F.greatest(F.lit(1), F.ceil((of_item + F.col("n")) * threshold / (1 + threshold) - 1e-9).cast("int"))
@@ -119,11 +119,12 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
             ).otherwise(F.array().cast("array<int>")),
         )
     )
-    windows = written(gathered.select("key", "size", "m", "n", F.explode_outer(F.array_distinct(starts)).alias("start")).where("start is not null"), "windows")
-    keys = small(written(windows.select("key").distinct(), "keys"))
-    found = hashes(docs.join(keys, text_key(F.col("text")) == F.col("key"), "left_semi")).dropDuplicates(["key", "size"])
+    windows = kept(gathered.select("key", "size", "m", "n", F.explode_outer(F.array_distinct(starts)).alias("start")).where("start is not null"), "windows")
+    keys = small(kept(windows.select("key").distinct(), "keys"))
+    texts = docs.select("text").join(keys, text_key(F.col("text")) == F.col("key"), "left_semi")
+    found = hashes(texts).dropDuplicates(["key", "size"])
     slices = windows.join(found, ["key", "size"]).where(F.col("start") + F.col("n") <= F.size("hs"))
-    slices = written(slices.select("key", "size", "m", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("p")), "windows")
+    slices = kept(slices.select("key", "size", "m", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("p")), "windows")
     of_window = with_fingerprints(slices, ["key", "size", "m", "start"], "p").select("*", blocks("fp", radius))
     of_item = with_fingerprints(asked.withColumn("size", side()), ["item_id", "size", "m"], "q").select("item_id", "size", "m", F.col("fp").alias("item_fp"), blocks("fp", radius))
     near = of_window.join(of_item, ["size", "m", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
@@ -131,17 +132,21 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
     both = near.join(slices, ["key", "size", "m", "start"]).join(asked.select("item_id", "m", "q"), ["item_id", "m"])
     sure = both.select("key", "item_id", "start", similarity("p", "q").alias("similarity")).where(F.col("similarity") >= threshold)
     best = F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
-    return sure.groupBy("key", "item_id").agg(best).select("key", "item_id", "best.start", "best.similarity")
+    held = written(sure.groupBy("key", "item_id").agg(best).select("key", "item_id", "best.start", "best.similarity"), "held")
+    for done in tables:
+        dropped(done)
+    return held
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, start, similarity for every document row and item that it holds."""
-    held = written(held_items(docs, items, threshold, radius), "held")
+    held = held_items(docs, items, threshold, radius)
     own = docs.select("doc_id", text_key(F.col("text")).alias("key"))
     return own.join(held, "key").select("doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """The rows of `docs` that hold no item; null and empty texts stay."""
-    held = small(written(held_items(docs, items, threshold, radius).select("key").distinct(), "held"))
-    return docs.join(held, text_key(F.col("text")) == held["key"], "left_anti")
+    (key,) = fresh(docs, "key")
+    held = small(written(held_items(docs, items, threshold, radius).select(F.col("key").alias(key)).distinct(), "held"))
+    return docs.join(held, text_key(F.col("text")) == F.col(key), "left_anti")

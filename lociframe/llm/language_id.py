@@ -14,14 +14,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import pieces, text_buffer
-from .shared import held_out, row_key
+from .shared import held_out, row_key, sampled_texts
 
 ROWS, WIDE, GRAMS = 1 << 15, 16, (3, 4)
-#: The bound on what is learned from: rows of each language, and the length of a text among them.
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 2000
+#: The bound on what is learned from: rows of each language, and characters of their texts together.
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 2_000_000
 #: Share of the rows kept apart for the temperature and the threshold, and the accuracy wanted of accepted answers.
 APART, ACCURACY = 0.25, 0.99
 UNKNOWN = "und"
@@ -126,15 +126,10 @@ def trained(texts: list[str], langs: list[str], steps: int = 7000, rate: float =
 
 
 def learned(docs: DataFrame) -> Model | None:
-    """From text and lang of rows that are not held out: of each language the SAMPLE_ROWS first in the order of a hash
-    of the text, among those of up to SAMPLE_CHARS characters. Ranks are taken over hashes, cut in every partition
-    before the shuffle, so a hot language is no burden; then the texts of so few rows are read."""
-    usable = ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)
-    marked = docs.where(usable).select("lang", "text", row_key().alias("row"))
-    first = Window.partitionBy("lang").orderBy("row")
-    ranked = marked.select("lang", "row").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= SAMPLE_ROWS)
-    rows = marked.join(F.broadcast(ranked.select("row").distinct()), "row").select("lang", "text").collect()
-    found = sorted({tuple(r) for r in rows})
+    """From text and lang of rows that are not held out: of each language the SAMPLE_ROWS first in the order of a hash of id
+    and text, texts of any length, as far as they have SAMPLE_CHARS characters."""
+    usable = ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    found = sampled_texts(docs.where(usable).select(F.col("lang").alias("kind"), row_key().alias("row"), "text"), SAMPLE_ROWS, SAMPLE_CHARS)
     return trained([r[1] for r in found], [r[0] for r in found])
 
 

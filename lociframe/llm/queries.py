@@ -84,13 +84,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 TOP_K_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), e AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+), e AS MATERIALIZED (SELECT own, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
-  FROM e a JOIN e b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY 1, 2
-), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  SELECT a.own AS query, b.own, any_value(a.vec_id) AS query_id, any_value(b.vec_id) AS vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.i = b.i AND a.own <> b.own WHERE a.vec_id % 100 = 0 GROUP BY 1, 2
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
@@ -98,11 +98,15 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 URL_SQL = r"""
 WITH RECURSIVE p AS (SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 q AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
-t AS (SELECT url, host, regexp_replace(unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>', 0)), '\s+', ' ', 'g') AS tag FROM q WHERE url IS NOT NULL AND strpos(url, '://') > 0),
-f AS (SELECT url, host, substr(url, 1, strpos(url, '://') - 1) AS scheme, coalesce(
+t AS (SELECT url, host, path, regexp_replace(unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>', 0)), '\s+', ' ', 'g') AS tag FROM q WHERE url IS NOT NULL AND strpos(url, '://') > 0),
+f AS (SELECT url, host, path, substr(url, 1, strpos(url, '://') - 1) AS scheme, coalesce(
     nullif(CASE WHEN regexp_matches(tag, '(?i)\brel ?= ?["'']?canonical\b') THEN regexp_extract(tag, '(?i)\bhref ?= ?["'']?([^"'' >]+)', 1) END, ''),
     nullif(CASE WHEN regexp_matches(tag, '(?i)http-equiv ?= ?["'']?refresh\b') THEN regexp_extract(tag, '(?i)\burl ?= ?["'']?([^"'' >]+)', 1) END, '')) AS target FROM t),
-g AS (SELECT url AS a, CASE WHEN starts_with(target, '//') THEN scheme || ':' || target WHEN starts_with(target, '/') THEN scheme || '://' || host || target WHEN contains(target, '://') THEN target END AS b FROM f),
+h AS (SELECT *, regexp_extract(target, '^(?:\.\.?/)*', 0) AS ups FROM f),
+i AS (SELECT *, scheme || '://' || host AS site, regexp_replace(regexp_replace(path, '[^/]*$', ''), '(?:[^/]+/){0,' || least((length(ups) - length(replace(ups, '../', ''))) // 3, 999) || '}$', '') AS above FROM h),
+g AS (SELECT url AS a, CASE WHEN starts_with(target, '//') THEN scheme || ':' || target WHEN starts_with(target, '/') THEN site || target WHEN starts_with(target, '?') THEN site || path || target
+    WHEN regexp_matches(target, '^[^/?#]*://') THEN target WHEN regexp_matches(target, '^([A-Za-z][A-Za-z0-9+.-]*:|#)') THEN NULL
+    ELSE site || CASE WHEN above = '' THEN '/' ELSE above END || substr(target, length(ups) + 1) END AS b FROM i),
 e AS (SELECT DISTINCT translate(regexp_extract(a, '(?s)^(.*?://[^/?#]*)([^#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(a, '(?s)^(.*?://[^/?#]*)([^#]*)', 2) AS a,
     translate(regexp_extract(b, '(?s)^(.*?://[^/?#]*)([^#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || regexp_extract(b, '(?s)^(.*?://[^/?#]*)([^#]*)', 2) AS b FROM g WHERE b IS NOT NULL),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),

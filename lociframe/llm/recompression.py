@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .bytes_np import Spans, mixed, pieces, split_words, text_buffer
-from .repeats import SEGMENT, sorted_out, spans_of
-from .shared import row_key, written
+from .bytes_np import PIECE_BYTES, Spans, mixed, overlapping, split_words
+from .repeats import SEGMENT, gathered, sorted_out, spans_of, wanted
+from .shared import fresh, row_key, written
 
 IS_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 ROUNDS, ANCHOR_ROUND = 40, 2
@@ -41,9 +40,13 @@ class Words:
         spread[np.arange(len(data)) + shift] = data
         self.data = spread
         self.starts, self.ends = split_words(spread, IS_WORD)
-        self.symbols = Spans(spread.astype(np.uint64) + np.uint64(1)).hash(self.starts, self.ends)
+        self.symbols = Spans(spread.astype(np.uint64)).hash(self.starts, self.ends)
         self.first = np.searchsorted(self.starts, offsets + np.arange(n + 1))
 
+    def spans(self) -> Spans:
+        """Of the words by another digest than `symbols`: what is equal by both is equal."""
+        return Spans(Spans(self.data.astype(np.uint64), check=True).hash(self.starts, self.ends), check=True)
+
 
 def first_greatest(values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each range [left, right), which is not empty, the first place of its greatest value."""
@@ -127,69 +130,70 @@ class Windows:
                 self.key[alive], self.place[alive] = level[chosen] + np.uint64(k), at[chosen]
 
 
-def _segments(size: int):
+def _segments(size: int, most: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            words = Words(*text_buffer(batch.column(1)))
+        for batch, data, offsets, shift in overlapping(batches, "text", size - 1, IS_WORD, most):
+            words = Words(data, offsets)
             w = Windows(words, size, names=False)
             if not len(w.start):
                 continue
             rows = np.asarray(batch.column(0).cast(pa.int64()))
             cut = np.flatnonzero(np.concatenate([[True], (w.place[1:] != w.place[:-1]) | (w.key[1:] != w.key[:-1]) | (w.owner[1:] != w.owner[:-1])]))
             last = np.append(cut[1:], len(w.start)) - 1
-            seg = Spans(words.symbols).hash(w.start[cut], w.start[last] + size) + mixed((w.place[cut] - w.start[cut]).astype(np.uint64))
-            arrays = [w.key[cut].view(np.int64), seg.view(np.int64), rows[w.owner[cut]], w.nth[cut].astype(np.int32), (last - cut + 1).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "seg", "row", "at", "n"])
+            seg = words.spans().hash(w.start[cut], w.start[last] + size) + mixed((w.place[cut] - w.start[cut]).astype(np.uint64))
+            yield gathered(w.key[cut], seg, rows[w.owner[cut]], w.nth[cut] + shift[w.owner[cut]], last - cut + 1)
 
     return segments
 
 
-def _opened(size: int):
+def _opened(size: int, most: int):
     """Windows of the open segments: their names, and where they are."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            words = Words(*text_buffer(batch.column(1)))
+        for batch, data, offsets, shift in overlapping(batches, "text", size - 1, IS_WORD, most):
+            words = Words(data, offsets)
             w = Windows(words, size)
-            check = Spans(words.symbols).hash(w.start, w.start + size)
+            check = words.spans().hash(w.start, w.start + size)
             counts = np.maximum(np.diff(words.first) - size + 1, 0)
             begin = np.cumsum(counts) - counts
-            spans = batch.column(2)
-            flat = spans.flatten()
-            owner = np.asarray(pc.list_parent_indices(spans)).astype(np.int64)
-            at, n = (np.asarray(flat.field(k)).astype(np.int64) for k in (0, 1))
-            pick = np.repeat(begin[owner] + at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            owner, at, flat = wanted(batch)
+            near = at - shift[owner]
+            here = np.flatnonzero((near >= 0) & (near < counts[owner]))  # the others are in other parts of a long text
+            owner, near, n = owner[here], near[here], np.asarray(flat.field(1)).astype(np.int64)[here]
+            pick = np.repeat(begin[owner] + near, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             rows = np.asarray(batch.column(0).cast(pa.int64()))
-            arrays = [w.name[pick].view(np.int64), check[pick].view(np.int64), rows[w.owner[pick]], w.nth[pick].astype(np.int32)]
+            arrays = [w.name[pick].view(np.int64), check[pick].view(np.int64), rows[w.owner[pick]], (w.nth[pick] + shift[w.owner[pick]]).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["name", "check", "row", "at"])
 
     return opened
 
 
-def repeated_windows(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, text: str = "text", most: int = PIECE_BYTES) -> DataFrame:
     """(row, spans): for every document row that has some, the starts of windows whose words also start elsewhere."""
     own = docs.select(row_key(text=text).alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    repeated, opened = sorted_out(own.mapInArrow(_segments(size), SEGMENT))
+    repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     wanted = opened.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
-    names = own.join(wanted, "row").select("row", "text", "spans").mapInArrow(_opened(size), "name long, check long, row long, at int")
+    names = own.join(wanted, "row").select("row", "text", "spans").mapInArrow(_opened(size, most), "name long, check long, row long, at int")
     names = written(names, "windows")  # rows that repeat come twice, and so do their windows, which are repeated
     twice = names.groupBy("name", "check").count().where("count > 1").select("name", "check")
     single = names.join(twice, ["name", "check"], "left_semi").select("row", "at", F.lit(1).alias("n"))
     return spans_of(repeated, single)
 
 
-def without_repeats(docs: DataFrame, size: int = 35, text: str = "text", kept_text: str | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 35, text: str = "text", kept_text: str | None = None, most: int = PIECE_BYTES) -> DataFrame:
     """Adds n_words, n_removed and kept_sha256 to every row (and the kept words, if `kept_text` names a column).
 
     A word goes if a window of `size` consecutive words over it occurs elsewhere in any document, its own included, as
     the documents were given. Kept words are joined by one space. A null text has no words; a text of fewer words than
-    `size` keeps them all. Repeated rows lose all that their windows cover, as they repeat each other. Columns of these
-    names that `docs` already has are replaced.
+    `size` keeps them all. Repeated rows lose all that their windows cover, as they repeat each other. A text of more than
+    2 * `most` bytes is worked on in parts of `most` bytes that share what a window can cover. Columns of these names that
+    `docs` already has are replaced.
     """
     new = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType()} | ({kept_text: T.StringType()} if kept_text else {})
     carried = [c for c in docs.columns if c not in new or c == text]
-    source = docs.select(*[F.col(f"`{c}`") for c in carried], row_key(text=text).alias("__row"))
-    joined = source.join(repeated_windows(docs, size, text).withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    row, found = fresh(docs, "row", "spans")
+    source = docs.select(*[F.col(f"`{c}`") for c in carried], row_key(text=text).alias(row))
+    joined = source.join(repeated_windows(docs, size, text, most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
     output = [c for c in carried if c not in new]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in output]).schema.fields, *(T.StructField(k, v) for k, v in new.items())])
 
@@ -197,7 +201,7 @@ def without_repeats(docs: DataFrame, size: int = 35, text: str = "text", kept_te
         for batch in batches:
             names = batch.schema.names
             out: dict[str, list] = {c: [] for c in new}
-            for value, spans in zip(batch.column(names.index(text)), batch.column(names.index("spans"))):
+            for value, spans in zip(batch.column(names.index(text)), batch.column(names.index(found))):
                 words = (value.as_py() or "").encode("utf-8", "replace").split()
                 kept = words
                 if spans.is_valid:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: A word is a longest stretch without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +48,14 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return [free(f"__{name}") for name in names]
 
 
+#: Up to so many rows of a few bytes are sent to all tasks, after they are counted; beyond, the join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Identity of a document row: rows that are equal in id and text share it, and are treated alike."""
     return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
@@ -55,3 +63,21 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def held_out(doc_id: str = "doc_id") -> Column:
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0
+
+
+def sampled_texts(marked: DataFrame, rows: int, chars: int) -> list[tuple]:
+    """(kind, text), sorted, of a bounded sample of a table kind, row (a hash), text: of each kind the first `rows` distinct
+    rows in the order of the hash, as far as their texts have `chars` characters together.
+
+    Texts of every length take part. Rows with large hashes are left aside before ranks are taken, by the number of rows
+    of their kind, so that a hot kind is no burden, and only the texts of the sample are moved.
+    """
+    sized = marked.select("kind", "row", F.length("text").alias("size"))
+    share = F.shiftrightunsigned("row", 33) / float(1 << 31)
+    counts = sized.groupBy("kind").agg(F.count(F.lit(1)).alias("of"))
+    low = sized.join(counts, "kind").where(share < 8.0 * rows / F.col("of")).select("kind", "row", "size").distinct()
+    order = Window.partitionBy("kind").orderBy("share", "row").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = low.withColumn("share", share).withColumn("nth", F.count(F.lit(1)).over(order)).withColumn("total", F.sum("size").over(order))
+    chosen = ranked.where((F.col("nth") <= rows) & (F.col("total") <= chars)).select("kind", "row")
+    texts = marked.join(F.broadcast(chosen), ["kind", "row"]).groupBy("kind", "row").agg(F.min("text").alias("text"))
+    return sorted({(r.kind, r.text) for r in texts.select("kind", "text").collect()})

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .components import components
-from .shared import dropped, fresh, written
+from .shared import dropped, fresh, small, written
 
 #: Fingerprints (texts) under one signature (mark) beyond which all are compared with a few of them first.
 HOT = 32
@@ -31,6 +31,8 @@ CENTRES = 8
 #: Shingles are counted in one text of so many to tell the common ones, of which the commonest are sent to the tasks:
 #: both only set an order, and leave the result as it is.
 SAMPLE, COMMON = 16, 200_000
+#: What a mark tells of its text: number of shingles, fingerprint, percent of odd shingles, and two bitmaps.
+TEXT = ("n", "fp", "odd", "even", "rest")
 #: Rounds in which the texts under a mark are compared with one of them.
 ROUNDS = 2
 
@@ -177,9 +179,11 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     """
     keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
     texts = written(prepared(keyed, shingle, similarity, common_shingles(keyed, shingle)), "shingles")
-    close = settled(shared(texts.select("key", "n", "fp", F.explode(signatures(F.col("fp"), radius)).alias("b"))), None, keyed, shingle, similarity, radius, hot)
-    near = settled(shared(texts.select("key", "n", "fp", F.explode("least").alias("b"))), close, keyed, shingle, similarity, hot=hot)
+    close = settled(shared(texts.select("key", F.explode(signatures(F.col("fp"), radius)).alias("b")), texts), None, keyed, shingle, similarity, radius, hot)
+    near = settled(shared(texts.select("key", F.explode("least").alias("b")), texts), close, keyed, shingle, similarity, hot=hot)
     dropped(texts)
+    if near is None:
+        return keyed.sparkSession.createDataFrame([], "key long, root long")
     return near.select(F.col("node").alias("key"), F.col("component").alias("root"))
 
 
@@ -198,95 +202,112 @@ def common_shingles(keyed: DataFrame, shingle: int) -> np.ndarray:
 
 
 def prepared(keyed: DataFrame, shingle: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """(key, n, fp, least) of every distinct text: number of distinct shingles, fingerprint over the distinct words, and so
-    many of the first shingles, in the order of their hashes with the common ones last, that two texts of the similarity
-    share one of them at least."""
+    """(key, n, fp, odd, even, rest, least) of every distinct text: number of distinct shingles, fingerprint over the distinct
+    words, percent of shingles that are not common, two bitmaps, and so many of the first shingles, in the order of their
+    hashes with the common ones last, that two texts of the similarity share one of them at least.
+
+    A bit of the bitmaps is set if an odd number of shingles has its number in the last 7 bits of the hash; so two texts
+    differ in as many shingles as their bitmaps differ in bits, or more."""
     broadcast = keyed.sparkSession.sparkContext.broadcast(common)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = broadcast.value
         for batch in batches:
-            sizes, prints, out = [], [], []
+            sizes, prints, odd, maps, out = [], [], [], [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
                 own = np.unique(hashed(shingles(text, shingle)))
+                last = np.zeros(len(own), bool)
                 if len(often):
                     last = often[np.minimum(np.searchsorted(often, own), len(often) - 1)] == own
                     own = np.concatenate([own[~last], own[last]])
                 sizes.append(len(own))
+                odd.append(100 - 100 * int(last.sum()) // max(1, len(own)))
+                maps.append(np.packbits((np.bincount((own & np.uint64(127)).astype(np.int64), minlength=128) & 1).astype(bool)).view(np.int64))
                 prints.append(fingerprint(hashed(list(set(shingles(text, 1))))))
                 out.append(own[: _prefix(len(own), similarity)].view(np.int64))
-            arrays = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(out, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "fp", "least"])
+            arrays = [batch.column(0), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(odd, pa.int32()), *(pa.array([m[k] for m in maps], pa.int64()) for k in (0, 1)), pa.array(out, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", *TEXT, "least"])
 
-    return keyed.mapInArrow(first, "key long, n int, fp long, least array<long>").dropDuplicates(["key"])
+    return keyed.mapInArrow(first, "key long, n int, fp long, odd int, even long, rest long, least array<long>").dropDuplicates(["key"])
 
 
 def _prefix(n: int, similarity: float) -> int:
     return n - math.ceil(n * similarity - 1e-9) + 1
 
 
-def shared(marks: DataFrame) -> DataFrame:
-    """The marks (b, key, n, fp) whose bucket b holds another text as well. Counts are aggregated before the shuffle, and the
-    join is one that adaptive execution splits, so a bucket of very many texts is no task of its own."""
+def shared(marks: DataFrame, texts: DataFrame) -> DataFrame:
+    """The marks (b, key) whose bucket b holds another text as well, with TEXT of their texts. Counts are aggregated before
+    the shuffle, and the join is one that adaptive execution splits, so a bucket of very many texts is no task of its own."""
     more = marks.groupBy("b").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("b")
-    return written(marks.join(more, "b", "left_semi"), "marks")
+    return written(marks.join(more, "b", "left_semi").join(texts.select("key", *TEXT), "key"), "marks")
 
 
-def settled(marks: DataFrame, groups: DataFrame | None, keyed: DataFrame, shingle: int, similarity: float, radius: int | None = None, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
-    """(node, component): the groups that all verified pairs of texts under one mark make, with the given ones.
+def settled(marks: DataFrame, groups: DataFrame | None, keyed: DataFrame, shingle: int, similarity: float, radius: int | None = None, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame | None:
+    """(node, component): the groups that all verified pairs of texts under one mark make, with the given ones; None for none.
 
     A text is compared only with texts that are not in its group yet. Under a mark that more than `hot` texts outside its
-    largest group bear, all are compared with one of them first, the least by a hash of the round: mostly the same text
-    under all marks of a large group, so that a group of copies is settled by about as many comparisons as it has texts.
-    After `rounds` such rounds at most, all pairs of different groups under a mark are compared. With a `radius`, marks are
+    largest group bear, all are compared with one of them first: the one with the least share of odd shingles, as an
+    original has among its edited copies, then by a hash of the round. That is mostly the same text under all marks of a
+    large group, so that a group of copies is settled by about as many comparisons as it has texts. After `rounds` such rounds at most, all pairs of different groups under a mark are compared. With a `radius`, marks are
     signatures and only pairs of fingerprints within it are compared; else marks are the least shingles, and a pair is
     compared only if it shares so many of them that the other shingles can make up the rest.
     """
-    links = written(groups.select(F.col("node").alias("a"), F.col("component").alias("b")), "links") if groups is not None else None
 
     def state() -> DataFrame:
-        """b, key, n, fp, g (group), c (the text to compare with), top (the largest group), crowded; marks of one group are out."""
-        own = marks.withColumn("g", F.col("key"))
-        if links is not None:
-            own = marks.join(components(links).withColumnRenamed("node", "key"), "key", "left").select("b", "key", "n", "fp", F.coalesce("component", "key").alias("g"))
-        order = F.xxhash64("key", F.lit(k))
-        parts = own.groupBy("b", "g").agg(F.count(F.lit(1)).alias("of"), F.min_by(F.struct("key", "n", "fp", "g"), order).alias("c"), F.min(order).alias("o"))
+        """b, x (the text: TEXT and key), g (group), c (the text to compare with, and its group), top (the largest group),
+        crowded; marks of one group are out."""
+        own = marks.select("b", F.struct("key", *TEXT).alias("x"), F.col("key").alias("g"))
+        if groups is not None:
+            own = marks.join(groups.withColumnRenamed("node", "key"), "key", "left").select("b", F.struct("key", *TEXT).alias("x"), F.coalesce("component", "key").alias("g"))
+        order = F.struct((F.col("x.odd") / (4 << 2 * k)).cast("int").alias("odd"), F.xxhash64("x.key", F.lit(k)).alias("hash"))
+        parts = own.groupBy("b", "g").agg(F.count(F.lit(1)).alias("of"), F.min_by(F.struct("x", "g"), order).alias("c"), F.min(order).alias("o"))
         whole = parts.groupBy("b").agg(
             F.max_by("g", F.struct("of", "g")).alias("top"), (F.sum("of") - F.max("of") > hot).alias("crowded"), F.min_by("c", "o").alias("c"), F.count(F.lit(1)).alias("groups")
         )
-        return written(own.join(whole.where("groups > 1").drop("groups"), "b"), "marks")
-
-    def fits(n: str, m: str, p: str, q: str) -> Column:
-        sizes = (F.col(n) >= F.col(m) * similarity - 1e-9) & (F.col(m) >= F.col(n) * similarity - 1e-9)
-        return sizes & (F.bit_count(F.col(p).bitwiseXOR(F.col(q))) <= radius) if radius is not None else sizes
+        whole = whole.where("groups > 1").select("b", "top", "crowded", F.when(F.col("crowded"), F.col("c")).alias("c"))
+        return written(own.join(whole, "b"), "marks")
+
+    def fits(x: str, y: str) -> Column:
+        """Whether sizes, bitmaps and, with a radius, fingerprints let two texts be similar enough."""
+        n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+        apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ("even", "rest")), F.lit(0))
+        out = (n >= m * similarity - 1e-9) & (m >= n * similarity - 1e-9) & (apart <= (n + m) * (1 - similarity) / (1 + similarity) + 1e-9)
+        return out & (F.bit_count(F.col(f"{x}.fp").bitwiseXOR(F.col(f"{y}.fp"))) <= radius) if radius is not None else out
+
+    def joined(sure: DataFrame) -> DataFrame | None:
+        """The groups with further links."""
+        if sure.isEmpty():
+            return groups
+        return components(sure if groups is None else sure.unionByName(groups.select(F.col("component").alias("a"), F.col("node").alias("b"))))
 
     k = 0
     now = state()
     while k < rounds:
-        pairs = now.where("crowded and g <> c.g").select("key", "n", "fp", F.col("c.key").alias("other"), F.col("c.n").alias("m"), F.col("c.fp").alias("q")).where(fits("n", "m", "fp", "q"))
-        pairs = written(pairs.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "pairs")
-        sure = alike(keyed, pairs, shingle, similarity)
+        pairs = now.where(F.col("crowded") & (F.col("g") != F.col("c.g")) & fits("x", "c.x"))
+        pairs = written(pairs.select(F.least("x.key", "c.x.key").alias("a"), F.greatest("x.key", "c.x.key").alias("b")).distinct(), "pairs")
+        tried = pairs.count()
+        sure = alike(keyed, pairs, shingle, similarity) if tried else None
         dropped(pairs)
-        if sure.isEmpty():
+        if sure is None or sure.isEmpty():
             break
-        links = sure if links is None else links.unionByName(sure)
+        groups = joined(sure)
         dropped(now)
-        k += 1
+        k = k + 1 if sure.count() * 10 > tried else rounds  # mostly in vain: what is left is not one group
         now = state()
-    one = now.where("g <> top").select("b", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("fp").alias("px"), F.col("g").alias("gx"))
-    two = now.select("b", F.col("key").alias("y"), F.col("n").alias("ny"), F.col("fp").alias("py"), F.col("g").alias("gy"), (F.col("g") == F.col("top")).alias("ty"))
-    met = one.join(two, "b").where((F.col("gx") != F.col("gy")) & fits("nx", "ny", "px", "py") & (F.col("ty") | (F.col("x") < F.col("y"))))
-    met = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("nx", "ny")).alias("big"), F.max(F.least("nx", "ny")).alias("small"))
+    one = now.where("g <> top").select("b", "x", "g")
+    two = now.select("b", F.col("x").alias("y"), F.col("g").alias("h"), (F.col("g") == F.col("top")).alias("most"))
+    met = one.join(two, "b").where((F.col("g") != F.col("h")) & fits("x", "y") & (F.col("most") | (F.col("x.key") < F.col("y.key"))))
+    ends = [F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")]
+    met = met.groupBy(*ends).agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("x.n", "y.n")).alias("big"), F.max(F.least("x.n", "y.n")).alias("small"))
     if radius is None:  # of the texts' shingles they share at most so many of the least ones, and of the others what the larger has
         most = F.col("shared") + F.ceil(F.col("big") * similarity - 1e-9) - 1
         met = met.where(most >= similarity / (1 + similarity) * (F.col("big") + F.col("small")) - 1e-9)
     found = written(met.select("a", "b"), "pairs")
-    sure = alike(keyed, found, shingle, similarity)
-    out = components(sure if links is None else links.unionByName(sure))
+    groups = joined(alike(keyed, found, shingle, similarity))
     for done in (now, found, marks):
         dropped(done)
-    return out
+    return groups
 
 
 def _shingle_sets(keyed: DataFrame, shingle: int) -> DataFrame:
@@ -302,13 +323,14 @@ def _shingle_sets(keyed: DataFrame, shingle: int) -> DataFrame:
 
 def alike(keyed: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b: text keys) whose sets of shingles have at least the Jaccard similarity; keyed: key, text."""
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    found = _shingle_sets(keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"]), shingle)
+    wanted = written(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "keys")
+    found = _shingle_sets(keyed.join(small(wanted), "key", "left_semi").dropDuplicates(["key"]), shingle)
     found = written(found, "shingles")
     both = pairs.join(found.select(F.col("key").alias("a"), F.col("shingles").alias("p")), "a").join(found.select(F.col("key").alias("b"), F.col("shingles").alias("q")), "b")
     common = F.size(F.array_intersect("p", "q"))
     sure = written(both.where(common >= similarity * (F.size("p") + F.size("q") - common)).select("a", "b"), "links")
     dropped(found)
+    dropped(wanted)
     return sure
 
 

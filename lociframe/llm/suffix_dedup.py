@@ -6,7 +6,8 @@ to the right of the anchor and, reversed, those to its left. Two orders with the
 window, by merging groups along the left order, whether one that agrees on both sides stands in the bucket.
 
 Segments that recur as they are never reach a bucket more than once. A bucket with more than BUCKET distinct segments is
-not sorted in one task: its windows are counted by their digests instead.
+parted before it is sorted: each of its windows reaches far to the right of the anchor or far to its left, so windows are
+dealt over smaller buckets by that longer stretch of text around the anchor, again and again while a bucket is too large.
 """
 
 from __future__ import annotations
@@ -14,17 +15,17 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .bytes_np import Spans, mixed, pieces, text_buffer
+from .bytes_np import Spans, mixed, overlapping
 from .deep_shallow import Sorted
-from .repeats import SEGMENT, sorted_out, spans_of
-from .shared import row_key, written
+from .repeats import SEGMENT, gathered, sorted_out, spans_of, wanted
+from .shared import fresh, row_key, written
 
 GRAM = 16
 BUCKET = 20_000
@@ -48,7 +49,7 @@ class Segments:
     """Of all windows of some texts: first and last start, anchor, and the text's number."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int):
-        self.data, self.spans, self.size = data, Spans(data.astype(np.uint64) + np.uint64(1)), size
+        self.data, self.spans, self.size = data, Spans(data.astype(np.uint64)), size
         grams = np.arange(max(0, len(data) - GRAM + 1))
         digest = self.spans.hash(grams, grams + GRAM)
         least = sliding_least((digest >> np.uint64(31) << np.uint64(31)) | grams.astype(np.uint64), size - GRAM + 1)
@@ -62,60 +63,72 @@ class Segments:
         self.owner, self.at, self.start, self.anchor = owner[cut], nth[cut], start[cut], anchor[cut]
         self.key = digest[self.anchor]
         self.end = self.start + self.n - 1 + size
-        self.seg = self.spans.hash(self.start, self.end) + mixed((self.anchor - self.start).astype(np.uint64))
+        self.seg = Spans(data.astype(np.uint64), check=True).hash(self.start, self.end) + mixed((self.anchor - self.start).astype(np.uint64))
 
 
-def _segments(size: int):
+def _segments(size: int, most: int):
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", PIECE):
-            s = Segments(*text_buffer(batch.column(1)), size)
+        for batch, data, offsets, shift in overlapping(batches, "text", size - 1, most=most):
+            s = Segments(data, offsets, size)
             if len(s.at):
                 rows = np.asarray(batch.column(0).cast(pa.int64()))
-                arrays = [s.key.view(np.int64), s.seg.view(np.int64), rows[s.owner], s.at.astype(np.int32), s.n.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "seg", "row", "at", "n"])
+                yield gathered(s.key, s.seg, rows[s.owner], s.at + shift[s.owner], s.n)
 
     return segments
 
 
-def _wanted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Text number and first window of each wanted segment, and the entries."""
-    spans = batch.column(2)
-    flat = spans.flatten()
-    return np.asarray(pc.list_parent_indices(spans)).astype(np.int64), np.asarray(flat.field(0)).astype(np.int64), flat
+class Wanted:
+    """The wanted segments of a part of some texts: owner (text number), at (first window in the text), n, start and anchor
+    (in the part's bytes) and entry (of the list they came from). Others are in other parts of a long text."""
 
+    def __init__(self, s: Segments, batch: pa.RecordBatch, shift: np.ndarray):
+        owner, at, flat = wanted(batch)
+        near = at - shift[owner]
+        place = s.owner * (1 << 40) + s.at
+        of = np.searchsorted(place, owner * (1 << 40) + near, side="right") - 1
+        here = np.flatnonzero((near >= 0) & (of >= 0))
+        here = here[(s.owner[of[here]] == owner[here]) & (near[here] < s.at[of[here]] + s.n[of[here]])]
+        of = of[here]
+        self.owner, self.at, self.entry = owner[here], at[here], flat.take(pa.array(here))
+        self.start, self.anchor = s.start[of] + near[here] - s.at[of], s.anchor[of]
+        self.n = np.asarray(self.entry.field(1)).astype(np.int64)
+        self.row = np.asarray(batch.column(0).cast(pa.int64()))[self.owner]
 
-def _bodies(size: int):
+
+def _bodies(size: int, most: int):
     """The bytes that the windows of the wanted segments cover, and where the anchor is in them."""
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", PIECE):
-            s = Segments(*text_buffer(batch.column(1)), size)
-            owner, at, flat = _wanted(batch)
-            of = np.searchsorted(s.owner * (1 << 40) + s.at, owner * (1 << 40) + at)
-            raw = s.data.tobytes()
-            rows = np.asarray(batch.column(0).cast(pa.int64()))
-            body = pa.array([raw[a:b] for a, b in zip(s.start[of].tolist(), s.end[of].tolist())], pa.binary())
-            arrays = [pa.array(s.key[of].view(np.int64)), pa.array(rows[owner]), pa.array(at.astype(np.int32)), flat.field(2), pa.array((s.anchor - s.start)[of].astype(np.int32)), body]
+        for batch, data, offsets, shift in overlapping(batches, "text", size - 1, most=most):
+            w, raw = Wanted(Segments(data, offsets, size), batch, shift), data.tobytes()
+            body = pa.array([raw[a:b] for a, b in zip(w.start.tolist(), (w.start + w.n - 1 + size).tolist())], pa.binary())
+            arrays = [w.entry.field(3), pa.array(w.row), pa.array(w.at.astype(np.int32)), w.entry.field(2), pa.array((w.anchor - w.start).astype(np.int32)), body]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "row", "at", "whole", "anchor", "body"])
 
     return bodies
 
 
-def _names(size: int):
-    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", PIECE):
-            s = Segments(*text_buffer(batch.column(1)), size)
-            owner, at, _ = _wanted(batch)
-            of = np.searchsorted(s.owner * (1 << 40) + s.at, owner * (1 << 40) + at)
-            n = s.n[of]
-            nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            start = np.repeat(s.start[of], n) + nth
-            rows = np.asarray(batch.column(0).cast(pa.int64()))
-            second = mixed(s.spans.hash(start, start + size // 2) * np.uint64(3) + s.spans.hash(start + size // 2, start + size))
-            arrays = [s.spans.hash(start, start + size).view(np.int64), second.view(np.int64), np.repeat(rows[owner], n), (np.repeat(at, n) + nth).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["name", "check", "row", "at"])
+def _parted(size: int, most: int):
+    """The wanted segments, whose windows all hold `left` bytes before the anchor and `right` bytes from it on, in two: the
+    windows that reach at least half of what is open further to the right, and those that reach as far to the left."""
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets, shift in overlapping(batches, "text", size - 1, most=most):
+            w = Wanted(Segments(data, offsets, size), batch, shift)
+            names, checks = Spans(data.astype(np.uint64)), Spans(data.astype(np.uint64), check=True)
+            left, right = (np.asarray(w.entry.field(k)).astype(np.int64) for k in (4, 5))
+            middle = (left + size - right) // 2
+            lefts = np.clip(w.anchor - w.start - middle, 0, w.n)  # windows begin ever nearer to the anchor
+            for at, n, low, high in ((0, lefts, middle + 1, right), (lefts, w.n - lefts, left, size - middle)):
+                some = np.flatnonzero(n > 0)
+                start, count = (w.start + at)[some], n[some]
+                key = names.hash((w.anchor - low)[some], (w.anchor + high)[some]) + mixed(low[some].astype(np.uint64))
+                seg = checks.hash(start, start + count - 1 + size) + mixed((w.anchor[some] - start).astype(np.uint64))
+                arrays = [pa.array(x) for x in (key.view(np.int64), seg.view(np.int64), w.row[some], (w.at + at)[some].astype(np.int32), count.astype(np.int32))]
+                arrays += [w.entry.field(2).take(pa.array(some)), pa.array(low[some].astype(np.int32)), pa.array(high[some].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "seg", "row", "at", "n", "whole", "left", "right"])
 
-    return names
+    return parted
 
 
 def _short_passages(words: int, size: int):
@@ -136,8 +149,9 @@ def _short_passages(words: int, size: int):
                     digest = xxhash.xxh3_128_digest(body[a:b])
                     # n as of windows of `size` bytes, so that the last of them ends where the passage ends
                     out.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), row, a, b - a - size + 1))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate(kinds)], ["name", "check", "row", "at", "n"])
+            if out:
+                name, check, rows, at, n = np.array(out, np.int64).T
+                yield gathered(name.view(np.uint64), check.view(np.uint64), rows, at, n)
 
     return passages
 
@@ -213,44 +227,66 @@ def _sorted_buckets(size: int):
     return buckets
 
 
-def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int = BUCKET, words: int | None = None) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int = BUCKET, words: int | None = None, most: int = PIECE) -> DataFrame:
     """(row, spans): for every document row that has some, the starts of `size`-byte windows that also start elsewhere.
 
     With `words`, windows of so many words count as well, where they are shorter than `size` bytes: n is 0 or less then.
     """
     own = docs.select(row_key(text=text).alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    repeated, opened = sorted_out(own.mapInArrow(_segments(size), SEGMENT))
-    crowded = written(opened.groupBy("key").count().where(F.col("count") > bucket).select("key"), "keys")
+    repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
+    opened = opened.select("*", F.lit(0).alias("left"), F.lit(GRAM).alias("right"))
 
     def texts_with(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n", "whole"))).alias("spans"))
-        spans = F.transform("spans", lambda s: F.struct(s.at.alias("at"), s.n.alias("n"), s.whole.alias("whole")))
-        return own.join(wanted, "row").dropDuplicates(["row"]).select("row", "text", spans.alias("spans"))
-
-    bodies = texts_with(opened.join(crowded, "key", "left_anti")).mapInArrow(_bodies(size), "key long, row long, at int, whole boolean, anchor int, body binary")
-    sorted_ = bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_buckets(size), "row long, at int, n int")
-    names = texts_with(opened.join(crowded, "key", "left_semi")).mapInArrow(_names(size), "name long, check long, row long, at int")
-    names = written(names, "windows")
-    twice = names.groupBy("name", "check").count().where("count > 1").select("name", "check")
-    single = names.join(twice, ["name", "check"], "left_semi").select("row", "at", F.lit(1).alias("n"))
-    if words is None:
-        return spans_of(repeated, sorted_, single)
-    short = written(own.mapInArrow(_short_passages(words, size), "name long, check long, row long, at int, n int"), "windows")
-    again = short.groupBy("name", "check").count().where("count > 1").select("name", "check")
-    return spans_of(repeated, sorted_, single, short.join(again, ["name", "check"], "left_semi").select("row", "at", "n"))
-
-
-def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_text: str | None = None, words: int | None = None) -> DataFrame:
+        entry = ("at", "n", "whole", "key", "left", "right")
+        spans = some.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(*entry))).alias("spans"))
+        return own.join(spans, "row").dropDuplicates(["row"]).select("row", "text", "spans")
+
+    found, ready = [repeated], []
+    while True:
+        crowded = written(opened.groupBy("key").count().where(F.col("count") > bucket).select("key"), "keys")
+        if crowded.isEmpty():
+            ready.append(opened)
+            break
+        ready.append(opened.join(crowded, "key", "left_anti"))
+        parts = texts_with(opened.join(crowded, "key", "left_semi")).mapInArrow(_parted(size, most), "key long, seg long, row long, at int, n int, whole boolean, left int, right int")
+        again, opened = sorted_again(written(parts, "segments"))
+        found.append(again)
+    ready = reduce(DataFrame.unionByName, ready)
+    bodies = texts_with(ready).mapInArrow(_bodies(size, most), "key long, row long, at int, whole boolean, anchor int, body binary")
+    found.append(bodies.repartition("key").sortWithinPartitions("key").mapInArrow(_sorted_buckets(size), "row long, at int, n int"))
+    if words is not None:
+        short = written(own.mapInArrow(_short_passages(words, size), SEGMENT), "windows")
+        here = F.when(F.col("more").isNull(), 1).otherwise(1 + F.size("more"))
+        again = short.groupBy("key", "seg").agg(F.sum(here).alias("c")).where("c > 1").select("key", "seg")
+        again = written(short.join(again, ["key", "seg"], "left_semi").select("row", "at", "n", "more"), "windows")
+        found += [again.select("row", "at", "n"), again.where("more is not null").select("row", F.inline("more"))]
+    return spans_of(*found)
+
+
+def sorted_again(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(repeated, open) of the segments of parted buckets: of those not repeated as a whole before, the ones that are now;
+    and one occurrence of each segment whose new key others have as well."""
+    place = F.struct("row", "at", "n", "left", "right")
+    counts = written(parts.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("place"), F.max("whole").alias("whole")), "segments")
+    keys = counts.groupBy("key").agg(F.count(F.lit(1)).alias("segments")).where("segments > 1").select("key")
+    opened = counts.join(keys, "key", "left_semi").select("key", "place.row", "place.at", "place.n", (F.col("whole") | (F.col("c") > 1)).alias("whole"), "place.left", "place.right")
+    repeated = parts.where("not whole").join(counts.where("c > 1").select("key", "seg"), ["key", "seg"], "left_semi")
+    return repeated.select("row", "at", "n"), written(opened, "segments")
+
+
+def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_text: str | None = None, words: int | None = None, most: int = PIECE) -> DataFrame:
     """Adds n_bytes, n_removed, n_spans and kept_sha256 to every row (and the kept text, if `kept_text` names a column).
 
     A byte of the UTF-8 text goes if a string of `size` bytes (or of `words` whole words, if given) over it occurs
-    elsewhere in any document, its own included, as the documents were given; n_spans counts the maximal removed stretches. Null counts as empty; a text shorter than
-    `size` stays whole; repeated rows repeat each other and lose what their windows cover. In `kept_text`, characters
-    that a cut split are left out. Columns of these names that `docs` already has are replaced (kept_text may be `text`).
+    elsewhere in any document, its own included, as the documents were given; n_spans counts the maximal removed stretches.
+    Null counts as empty; a text shorter than `size` stays whole; repeated rows repeat each other and lose what their
+    windows cover. A text of more than 2 * `most` bytes is worked on in parts of `most` bytes that share what a window can
+    cover. In `kept_text`, characters that a cut split are left out. Columns of these names that `docs` already has are replaced (kept_text may be `text`).
     """
     new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()} | ({kept_text: T.StringType()} if kept_text else {})
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c == text], row_key(text=text).alias("__row"))
-    joined = source.join(repeated_windows(docs, size, text, words=words).withColumnRenamed("row", "__row"), "__row", "left").drop("__row")
+    row, found = fresh(docs, "row", "spans")
+    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c == text], row_key(text=text).alias(row))
+    joined = source.join(repeated_windows(docs, size, text, words=words, most=most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
     output = [c for c in docs.columns if c not in new]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in output]).schema.fields, *(T.StructField(k, v) for k, v in new.items())])
 
@@ -258,7 +294,7 @@ def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_t
         for batch in batches:
             names = batch.schema.names
             out: dict[str, list] = {c: [] for c in new}
-            for value, spans in zip(batch.column(names.index(text)), batch.column(names.index("spans"))):
+            for value, spans in zip(batch.column(names.index(text)), batch.column(names.index(found))):
                 body = kept = (value.as_py() or "").encode("utf-8", "replace")
                 count = 0
                 if spans.is_valid:

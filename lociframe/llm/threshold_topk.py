@@ -1,10 +1,10 @@
 """Exact top-k search by the threshold algorithm over sorted per-dimension lists.
 
-Rows are dealt over chunks of bounded size; each chunk keeps its rows in one list a dimension, sorted by value. A query
-walks the lists in step, from the end that its sign in that dimension favours, and looks up the whole score of each row
-it meets first. The scores at the current depth bound all rows not yet met; when the bound is below the k-th score
-found, the rest of the chunk cannot matter, ties included. The queries visit every chunk in blocks, and the best k of the
-chunks' answers are the answer. All scores are exact integers.
+Queries go in blocks of a stated size to all tasks; rows stay where they are. A task keeps its rows in chunks, each as one
+list a dimension, sorted by value. A query walks the lists of a chunk in step, from the end that its sign in that
+dimension favours, and looks up the whole score of each row it meets first. The scores at the current depth bound all rows
+not yet met; when the bound is below the k-th score found, in this chunk or those before it, the rest of the chunk cannot
+matter, ties included. The best k of the tasks' answers are the answer. All scores are exact integers.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .shared import written
 
-#: Rows of a chunk and queries of a block, on average.
-CHUNK, BLOCK = 10_000, 500
+#: Rows of a chunk, and components of all the queries of a block (8 bytes each, so 16 MB are sent to the tasks at once).
+CHUNK, BLOCK = 10_000, 2_000_000
 #: Below this, products and sums of integers are exact in float64.
 EXACT = 1 << 53
 
@@ -34,16 +35,18 @@ def _product(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """The rows of a chunk (ascending ids) and the row numbers of each dimension's list, ascending by value."""
+    """The rows of a chunk (ascending ids), their identities, and the row numbers of each dimension's list, ascending by
+    value."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.rows = ids[order], rows[order]
+    def __init__(self, ids: np.ndarray, own: np.ndarray, rows: np.ndarray):
+        order = np.lexsort((own, ids))
+        self.ids, self.own, self.rows = ids[order], own[order], rows[order]
         self.lists = np.argsort(self.rows, axis=0, kind="stable").T.copy() if len(ids) else np.zeros((rows.shape[1], 0), np.int64)
         self.values = np.take_along_axis(self.rows.T, self.lists, axis=1)
 
-    def best(self, query: np.ndarray, own: int, k: int, step: int = 16) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows but `own`, by score and then id. `step`: depths between two looks at the bound."""
+    def best(self, query: np.ndarray, own: int, k: int, least: int | None = None, step: int = 16) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and scores of the k best rows but `own`, by score and then id, those under `least` left out if they
+        are not met before. `step`: depths between two looks at the bound."""
         n, live = len(self.ids), np.flatnonzero(query)
         down = query[live] > 0
         met = np.zeros(n, bool)
@@ -63,20 +66,22 @@ class Lists:
             met[new] = True
             kept_rows = np.concatenate([kept_rows, new])
             kept_scores = np.concatenate([kept_scores, _product(self.rows[new], query)])
-            own_out = self.ids[kept_rows] != own
+            own_out = self.own[kept_rows] != own
             kept_rows, kept_scores = kept_rows[own_out], kept_scores[own_out]
             if len(kept_rows) > k:
                 order = np.lexsort((kept_rows, -kept_scores))[:k]
                 kept_rows, kept_scores = kept_rows[order], kept_scores[order]
             depth, step = to, step * 2
-            if depth < n and len(kept_rows) == k:
+            floor = [int(kept_scores.min())] if len(kept_rows) == k else []
+            floor += [least] if least is not None else []
+            if depth < n and floor:
                 edge = np.where(down, self.values[live, n - depth - 1], self.values[live, depth])
-                if sum(int(a) * int(b) for a, b in zip(edge, query[live])) < kept_scores.min():
+                if sum(int(a) * int(b) for a, b in zip(edge, query[live])) < max(floor):
                     break
-        keep = self.ids[kept_rows] != own
+        keep = self.own[kept_rows] != own
         kept_rows, kept_scores = kept_rows[keep], kept_scores[keep]
         order = np.lexsort((kept_rows, -kept_scores))[:k]
-        return self.ids[kept_rows[order]], kept_scores[order]
+        return kept_rows[order], kept_scores[order]
 
 
 def integers(vectors: DataFrame, scale: int = 1024, vector: str = "embedding") -> DataFrame:
@@ -87,37 +92,72 @@ def integers(vectors: DataFrame, scale: int = 1024, vector: str = "embedding") -
     return vectors.where(usable & finite).select("vec_id", F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
 
 
+class Answers:
+    """The best k rows that a task has met so far, for each query of a block."""
+
+    def __init__(self, queries: list[tuple[int, int, list[int]]], k: int):
+        self.k = k
+        self.queries = [(own, asked, np.asarray(v, np.int64)) for own, asked, v in queries]
+        self.found: list[list[tuple[int, int, int]]] = [[] for _ in queries]
+
+    def meet(self, ids: np.ndarray, own: np.ndarray, vectors: list[np.ndarray]) -> None:
+        sizes = np.array([len(v) for v in vectors])
+        for size in np.unique(sizes):
+            some = np.flatnonzero(sizes == size)
+            lists = Lists(ids[some], own[some], np.stack([vectors[j] for j in some]))
+            for (row, _, query), found in zip(self.queries, self.found):
+                if len(query) == size:
+                    rows, scores = lists.best(query, row, self.k, -found[-1][0] if len(found) == self.k else None)
+                    found += [(-int(x), int(lists.ids[r]), int(lists.own[r])) for r, x in zip(rows, scores)]
+                    found.sort()
+                    del found[self.k :]
+
+    def table(self) -> pa.RecordBatch:
+        rows = [(row, asked, vec, -score) for (row, asked, _), found in zip(self.queries, self.found) for score, vec, _ in found]
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(4)], ["row", "query_id", "vec_id", "score"])
+
+
 def top_k(vectors: DataFrame, k: int = 10, queries: str = "vec_id % 100 = 0", scale: int = 1024, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the k rows of the highest inner product, itself left out.
 
     Ties go to the smaller vec_id; a query with fewer candidates gets all of them. Vectors meet only others of their own
-    length. Repeated ids are candidates each, and a query with a repeated id is answered once for every repetition.
+    length. Rows are told apart by their place, not by their id: every row of a repeated id is a candidate, of the other
+    rows of its id as well, and each query row is answered for itself. A pass over the rows answers the queries of one
+    block, whose vectors have `block` components together on average; no row is copied or shuffled.
     """
-    whole = written(integers(vectors, scale), "vectors")
-    count = whole.count()
-    chunks = max(1, -(-count // chunk))
-    blocks = max(1, -(-count // (100 * block)))
-    rows = whole.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
-    asked = whole.where(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
-    sent = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    copied = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def answer(key, candidates: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-        by_length: dict[int, Lists] = {}
-        lengths = candidates["v"].map(len).to_numpy() if len(candidates) else np.zeros(0, int)
-        for q, i in zip(questions["q"], questions["query_id"]):
-            size = len(q)
-            if size not in by_length:
-                own = candidates[lengths == size] if len(candidates) else candidates
-                matrix = np.array(own["v"].tolist(), np.int64).reshape(-1, size)
-                by_length[size] = Lists(own["vec_id"].to_numpy(np.int64), matrix)
-            ids, scores = by_length[size].best(np.asarray(q, np.int64), i, k)
-            out["query_id"] += [i] * len(ids)
-            out["vec_id"] += ids.tolist()
-            out["score"] += [int(x) for x in scores]
-        return pd.DataFrame(out).astype("int64")
-
-    found = copied.groupBy("chunk", "block").cogroup(sent.groupBy("chunk", "block")).applyInPandas(answer, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    whole = written(integers(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    asked = whole.where(queries).select("row", F.col("vec_id").alias("query_id"), "v")
+    blocks = max(1, -(-(asked.agg(F.sum(F.size("v"))).first()[0] or 0) // block))
+    found = None
+    for number in range(blocks):
+        own = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == number).collect()
+        sent = whole.sparkSession.sparkContext.broadcast([(r[0], r[1], list(r[2])) for r in own])
+        part = whole.select("row", "vec_id", "v").mapInArrow(_answers(sent, k, chunk), "row long, query_id long, vec_id long, score long")
+        found = part if found is None else found.unionByName(part)
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _answers(sent, k: int, chunk: int):
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = Answers(sent.value, k), []
+        if not known.queries:
+            return
+
+        def meet() -> None:
+            known.meet(*(np.concatenate([h[c] for h in held]) for c in (0, 1)), [v for h in held for v in h[2]])
+            held.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lists = batch.column(2)
+            flat, ends = np.asarray(lists.flatten().cast(pa.int64())), np.cumsum(np.asarray(pc.list_value_length(lists)))
+            held.append((np.asarray(batch.column(1).cast(pa.int64())), np.asarray(batch.column(0)), np.split(flat, ends[:-1])))
+            if sum(len(h[0]) for h in held) >= chunk:
+                meet()
+        if held:
+            meet()
+        yield known.table()
+
+    return answers

@@ -1,6 +1,7 @@
 """Toxicity of documents: a bidirectional gated recurrent network with attention pooling.
 
-Each word enters as a hashed word vector next to the mean of its hashed character trigrams. The network reads windows of
+Each word enters as a hashed word vector, the mean of its hashed character trigrams, and a hashed vector of its first six
+bytes, next to each other. The network reads windows of
 WINDOW words that overlap by half, both ways; attention weights pool the states of a window, and a logistic unit scores
 it. A document's score is that of its worst window. Everything is trained here, in numpy, from a bounded sample of
 labelled rows; scoring is one pass over all texts without a shuffle.
@@ -15,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import Spans, mixed, pieces, split_words, text_buffer
-from .shared import held_out
+from .shared import held_out, row_key, sampled_texts
 
 WINDOW, STRIDE = 32, 16
-WORD_ROWS, CHAR_ROWS, WIDE, HIDDEN = 1 << 15, 1 << 12, 8, 8
-#: The bound on what is learned from: labelled rows of each class, and the length of a text among them.
-SAMPLE_ROWS, SAMPLE_CHARS = 1200, 3000
+WORD_ROWS, CHAR_ROWS, BEGIN_ROWS, WIDE, HIDDEN = 1 << 15, 1 << 12, 1 << 14, 8, 8
+BEGIN, INPUTS = 6, 3 * WIDE
+#: The bound on what is learned from: labelled rows of each class, and characters of their texts together.
+SAMPLE_ROWS, SAMPLE_CHARS = 1200, 8_000_000
 #: Weight of the clean class against the toxic one.
 CLEAN_WEIGHT = 3
 #: ASCII letters and digits, and every byte of a longer character, make up words; A-Z counts as a-z.
@@ -28,22 +30,25 @@ IS_WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
-def inputs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word row of each word, character row of each trigram, where each word's trigrams begin, first word of each text."""
+def inputs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word row and row of the beginning of each word, character row of each trigram, where each word's trigrams begin, first
+    word of each text."""
     data = LOWER[data]
     gap = np.zeros(len(offsets) - 1, np.int64) + 1
     spread = np.full(len(data) + len(gap), 32, np.uint8)  # a space between texts
     spread[np.arange(len(data)) + np.repeat(np.arange(len(gap)), np.diff(offsets))] = data
     starts, ends = split_words(spread, IS_WORD)
     first = np.searchsorted(starts, offsets + np.arange(len(offsets)))
-    words = (Spans(spread.astype(np.uint64) + np.uint64(1)).hash(starts, ends) % np.uint64(WORD_ROWS)).astype(np.int32)
+    spans = Spans(spread.astype(np.uint64))
+    words = (spans.hash(starts, ends) % np.uint64(WORD_ROWS)).astype(np.int32)
+    begins = (spans.hash(starts, np.minimum(ends, starts + BEGIN)) % np.uint64(BEGIN_ROWS)).astype(np.int32)
     three = np.zeros(len(spread) + 2, np.uint32)
     three[1:-1] = spread
     grams = (three[:-2] * np.uint32(0x9E3779B1) + three[1:-1] * np.uint32(0x85EBCA77) + three[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(20)
     inside = IS_WORD[spread]
     place = np.zeros(len(spread) + 1, np.int64)
     np.cumsum(inside, out=place[1:])
-    return words, grams[inside].astype(np.int32), place[starts], first
+    return words, begins, grams[inside].astype(np.int32), place[starts], first
 
 
 class Network:
@@ -53,16 +58,16 @@ class Network:
         rng = np.random.default_rng(seed)
         small = lambda *s: rng.normal(0, 0.25, s).astype(np.float32)
         self.p = {
-            "word": small(WORD_ROWS, WIDE), "char": small(CHAR_ROWS, WIDE), "wx": small(2, 2 * WIDE, 3 * HIDDEN), "wh": small(2, HIDDEN, 3 * HIDDEN),
+            "word": small(WORD_ROWS, WIDE), "char": small(CHAR_ROWS, WIDE), "begin": small(BEGIN_ROWS, WIDE), "wx": small(2, INPUTS, 3 * HIDDEN), "wh": small(2, HIDDEN, 3 * HIDDEN),
             "b": np.zeros((2, 1, 3 * HIDDEN), np.float32), "att": small(2 * HIDDEN, HIDDEN), "v": small(HIDDEN), "out": small(2 * HIDDEN), "bias": np.zeros(1, np.float32),
         }
 
-    def vectors(self, words: np.ndarray, grams: np.ndarray, gram_start: np.ndarray) -> np.ndarray:
+    def vectors(self, words: np.ndarray, begins: np.ndarray, grams: np.ndarray, gram_start: np.ndarray) -> np.ndarray:
         if not len(words):
-            return np.zeros((0, 2 * WIDE), np.float32)
+            return np.zeros((0, INPUTS), np.float32)
         sizes = np.diff(np.append(gram_start, len(grams)))
         chars = np.add.reduceat(self.p["char"][grams], gram_start, axis=0) / sizes[:, None].astype(np.float32)
-        return np.concatenate([self.p["word"][words], chars], axis=1)
+        return np.concatenate([self.p["word"][words], chars, self.p["begin"][begins]], axis=1)
 
     def forward(self, x: np.ndarray, index: np.ndarray, keep: bool = False):
         """Logits of windows. x: vectors of words (the last row is padding); index: rows of x, windows by places, -1 beyond the end."""
@@ -100,7 +105,7 @@ class Network:
         """By parameter but those of the input vectors, and of x."""
         p = self.p
         logits, tape, states, hid, w, pooled, mask = self.forward(x, index, keep=True)
-        g = {k: np.zeros_like(v) for k, v in p.items() if k not in ("word", "char")}
+        g = {k: np.zeros_like(v) for k, v in p.items() if k not in ("word", "char", "begin")}
         d_logit = ((1 / (1 + np.exp(-logits)) - target) * weight).astype(np.float32)
         g["out"], g["bias"] = pooled.T @ d_logit, d_logit.sum(keepdims=True)
         d_pooled = d_logit[:, None] * p["out"]
@@ -158,11 +163,11 @@ def window_logits(net: Network, vectors: np.ndarray, index: np.ndarray, at_once:
 
 
 def text_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    words, grams, gram_start, first = inputs(data, offsets)
+    words, begins, grams, gram_start, first = inputs(data, offsets)
     index, owner = windows(first)
     worst = np.full(len(offsets) - 1, -np.inf, np.float64)
     if len(owner):
-        np.maximum.at(worst, owner, window_logits(net, net.vectors(words, grams, gram_start), index))
+        np.maximum.at(worst, owner, window_logits(net, net.vectors(words, begins, grams, gram_start), index))
     return 1 / (1 + np.exp(-worst))
 
 
@@ -174,13 +179,13 @@ def trained(texts: list[str], toxic: list[int], steps: int = 400, rate: float =
         return None
     net, rng = Network(seed), np.random.default_rng(seed)
     data, offsets = text_buffer(pa.array(texts, pa.string()))
-    words, grams, gram_start, first = inputs(data, offsets)
+    words, begins, grams, gram_start, first = inputs(data, offsets)
     index, owner = windows(first)
     balance = np.where(y > 0, 1 / max(1, (y > 0).sum()), CLEAN_WEIGHT / max(1, (y == 0).sum())) * len(y) / (1 + CLEAN_WEIGHT)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     sizes, step = np.diff(np.append(gram_start, len(grams))), 0
     for _ in range(max(3, -(-steps // -(-len(texts) // 64)))):
-        logits = window_logits(net, net.vectors(words, grams, gram_start), index) + rng.normal(0, 1e-3, len(index))
+        logits = window_logits(net, net.vectors(words, begins, grams, gram_start), index) + rng.normal(0, 1e-3, len(index))
         order = np.lexsort((-logits, owner))
         chosen = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
         chosen = rng.permutation(chosen)
@@ -191,11 +196,12 @@ def trained(texts: list[str], toxic: list[int], steps: int = 400, rate: float =
             row = np.searchsorted(used, own)
             at = np.concatenate([np.arange(gram_start[k], gram_start[k] + sizes[k]) for k in used])
             begin = np.cumsum(sizes[used]) - sizes[used]
-            x = np.concatenate([net.vectors(words[used], grams[at], begin), np.zeros((1, 2 * WIDE), np.float32)])
+            x = np.concatenate([net.vectors(words[used], begins[used], grams[at], begin), np.zeros((1, INPUTS), np.float32)])
             g, d_x = net.gradients(x, np.where(own >= 0, row, -1), y[owner[batch]], balance[owner[batch]] / len(batch))
-            g["word"], g["char"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["char"])
+            g |= {k: np.zeros_like(net.p[k]) for k in ("word", "char", "begin")}
             np.add.at(g["word"], words[used], d_x[:-1, :WIDE])
-            np.add.at(g["char"], grams[at], np.repeat(d_x[:-1, WIDE:] / sizes[used][:, None], sizes[used], axis=0))
+            np.add.at(g["char"], grams[at], np.repeat(d_x[:-1, WIDE : 2 * WIDE] / sizes[used][:, None], sizes[used], axis=0))
+            np.add.at(g["begin"], begins[used], d_x[:-1, 2 * WIDE :])
             step += 1
             for k, v in g.items():
                 m, s = moment[k]
@@ -206,16 +212,16 @@ def trained(texts: list[str], toxic: list[int], steps: int = 400, rate: float =
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Network | None:
-    """From rows of `docs` that `labels` marks and that are not held out: of each class the 3 * SAMPLE_ROWS first labels
-    in the order of a hash of doc_id are looked up in `docs` (a broadcast of as many ids), and of their texts of up to
-    SAMPLE_CHARS characters the first SAMPLE_ROWS are used. No text is shuffled."""
-    marks = labels.where(~held_out()).select("doc_id", "toxic")
-    ids = [marks.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(3 * SAMPLE_ROWS) for kind in (0, 1)]
+    """From rows of `docs` that `labels` marks and that are not held out: the 3 * SAMPLE_ROWS first labels of each class, in
+    the order of a hash of doc_id, are looked up in `docs` (a broadcast of as many ids), and of the rows found the first
+    SAMPLE_ROWS of each class are learned from, texts of any length, as far as they have SAMPLE_CHARS characters. No text is
+    shuffled."""
+    marks = labels.where(~held_out()).select("doc_id", F.col("toxic").alias("kind"))
+    ids = [marks.where(F.col("kind") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(3 * SAMPLE_ROWS) for kind in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]).distinct())
-    usable = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    rows = usable.join(chosen, "doc_id").select("toxic", F.xxhash64("doc_id").alias("h"), "text").collect()
-    rows = [sorted(r for r in rows if r[0] == kind)[:SAMPLE_ROWS] for kind in (0, 1)]
-    return trained([r[2] for r in rows[0] + rows[1]], [r[0] for r in rows[0] + rows[1]])
+    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id")
+    rows = sampled_texts(found.select("kind", row_key().alias("row"), "text"), SAMPLE_ROWS, SAMPLE_CHARS)
+    return trained([r[1] for r in rows], [r[0] for r in rows])
 
 
 def scored(docs: DataFrame, net: Network | None, text: str = "text", score: str = "score") -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .shared import written
+from .shared import fresh, written
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,7 +71,9 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(a, b): the page's node, and the node that its canonical link or its refresh redirect names.
 
     Read from `<link rel=canonical href=...>` and `<meta http-equiv=refresh content="...url=...">`, attributes in any
-    order and quotes. A reference that starts with `/` is joined to the page's host; other relative ones are left out.
+    order and quotes. Relative references are resolved: `//` by the scheme, `/` by the host, `?` by the page's path, others
+    by the directory of the page's path, `.` and `..` at their beginning taken out; one with another scheme than a `://`
+    one (as mailto:) is left out.
     """
     tags = F.filter(F.regexp_extract_all(F.col(html), F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), 0), lambda t: F.lower(t).rlike("canonical|refresh"))
     tag = F.regexp_replace(F.col("tag"), r"\s+", " ")
@@ -82,10 +84,18 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     scheme = F.substring(own, F.lit(1), F.instr(own, "://") - 1)
 
     def full(x: Column) -> Column:
-        at_host = F.when(x.target.startswith("//"), F.concat(x.scheme, F.lit(":"), x.target)).when(x.target.startswith("/"), F.concat(x.scheme, F.lit("://"), x.host, x.target))
-        return F.coalesce(at_host, F.when(x.target.contains("://"), x.target))
-
-    target = let({"target": target, "scheme": scheme, "host": host_of(own)}, full)
+        site = F.concat(x.scheme, F.lit("://"), x.host)
+        folder = F.regexp_replace(x.path, "[^/]*$", "")
+        ups = F.regexp_extract(x.target, r"^(?:\.\.?/)*", 0)
+        number = F.least((F.length(ups) - F.length(F.replace(ups, F.lit("../"), F.lit("")))) / 3, F.lit(999)).cast("int").cast("string")
+        above = F.regexp_replace(folder, F.concat(F.lit("(?:[^/]+/){0,"), number, F.lit("}$")), F.lit(""))
+        beside = F.concat(site, F.when(above == "", "/").otherwise(above), F.substring(x.target, F.length(ups) + 1, F.length(x.target)))
+        return (
+            F.when(x.target.startswith("//"), F.concat(x.scheme, F.lit(":"), x.target)).when(x.target.startswith("/"), F.concat(site, x.target)).when(x.target.startswith("?"), F.concat(site, x.path, x.target))
+            .when(x.target.rlike("^[^/?#]*://"), x.target).when(x.target.rlike("^([A-Za-z][A-Za-z0-9+.-]*:|#)"), F.lit(None)).otherwise(beside)
+        )
+
+    target = let({"target": target, "scheme": scheme, "host": host_of(own), "path": path_of(own)}, full)
     found = pages.where(F.col(url).isNotNull() & F.col(html).rlike("(?i)canonical|refresh")).select(url, F.explode(tags).alias("tag"))
     return found.select(node_of(own).alias("a"), target.alias("target")).select("a", node_of(F.col("target")).alias("b")).where("a is not null and b is not null")
 
@@ -102,11 +112,12 @@ def judged(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "h
     ties = links(pages, url, html)
     if edges is not None:
         ties = ties.unionByName(edges.select(node_of(F.col("a")).alias("a"), node_of(F.col("b")).alias("b")))
+    node, mark = fresh(pages, "node", "blocked")
     classes = components(written(ties, "links"))
     blocked = classes.where(rule_of(host_of(F.col("node")), path_of(F.col("node")), rules).isin(block)).select("component").distinct()
-    aliases = classes.join(blocked, "component", "left_semi").select(F.col("node").alias("__node"), F.lit(True).alias("__blocked"))
+    aliases = classes.join(blocked, "component", "left_semi").select(F.col("node").alias(node), F.lit(True).alias(mark))
     new = ("host", "path", "rule", "verdict")
-    own = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), node_of(F.col(url)).alias("__node"))
+    own = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), node_of(F.col(url)).alias(node))
     own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    verdict = F.when(F.col("rule").isin(block), "block").when(F.col("rule").isin(allow), "allow").when(F.col("__blocked"), "block").otherwise("allow")
-    return own.join(aliases, "__node", "left").withColumn("verdict", verdict).drop("__node", "__blocked")
+    verdict = F.when(F.col("rule").isin(block), "block").when(F.col("rule").isin(allow), "allow").when(F.col(mark), "block").otherwise("allow")
+    return own.join(aliases, node, "left").withColumn("verdict", verdict).drop(node, mark)

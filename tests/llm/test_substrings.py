@@ -16,7 +16,7 @@ from lociframe.llm.deep_shallow import deep_shallow
 SF = "/root/testdata/sf0.001"
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id bigint, text string, note string, n_words int"
+SCHEMA = "doc_id bigint, text string, spans string, n_words int"
 
 
 def corpus(seed):
@@ -57,25 +57,42 @@ def by_bytes(rows, size):
         yield r[0], len(t), sum(gone), (b"\0" + bytes(gone)).count(b"\0\1"), hashlib.sha256(bytes(x for x, g in zip(t, gone) if not g)).hexdigest()
 
 
-@pytest.mark.parametrize("seed, size", [(1, 6), (2, 12)])
-def test_words(spark, seed, size):
+@pytest.mark.parametrize("seed, size, most", [(1, 6, 1_500_000), (2, 12, 1_500_000), (3, 6, 40)])
+def test_words(spark, seed, size, most):
     rows = corpus(seed)
-    out = recompression.without_repeats(spark.createDataFrame(rows, SCHEMA), size)
-    assert out.columns == ["doc_id", "text", "note", "n_words", "n_removed", "kept_sha256"]
+    out = recompression.without_repeats(spark.createDataFrame(rows, SCHEMA), size, most=most)
+    assert out.columns == ["doc_id", "text", "spans", "n_words", "n_removed", "kept_sha256"]
     got = [tuple(r) for r in out.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()]
     assert sorted(got, key=str) == sorted(by_words(rows, size), key=str)
 
 
-@pytest.mark.parametrize("seed, size, bucket", [(1, 25, 20_000), (2, 40, 20_000), (3, 25, 1)])
-def test_bytes(spark, monkeypatch, seed, size, bucket):
+@pytest.mark.parametrize("seed, size, bucket, most", [(1, 25, 20_000, 1_500_000), (2, 40, 3, 1_500_000), (3, 25, 1, 1_500_000), (4, 25, 2, 70)])
+def test_bytes(spark, monkeypatch, seed, size, bucket, most):
     rows = corpus(seed)
     plain = suffix_dedup.repeated_windows
-    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda docs, n, text="text": plain(docs, n, text, bucket))
-    out = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA), size)
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda docs, n, text="text", **kw: plain(docs, n, text, bucket, **kw))
+    out = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("n_words", "__row"), size, most=most)
     got = [tuple(r) for r in out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
     assert sorted(got, key=str) == sorted(by_bytes(rows, size), key=str)
 
 
+def test_words_that_collide_under_powers_of_two(spark):
+    """A Thue-Morse word and its complement are equal to any polynomial hash modulo 2^64."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = ("".join("ab"[b ^ x] for b in bits) for x in (0, 1))
+    rest = " ".join(f"w{k}" for k in range(34))
+    docs = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{two} {rest}")], "doc_id bigint, text string")
+    assert [r.n_removed for r in recompression.without_repeats(docs, 35).collect()] == [0, 0]
+    assert [r.n_removed for r in recompression.without_repeats(docs, 34).collect()] == [34, 34]
+
+
+def test_a_text_that_repeats_itself_is_one_row_a_segment(spark):
+    docs = spark.createDataFrame([(1, "lorem ipsum dolor sit amet " * 3000), (2, "x"), (3, "lorem ipsum dolor sit amet " * 9)], "doc_id bigint, text string")
+    table = docs.selectExpr("doc_id as row", "text").mapInArrow(suffix_dedup._segments(100, 1_500_000), suffix_dedup.SEGMENT)
+    assert table.count() < 300
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(docs, 100).collect()} == {1: 27 * 3000, 2: 0, 3: 27 * 9}
+
+
 def test_kept_text_and_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert recompression.without_repeats(empty, 5).count() == suffix_dedup.without_repeats(empty, 30).count() == 0

@@ -24,7 +24,7 @@ BEGIN, INPUTS = 6, 3 * WIDE
 #: The bound on what is learned from: labelled rows of each class, and characters of their texts together.
 SAMPLE_ROWS, SAMPLE_CHARS = 1200, 8_000_000
 #: Weight of the clean class against the toxic one.
-CLEAN_WEIGHT = 3
+CLEAN_WEIGHT = 2
 #: ASCII letters and digits, and every byte of a longer character, make up words; A-Z counts as a-z.
 IS_WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -171,7 +171,7 @@ def text_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-worst))
 
 
-def trained(texts: list[str], toxic: list[int], steps: int = 400, rate: float = 0.01, seed: int = 7) -> Network | None:
+def trained(texts: list[str], toxic: list[int], steps: int = 800, rate: float = 0.01, seed: int = 7) -> Network | None:
     """Multiple-instance training: the worst window of each text stands for it. None if there are not two classes. At least
     `steps` batches of 64 texts, and three rounds over the sample."""
     y = np.asarray(toxic, np.float32)

@@ -389,3 +389,13 @@ def test_pipeline(spark):
     assert rows(kept) == {k: t for k, t in rows(cut).items() if k not in held}
     tokens = stages["bpe_tokens"](spark, kept, SF).collect()
     assert {r.doc_id for r in tokens} == set(rows(kept)) and all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in tokens)
+
+
+def test_toxicity_of_rows_held_out(spark):
+    """Most toxic rows that were not learned from are caught, and hardly a clean one is."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(folder + "/documents.parquet"), spark.read.parquet(folder + "/labels.parquet")
+    net = toxicity.learned(docs, labels)
+    out = toxicity.scored(docs.join(labels.where(toxicity.held_out()).select("doc_id", "toxic"), "doc_id"), net).select("toxic", (F.col("score") >= 0.5).alias("caught")).collect()
+    share = lambda kind: np.mean([r.caught for r in out if r.toxic == kind])
+    assert len(out) > 500 and share(1) > 0.85 and share(0) < 0.04

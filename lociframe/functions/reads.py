@@ -58,8 +58,12 @@ def trim_readthrough(pairs: DataFrame, min_overlap: int = 3, error_rate: float =
     """
     umi = umi_of(F.col("read_id"))
     long_enough = F.coalesce(F.length(umi) >= UMI_LENGTH, F.lit(False))
-    out = pairs.withColumn("adapter", F.when(long_enough, reverse_complement(F.substring(umi, 1, UMI_LENGTH))))
-    out = out.withColumn("trimmed", F.coalesce(F.when(F.col("adapter").isNotNull(), overlap_length(F.col("seq1"), F.col("adapter"), min_overlap, error_rate)), F.lit(0)))
+    adapter = F.when(long_enough, reverse_complement(F.substring(umi, 1, UMI_LENGTH)))
+    kept = [c for c in pairs.columns if c not in ("adapter", "trimmed")]
+    found = pairs.select(*kept, F.explode(F.array(adapter)).alias("adapter"))
+    trimmed = F.coalesce(F.when(F.col("adapter").isNotNull(), overlap_length(F.col("seq1"), F.col("adapter"), min_overlap, error_rate)), F.lit(0))
+    # exploded from arrays of one, so that each is worked out once a row, however often the columns and filters behind use it
+    out = found.select("*", F.explode(F.array(trimmed)).alias("trimmed"))
     keep = F.length("seq1") - F.col("trimmed")
     out = out.withColumn("__keep", keep)
     cut = lambda c: F.substring(F.col(c), F.lit(1), F.col("__keep"))

@@ -41,20 +41,41 @@ def cap_alignments_per_mate(alignments: DataFrame, n: int = 1000) -> DataFrame:
     return alignments.withColumn("__nth", F.row_number().over(best)).where(F.col("__nth") <= n).drop("__nth")
 
 
+def mark_alignments(alignments: DataFrame, library: str = "unstrand", tiles: DataFrame | None = None) -> DataFrame:
+    """Adds spliced (an intron of 20 bases or more) and pas (a poly(A) tail that the genome does not explain), both of sense
+    mates only. pas is false without seq and qual; tiles (chrom, tile, seq) are the reference for `internal_priming`."""
+    f = F.col("flag")
+    sense, back = A.sense_read(~A.flag(f, A.READ2), library), A.flag(f, A.REVERSE)
+    own = alignments.withColumn("spliced", F.coalesce(sense & A.has_splice(F.col("cigar")), F.lit(False)))
+    if not {"seq", "qual"} <= set(alignments.columns):
+        return own.withColumn("pas", F.lit(False))
+    from ..functions.reads import phred
+
+    own = own.withColumn("pas", sense & A.polya_clip(F.col("seq"), phred(F.col("qual")), F.col("cigar"), back))
+    if tiles is None:
+        return own
+    end = F.coalesce(F.element_at(A.alignment_blocks(F.col("st"), F.col("cigar")), -1).e, F.col("st"))
+    placed = own.withColumn("pos", F.when(back, F.col("st")).otherwise(end)).withColumn("is_reverse", back)
+    tailed = internal_priming(placed.where("pas").select("chrom", "pos", "is_reverse").distinct(), tiles).where("priming")
+    return placed.join(tailed, ["chrom", "pos", "is_reverse"], "left").withColumn("pas", F.col("pas") & F.col("priming").isNull()).select(*own.columns)
+
+
 def pair_alignments(alignments: DataFrame, threshold: int = 255, all_pairs: bool = True, cap: int | None = None) -> DataFrame:
     """Fragments: proper pairs of mates of a read group, and single ends for alignments in no kept pair.
 
     `all_pairs` keeps every distinct proper pair, else the best of a group. The score is the sum of the mates' (1.0 if
-    missing). `cap` bounds the alignments of a mate, if a bound is wanted.
+    missing). `cap` bounds the alignments of a mate, if a bound is wanted. Marks (spliced, pas), if the alignments have them,
+    are those of either mate.
     """
+    marks = [c for c in ("spliced", "pas") if c in alignments.columns]
     own = dedup_alignments(alignments)
     own = cap_alignments_per_mate(own, cap) if cap else own
     own = own.withColumn("blocks", A.alignment_blocks(F.col("st"), F.col("cigar"))).where(F.size("blocks") > 0)
     own = own.select(
         *GROUP, "chrom", "blocks", A.flag(F.col("flag"), A.REVERSE).alias("rev"), mate(F.col("flag")).alias("mate"), F.coalesce("score", F.lit(1.0)).alias("score"),
-        A.is_unique(F.col("nh"), F.col("mapq"), threshold).alias("u"), F.element_at("blocks", 1).s.alias("s"), F.element_at("blocks", -1).e.alias("e"),
+        A.is_unique(F.col("nh"), F.col("mapq"), threshold).alias("u"), F.element_at("blocks", 1).s.alias("s"), F.element_at("blocks", -1).e.alias("e"), *marks,
     ).distinct()
-    side = lambda k: own.where(F.col("mate") == k).select(*GROUP, "chrom", *[F.col(c).alias(f"{c}{k}") for c in ("blocks", "rev", "score", "u", "s", "e")])
+    side = lambda k: own.where(F.col("mate") == k).select(*GROUP, "chrom", *[F.col(c).alias(f"{c}{k}") for c in ("blocks", "rev", "score", "u", "s", "e", *marks)])
     pairs = side(1).join(side(2), [*GROUP, "chrom"]).where(A.proper_pair(*[F.col(c) for c in ("s1", "e1", "rev1", "s2", "e2", "rev2")]))
     pairs = pairs.withColumn("score", F.col("score1") + F.col("score2"))
     if not all_pairs:
@@ -67,9 +88,9 @@ def pair_alignments(alignments: DataFrame, threshold: int = 255, all_pairs: bool
     first = F.col("mate") == 1
     singles = alone.select(
         *GROUP, "chrom", F.when(first, F.col("blocks")).alias("blocks_r1"), F.when(~first, F.col("blocks")).alias("blocks_r2"),
-        F.when(first, F.col("rev")).alias("rev1"), F.when(~first, F.col("rev")).alias("rev2"), "score", F.col("u").alias("is_unique"),
+        F.when(first, F.col("rev")).alias("rev1"), F.when(~first, F.col("rev")).alias("rev2"), "score", F.col("u").alias("is_unique"), *marks,
     )
-    paired = pairs.select(*GROUP, "chrom", F.col("blocks1").alias("blocks_r1"), F.col("blocks2").alias("blocks_r2"), "rev1", "rev2", "score", (F.col("u1") & F.col("u2")).alias("is_unique"))
+    paired = pairs.select(*GROUP, "chrom", F.col("blocks1").alias("blocks_r1"), F.col("blocks2").alias("blocks_r2"), "rev1", "rev2", "score", (F.col("u1") & F.col("u2")).alias("is_unique"), *[(F.col(f"{c}1") | F.col(f"{c}2")).alias(c) for c in marks])
     return dedup_fragments_by_locus(paired.unionByName(singles))
 
 
@@ -86,7 +107,8 @@ def fragment_blocks(fragments: DataFrame, key: str = "frag") -> DataFrame:
 
 
 def with_fragment_key(fragments: DataFrame, key: str = "frag") -> DataFrame:
-    return fragments.withColumn(key, F.xxhash64(*GROUP, "chrom", F.to_json(F.struct("blocks_r1", "blocks_r2", "rev1", "rev2"))))
+    """Names fragments by 128 bits of all that tells them apart, so that no two of a cohort share a name."""
+    return fragments.withColumn(key, F.md5(F.to_json(F.struct(*GROUP, "chrom", "blocks_r1", "blocks_r2", "rev1", "rev2"))))
 
 
 def fragment_gene_overlap(fragments: DataFrame, exons: DataFrame, library: str = "unstrand", min_bp: int = 10, min_fraction: float = 0.01, width: int = 1000) -> DataFrame:
@@ -106,9 +128,12 @@ def gene_sets(overlaps: DataFrame) -> DataFrame:
 
 
 def feature_counts(fragments: DataFrame, exons: DataFrame, library: str = "unstrand", require_both: bool = True, min_bp: int = 1) -> DataFrame:
-    """gene_id, count: fragments of one locus that overlap exactly one gene; with `require_both`, pairs only."""
+    """gene_id, count: unique fragments of one locus that overlap exactly one gene; with `require_both`, pairs only.
+
+    A fragment that is marked as one of several places of its read (NH over 1) counts for no gene, even if its other
+    places are not there."""
     loci = fragments.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("loci")).where("loci = 1")
-    used = fragments.join(loci, list(GROUP), "left_semi")
+    used = fragments.where("is_unique").join(loci, list(GROUP), "left_semi")
     used = used.where(F.col("blocks_r1").isNotNull() & F.col("blocks_r2").isNotNull()) if require_both else used
     sets = gene_sets(fragment_gene_overlap(used, exons, library, min_bp, 0.0)).where(F.size("genes") == 1)
     return sets.groupBy(F.element_at("genes", 1).alias("gene_id")).agg(F.count(F.lit(1)).alias("count"))
@@ -138,11 +163,13 @@ def splice_per_kb(alignments: DataFrame, by: Sequence[str] = ("sample_id",), map
 def infer_strand(alignments: DataFrame, features: DataFrame, width: int = 1000) -> DataFrame:
     """Per alignment on a feature (gene_id, chrom, s2, e2, strand): label `<mate><read strand><gene strand>`, `both` if it
     meets features of both strands."""
-    own = alignments.withColumn("blocks", A.alignment_blocks(F.col("st"), F.col("cigar"))).withColumn("aln", F.xxhash64(*GROUP, "chrom", "st", "cigar", "flag"))
-    hits = overlap_join(own.select("aln", "chrom", F.inline("blocks")), features.select("chrom", "s2", "e2", "strand"), ["chrom"], width)
-    strands = hits.groupBy("aln").agg(F.sort_array(F.collect_set("strand")).alias("strands"))
-    label = F.concat(mate(F.col("flag")).cast("string"), F.when(A.flag(F.col("flag"), A.REVERSE), "-").otherwise("+"), F.element_at("strands", 1))
-    return own.select("sample_id", "aln", "flag").distinct().join(strands, "aln").select("sample_id", "aln", F.when(F.size("strands") > 1, "both").otherwise(label).alias("label"))
+    own = alignments.select(*GROUP, "chrom", "st", "cigar", "flag").distinct()
+    own = own.withColumn("aln", F.md5(F.to_json(F.struct(*GROUP, "chrom", "st", "cigar", "flag"))))
+    blocks = own.select("sample_id", "aln", "flag", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar"))))
+    hits = overlap_join(blocks, features.select("chrom", "s2", "e2", "strand"), ["chrom"], width)
+    strands = hits.groupBy("sample_id", "aln", "flag").agg(F.min("strand").alias("low"), F.max("strand").alias("high"))
+    label = F.concat(mate(F.col("flag")).cast("string"), F.when(A.flag(F.col("flag"), A.REVERSE), "-").otherwise("+"), F.col("low"))
+    return strands.select("sample_id", "aln", F.when(F.col("low") != F.col("high"), "both").otherwise(label).alias("label"))
 
 
 def strand_fractions(labels: DataFrame, by: Sequence[str] = ("sample_id",)) -> DataFrame:
@@ -215,19 +242,19 @@ def base_class_metrics(blocks: DataFrame, classes: DataFrame, order: Sequence[st
 
 
 def internal_priming(ends: DataFrame, tiles: DataFrame, tile: int = 1000, window: int = 20, fraction: float = 0.8) -> DataFrame:
-    """Adds priming to ends (chrom, pos, is_reverse): whether `window` reference bases behind the end (before it on the
-    reverse strand) are A (T) to that share. tiles: chrom, tile, seq. Without reference bases it is false."""
+    """Adds priming to ends (chrom, pos, is_reverse): whether the `window` reference bases behind the end (before it on the
+    reverse strand) are A, or are T, to that share. tiles: chrom, tile, seq. Without reference bases it is false."""
     low = F.when(F.col("is_reverse"), F.col("pos") - window).otherwise(F.col("pos"))
-    own = ends.withColumn("__low", F.greatest(low, F.lit(0))).withColumn("__high", low + window)
-    own = own.withColumn("__id", F.xxhash64("chrom", "pos", "is_reverse"))
-    keys = own.select("__id", "chrom", "is_reverse", "__low", "__high").distinct()
-    parts = keys.withColumn("tile", F.explode(F.sequence(F.floor(F.col("__low") / tile), F.floor(F.greatest(F.col("__high") - 1, F.col("__low")) / tile)))).join(tiles, ["chrom", "tile"])
+    place = ["chrom", "pos", "is_reverse"]
+    keys = ends.select(*place).distinct().withColumn("__low", F.greatest(low, F.lit(0))).withColumn("__high", low + window)
+    tiled = F.explode(F.sequence(F.floor(F.col("__low") / tile), F.floor(F.greatest(F.col("__high") - 1, F.col("__low")) / tile)))
+    parts = keys.withColumn("tile", tiled).join(tiles, ["chrom", "tile"])
     a, b = F.greatest(F.col("__low") - F.col("tile") * tile, F.lit(0)), F.least(F.col("__high") - F.col("tile") * tile, F.lit(tile))
     piece = F.upper(F.substring("seq", (a + 1).cast("int"), (b - a).cast("int")))
-    base = F.when(F.col("is_reverse"), "T").otherwise("A")
-    found = parts.groupBy("__id").agg(F.sum(F.length(piece)).alias("n"), F.sum(F.length(piece) - F.length(F.replace(piece, base, F.lit("")))).alias("hits"))
-    found = found.select("__id", (F.col("hits") >= fraction * F.col("n")).alias("priming"))
-    return own.join(found, "__id", "left").withColumn("priming", F.coalesce("priming", F.lit(False))).drop("__id", "__low", "__high")
+    number = lambda base: F.sum(F.length(piece) - F.length(F.replace(piece, F.lit(base), F.lit(""))))
+    found = parts.groupBy(*place).agg(F.sum(F.length(piece)).alias("n"), F.greatest(number("A"), number("T")).alias("hits"))
+    found = found.select(*place, ((F.col("n") > 0) & (F.col("hits") >= fraction * F.col("n"))).alias("priming"))
+    return ends.join(found, place, "left").withColumn("priming", F.coalesce("priming", F.lit(False)))
 
 
 def alignments_to_reads(alignments: DataFrame, paired: bool = True) -> DataFrame:

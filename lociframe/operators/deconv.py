@@ -10,6 +10,9 @@ from .tables import written
 
 #: Fixed lists: marker genes and labels of one sex.
 X_MARKERS, Y_MARKERS = ("XIST",), ("RPS4Y1", "RPS4Y2", "KDM5D", "DDX3Y", "USP9Y")
+ENSEMBL_MARKERS = {
+    "ENSG00000229807": "XIST", "ENSG00000129824": "RPS4Y1", "ENSG00000280969": "RPS4Y2", "ENSG00000012817": "KDM5D", "ENSG00000067048": "DDX3Y", "ENSG00000114374": "USP9Y",
+}
 MALE_LABELS = ("Prostate", "Testis")
 FEMALE_LABELS = ("Ovary", "Uterus", "Vagina", "Cervix uteri", "Fallopian tube")
 SEXLESS_FILE = "brain|cortex|neuron|cerebellum"
@@ -27,10 +30,13 @@ def duplicated_genes(expr: DataFrame, by: Sequence[str] = ("sample_id",)) -> Dat
 def align_to_reference(expr: DataFrame, reference: DataFrame) -> DataFrame:
     """sample_id, gene_id, value for every gene of the reference; what a sample lacks is 0.
 
-    The result has a row for each sample and gene by definition; it is made gene by gene from one row a sample."""
-    genes, samples = reference.select("gene_id").distinct(), expr.select("sample_id").distinct()
-    wanted = genes.crossJoin(samples)
-    return wanted.join(expr.select("sample_id", "gene_id", "value"), ["sample_id", "gene_id"], "left").select("sample_id", "gene_id", F.coalesce("value", F.lit(0.0)).alias("value"))
+    The result has a row for each sample and gene by definition, so each sample's genes are gathered once and filled in
+    place, from the list of the reference's genes, which every sample needs whole."""
+    genes = reference.select("gene_id").distinct()
+    known = expr.join(genes, "gene_id", "left_semi").groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("gene_id", "value"))).alias("own"))
+    every = genes.agg(F.sort_array(F.collect_list("gene_id")).alias("genes"))  # one row
+    samples = expr.select("sample_id").distinct().join(known, "sample_id", "left").crossJoin(every)
+    return samples.select("sample_id", "own", F.explode("genes").alias("gene_id")).select("sample_id", "gene_id", F.coalesce(F.try_element_at("own", F.col("gene_id")), F.lit(0.0)).alias("value"))
 
 
 def overlap_ratio(expr: DataFrame, reference: DataFrame) -> DataFrame:
@@ -43,8 +49,14 @@ def overlap_ratio(expr: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def infer_sex(expr: DataFrame, margin: float = 1.0, x: Sequence[str] = X_MARKERS, y: Sequence[str] = Y_MARKERS, symbol: str = "gene_id") -> DataFrame:
-    """sample_id, x, y (log2(1 + median) of the markers present), sex: Male, Female or Unknown."""
-    level = lambda names: F.log2(1 + F.median(F.when(F.col(symbol).isin(*names), F.col("value"))))
+    """sample_id, x, y (log2(1 + median) of the markers present), sex: Male, Female or Unknown. Genes are named by symbols,
+    Ensembl ids with or without version, or both together."""
+    from ..functions.reads import extract_symbol, strip_version
+
+    plain = F.upper(strip_version(F.trim(F.col(symbol))))
+    by_id = F.create_map(*[F.lit(x) for pair in ENSEMBL_MARKERS.items() for x in pair])
+    name = F.coalesce(F.try_element_at(by_id, plain), extract_symbol(strip_version(F.trim(F.col(symbol)))))
+    level = lambda names: F.log2(1 + F.median(F.when(name.isin(*names), F.col("value"))))
     out = expr.groupBy("sample_id").agg(level(x).alias("x"), level(y).alias("y"))
     both = F.when(F.col("x") - F.col("y") >= margin, "Female").when(F.col("y") - F.col("x") >= margin, "Male")
     one = F.when(F.col("x").isNull() & (F.col("y") >= 1), "Male").when(F.col("y").isNull() & (F.col("x") >= 1), "Female")

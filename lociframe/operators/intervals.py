@@ -30,30 +30,57 @@ def _levels(df: DataFrame, start: str, end: str, width: int) -> Column:
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int = 1000, l_start: str = "s", l_end: str = "e", r_start: str = "s2", r_end: str = "e2") -> DataFrame:
     """All pairs of rows that agree in `keys` and share a base, with `overlap` in bases; column names must differ else.
 
-    Rows are exploded to the bins they touch, on a level where these are few; a pair is reported in the one bin of the
-    coarser level that holds the first shared base. Hot bins are left to adaptive skew joins. Empty intervals match none.
+    A row is exploded to the bins it touches on its own level, where these are few, and as a guest to the one or two bins
+    of each coarser level. Own rows meet own rows and guests, guests never meet guests, so a pair of short rows is only
+    looked at in the fine bins it shares; guests of the left side stand only on levels where the right side has rows of
+    its own. A pair is reported in the one bin that holds the first shared base. Hot bins are left to adaptive skew joins.
+    Empty intervals match none.
     """
-    a = left.where(F.col(l_start) < F.col(l_end)).withColumn("__la", _levels(left, l_start, l_end, width))
-    b = right.where(F.col(r_start) < F.col(r_end)).withColumn("__lb", _levels(right, r_start, r_end, width))
-    # each row also stands on all coarser levels, so that rows of different levels meet on the coarser one
-    up = lambda own: F.explode(F.sequence(own, F.lit(LEVELS)))
-    a = a.withColumn("__level", up(F.col("__la")))
-    b = b.withColumn("__level", up(F.col("__lb")))
-    wide = F.lit(width) * F.pow(F.lit(SPREAD), F.col("__level"))
-    a = a.withColumn("__bin", F.explode(_bins(F.col(l_start), F.col(l_end), wide)))
-    b = b.withColumn("__bin", F.explode(_bins(F.col(r_start), F.col(r_end), wide)))
+    # how a row takes part: own row that meets own rows, own row that meets guests, guest
+    plain, host, guest = 0, 1, 2
+
+    def binned(df: DataFrame, start: str, end: str, as_host: int, as_guest: int, levels: DataFrame | None = None) -> DataFrame:
+        rows = df.where(F.col(start) < F.col(end)).withColumn("__own", _levels(df, start, end, width))
+        parts = F.transform(F.sequence(F.col("__own"), F.lit(LEVELS)), lambda x: F.struct(x.alias("level"), F.when(x > F.col("__own"), as_guest).otherwise(plain).alias("kind")))
+        hosts = F.when(F.col("__own") > 0, F.array(F.struct(F.col("__own").alias("level"), F.lit(as_host).alias("kind"))))
+        parts = F.concat(parts, F.coalesce(hosts, F.array().cast("array<struct<level:int,kind:int>>")))
+        rows = rows.select(*df.columns, F.inline(parts).alias("__level", "__kind"))
+        if levels is not None:  # a row for each level and kind at most
+            free = df.sparkSession.range(LEVELS + 1).select(F.col("id").cast("int").alias("__level"), F.explode(F.array(F.lit(plain), F.lit(as_host))).alias("__kind"))
+            here = free.unionByName(levels.distinct().withColumn("__kind", F.lit(as_guest)))
+            rows = rows.join(F.broadcast(here), ["__level", "__kind"], "left_semi")
+        wide = F.lit(width) * F.pow(F.lit(SPREAD), F.col("__level"))
+        return rows.withColumn("__bin", F.explode(_bins(F.col(start), F.col(end), wide)))
+
+    own = right.where(F.col(r_start) < F.col(r_end)).select(_levels(right, r_start, r_end, width).alias("__level"))
+    a = binned(left, l_start, l_end, host, guest, own)
+    b = binned(right, r_start, r_end, guest, host)
     low, high = F.greatest(l_start, r_start), F.least(l_end, r_end)
-    met = (F.col("__level") == F.greatest("__la", "__lb")) & (low < high) & (F.col("__bin") == F.floor(low / wide))
-    return a.join(b, [*keys, "__level", "__bin"]).where(met).withColumn("overlap", high - low).drop("__la", "__lb", "__level", "__bin")
+    met = (low < high) & (F.col("__bin") == F.floor(low / (F.lit(width) * F.pow(F.lit(SPREAD), F.col("__level")))))
+    return a.join(b, [*keys, "__level", "__kind", "__bin"]).where(met).withColumn("overlap", high - low).drop("__level", "__kind", "__bin")
 
 
-def merge_intervals(df: DataFrame, keys: list[str], start: str = "s", end: str = "e") -> DataFrame:
-    """Unions of intervals that overlap or touch."""
-    order = Window.partitionBy(*keys).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.select(*keys, start, end).withColumn("__new", F.when(F.col(start) <= before, 0).otherwise(1))
-    numbered = marked.withColumn("__no", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "__no").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__no")
+def merge_intervals(df: DataFrame, keys: list[str], start: str = "s", end: str = "e", tile: int = TILE) -> DataFrame:
+    """Unions of intervals that overlap or touch; an empty interval counts as its place, one that ends before it starts is
+    left out.
+
+    Intervals are cut at tile edges and merged inside each tile; only runs that reach a tile edge, two a tile at most, are
+    put together afterwards.
+    """
+    first, last = F.floor(F.col(start) / tile), F.floor(F.greatest(F.col(end) - 1, F.col(start)) / tile)
+    cut = df.where(F.col(start) <= F.col(end)).select(*keys, start, end, F.explode(F.sequence(first, last)).alias("__tile"))
+    cut = cut.withColumn(start, F.greatest(F.col(start), F.col("__tile") * tile)).withColumn(end, F.least(F.col(end), (F.col("__tile") + 1) * tile))
+
+    def runs(rows: DataFrame, within: list[str]) -> DataFrame:
+        order = Window.partitionBy(*within).orderBy(start, end)
+        before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        marked = rows.withColumn("__new", F.when(F.col(start) <= before, 0).otherwise(1))
+        numbered = marked.withColumn("__no", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        return numbered.groupBy(*within, "__no").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__no")
+
+    inside = runs(cut, [*keys, "__tile"])
+    at_edge = (F.col(start) == F.col("__tile") * tile) | (F.col(end) == (F.col("__tile") + 1) * tile)
+    return inside.where(~at_edge).select(*keys, start, end).unionByName(runs(inside.where(at_edge).drop("__tile"), keys))
 
 
 def coverage(df: DataFrame, keys: list[str], start: str = "s", end: str = "e", weight: Column | float = 1.0, tile: int = TILE, least: float = 1e-9) -> DataFrame:

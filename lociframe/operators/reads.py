@@ -55,12 +55,14 @@ def fastq_stats(reads: DataFrame, by: list[str], file: str, seq: str = "seq") ->
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: str = "read_id") -> DataFrame:
     """n rows in the order of a hash of the key: both mates of a pair come together."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), key).limit(n)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str = "read_id") -> DataFrame:
     """Rows whose key hashes under the fraction; repeatable, whatever the partitions."""
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    if fraction >= 1:
+        return df
+    return df.where(F.substring(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), 1, 8) < f"{int(fraction * (1 << 32)):08x}")
 
 
 def limit_reads(df: DataFrame, n: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-LETTERS, BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"
+READ, LETTERS, BASES = 100, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACGTACGTACGTACGTACGTACGTAC"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,16 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def v_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.translate(F.substring(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), 1, 100), LETTERS, BASES)
-    return table(spark, sf_dir, "documents").select(F.col("source").alias("sample_id"), F.concat(F.lit("@r"), F.col("doc_id")).alias("read_id"), F.col("doc_id"), seq.alias("seq"))
+    """The letters of every text, whole, as reads of 100 letters (the last one shorter; a text without letters is one
+    empty read)."""
+    letters = F.translate(F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "")), LETTERS, BASES)
+    own = table(spark, sf_dir, "documents").select(F.col("source").alias("sample_id"), "doc_id", letters.alias("letters"))
+    own = own.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.floor((F.length("letters") - 1) / READ), F.lit(0)))).alias("piece"))
+    read_id = F.concat(F.lit("@r"), F.col("doc_id"), F.lit("."), F.col("piece"))
+    return own.select("sample_id", read_id.alias("read_id"), "doc_id", "piece", F.substring("letters", (F.col("piece") * READ + 1).cast("int"), F.lit(READ)).alias("seq"))
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read pairs whose UMI is taken from the end of mate 1, so that many read through."""
-    own = v_reads(spark, sf_dir).where("length(seq) >= 60")
+    """Reads of 48 letters or more, parted into mates; the UMI is taken from the end of mate 1, so that many read through."""
+    own = v_reads(spark, sf_dir).where("length(seq) >= 48").withColumn("n", F.col("doc_id") + F.col("piece"))
     return own.selectExpr(
-        "sample_id", "doc_id", "concat(read_id, '_', translate(reverse(substring(seq, 40 - doc_id % 12, 14)), 'ACGT', 'TGCA')) as read_id",
-        "substring(seq, 1, cast(45 - doc_id % 7 as int)) as seq1", "repeat('I', cast(45 - doc_id % 7 as int)) as qual1", "substring(seq, 46, cast(doc_id % 40 as int)) as seq2",
+        "sample_id", "doc_id", "piece", "concat(read_id, '_', translate(reverse(substring(seq, cast(40 - n % 12 as int), 14)), 'ACGT', 'TGCA')) as read_id",
+        "substring(seq, 1, cast(45 - n % 7 as int)) as seq1", "repeat('I', cast(45 - n % 7 as int)) as qual1", "substring(seq, cast(46 - n % 7 as int), 100) as seq2",
     )
 
 
@@ -67,10 +72,11 @@ def v_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = {
-    "v_reads": f"""SELECT source AS sample_id, '@r' || doc_id AS read_id, doc_id,
-        translate(substr(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 1, 100), '{LETTERS}', '{BASES}') AS seq FROM documents""",
-    "v_pairs": """SELECT sample_id, doc_id, read_id || '_' || translate(reverse(substr(seq, 40 - doc_id % 12, 14)), 'ACGT', 'TGCA') AS read_id,
-        substr(seq, 1, 45 - doc_id % 7) AS seq1, repeat('I', 45 - doc_id % 7) AS qual1, substr(seq, 46, doc_id % 40) AS seq2 FROM v_reads WHERE length(seq) >= 60""",
+    "v_reads": f"""SELECT sample_id, '@r' || doc_id || '.' || piece AS read_id, doc_id, piece, substr(letters, piece * {READ} + 1, {READ}) AS seq FROM (
+        SELECT *, unnest(range(0, greatest((length(letters) + {READ - 1}) // {READ}, 1))) AS piece FROM (
+        SELECT source AS sample_id, doc_id, translate(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')), '{LETTERS}', '{BASES}') AS letters FROM documents))""",
+    "v_pairs": """SELECT sample_id, doc_id, piece, read_id || '_' || translate(reverse(substr(seq, 40 - n % 12, 14)), 'ACGT', 'TGCA') AS read_id,
+        substr(seq, 1, 45 - n % 7) AS seq1, repeat('I', 45 - n % 7) AS qual1, substr(seq, 46 - n % 7, 100) AS seq2 FROM (SELECT *, doc_id + piece AS n FROM v_reads WHERE length(seq) >= 48)""",
     "v_aln": """SELECT l_suppkey % 4 AS sample_id, CAST(l_orderkey AS VARCHAR) AS qname,
         1 + CASE WHEN l_linenumber % 2 = 1 THEN 64 ELSE 128 END + CASE WHEN l_partkey % 2 = 1 THEN 16 ELSE 0 END + CASE WHEN l_quantity > 48 THEN 256 ELSE 0 END AS flag,
         CAST(l_suppkey % 10 AS VARCHAR) AS chrom, l_partkey * 7 AS st, round(l_discount * 100) AS score, l_linenumber * 40 AS mapq,

@@ -26,8 +26,28 @@ def sets(s, d):
     return L.gene_sets(L.fragment_gene_overlap(fragments(s, d), merged(s, d), width=64))
 
 
+def marked(fragments):
+    """Splice and poly(A) marks by the score, so that every kind is there."""
+    return fragments.withColumn("spliced", F.col("score") % 2 == 0).withColumn("pas", F.col("score") % 3 == 0)
+
+
+def tracts(s, d):
+    """A reference of a thousand A, C, T and G on every chromosome that has alignments."""
+    own = v_aln(s, d).select("chrom").distinct().select("chrom", F.explode(F.sequence(F.lit(0), F.lit(3)).cast("array<bigint>")).alias("tile"))
+    return own.withColumn("seq", F.repeat(F.element_at(F.split(F.lit("A,C,T,G"), ","), (F.col("tile") + 1).cast("int")), F.lit(1000)))
+
+
+def tailed(s, d):
+    """Alignments with reads, of which those of every third line end in a clipped poly(A) tail (poly(T) on the reverse strand)."""
+    own = v_aln(s, d)
+    tail = F.when(A.flag(F.col("flag"), A.REVERSE), F.concat(F.lit("10S"), "cigar")).otherwise(F.concat("cigar", F.lit("10S")))
+    bases = F.when(A.flag(F.col("flag"), A.REVERSE), F.concat(F.repeat(F.lit("T"), F.lit(10)), F.repeat(F.lit("C"), F.lit(60)))).otherwise(F.concat(F.repeat(F.lit("C"), F.lit(60)), F.repeat(F.lit("A"), F.lit(10))))
+    has = F.col("mapq") % 120 == 0
+    return own.withColumns({"cigar": F.when(has, tail).otherwise(F.col("cigar")), "seq": F.when(has, bases).otherwise(F.repeat(F.lit("C"), F.lit(60))), "qual": F.repeat(F.lit("I"), F.lit(70))})
+
+
 def quantified(s, d, **kw):
-    return E.quantify(v_aln(s, d), exons(s, d), **kw)
+    return E.quantify(tailed(s, d), exons(s, d), **kw)
 
 
 def ambiguous(s, d):
@@ -42,6 +62,35 @@ def em_counts(s, d):
 
 bit = lambda b: f"(flag & {b}) <> 0"
 PRIMARY = "(flag & 2304) = 0"
+#: Fragments as SQL: mates paired (`pr`), all fragments (`f`, of 4 blocks at most), their blocks (`fb`) and genes (`hit`, `gs`).
+PAIRS = """n AS (SELECT *, CASE WHEN (flag & 128) <> 0 THEN 2 ELSE 1 END AS mate, (flag & 16) <> 0 AS rev, coalesce(nh = 1, mapq >= 255) AS u, st + m1 + gap + m2 AS en FROM v_aln WHERE (flag & 3844) = 0),
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, qname, chrom, st, m1, gap, m2, mate ORDER BY score DESC NULLS LAST, flag, mapq DESC) AS nth FROM n) WHERE nth = 1),
+pa AS (SELECT a.sample_id, a.qname, a.chrom, a.st AS s1, a.m1 AS a1, a.gap AS g1, a.m2 AS b1, a.rev AS rev1, b.st AS s2, b.m1 AS a2, b.gap AS g2, b.m2 AS b2, b.rev AS rev2, a.score + b.score AS score, a.u AND b.u AS u,
+  row_number() OVER (PARTITION BY a.sample_id, a.qname ORDER BY a.score + b.score DESC, a.chrom, a.st, b.st, a.en, b.en) AS place
+  FROM o a JOIN o b USING (sample_id, qname, chrom) WHERE a.mate = 1 AND b.mate = 2 AND a.rev <> b.rev AND CASE WHEN a.rev THEN a.st >= b.st ELSE b.st >= a.st END AND greatest(a.en, b.en) - least(a.st, b.st) BETWEEN 10 AND 2000000),
+pr AS (SELECT * FROM pa WHERE WANTED)"""
+FRAGMENTS = PAIRS + """, us AS (SELECT sample_id, qname, chrom, 1 AS mate, s1 AS st, a1 AS m1, g1 AS gap, b1 AS m2, rev1 AS rev FROM pr UNION SELECT sample_id, qname, chrom, 2, s2, a2, g2, b2, rev2 FROM pr),
+al AS (SELECT * FROM o ANTI JOIN us USING (sample_id, qname, chrom, mate, st, m1, gap, m2, rev)),
+f AS MATERIALIZED (SELECT *, row_number() OVER () AS frag, count(*) OVER (PARTITION BY sample_id, qname) AS loci FROM (
+  SELECT sample_id, qname, chrom, s1, a1, g1, b1, rev1, s2, a2, g2, b2, rev2, score, u FROM pr UNION ALL
+  SELECT sample_id, qname, chrom, st, m1, gap, m2, rev, NULL, NULL, NULL, NULL, NULL, score, u FROM al WHERE mate = 1 UNION ALL
+  SELECT sample_id, qname, chrom, NULL, NULL, NULL, NULL, NULL, st, m1, gap, m2, rev, score, u FROM al WHERE mate = 2))"""
+HITS = FRAGMENTS + """, fb AS (SELECT frag, chrom, s1 AS s, s1 + a1 AS e FROM f WHERE s1 IS NOT NULL UNION ALL SELECT frag, chrom, s1 + a1 + g1, s1 + a1 + g1 + b1 FROM f WHERE s1 IS NOT NULL
+  UNION ALL SELECT frag, chrom, s2, s2 + a2 FROM f WHERE s2 IS NOT NULL UNION ALL SELECT frag, chrom, s2 + a2 + g2, s2 + a2 + g2 + b2 FROM f WHERE s2 IS NOT NULL),
+x AS (SELECT gene_id, CAST(chrom AS VARCHAR) AS chrom, s, e, strand FROM v_exon), mp AS (SELECT frag, sum(e - s) AS mapped FROM fb GROUP BY 1),
+hit AS MATERIALIZED (SELECT frag, gene_id, bases FROM (SELECT frag, gene_id, sum(least(fb.e, x.e) - greatest(fb.s, x.s)) AS bases FROM fb JOIN x ON fb.chrom = x.chrom AND fb.s < x.e AND x.s < fb.e GROUP BY 1, 2) JOIN mp USING (frag)
+  WHERE bases >= LEAST_BASES AND bases >= LEAST_SHARE * mapped),
+gs AS (SELECT frag, min(gene_id) AS gene_id, count(*) AS genes FROM hit GROUP BY 1)"""
+
+
+def fragment_sql(body, of=HITS, every="true", bases=10, share=0.01):
+    return sql(of.replace("WANTED", every).replace("LEAST_BASES", str(bases)).replace("LEAST_SHARE", str(share)) + " " + body, "v_aln", "v_exon")
+
+
+LABELS = """u AS (SELECT DISTINCT sample_id, qname, chrom, st, m1, gap, m2, flag FROM v_aln), b AS (SELECT *, st AS s, st + m1 AS e FROM u UNION ALL SELECT *, st + m1 + gap, st + m1 + gap + m2 FROM u),
+h AS (SELECT b.sample_id, qname, b.chrom, st, m1, gap, m2, flag, min(strand) AS lo, max(strand) AS hi FROM b JOIN v_exon x ON b.chrom = CAST(x.chrom AS VARCHAR) AND b.s < x.e AND x.s < b.e GROUP BY ALL),
+l AS (SELECT sample_id, CASE WHEN lo <> hi THEN 'both' ELSE (CASE WHEN (flag & 128) <> 0 THEN '2' ELSE '1' END) || (CASE WHEN (flag & 16) <> 0 THEN '-' ELSE '+' END) || lo END AS label FROM h)"""
+UMIS = "l_suppkey % 4 AS sample_id, l_suppkey % 10 AS chrom, l_partkey % 50 AS pos, substr('ACGT', CAST(l_orderkey % 4 + 1 AS INTEGER), 1) || 'ACG' || substr('AAAC', CAST(l_linenumber % 4 + 1 AS INTEGER), 1) AS umi"
 
 QUERIES = {
     "p9_cigar_junctions": (lambda s, d: v_aln(s, d).select("qname", "st", A.cigar_junctions(F.col("cigar")).cast("long").alias("junctions"), A.cigar_mapped_length(F.col("cigar")).alias("mapped")), sql("SELECT qname, st, CAST(1 AS BIGINT) AS junctions, m1 + m2 AS mapped FROM v_aln", "v_aln")),
@@ -68,32 +117,59 @@ QUERIES = {
         sql(f"SELECT sample_id, median(abs(tlen)) AS median, round(avg(abs(tlen)), 4) AS mean, round(stddev_pop(abs(tlen)), 4) AS sd, min(abs(tlen)) AS low, max(abs(tlen)) AS high FROM v_aln WHERE {bit(64)} AND (flag & 256) = 0 AND tlen <> 0 GROUP BY 1", "v_aln")),
     "w13_dedup_alignments": (lambda s, d: L.dedup_alignments(v_aln(s, d)).groupBy("sample_id").agg(F.count("*").alias("n")), sql(f"SELECT sample_id, count(*) AS n FROM (SELECT DISTINCT sample_id, qname, chrom, st, m1, gap, m2, {bit(128)} FROM v_aln) GROUP BY 1", "v_aln")),
     "w10_cap_alignments": (lambda s, d: L.cap_alignments_per_mate(v_aln(s, d), 1).groupBy("sample_id").agg(F.count("*").alias("n")), sql(f"SELECT sample_id, count(*) AS n FROM (SELECT DISTINCT sample_id, qname, {bit(128)} FROM v_aln) GROUP BY 1", "v_aln")),
-    "j2_pair_alignments": (lambda s, d: fragments(s, d).groupBy("sample_id", F.col("blocks_r1").isNotNull().alias("r1"), F.col("blocks_r2").isNotNull().alias("r2")).agg(F.count("*").alias("n"), F.sum("score").alias("score")), None),
-    "w9_dedup_fragments": (lambda s, d: L.dedup_fragments_by_locus(fragments(s, d).unionByName(fragments(s, d))).groupBy("sample_id").agg(F.count("*").alias("n")), None),
-    "j4_fragment_gene_overlap": (lambda s, d: L.fragment_gene_overlap(fragments(s, d), merged(s, d), width=64).groupBy("gene_id").agg(F.count("*").alias("fragments"), F.sum("bases").alias("bases")), None),
-    "j12_infer_strand": (lambda s, d: L.infer_strand(v_aln(s, d).dropDuplicates(["qname", "st", "cigar", "flag"]), merged(s, d), width=64).groupBy("sample_id", "label").agg(F.count("*").alias("n")),
-        sql("""u AS (SELECT DISTINCT sample_id, qname, chrom, st, m1, gap, m2, flag FROM v_aln), b AS (SELECT *, st AS s, st + m1 AS e FROM u UNION ALL SELECT *, st + m1 + gap, st + m1 + gap + m2 FROM u),
-        h AS (SELECT b.sample_id, qname, b.chrom, st, m1, gap, m2, flag, min(strand) AS lo, max(strand) AS hi FROM b JOIN v_exon x ON b.chrom = CAST(x.chrom AS VARCHAR) AND b.s < x.e AND x.s < b.e GROUP BY ALL)
-        SELECT sample_id, CASE WHEN lo <> hi THEN 'both' ELSE (CASE WHEN (flag & 128) <> 0 THEN '2' ELSE '1' END) || (CASE WHEN (flag & 16) <> 0 THEN '-' ELSE '+' END) || lo END AS label, count(*) AS n FROM h GROUP BY 1, 2""", "v_aln", "v_exon")),
-    "a8_strand_fractions": (lambda s, d: L.strand_fractions(L.infer_strand(v_aln(s, d), merged(s, d), width=64)), None),
-    "a15_feature_counts": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d), require_both=False), None),
-    "a20_unique_gene_counts": (lambda s, d: L.unique_gene_counts(fragments(s, d).withColumn("spliced", F.lit(True)).withColumn("pas", F.lit(False)), sets(s, d), X.gene_model(exons(s, d))), None),
-    "a28_base_classes": (lambda s, d: L.base_class_metrics(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), merged(s, d).withColumn("base_class", F.when(F.col("gene_id") % 3 == 0, "coding").when(F.col("gene_id") % 3 == 1, "utr").otherwise("intron")), ["coding", "utr", "intron"], width=64).select("sample_id", "base_class", "bases", F.round("fraction", 6).alias("fraction")), None),
-    "a34_umi_dedup": (lambda s, d: L.umi_dedup(table(s, d, "lineitem").selectExpr("l_suppkey % 4 as sample_id", "l_suppkey % 10 as chrom", "l_partkey % 50 as pos", "'+' as strand", "concat(substring('ACGT', cast(l_orderkey % 4 + 1 as int), 1), 'ACG', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as umi")), None),
-    "p16_proper_pair": (lambda s, d: fragments(s, d, all_pairs=False).where("blocks_r1 is not null and blocks_r2 is not null").groupBy("sample_id").agg(F.count("*").alias("pairs")), None),
+    "j2_pair_alignments": (lambda s, d: fragments(s, d).groupBy("sample_id", "is_unique", F.col("blocks_r1").isNotNull().alias("r1"), F.col("blocks_r2").isNotNull().alias("r2")).agg(F.count("*").alias("n"), F.sum("score").alias("score")),
+        fragment_sql("SELECT sample_id, u AS is_unique, s1 IS NOT NULL AS r1, s2 IS NOT NULL AS r2, count(*) AS n, sum(score) AS score FROM f GROUP BY 1, 2, 3, 4", FRAGMENTS)),
+    "w9_dedup_fragments": (lambda s, d: L.dedup_fragments_by_locus(fragments(s, d).unionByName(fragments(s, d).withColumn("score", F.col("score") - 1))).groupBy("sample_id").agg(F.count("*").alias("n"), F.sum("score").alias("score")),
+        fragment_sql("SELECT sample_id, count(*) AS n, sum(score) AS score FROM f GROUP BY 1", FRAGMENTS)),
+    "j4_fragment_gene_overlap": (lambda s, d: L.fragment_gene_overlap(fragments(s, d), merged(s, d), width=64).groupBy("gene_id").agg(F.count("*").alias("fragments"), F.sum("bases").alias("bases")),
+        fragment_sql("SELECT gene_id, count(*) AS fragments, CAST(sum(bases) AS BIGINT) AS bases FROM hit GROUP BY 1")),
+    "j12_infer_strand": (lambda s, d: L.infer_strand(v_aln(s, d), merged(s, d), width=64).groupBy("sample_id", "label").agg(F.count("*").alias("n")), sql(LABELS + " SELECT sample_id, label, count(*) AS n FROM l GROUP BY 1, 2", "v_aln", "v_exon")),
+    "a8_strand_fractions": (lambda s, d: L.strand_fractions(L.infer_strand(v_aln(s, d), merged(s, d), width=64)).select("sample_id", *[F.round(c, 8).alias(c) for c in ("forward", "reverse", "undetermined")]),
+        sql(LABELS + """ SELECT sample_id, round(avg(CASE WHEN label IN ('1++', '1--', '2+-', '2-+') THEN 1 ELSE 0 END), 8) AS forward, round(avg(CASE WHEN label IN ('1+-', '1-+', '2++', '2--') THEN 1 ELSE 0 END), 8) AS reverse,
+        round(avg(CASE WHEN label = 'both' THEN 1 ELSE 0 END), 8) AS undetermined FROM l GROUP BY 1""", "v_aln", "v_exon")),
+    "a15_feature_counts": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d)),
+        fragment_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u AND s1 IS NOT NULL AND s2 IS NOT NULL GROUP BY 1", bases=1, share=0.0)),
+    "a15_feature_counts_single": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d), require_both=False), fragment_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1", bases=1, share=0.0)),
+    "a20_unique_gene_counts": (lambda s, d: L.unique_gene_counts(marked(fragments(s, d)), sets(s, d), X.gene_model(exons(s, d)).withColumn("exons", 1 + F.col("gene_id") % 2)),
+        fragment_sql("SELECT gene_id, count(*) AS count, count(*) FILTER (score % 2 = 0 AND gene_id % 2 = 1) AS splice, count(*) FILTER (score % 3 = 0) AS pas FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1")),
+    "a28_base_classes": (lambda s, d: L.base_class_metrics(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), merged(s, d).withColumn("base_class", F.when(F.col("gene_id") % 3 == 0, "coding").when(F.col("gene_id") % 3 == 1, "utr").otherwise("intron")), ["coding", "utr", "intron"], width=64).select("sample_id", "base_class", "bases", F.round("fraction", 6).alias("fraction")),
+        sql("""b AS (SELECT sample_id, chrom, st AS s, st + m1 AS e FROM v_aln UNION ALL SELECT sample_id, chrom, st + m1 + gap, st + m1 + gap + m2 FROM v_aln), x AS (SELECT CAST(chrom AS VARCHAR) AS chrom, s, e, gene_id % 3 AS c FROM v_exon),
+        p AS (SELECT chrom, s AS pos FROM x UNION SELECT chrom, e FROM x), q AS (SELECT chrom, pos AS s, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS e FROM p),
+        r AS (SELECT q.chrom, q.s, q.e, min(c) AS c FROM q JOIN x ON q.chrom = x.chrom AND x.s <= q.s AND q.e <= x.e GROUP BY 1, 2, 3), t AS (SELECT sample_id, sum(e - s) AS total FROM b GROUP BY 1),
+        h AS (SELECT sample_id, c, sum(least(b.e, r.e) - greatest(b.s, r.s)) AS bases FROM b JOIN r ON b.chrom = r.chrom AND b.s < r.e AND r.s < b.e GROUP BY 1, 2),
+        y AS (SELECT sample_id, CASE c WHEN 0 THEN 'coding' WHEN 1 THEN 'utr' ELSE 'intron' END AS base_class, bases FROM h UNION ALL SELECT sample_id, 'intergenic', total - coalesce(met, 0) FROM t LEFT JOIN (SELECT sample_id, sum(bases) AS met FROM h GROUP BY 1) USING (sample_id))
+        SELECT sample_id, base_class, CAST(bases AS BIGINT) AS bases, round(bases / total, 6) AS fraction FROM y JOIN t USING (sample_id)""", "v_aln", "v_exon")),
+    "a34_umi_dedup": (lambda s, d: L.umi_dedup(table(s, d, "lineitem").selectExpr("l_suppkey % 4 as sample_id", "l_suppkey % 10 as chrom", "l_partkey % 50 as pos", "'+' as strand", "concat(substring('ACGT', cast(l_orderkey % 4 + 1 as int), 1), 'ACG', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as umi")),
+        f"""WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT {UMIS}, count(*) AS reads FROM lineitem GROUP BY ALL)),
+        k AS (SELECT a.sample_id, a.chrom, a.pos, a.umi, b.umi AS umi2 FROM c a JOIN c b USING (sample_id, chrom, pos) WHERE a.reads >= 2 * b.reads - 1 AND len(list_filter(range(1, 6), lambda i: substr(a.umi, i, 1) <> substr(b.umi, i, 1))) = 1),
+        r AS (SELECT sample_id, chrom, pos, umi AS source, place, umi FROM c UNION SELECT r.sample_id, r.chrom, r.pos, source, place, k.umi2 FROM r JOIN k USING (sample_id, chrom, pos, umi)),
+        m AS (SELECT sample_id, chrom, pos, umi, arg_min(source, place) AS cluster FROM r GROUP BY 1, 2, 3, 4)
+        SELECT sample_id, chrom, pos, '+' AS strand, umi, reads, cluster FROM c JOIN m USING (sample_id, chrom, pos, umi)"""),
+    "p16_proper_pair": (lambda s, d: fragments(s, d, all_pairs=False).where("blocks_r1 is not null and blocks_r2 is not null").groupBy("sample_id").agg(F.count("*").alias("pairs"), F.sum("score").alias("score")),
+        fragment_sql("SELECT sample_id, count(*) AS pairs, sum(score) AS score FROM pr GROUP BY 1", PAIRS, "place = 1")),
     "p18_polya_clip": (lambda s, d: v_aln(s, d).selectExpr("sample_id", "concat(repeat('C', 20), repeat('A', cast(st % 12 as int))) as seq", "transform(sequence(1, 20 + cast(st % 12 as int)), x -> 30) as q", "concat('20M', cast(st % 12 as string), 'S') as cigar").groupBy("sample_id", A.polya_clip(F.col("seq"), F.col("q"), F.col("cigar"), F.lit(False)).alias("pas")).agg(F.count("*").alias("n")),
         sql("SELECT sample_id, st % 12 >= 8 AS pas, count(*) AS n FROM v_aln GROUP BY 1, 2", "v_aln")),
-    "p19_internal_priming": (lambda s, d: L.internal_priming(v_aln(s, d).selectExpr("chrom", "st % 3000 as pos", "false as is_reverse").distinct(), s.range(0, 10).selectExpr("cast(id as string) as chrom", "explode(sequence(0L, 3L)) as tile").withColumn("seq", F.when(F.col("tile") % 2 == 0, F.repeat(F.lit("A"), 1000)).otherwise(F.repeat(F.lit("C"), 1000)))).groupBy("chrom", "priming").agg(F.count("*").alias("n")),
-        sql("u AS (SELECT DISTINCT chrom, st % 3000 AS pos FROM v_aln) SELECT chrom, (pos < 984 OR (pos >= 1996 AND pos < 2984)) AS priming, count(*) AS n FROM u GROUP BY 1, 2", "v_aln")),
+    "p19_internal_priming": (lambda s, d: L.internal_priming(v_aln(s, d).select("chrom", F.expr("st % 4000").alias("pos"), A.flag(F.col("flag"), A.REVERSE).alias("is_reverse")).distinct(), tracts(s, d)).groupBy("chrom", "is_reverse", "priming").agg(F.count("*").alias("n")),
+        sql(f"""u AS (SELECT DISTINCT chrom, st % 4000 AS pos, {bit(16)} AS is_reverse FROM v_aln), w AS (SELECT *, CASE WHEN is_reverse THEN greatest(pos - 20, 0) ELSE pos END AS low, CASE WHEN is_reverse THEN pos ELSE pos + 20 END AS high FROM u),
+        a AS (SELECT *, greatest(0, least(high, 1000) - low) AS adenines, greatest(0, least(high, 3000) - greatest(low, 2000)) AS thymines, least(high, 4000) - low AS bases FROM w)
+        SELECT chrom, is_reverse, bases > 0 AND greatest(adenines, thymines) * 10 >= bases * 8 AS priming, count(*) AS n FROM a GROUP BY 1, 2, 3""", "v_aln")),
     "p29_alignments_to_reads": (lambda s, d: L.alignments_to_reads(v_aln(s, d).withColumn("seq", F.lit("ACGTT")).withColumn("qual", F.lit("ABCDE"))).groupBy("mate", "seq", "qual").agg(F.count("*").alias("n")),
         sql(f"""p AS (SELECT *, {bit(128)} AS two FROM v_aln WHERE {PRIMARY}), b AS (SELECT sample_id, qname FROM p GROUP BY 1, 2 HAVING count(DISTINCT two) = 2)
         SELECT CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN 'AACGT' ELSE 'ACGTT' END AS seq, CASE WHEN {bit(16)} THEN 'EDCBA' ELSE 'ABCDE' END AS qual, count(*) AS n FROM p SEMI JOIN b USING (sample_id, qname) GROUP BY 1, 2, 3""", "v_aln")),
     "e1_positional_em": (lambda s, d: E.positional_em(
             fragments(s, d).where("blocks_r1 is not null").select("sample_id", "chrom", "qname", F.col("frag").alias("locus"), "score", F.inline("blocks_r1")), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
-        ).select("sample_id", "chrom", "qname", "locus", F.round("fraction", 6).alias("fraction")), None),
+        ).select("sample_id", "chrom", "qname", "score", F.round("fraction", 6).alias("fraction")), None),
     "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), None),
-    "e3_resolve_multi": (lambda s, d: E.resolve_multi(fragments(s, d).select("frag", (1 / (1 + F.col("score"))).alias("fraction"), F.lit(False).alias("spliced"), F.lit(False).alias("pas")), sets(s, d))[0].select("gene_id", F.round("count", 6).alias("count")), None),
-    "e4_quantify": (lambda s, d: quantified(s, d).select("gene_id", "length", "counts_uniq", *[F.round(c, 3).alias(c) for c in ("tpm_uniq", "counts_multi", "counts_total", "tpm")]), None),
-    "e4_quantify_unique": (lambda s, d: quantified(s, d, mode="unique", genes="unique").select("gene_id", "counts_uniq", F.round("tpm", 3).alias("tpm")), None),
+    "e3_resolve_multi": (lambda s, d: E.resolve_multi(fragments(s, d).select("frag", (1 / (1 + F.col("score"))).alias("fraction"), (F.col("score") % 2 == 0).alias("spliced"), (F.col("score") % 3 == 0).alias("pas")), sets(s, d))[0].select("gene_id", *[F.round(c, 6).alias(c) for c in ("count", "splice", "pas")]),
+        fragment_sql("SELECT gene_id, round(sum(1 / (1 + score)), 6) AS count, round(sum(CASE WHEN score % 2 = 0 THEN 1 / (1 + score) ELSE 0 END), 6) AS splice, round(sum(CASE WHEN score % 3 = 0 THEN 1 / (1 + score) ELSE 0 END), 6) AS pas FROM gs JOIN f USING (frag) WHERE genes = 1 GROUP BY 1")),
+    "e4_quantify": (lambda s, d: quantified(s, d).select("gene_id", "length", "counts_uniq", *[F.round(c, 3).alias(c) for c in ("tpm_uniq", "counts_multi", "counts_total", "tpm", "counts_splice", "counts_pas")]), None),
+    "e4_unique_tracks": (lambda s, d: E.quantification_tracks(*E.placed_fragments(tailed(s, d), exons(s, d), mode="primary")).select("part", "bucket", "chrom", "s", "e", F.round("value", 6).alias("value")),
+        fragment_sql("""SELECT 'unique' AS part, bucket, chrom, s, e, CAST(value AS DOUBLE) AS value FROM (SELECT bucket, chrom, pos AS s, lead(pos) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS e, sum(d) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS value FROM (
+        SELECT bucket, chrom, pos, sum(d) AS d FROM (SELECT bucket, chrom, unnest([s, e]) AS pos, unnest([1.0, -1.0]) AS d FROM (
+          SELECT frag, chrom, CASE WHEN rev1 THEN 'F2R1' ELSE 'F1R2' END AS bucket, unnest([s1, s1 + a1 + g1]) AS s, unnest([s1 + a1, s1 + a1 + g1 + b1]) AS e FROM f WHERE s1 IS NOT NULL AND loci = 1 AND u UNION ALL
+          SELECT frag, chrom, CASE WHEN rev2 THEN 'F1R2' ELSE 'F2R1' END, unnest([s2, s2 + a2 + g2]), unnest([s2 + a2, s2 + a2 + g2 + b2]) FROM f WHERE s2 IS NOT NULL AND loci = 1 AND u)) GROUP BY 1, 2, 3)) WHERE value > 1e-9 AND e IS NOT NULL""", FRAGMENTS, "place = 1")),
+    "e4_quantify_unique": (lambda s, d: quantified(s, d, mode="unique", genes="unique").select("gene_id", "counts_uniq", "counts_splice", "counts_pas", F.round("tpm", 3).alias("tpm")),
+        fragment_sql("""SELECT gene_id, CAST(count(*) AS DOUBLE) AS counts_uniq, 0.0::DOUBLE AS counts_splice, CAST(count(*) FILTER (coalesce(g1 % 30 = 0, false) OR coalesce(g2 % 30 = 0, false)) AS DOUBLE) AS counts_pas, round(count(*) * 1e6 / sum(count(*)) OVER (), 3) AS tpm FROM gs JOIN f USING (frag)
+        WHERE genes = 1 AND loci = 1 AND u AND NOT EXISTS (SELECT 1 FROM f g WHERE g.sample_id = f.sample_id AND g.qname = f.qname AND NOT g.u) GROUP BY 1""", every="place = 1")),
     "a37_quant_summary": (lambda s, d: E.quant_summary(fragments(s, d), sets(s, d), quantified(s, d)), None),
 }

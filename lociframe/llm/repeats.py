@@ -53,7 +53,7 @@ def sorted_out(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     place, here = F.struct("row", "at", "n"), F.when(F.col("more").isNull(), 1).otherwise(1 + F.size("more"))
     by_key = segments.groupBy("key").agg(F.sum(here).alias("of_key"), F.min("seg").alias("low"), F.max("seg").alias("high")).where("of_key > 1")
     by_key = written(by_key.select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
-    shared = written(segments.join(by_key, "key"), "segments")
+    shared = written(segments.join(by_key.hint("merge"), "key"), "segments")  # keys grow with the corpus: they are not broadcast
     dropped(segments)
     dropped(by_key)
     counts = written(shared.where("mixed").groupBy("key", "seg").agg(F.sum(here).alias("c"), F.min(place).alias("place")), "segments")

@@ -13,28 +13,34 @@ PASSAGE_BYTES, PASSAGE_WORDS = 250, 51
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under 0.5."""
+    """Documents that score under 0.5. Null and empty texts score 0 and stay; repeated rows are judged alike; whole texts are
+    scored, however long."""
     net = toxicity.learned(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, net, score="__score").where(F.col("__score") < 0.5).select(*docs.columns)
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies, exact or near (five-word shingles, similarity of 0.8 or more)."""
+    """One document of each group of copies, exact or near (five-word shingles, similarity of 0.8 or more): that of the least
+    doc_id, rows without one last. Null and empty texts are one group; repeated rows are copies; of equal rows any one
+    stays."""
     return simhash.deduplicated(docs, shingle=5, similarity=0.8)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that occur more than once; n_chars follows the text."""
+    """Documents without the passages that occur more than once; n_chars follows the text. Every document stays, if with an
+    empty text; a null text stays null, with a null n_chars; all occurrences of a passage go, those of repeated rows too."""
     cut = suffix_dedup.without_repeats(docs, size=PASSAGE_BYTES, words=PASSAGE_WORDS, kept_text="text")
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts stay; repeated rows are judged alike; all windows of a text
+    are looked at."""
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the number of their tokens, and digests of the ids and of what they decode to. A null text has none."""
     import public_tokenizers
 
     return bpe_automaton.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -41,11 +41,16 @@ def _mismatches(a: Column, b: Column) -> Column:
     return F.when(F.length(a) > 0, F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))))).otherwise(0)
 
 
+def _within(a: Column, b: Column, most: Column) -> Column:
+    """Whether two words of one length differ in `most` letters at most; up to one letter that is what their edit distance says."""
+    return F.when(most < 1, a == b).when(most < 2, F.levenshtein(a, b, 1) >= 0).otherwise(_mismatches(a, b) <= most)
+
+
 def overlap_length(seq: Column, adapter: Column, min_overlap: int = 3, error_rate: float = 0.1) -> Column:
     """The longest end of the read that is, but for int(length * error_rate) letters, a beginning of the adapter; else 0."""
     most = F.least(F.length(seq), F.length(adapter))
     sizes = F.when(most >= min_overlap, F.sequence(F.lit(min_overlap), most)).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(sizes, lambda n: _mismatches(F.right(seq, n), F.substring(adapter, F.lit(1), n)) <= F.floor(n * F.lit(error_rate)))
+    fits = F.filter(sizes, lambda n: _within(F.right(seq, n), F.substring(adapter, F.lit(1), n), F.floor(n * F.lit(error_rate))))
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 
@@ -88,7 +93,7 @@ def adapter_start(seq: Column, adapter: str = ADAPTER, overlap: int = 3, error_r
 
     def fits(i: Column) -> Column:
         n = F.least(F.length(seq) - i + 1, F.lit(len(adapter)))
-        return _mismatches(F.substring(seq, i, n), F.substring(F.lit(adapter), F.lit(1), n)) <= F.floor(n * F.lit(error_rate))
+        return _within(F.substring(seq, i, n), F.substring(F.lit(adapter), F.lit(1), n), F.floor(n * F.lit(error_rate)))
 
     return F.array_min(F.filter(sizes, fits))
 

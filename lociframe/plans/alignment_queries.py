@@ -92,6 +92,64 @@ h AS (SELECT b.sample_id, qname, b.chrom, st, m1, gap, m2, flag, min(strand) AS
 l AS (SELECT sample_id, CASE WHEN lo <> hi THEN 'both' ELSE (CASE WHEN (flag & 128) <> 0 THEN '2' ELSE '1' END) || (CASE WHEN (flag & 16) <> 0 THEN '-' ELSE '+' END) || lo END AS label FROM h)"""
 UMIS = "l_suppkey % 4 AS sample_id, l_suppkey % 10 AS chrom, l_partkey % 50 AS pos, substr('ACGT', CAST(l_orderkey % 4 + 1 AS INTEGER), 1) || 'ACG' || substr('AAAC', CAST(l_linenumber % 4 + 1 AS INTEGER), 1) AS umi"
 
+#: Rounds as recursion: the state of a round is a row of lists by gene (E2), or a row for each place (E1).
+GENE_EM = """WITH RECURSIVE f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem),
+s AS MATERIALIZED (SELECT genes, count(*) AS c FROM (SELECT list_sort(list_distinct([l_partkey % 50, l_suppkey % 50, CAST(l_linenumber AS BIGINT)])) AS genes FROM f) WHERE len(genes) > 1 GROUP BY 1),
+g AS (SELECT l_partkey % 50 AS gene, sum(l_quantity) AS own, 51 + 10 * (l_partkey % 50) AS eff FROM lineitem GROUP BY ALL),
+h AS MATERIALIZED (SELECT list(gene ORDER BY gene) AS genes, list(own ORDER BY gene) AS own, list(eff ORDER BY gene) AS eff FROM g),
+z AS (SELECT own, list_transform(range(1, len(own) + 1), lambda k: (own[k] + 0.1) / eff[k]) AS raw FROM h),
+r AS (SELECT 0 AS i, list_transform(raw, lambda x: x / list_sum(raw)) AS alpha, list_transform(own, lambda x: 0.0::DOUBLE) AS em, 1.0::DOUBLE AS moved FROM z
+UNION ALL
+SELECT i, alpha, em, list_max(list_transform(range(1, len(alpha) + 1), lambda k: abs(alpha[k] - old[k]))) FROM (
+  SELECT i, old, em, list_transform(raw, lambda x: x / list_sum(raw)) AS alpha FROM (
+    SELECT i, old, em, list_transform(range(1, len(em) + 1), lambda k: (own[k] + em[k] + 0.1) / eff[k]) AS raw FROM (
+      SELECT i + 1 AS i, alpha AS old, list(x ORDER BY gene) AS em FROM (
+        SELECT i, alpha, gene, sum(c * alpha[list_position(h.genes, gene)] / total) AS x FROM (
+          SELECT i, alpha, c, unnest(s.genes) AS gene, list_sum(list_transform(s.genes, lambda x: alpha[list_position(h.genes, x)])) AS total FROM r, s, h WHERE moved >= 1e-3 AND i < 100), h GROUP BY ALL)
+      GROUP BY i, alpha), h)))
+SELECT unnest(h.genes) AS gene_id, round(unnest(em), 3) AS em_count FROM r, h WHERE i = (SELECT max(i) FROM r)"""
+PLACE_ROUNDS = """ev AS (SELECT sample_id, chrom, pos, sum(d) AS d, sum(h) AS h FROM (SELECT sample_id, chrom, unnest([s, e]) AS pos, unnest([1, -1]) AS d, 0 AS h FROM ab UNION ALL SELECT sample_id, chrom, unnest([s, e]), 0, unnest([1, -1]) FROM bl) GROUP BY 1, 2, 3),
+pc AS MATERIALIZED (SELECT sample_id, chrom, pos AS s, lead(pos) OVER w AS e, sum(d) OVER w AS base, sum(h) OVER w AS held FROM ev WINDOW w AS (PARTITION BY sample_id, chrom ORDER BY pos)),
+sh AS MATERIALIZED (SELECT bl.frag, pc.sample_id, pc.chrom, pc.s, max(pc.base) AS base, sum(least(bl.e, pc.e) - greatest(bl.s, pc.s)) AS bases, count(*) AS times FROM bl JOIN pc ON bl.sample_id = pc.sample_id AND bl.chrom = pc.chrom AND bl.s < pc.e AND pc.s < bl.e WHERE held > 0 GROUP BY ALL),
+ca AS (SELECT DISTINCT sample_id, chrom, qname, frag, score FROM bl), cb AS (SELECT *, exp(greatest(score - max(score) OVER (PARTITION BY sample_id, qname), -700)) AS boost FROM ca),
+r AS (SELECT 0 AS i, sample_id, chrom, qname, frag, score, boost, boost / sum(boost) OVER (PARTITION BY sample_id, qname) AS fraction, 1.0::DOUBLE AS moved FROM cb
+UNION ALL
+SELECT i + 1, sample_id, chrom, qname, frag, score, boost, after, max(abs(after - fraction)) OVER () FROM (
+  SELECT *, weight / sum(weight) OVER (PARTITION BY sample_id, qname) AS after FROM (
+    SELECT i, sample_id, chrom, qname, frag, score, boost, fraction, (cover + 1e-9) * boost AS weight FROM (
+      SELECT i, sample_id, chrom, qname, frag, score, boost, fraction, sum(bases * (base + extra)) AS cover FROM (
+      SELECT i, r.sample_id, r.chrom, qname, r.frag, score, boost, fraction, bases, base, sum(CASE WHEN fraction >= 1e-9 THEN fraction * times ELSE 0 END) OVER (PARTITION BY r.sample_id, r.chrom, sh.s) AS extra
+      FROM r JOIN sh ON r.frag = sh.frag WHERE moved >= 1e-3 AND i < 100) GROUP BY ALL)))),
+placed AS MATERIALIZED (SELECT * FROM r WHERE i = (SELECT max(i) FROM r))"""
+PLACE_EM = (
+    FRAGMENTS.replace("WANTED", "true")
+    + """, bl AS (SELECT sample_id, chrom, qname, frag, score, s1 AS s, s1 + a1 AS e FROM f WHERE s1 IS NOT NULL UNION ALL SELECT sample_id, chrom, qname, frag, score, s1 + a1 + g1, s1 + a1 + g1 + b1 FROM f WHERE s1 IS NOT NULL),
+ab AS (SELECT sample_id, chrom, st AS s, st + m1 AS e FROM v_aln UNION ALL SELECT sample_id, chrom, st + m1 + gap, st + m1 + gap + m2 FROM v_aln), """
+    + PLACE_ROUNDS + " SELECT sample_id, chrom, qname, score, round(fraction, 6) AS fraction FROM placed"
+)
+#: The whole quantification (EM for places and for genes) as SQL, up to `q`, a row a gene.
+QUANTIFIED = (
+    HITS.replace("WANTED", "true").replace("LEAST_BASES", "10").replace("LEAST_SHARE", "0.01")
+    + """, fm AS MATERIALIZED (SELECT *, loci = 1 AND u AS alone, coalesce(g1 % 30 = 0, false) OR coalesce(g2 % 30 = 0, false) AS pas FROM f),
+bl AS (SELECT sample_id, fb.chrom, qname, frag, score, fb.s, fb.e FROM fb JOIN fm USING (frag) WHERE NOT alone), ab AS (SELECT sample_id, fb.chrom, fb.s, fb.e FROM fb JOIN fm USING (frag) WHERE alone), """
+    + PLACE_ROUNDS + """, fp AS MATERIALIZED (SELECT fm.frag, alone, pas, CASE WHEN alone THEN 1.0 ELSE fraction END AS p FROM fm LEFT JOIN placed USING (frag) WHERE alone OR fraction > 1e-9),
+t AS MATERIALIZED (SELECT v.gene_id, v.e - v.s AS length, greatest(v.e - v.s - 249, 1)::DOUBLE AS eff, coalesce(n, 0)::DOUBLE AS uniq, coalesce(m, 0)::DOUBLE AS multi, coalesce(pas, 0)::DOUBLE AS pas FROM v_exon v LEFT JOIN (
+  SELECT gene_id, sum(p) FILTER (alone) AS n, sum(p) FILTER (NOT alone) AS m, sum(p) FILTER (pas) AS pas FROM gs JOIN fp USING (frag) WHERE genes = 1 GROUP BY 1) USING (gene_id)),
+am AS MATERIALIZED (SELECT frag, hit.gene_id, p FROM hit JOIN gs USING (frag) JOIN fp USING (frag) WHERE genes > 1),
+e AS (SELECT 0 AS i, gene_id, eff, uniq + multi AS own, (uniq + multi + 0.1) / eff / sum((uniq + multi + 0.1) / eff) OVER () AS alpha, 0.0::DOUBLE AS em, 1.0::DOUBLE AS moved FROM t
+UNION ALL
+SELECT i + 1, gene_id, eff, own, after, em, max(abs(after - alpha)) OVER () FROM (
+  SELECT *, (own + em + 0.1) / eff / sum((own + em + 0.1) / eff) OVER () AS after FROM (
+    SELECT i, gene_id, eff, own, alpha, coalesce(sum(share), 0.0) AS em FROM (
+      SELECT i, e.gene_id, eff, own, alpha, CASE WHEN frag IS NOT NULL THEN p * alpha / sum(alpha) OVER (PARTITION BY frag) END AS share FROM e LEFT JOIN am USING (gene_id) WHERE moved >= 1e-3 AND i < 100) GROUP BY ALL))),
+q AS (SELECT gene_id, length, uniq, multi + em AS multi, uniq + multi + em AS total, uniq / eff * 1e6 / sum((uniq + multi + em) / eff) OVER () AS tpm_uniq, (uniq + multi + em) / eff * 1e6 / sum((uniq + multi + em) / eff) OVER () AS tpm, pas FROM t JOIN (SELECT gene_id, em FROM e WHERE i = (SELECT max(i) FROM e)) USING (gene_id))"""
+)
+
+
+def quantified_sql(body):
+    return sql(QUANTIFIED + " " + body, "v_aln", "v_exon").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 QUERIES = {
     "p9_cigar_junctions": (lambda s, d: v_aln(s, d).select("qname", "st", A.cigar_junctions(F.col("cigar")).cast("long").alias("junctions"), A.cigar_mapped_length(F.col("cigar")).alias("mapped")), sql("SELECT qname, st, CAST(1 AS BIGINT) AS junctions, m1 + m2 AS mapped FROM v_aln", "v_aln")),
     "p10_alignment_blocks": (lambda s, d: v_aln(s, d).select("qname", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), sql("SELECT qname, st AS s, st + m1 AS e FROM v_aln UNION ALL SELECT qname, st + m1 + gap, st + m1 + gap + m2 FROM v_aln", "v_aln")),
@@ -158,11 +216,12 @@ QUERIES = {
         SELECT CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN 'AACGT' ELSE 'ACGTT' END AS seq, CASE WHEN {bit(16)} THEN 'EDCBA' ELSE 'ABCDE' END AS qual, count(*) AS n FROM p SEMI JOIN b USING (sample_id, qname) GROUP BY 1, 2, 3""", "v_aln")),
     "e1_positional_em": (lambda s, d: E.positional_em(
             fragments(s, d).where("blocks_r1 is not null").select("sample_id", "chrom", "qname", F.col("frag").alias("locus"), "score", F.inline("blocks_r1")), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
-        ).select("sample_id", "chrom", "qname", "score", F.round("fraction", 6).alias("fraction")), None),
-    "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), None),
+        ).select("sample_id", "chrom", "qname", "score", F.round("fraction", 6).alias("fraction")), sql(PLACE_EM, "v_aln").replace("WITH ", "WITH RECURSIVE ", 1)),
+    "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), GENE_EM),
     "e3_resolve_multi": (lambda s, d: E.resolve_multi(fragments(s, d).select("frag", (1 / (1 + F.col("score"))).alias("fraction"), (F.col("score") % 2 == 0).alias("spliced"), (F.col("score") % 3 == 0).alias("pas")), sets(s, d))[0].select("gene_id", *[F.round(c, 6).alias(c) for c in ("count", "splice", "pas")]),
         fragment_sql("SELECT gene_id, round(sum(1 / (1 + score)), 6) AS count, round(sum(CASE WHEN score % 2 = 0 THEN 1 / (1 + score) ELSE 0 END), 6) AS splice, round(sum(CASE WHEN score % 3 = 0 THEN 1 / (1 + score) ELSE 0 END), 6) AS pas FROM gs JOIN f USING (frag) WHERE genes = 1 GROUP BY 1")),
-    "e4_quantify": (lambda s, d: quantified(s, d).select("gene_id", "length", "counts_uniq", *[F.round(c, 3).alias(c) for c in ("tpm_uniq", "counts_multi", "counts_total", "tpm", "counts_splice", "counts_pas")]), None),
+    "e4_quantify": (lambda s, d: quantified(s, d).select("gene_id", "length", "counts_uniq", *[F.round(c, 3).alias(c) for c in ("tpm_uniq", "counts_multi", "counts_total", "tpm", "counts_splice", "counts_pas")]),
+        quantified_sql("SELECT gene_id, length, uniq AS counts_uniq, round(tpm_uniq, 3) AS tpm_uniq, round(multi, 3) AS counts_multi, round(total, 3) AS counts_total, round(tpm, 3) AS tpm, 0.0::DOUBLE AS counts_splice, round(pas, 3) AS counts_pas FROM q WHERE total > 0 OR pas > 0")),
     "e4_unique_tracks": (lambda s, d: E.quantification_tracks(*E.placed_fragments(tailed(s, d), exons(s, d), mode="primary")).select("part", "bucket", "chrom", "s", "e", F.round("value", 6).alias("value")),
         fragment_sql("""SELECT 'unique' AS part, bucket, chrom, s, e, CAST(value AS DOUBLE) AS value FROM (SELECT bucket, chrom, pos AS s, lead(pos) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS e, sum(d) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS value FROM (
         SELECT bucket, chrom, pos, sum(d) AS d FROM (SELECT bucket, chrom, unnest([s, e]) AS pos, unnest([1.0, -1.0]) AS d FROM (
@@ -171,5 +230,6 @@ QUERIES = {
     "e4_quantify_unique": (lambda s, d: quantified(s, d, mode="unique", genes="unique").select("gene_id", "counts_uniq", "counts_splice", "counts_pas", F.round("tpm", 3).alias("tpm")),
         fragment_sql("""SELECT gene_id, CAST(count(*) AS DOUBLE) AS counts_uniq, 0.0::DOUBLE AS counts_splice, CAST(count(*) FILTER (coalesce(g1 % 30 = 0, false) OR coalesce(g2 % 30 = 0, false)) AS DOUBLE) AS counts_pas, round(count(*) * 1e6 / sum(count(*)) OVER (), 3) AS tpm FROM gs JOIN f USING (frag)
         WHERE genes = 1 AND loci = 1 AND u AND NOT EXISTS (SELECT 1 FROM f g WHERE g.sample_id = f.sample_id AND g.qname = f.qname AND NOT g.u) GROUP BY 1""", every="place = 1")),
-    "a37_quant_summary": (lambda s, d: E.quant_summary(fragments(s, d), sets(s, d), quantified(s, d)), None),
+    "a37_quant_summary": (lambda s, d: E.quant_summary(fragments(s, d), sets(s, d), quantified(s, d)),
+        quantified_sql("SELECT (SELECT count(DISTINCT qname) FROM f) AS read_groups, (SELECT count(*) FROM gs WHERE genes > 1) AS ambiguous, count(*) FILTER (uniq > 0) AS genes_unique, count(*) FILTER (multi > 0) AS genes_multi FROM q")),
 }

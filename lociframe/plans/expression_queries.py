@@ -156,7 +156,13 @@ QUERIES = {
     "a36_filter_sex_labels": (lambda s, d: D.filter_sex_labels(v_profile(s, d).withColumn("label", F.when(F.col("label") == "1", "Testis tissue").when(F.col("label") == "2", "Ovary").otherwise(F.col("label"))), "Male").groupBy("label").agg(F.count("*").alias("cells")),
         sql("SELECT CASE WHEN label = '1' THEN 'Testis tissue' ELSE label END AS label, count(*) AS cells FROM v_profile WHERE label <> '2' GROUP BY 1", "v_profile")),
     "j11_align_to_reference": (lambda s, d: D.align_to_reference(expr(s, d), v_profile(s, d)), sql(EXPR + ", s AS (SELECT DISTINCT sample_id FROM x), g AS (SELECT DISTINCT gene_id FROM v_profile) SELECT sample_id, gene_id, coalesce(value, 0.0) AS value FROM s CROSS JOIN g LEFT JOIN x USING (sample_id, gene_id)", "v_profile")),
-    "a35_deconvolve": (lambda s, d: D.deconvolve(expr(s, d).withColumn("value", F.col("value") / 1000), v_profile(s, d).withColumn("value", F.abs("value"))), None),
+    "a35_deconvolve": (lambda s, d: D.deconvolve(expr(s, d).withColumn("value", F.col("value") / 1000), v_profile(s, d).withColumn("value", F.abs("value"))),
+        sql(EXPR + """, p AS MATERIALIZED (SELECT gene_id, label, avg(abs(value)) AS value FROM v_profile GROUP BY 1, 2), g AS (SELECT a.label AS a, b.label AS b, sum(a.value * b.value) AS g FROM p a JOIN p b USING (gene_id) GROUP BY 1, 2),
+        m AS MATERIALIZED (SELECT list(r ORDER BY a) AS gram, list(a ORDER BY a) AS labels FROM (SELECT a, list(g ORDER BY b) AS r FROM g GROUP BY a)),
+        c AS (SELECT sample_id, list(v ORDER BY label) AS c FROM (SELECT sample_id, label, sum(x.value / 1000 * p.value) AS v FROM x JOIN p USING (gene_id) GROUP BY 1, 2) GROUP BY 1),
+        r AS (SELECT 0 AS i, sample_id, c, list_transform(c, lambda y: 1.0::DOUBLE) AS w FROM c UNION ALL
+          SELECT i + 1, sample_id, c, list_transform(range(1, len(w) + 1), lambda k: w[k] * greatest(c[k], 0.0) / list_sum(list_transform(range(1, len(w) + 1), lambda j: gram[k][j] * w[j]))) FROM r, m WHERE i < 200)
+        SELECT sample_id, label, fraction FROM (SELECT sample_id, unnest(labels) AS label, round(unnest(w) / list_sum(w), 4) AS fraction FROM r, m WHERE i = 200) WHERE fraction > 0""", "v_profile").replace("WITH ", "WITH RECURSIVE ", 1)),
     "o7_fraction_report": (lambda s, d: D.fraction_report(X.share_of_total(table(s, d, "customer").groupBy(F.col("c_nationkey").alias("sample_id"), F.col("c_mktsegment").alias("label")).agg(F.count("*").alias("n")), "n", ["sample_id"], "fraction").select("sample_id", "label", F.round("fraction", 4).alias("fraction"))).select("sample_id", "label", F.round("percent", 6).alias("percent"), F.col("place").cast("long").alias("place")),
         """WITH n AS (SELECT c_nationkey AS sample_id, c_mktsegment AS label, count(*) AS n FROM customer GROUP BY 1, 2), f AS (SELECT *, round(n / sum(n) OVER (PARTITION BY sample_id), 4) AS fraction FROM n)
         SELECT sample_id, label, round(fraction * 100, 6) AS percent, row_number() OVER (PARTITION BY sample_id ORDER BY fraction DESC, label) AS place FROM f WHERE fraction > 0"""),

@@ -101,7 +101,7 @@ def test_positional_em_sums_to_one_and_follows_coverage(spark):
     assert got["r", "a"] == 1.0 and abs(got["q", "a"] - f["a"]) < 1e-9 and abs(got["q", "a"] + got["q", "b"] - 1) < 1e-12
 
 
-@pytest.mark.parametrize("values, sex", [({"XIST": 7.0, "RPS4Y1": 0.0, "DDX3Y": 0.0}, "Female"), ({"XIST": 1.0, "RPS4Y1": 3.0}, "Male"), ({"XIST": 3.0, "RPS4Y1": 3.0}, "Unknown"), ({"RPS4Y1": 2.0}, "Male")])
+@pytest.mark.parametrize("values, sex", [({"XIST": 7.0, "RPS4Y1": 0.0, "DDX3Y": 0.0}, "Female"), ({"XIST": 1.0, "RPS4Y1": 3.0}, "Male"), ({"XIST": 3.0, "RPS4Y1": 3.0}, "Unknown"), ({"RPS4Y1": 2.0}, "Male"), ({"ENSG00000229807.12": 7.0, "ensg00000129824": 0.0}, "Female"), ({"ENSG00000229807.12|XIST": 1.0, "ENSG00000129824|RPS4Y1": 9.0}, "Male"), ({"ENSG00000000003.1": 9.0}, "Unknown")])
 def test_infer_sex(spark, values, sex):
     df = spark.createDataFrame([("s", k, v) for k, v in values.items()], "sample_id string, gene_id string, value double")
     assert deconv.infer_sex(df).first().sex == sex
@@ -144,6 +144,50 @@ def test_pair_alignments(spark):
     assert got == [("c", True, True, 9.0), ("d", False, True, 1.0)]
 
 
+def alignments(spark, rows):
+    schema = "sample_id string, qname string, flag int, chrom string, st bigint, cigar string, mapq int, nh int, score double, seq string, qual string"
+    return spark.createDataFrame([("s", q, f, "c", st, cigar, 255, nh, 1.0, seq, "I" * len(seq)) for q, f, st, cigar, nh, seq in rows], schema)
+
+
+def test_quantify_marks_introns_and_tails(spark):
+    exons = spark.createDataFrame([("g1", "c", 100, 200, "+"), ("g1", "c", 210, 300, "+"), ("g2", "c", 1000, 1300, "+")], "gene_id string, chrom string, s bigint, e bigint, strand string")
+    tail, plain = "C" * 30 + "A" * 9, "C" * 39
+    rows = [
+        ("intron", 0, 150, "20M25N20M", 1, plain),  # an intron of 20 bases or more
+        ("short", 0, 120, "20M15N20M", 1, plain),  # too short, and no junction of the gene
+        ("known", 0, 180, "20M10N20M", 1, plain),  # as short, but the gap between the exons
+        ("tail", 0, 1100, "30M9S", 1, tail), ("primed", 0, 1180, "20M9S", 1, tail[10:]), ("back", 16, 1050, "9S30M", 1, "T" * 9 + "C" * 30), ("none", 0, 1100, "39M", 1, plain),
+    ]
+    tiles = spark.createDataFrame([("c", 1, "C" * 200 + "A" * 20 + "C" * 780)], "chrom string, tile bigint, seq string")
+    got = {r.gene_id: (r.counts_total, r.counts_splice, r.counts_pas) for r in em.quantify(alignments(spark, rows), exons, tiles=tiles).collect()}
+    assert got == {"g1": (3.0, 2.0, 0.0), "g2": (4.0, 0.0, 2.0)}
+    assert {r.gene_id: r.counts_pas for r in em.quantify(alignments(spark, rows).drop("seq"), exons).collect()} == {"g1": 0.0, "g2": 0.0}
+
+
+def test_tracks_share_a_read_among_its_places(spark):
+    exons = spark.createDataFrame([("g", "c", 0, 900, "+")], "gene_id string, chrom string, s bigint, e bigint, strand string")
+    rows = [("u", 0, 100, "10M", 1, "C"), ("v", 16, 105, "10M", 1, "C"), ("m", 0, 100, "10M", 2, "C"), ("m", 0, 500, "10M", 2, "C")]
+    fragments, fractions = em.placed_fragments(alignments(spark, rows), exons)
+    share = {r.st: r.fraction for r in fragments.join(fractions, "frag").select(F.element_at("blocks_r1", 1).s.alias("st"), "fraction").collect()}
+    assert abs(sum(share.values()) - 1) < 1e-9 and share[100] > share[500]
+    got = sorted((r.part, r.bucket, r.s, r.e, round(r.value, 9)) for r in em.quantification_tracks(fragments, fractions).collect())
+    want = [("multi", "F1R2", 100, 110, share[100]), ("multi", "F1R2", 500, 510, share[500]), ("unique", "F1R2", 100, 110, 1.0), ("unique", "F2R1", 105, 115, 1.0)]
+    assert got == [(*x[:4], round(x[4], 9)) for x in want if x[4] > 1e-9]
+
+
+def test_align_to_reference(spark):
+    expr = spark.createDataFrame([("a", "g1", 1.0), ("a", "x", 5.0), ("b", "x", 2.0)], "sample_id string, gene_id string, value double")
+    reference = spark.createDataFrame([("g1", "l", 0.0), ("g2", "l", 0.0), ("g1", "m", 0.0)], "gene_id string, label string, value double")
+    assert sorted(map(tuple, deconv.align_to_reference(expr, reference).collect())) == [("a", "g1", 1.0), ("a", "g2", 0.0), ("b", "g1", 0.0), ("b", "g2", 0.0)]
+
+
+def test_internal_priming_on_either_strand(spark):
+    tiles = spark.createDataFrame([("c", 0, "C" * 50 + "A" * 30 + "C" * 20), ("c", 1, "T" * 30 + "G" * 70)], "chrom string, tile bigint, seq string")
+    ends = spark.createDataFrame([("c", 50, False), ("c", 64, False), ("c", 65, False), ("c", 80, True), ("c", 130, True), ("c", 100, False), ("d", 5, False), ("c", 0, True)], "chrom string, pos bigint, is_reverse boolean")
+    got = {(r.pos, r.is_reverse) for r in L.internal_priming(ends, tiles, tile=100).where("priming").collect()}
+    assert got == {(50, False), (64, False), (80, True), (130, True), (100, False)}
+
+
 def test_files(spark, tmp_path):
     write = lambda name, text: (tmp_path / name).write_text(text) and str(tmp_path / name)
     fq = write("a.fastq", "@r1_ACG\nACGT\n+\nIIII\n@r2\nAC\n+\nII\n")

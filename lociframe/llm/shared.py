@@ -69,15 +69,19 @@ def sampled_texts(marked: DataFrame, rows: int, chars: int) -> list[tuple]:
     """(kind, text), sorted, of a bounded sample of a table kind, row (a hash), text: of each kind the first `rows` distinct
     rows in the order of the hash, as far as their texts have `chars` characters together.
 
-    Texts of every length take part. Rows with large hashes are left aside before ranks are taken, by the number of rows
+    Texts of every length take part; of one with more than a tenth of `chars`, a stretch of that length at a place that the
+    hash chooses. Rows with large hashes are left aside before ranks are taken, by the number of rows
     of their kind, so that a hot kind is no burden, and only the texts of the sample are moved.
     """
-    sized = marked.select("kind", "row", F.length("text").alias("size"))
+    most = chars // 10
+    sized = marked.select("kind", "row", F.least(F.length("text"), F.lit(most)).alias("size"))
     share = F.shiftrightunsigned("row", 33) / float(1 << 31)
     counts = sized.groupBy("kind").agg(F.count(F.lit(1)).alias("of"))
     low = sized.join(counts, "kind").where(share < 8.0 * rows / F.col("of")).select("kind", "row", "size").distinct()
     order = Window.partitionBy("kind").orderBy("share", "row").rowsBetween(Window.unboundedPreceding, 0)
     ranked = low.withColumn("share", share).withColumn("nth", F.count(F.lit(1)).over(order)).withColumn("total", F.sum("size").over(order))
     chosen = ranked.where((F.col("nth") <= rows) & (F.col("total") <= chars)).select("kind", "row")
-    texts = marked.join(F.broadcast(chosen), ["kind", "row"]).groupBy("kind", "row").agg(F.min("text").alias("text"))
+    place = (F.pmod("row", F.greatest(F.length("text") - most, F.lit(0)) + 1) + 1).cast("int")
+    texts = marked.join(F.broadcast(chosen), ["kind", "row"]).withColumn("text", F.substring("text", place, F.lit(most)))
+    texts = texts.groupBy("kind", "row").agg(F.min("text").alias("text"))
     return sorted({(r.kind, r.text) for r in texts.select("kind", "text").collect()})

@@ -22,7 +22,7 @@ WINDOW, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, BEGIN_ROWS, WIDE, HIDDEN = 1 << 15, 1 << 12, 1 << 14, 8, 8
 BEGIN, INPUTS = 6, 3 * WIDE
 #: The bound on what is learned from: labelled rows of each class, and characters of their texts together.
-SAMPLE_ROWS, SAMPLE_CHARS = 1200, 8_000_000
+SAMPLE_ROWS, SAMPLE_CHARS = 1200, 3_000_000
 #: Weight of the clean class against the toxic one.
 CLEAN_WEIGHT = 2
 #: ASCII letters and digits, and every byte of a longer character, make up words; A-Z counts as a-z.
@@ -178,15 +178,21 @@ def trained(texts: list[str], toxic: list[int], steps: int = 800, rate: float =
     if not len(y) or y.min() == y.max():
         return None
     net, rng = Network(seed), np.random.default_rng(seed)
-    data, offsets = text_buffer(pa.array(texts, pa.string()))
-    words, begins, grams, gram_start, first = inputs(data, offsets)
-    index, owner = windows(first)
+    parts = []  # a megabyte of text at a time needs little memory; the inputs of all texts are kept, four bytes a letter
+    for batch in pieces(pa.table({"text": pa.array(texts, pa.string())}).to_batches(), "text", 1_000_000):
+        *own, first = inputs(*text_buffer(batch.column(0)))
+        parts.append((*own, *windows(first), len(first) - 1))
+    words, begins, grams = (np.concatenate([part[k] for part in parts]) for k in range(3))
+    before = lambda sizes: np.cumsum([0, *sizes])[:-1]
+    gram_start = np.concatenate([part[3] + n for part, n in zip(parts, before([len(part[2]) for part in parts]))])
+    index = np.concatenate([np.where(part[4] >= 0, part[4] + n, -1) for part, n in zip(parts, before([len(part[0]) for part in parts]))])
+    owner = np.concatenate([part[5] + n for part, n in zip(parts, before([part[6] for part in parts]))])
     balance = np.where(y > 0, 1 / max(1, (y > 0).sum()), CLEAN_WEIGHT / max(1, (y == 0).sum())) * len(y) / (1 + CLEAN_WEIGHT)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     sizes, step = np.diff(np.append(gram_start, len(grams))), 0
     for _ in range(max(3, -(-steps // -(-len(texts) // 64)))):
-        logits = window_logits(net, net.vectors(words, begins, grams, gram_start), index) + rng.normal(0, 1e-3, len(index))
-        order = np.lexsort((-logits, owner))
+        logits = np.concatenate([window_logits(net, net.vectors(*part[:4]), part[4]) for part in parts])
+        order = np.lexsort((-logits - rng.normal(0, 1e-3, len(logits)), owner))
         chosen = order[np.flatnonzero(np.diff(owner[order], prepend=-1))]
         chosen = rng.permutation(chosen)
         for a in range(0, len(chosen), 64):

@@ -19,7 +19,6 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
 #: Words whose ids a worker remembers at once; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -229,19 +228,12 @@ def compiled(definition: str) -> Automaton:
     return Automaton(j["model"]["vocab"], merges, special)
 
 
-@lru_cache(maxsize=2)
-def compiled_file(path: str) -> Automaton:
-    """One automaton a worker process and definition, with its memory of words, which is bounded."""
-    with open(path, encoding="utf-8") as f:
-        return compiled(f.read())
-
-
 def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256 (and, if named, the ids and the decoded text) to every row.
 
     A null text counts as empty: no tokens. Columns of these names that `docs` already has are replaced. The definition
-    file must be readable on every executor; the automaton is compiled once a worker process and its word memory is bounded,
-    so a task needs the same memory at any input size. There is no shuffle: a lost executor costs its own tasks only.
+    file must be readable on every executor; the automaton is compiled once a task and its word memory is bounded, so a
+    task needs the same memory at any input size and leaves none behind. There is no shuffle: a lost executor costs its own tasks only.
     """
     new: dict[str, T.DataType] = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     new |= {ids: T.ArrayType(T.LongType())} if ids else {}
@@ -251,8 +243,11 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
     schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind in new.items())])
 
     def encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = compiled_file(definition_path)
+        automaton = None
         for batch in batches:
+            if automaton is None:
+                with open(definition_path, encoding="utf-8") as f:
+                    automaton = compiled(f.read())
             column = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {c: [] for c in new}
             for value in column:

@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
 #: Words whose ids a worker remembers at once; the memory is emptied when it is full.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def byte_symbols() -> dict[str, int]:

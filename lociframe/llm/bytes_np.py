@@ -14,23 +14,14 @@ FIELDS = ((2147483647, 1263082241, 2147483629, 1804601963), (2147483587, 1596734
 PIECE_BYTES = 1_500_000
 
 
-_POWERS: dict[tuple[int, int], np.ndarray] = {}
-
-
 def powers(base: int, n: int, prime: int) -> np.ndarray:
-    """1, base, base squared and so on; a worker keeps those that a piece of text needs."""
-    known = _POWERS.get((base, prime))
-    if known is not None and len(known) >= n:
-        return known[:n]
-    size = max(n, PIECE_BYTES + 100_000)
-    out, k, step = np.ones(size, np.uint64), 1, np.uint64(base % prime)
-    while k < size:
-        m = min(k, size - k)
+    """1, base, base squared and so on."""
+    out, k, step = np.ones(n, np.uint64), 1, np.uint64(base % prime)
+    while k < n:
+        m = min(k, n - k)
         out[k : k + m] = out[:m] * step % np.uint64(prime)
         step, k = step * step % np.uint64(prime), 2 * k
-    if size <= 4 * PIECE_BYTES:
-        _POWERS[base, prime] = out
-    return out[:n]
+    return out
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ from .shared import fresh, row_key, written
 
 GRAM = 16
 BUCKET = 20_000
-PIECE = 1_500_000
+PIECE = 700_000
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:

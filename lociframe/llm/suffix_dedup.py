@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .bytes_np import Spans, mixed, overlapping
 from .deep_shallow import Sorted
 from .repeats import SEGMENT, gathered, sorted_out, spans_of, wanted
-from .shared import fresh, row_key, written
+from .shared import fresh, row_key, small, written
 
 GRAM = 16
 BUCKET = 20_000
@@ -236,10 +236,10 @@ def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int
     repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     opened = opened.select("*", F.lit(0).alias("left"), F.lit(GRAM).alias("right"))
 
-    def texts_with(some: DataFrame) -> DataFrame:
+    def texts_with(some: DataFrame, texts: DataFrame = own) -> DataFrame:
         entry = ("at", "n", "whole", "key", "left", "right")
         spans = some.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(*entry))).alias("spans"))
-        return own.join(spans, "row").dropDuplicates(["row"]).select("row", "text", "spans")
+        return texts.join(spans, "row").dropDuplicates(["row"]).select("row", "text", "spans")
 
     found, ready = [repeated], []
     while True:
@@ -248,7 +248,9 @@ def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int
             ready.append(opened)
             break
         ready.append(opened.join(crowded, "key", "left_anti"))
-        parts = texts_with(opened.join(crowded, "key", "left_semi")).mapInArrow(_parted(size, most), "key long, seg long, row long, at int, n int, whole boolean, left int, right int")
+        large = written(opened.join(crowded, "key", "left_semi"), "segments")
+        rows = small(written(large.select("row").distinct(), "keys"))  # so that only these texts move
+        parts = texts_with(large, own.join(rows, "row", "left_semi")).mapInArrow(_parted(size, most), "key long, seg long, row long, at int, n int, whole boolean, left int, right int")
         again, opened = sorted_again(written(parts, "segments"))
         found.append(again)
     ready = reduce(DataFrame.unionByName, ready)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, decontamination, language_id, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
+from . import bpe_automaton, decontamination, language_id, merkle, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from .shared import held_out
 
 
@@ -78,9 +78,52 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, radius=2)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda text: merkle.leaf_hash(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, leaf(lower))
+    out = merkle.manifest(docs, leaf(F.col("text")), carry={"doc_id": F.col("doc_id"), "changed": changed})
+    out = out.withColumn("folded_root", merkle.folded(F.coalesce("changed", "leaf"), F.col("path"))).withColumn("proof_sha256", merkle.proof_hash(F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton}
+    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton, "op13_merkle_manifest": op13_merkle_manifest}
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a string expression's UTF-8 bytes."""
+    table = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+    byte = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
+    return f"(SELECT xor(list_reduce(list_prepend(4294967295, {byte}), {step}), 4294967295) FROM (SELECT {table} AS t))"
+
 
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes of the trees of `leaves` (tree, nth, h, n), and what stands beside each: l before and r behind it in its run."""
+    return f"""{name} AS (SELECT tree, 0 AS level, nth, h, n FROM {leaves} UNION ALL SELECT tree, level + 1, nth // 8, sha256(string_agg(h, '' ORDER BY nth)), (n + 7) // 8 FROM {name} WHERE n > 1 GROUP BY tree, level, nth // 8, n),
+{name}_beside AS (SELECT a.tree, a.level, a.nth, coalesce(string_agg(b.h, '' ORDER BY b.nth) FILTER (b.nth < a.nth), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.nth) FILTER (b.nth > a.nth), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.nth // 8 = b.nth // 8 WHERE a.n > 1 GROUP BY 1, 2, 3),
+{name}_path AS (SELECT f.tree, f.nth, list({{'l': l, 'r': r, 'h': ''}} ORDER BY level) FILTER (l IS NOT NULL) AS path FROM {leaves} f LEFT JOIN {name}_beside s ON s.tree = f.tree AND s.nth = f.nth // CAST(pow(8, s.level) AS BIGINT) GROUP BY 1, 2)"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, sha256({"||".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) AS leaf,
+  CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({"||".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS changed FROM documents),
+f AS MATERIALIZED (SELECT *, leaf AS h, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS nth, count(*) OVER (PARTITION BY tree) AS n FROM d),
+{_tree("t", "f")},
+g AS MATERIALIZED (SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS nth, count(*) OVER () AS n FROM t WHERE n = 1),
+{_tree("u", "g")},
+p AS (SELECT f.doc_id, f.leaf, f.changed, g.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root, list_concat(coalesce(t_path.path, []), coalesce(u_path.path, [])) AS path
+  FROM f JOIN t_path ON f.tree = t_path.tree AND f.nth = t_path.nth JOIN g ON g.name = f.tree JOIN u_path ON u_path.nth = g.nth),
+o AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'h': coalesce(changed, leaf)}}, path), lambda x, y: {{'l': '', 'r': '', 'h': sha256(y.l || x.h || y.r)}}).h AS folded_root FROM p)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_prepend('', list_transform(path, lambda x: x.l || x.r)), 'string_agg', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM o
+"""
 
 TOP_K_SQL = """
 WITH v AS (
@@ -120,4 +163,4 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL}
+    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL, "op13_merkle_manifest": MERKLE_SQL}

@@ -27,15 +27,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.__dict__["folder"] = path
+    return table
 
 
 def dropped(df: DataFrame) -> None:
-    """Deletes the files of a table that `written` made."""
+    """Deletes the folder of a table that `written` made."""
     spark = df.sparkSession
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.__dict__["folder"])
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -61,6 +62,19 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
 
 
+#: Ranges whose counts are summed together.
+TOGETHER = 1000
+
+
+def offsets(counts: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Adds `before`, the sum of n of the rows of `by` with a lesser `order` (whole numbers, each once): first within TOGETHER of
+    them, then over these, so that no window holds a row for each range."""
+    own = counts.withColumn("__block", F.expr(f"`{order}` div {TOGETHER}"))
+    before = lambda *cols: F.coalesce(F.sum("n").over(Window.partitionBy(*cols[:-1]).orderBy(cols[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = own.groupBy(*by, "__block").agg(F.sum("n").alias("n")).withColumn("__before", before(*by, "__block")).drop("n")
+    return own.withColumn("before", before(*by, "__block", order)).join(blocks, [*by, "__block"]).withColumn("before", F.col("before") + F.col("__before")).drop("__before", "__block")
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, decontamination, language_id, merkle, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
+from . import bpe_automaton, decontamination, language_id, merkle, recompression, repair, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from .shared import held_out
 
 
@@ -78,6 +78,10 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, radius=2)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(repair.damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     leaf = lambda text: merkle.leaf_hash(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
@@ -89,7 +93,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton, "op13_merkle_manifest": op13_merkle_manifest}
+    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton, "op12_conversation_repair": op12_conversation_repair, "op13_merkle_manifest": op13_merkle_manifest}
 
 
 def crc32_sql(text: str) -> str:
@@ -125,6 +129,35 @@ o AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'h': coalesce(chang
 SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_prepend('', list_transform(path, lambda x: x.l || x.r)), 'string_agg', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM o
 """
 
+_AFTER, _ROLE = "CASE {q} WHEN 2 THEN 3 ELSE 2 END", "CASE {q} WHEN 2 THEN 'assistant:' ELSE 'user:' END"
+_NEXT, _NAME = _AFTER.format(q="q"), _ROLE.format(q="q")
+#: A row at a time: of all edits that lead to a state, the cheapest, of equals the ASCII-least; then up to two insertions.
+REPAIR_SQL = f"""
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+m AS (SELECT *, {crc32_sql("k")} % 20 AS m FROM c),
+d AS (SELECT conv_id, turn, CASE m WHEN 4 THEN 'user' ELSE role END AS role, CASE m WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE m WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM m WHERE m <> 0),
+g AS MATERIALIZED (SELECT conv_id, row_number() OVER () AS gid FROM (SELECT DISTINCT conv_id FROM conversations)),
+e AS (SELECT gid, turn, role, text, row_number() OVER (PARTITION BY gid ORDER BY turn NULLS FIRST, role, md5(octet_length(encode(role)) || ':' || role || text), copy) - 1 AS i,
+  row_number() OVER (PARTITION BY gid, role, text ORDER BY turn NULLS FIRST, copy) AS nth, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last FROM d JOIN g ON d.conv_id IS NOT DISTINCT FROM g.conv_id),
+f AS MATERIALIZED (SELECT gid, i, turn, role, text, left(role, 1) AS ini, CASE WHEN last = '' THEN 1 WHEN nth > 1 THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM e),
+s AS (SELECT gid, 0 AS i, q, cost, audit, turns FROM g, (VALUES (0, 0, '', []::VARCHAR[]), (2, 3, 'I', ['user:']), (3, 6, 'II', ['user:', 'assistant:'])) v(q, cost, audit, turns)
+UNION ALL
+SELECT gid, i, q, min(cost), first(audit ORDER BY cost, audit), first(turns ORDER BY cost, audit) FROM (
+  SELECT gid, i, z.q AS q, cost + z.c AS cost, audit || z.a AS audit, list_concat(turns, z.o) AS turns FROM (
+    SELECT gid, i, cost, audit, turns, unnest([{{'q': q, 'c': 0, 'a': '', 'o': []::VARCHAR[]}}, {{'q': {_NEXT}, 'c': 3, 'a': 'I', 'o': [{_NAME}]}}, {{'q': {_AFTER.format(q="(" + _NEXT + ")")}, 'c': 6, 'a': 'II', 'o': [{_NAME}, {_ROLE.format(q="(" + _NEXT + ")")}]}}]) AS z FROM (
+      SELECT gid, i, y.q AS q, cost + y.c AS cost, audit || y.a AS audit, list_concat(turns, y.o) AS turns FROM (
+        SELECT s.gid, s.i + 1 AS i, cost, audit, turns, unnest([
+          {{'q': q, 'c': 4, 'a': 'D', 'o': []::VARCHAR[]}},
+          {{'q': CASE WHEN fault IN (1, 2) THEN -1 WHEN ini = 's' AND q = 0 THEN 1 WHEN ini = 'u' AND q <> 2 THEN 2 WHEN ini = 'a' AND q = 2 THEN 3 ELSE -1 END, 'c': CASE fault WHEN 3 THEN 3 ELSE 0 END, 'a': 'K', 'o': [role || ':' || text]}},
+          {{'q': CASE WHEN fault IN (1, 2) THEN -1 ELSE {_NEXT} END, 'c': CASE fault WHEN 3 THEN 6 ELSE 3 END, 'a': 'R', 'o': [{_NAME} || text]}}]) AS y
+        FROM s JOIN f ON s.gid = f.gid AND s.i = f.i) WHERE y.q >= 0))) GROUP BY gid, i, q),
+n AS (SELECT gid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated FROM f GROUP BY 1),
+b AS (SELECT a.gid, count(*) AS illegal FROM f a JOIN f b ON a.gid = b.gid AND a.i + 1 = b.i WHERE a.ini || b.ini NOT IN ('su', 'ua', 'au') GROUP BY 1),
+r AS (SELECT s.gid, min(cost) AS cost, first(audit ORDER BY cost, audit) AS audit, first(turns ORDER BY cost, audit) AS turns FROM s LEFT JOIN n USING (gid) WHERE s.i = coalesce(n, 0) AND q IN (0, 3) GROUP BY 1)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit,
+  sha256(array_to_string(turns, chr(10))) AS repaired_sha256 FROM g JOIN r USING (gid) LEFT JOIN n USING (gid) LEFT JOIN b USING (gid)
+"""
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -163,4 +196,4 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL, "op13_merkle_manifest": MERKLE_SQL}
+    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_merkle_manifest": MERKLE_SQL}

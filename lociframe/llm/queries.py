@@ -1,4 +1,4 @@
-"""The queries op1 to op10, each over its whole tables, and their SQL where SQL can say it."""
+"""The queries op1 to op13, each over its whole tables, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_automaton, decontamination, language_id, merkle, recompression, repair, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
+from . import bpe_automaton, decontamination, language_id, merkle, posting_lists, recompression, repair, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from .shared import held_out
 
 
@@ -78,6 +78,10 @@ def op9_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=3, radius=2)
 
 
+def op11_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.neighbours(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=20, queries="vec_id % 20 = 0")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(repair.damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")))
 
@@ -93,7 +97,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton, "op12_conversation_repair": op12_conversation_repair, "op13_merkle_manifest": op13_merkle_manifest}
+    return {"op1_recompression": op1_recompression, "op2_decontamination": op2_decontamination, "op3_toxicity": op3_toxicity, "op4_url_filter": op4_url_filter, "op5_stratified_shards": op5_stratified_shards, "op6_threshold_topk": op6_threshold_topk, "op7_deep_shallow": op7_deep_shallow, "op8_language_id": op8_language_id, "op9_simhash_variants": op9_simhash_variants, "op10_bpe_automaton": op10_bpe_automaton, "op11_posting_lists": op11_posting_lists, "op12_conversation_repair": op12_conversation_repair, "op13_merkle_manifest": op13_merkle_manifest}
 
 
 def crc32_sql(text: str) -> str:

@@ -30,6 +30,8 @@ REPLICAS, BOUNDARY = 2, 1.01
 TARGET, PROBES = 0.95, 400
 #: Edges of a centroid, centroids that a walk keeps for a vector and for a query, and those opened in one step.
 DEGREE, HOME_BEAM, BEAM, WIDTH = 16, 8, 24, 6
+#: Vectors that walk over the graph together.
+STEP = 1024
 #: Components of the vectors, and of the queries, of one block of a list.
 BLOCK_VECTORS, BLOCK_QUERIES = 2_000_000, 500_000
 
@@ -126,12 +128,18 @@ class Index:
         score[np.arange(len(asked)), asked] = -np.inf
         k = min(k, len(sample) - 1)
         nearest = np.argpartition(-score, k - 1, axis=1)[:, :k]
-        row, home = self.homes(sample)
         gaps = _distances(self.asked(sample[asked]), self.centres)
-        needed = np.full((len(asked), len(sample)), np.inf)
-        np.minimum.at(needed, (slice(None), row), gaps[:, home])
-        needed = np.take_along_axis(needed, nearest, axis=1) / gaps.min(1)[:, None]
-        return float(np.quantile(needed, TARGET))
+        wanted, place = np.unique(nearest, return_inverse=True)
+        needed = np.full(nearest.size, np.inf)
+        for a in range(0, len(wanted), STEP):
+            row, home = self.homes(sample[wanted[a : a + STEP]])
+            order = np.argsort(row, kind="stable")
+            row, home = row[order] + a, home[order]
+            first = np.searchsorted(row, np.arange(a, min(a + STEP, len(wanted)) + 1))
+            for pair in np.flatnonzero((place.ravel() >= a) & (place.ravel() < a + STEP)):
+                at = place.ravel()[pair] - a
+                needed[pair] = gaps[pair // k, home[first[at] : first[at + 1]]].min()
+        return float(np.quantile(needed.reshape(nearest.shape) / gaps.min(1)[:, None], TARGET))
 
 
 def _balanced(points: np.ndarray, lists: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
@@ -276,7 +284,7 @@ def _of_one_length(whole: DataFrame, dim: int, k: int, queries: str, block_vecto
     return lists.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(_best(k), "row long, query_id long, own long, vec_id long, score double")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = STEP) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a in range(0, batch.num_rows, rows):
             yield batch.slice(a, rows)

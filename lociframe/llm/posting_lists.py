@@ -32,6 +32,8 @@ TARGET, PROBES = 0.95, 400
 DEGREE, HOME_BEAM, BEAM, WIDTH = 16, 8, 24, 6
 #: Vectors that walk over the graph together.
 STEP = 1024
+#: A query visits so many lists first; what they hold is the floor for the others.
+FIRST = 8
 #: Components of the vectors, and of the queries, of one block of a list.
 BLOCK_VECTORS, BLOCK_QUERIES = 2_000_000, 500_000
 
@@ -105,8 +107,9 @@ class Index:
         row, column = np.nonzero(value <= found.min(1)[:, None] * BOUNDARY)
         return row, best[row, column]
 
-    def visits(self, queries: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list): the lists within the ratio, and if these hold fewer than `least` vectors the next ones as well."""
+    def visits(self, queries: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, list, nth from 0): the lists within the ratio, nearest first, and if these hold fewer than `least` vectors the
+        next ones as well."""
         points = self.asked(queries)
         found = self.near(points, self.ratio)
         chosen = found <= found.min(1)[:, None] * self.ratio
@@ -117,7 +120,10 @@ class Index:
             more = np.zeros((len(few), len(sizes)), bool)
             np.put_along_axis(more, order, before < least, axis=1)
             chosen[few] |= more
-        return np.nonzero(chosen)
+        row, home = np.nonzero(chosen)
+        order = np.lexsort((found[row, home], row))
+        row, home = row[order], home[order]
+        return row, home, np.arange(len(row)) - np.searchsorted(row, row)
 
     def _fitted(self, sample: np.ndarray, k: int, rng: np.random.Generator) -> float:
         """The ratio that finds the share TARGET of the k nearest of some sampled vectors among the others."""
@@ -269,19 +275,25 @@ def _of_one_length(whole: DataFrame, dim: int, k: int, queries: str, block_vecto
 
     def visiting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            row, home = sent.value.visits(matrix(batch.column(2)), sizes, REPLICAS * (k + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)], ["list", "row", "query_id", "v"])
+            row, home, nth = sent.value.visits(matrix(batch.column(2)), sizes, REPLICAS * (k + 1))
+            yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int32)), pa.array(nth.astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)], ["list", "nth", "row", "query_id", "v"])
 
-    visits = written(whole.where(queries).select("row", F.col("vec_id").alias("query_id"), "v").mapInArrow(visiting, "list int, row long, query_id long, v array<double>"), "visits")
+    visits = written(whole.where(queries).select("row", F.col("vec_id").alias("query_id"), "v").mapInArrow(visiting, "list int, nth int, row long, query_id long, v array<double>"), "visits")
     asked = dict(map(tuple, visits.groupBy("list").count().collect()))
     parts = lambda counts, most: F.element_at(F.array(*[F.lit(-(-counts.get(c, 0) * dim // most) or 1) for c in range(len(sizes))]), F.col("list") + 1)
     part, block = parts(held, block_vectors), parts(asked, block_queries)
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    lists = postings.where(F.col("list").isin(list(asked))) if len(asked) < len(sizes) else postings
-    lists = lists.withColumn("part", F.pmod(F.xxhash64("row"), part).cast("int")).withColumn("block", every(block))
-    visits = visits.withColumn("block", F.pmod(F.xxhash64("row"), block).cast("int")).withColumn("part", every(part))
     keys = ["list", "part", "block"]
-    return lists.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(_best(k), "row long, query_id long, own long, vec_id long, score double")
+    lists = postings.withColumn("part", F.pmod(F.xxhash64("row"), part).cast("int")).withColumn("block", every(block))
+    dealt = visits.withColumn("block", F.pmod(F.xxhash64("row"), block).cast("int")).withColumn("part", every(part))
+
+    def answers(asking: DataFrame) -> DataFrame:
+        return lists.groupBy(*keys).cogroup(asking.select(*keys, "row", "query_id", "v", "floor").groupBy(*keys)).applyInArrow(_best(k), "row long, query_id long, own long, vec_id long, score double")
+
+    first = written(answers(dealt.where(F.col("nth") < FIRST).withColumn("floor", F.lit(None).cast("double"))), "answers")
+    nth = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score")))
+    floors = first.select("row", "own", "score").distinct().withColumn("place", nth).where(F.col("place") == k).select("row", F.col("score").alias("floor"))
+    return first.unionByName(answers(dealt.where(F.col("nth") >= FIRST).join(floors, "row", "left")))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = STEP) -> Iterator[pa.RecordBatch]:
@@ -291,15 +303,15 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = STEP) -> Iterator[pa.
 
 
 def _best(k: int):
-    """For each query of a block the k best vectors of the block."""
+    """For each query of a block the k best vectors of the block, as far as they reach its floor, if it has one."""
 
     def best(members: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)] + [[np.zeros(0)]]
         if members.num_rows and queries.num_rows:
             own, ids, vectors = (members.column(c).combine_chunks() for c in ("row", "vec_id", "v"))
             own, ids, vectors = np.asarray(own), np.asarray(ids), matrix(vectors)
-            rows, names, asked = (queries.column(c).combine_chunks() for c in ("row", "query_id", "v"))
-            rows, names, asked = np.asarray(rows), np.asarray(names), matrix(asked)
+            rows, names, asked, least = (queries.column(c).combine_chunks() for c in ("row", "query_id", "v", "floor"))
+            rows, names, asked, least = np.asarray(rows), np.asarray(names), matrix(asked), np.asarray(least.fill_null(-np.inf))
             step = max(1, 2_000_000 // len(own))
             for a in range(0, len(rows), step):
                 score = asked[a : a + step] @ vectors.T
@@ -308,6 +320,7 @@ def _best(k: int):
                 floor = np.partition(score, len(own) - n, axis=1)[:, len(own) - n]
                 # products come in another order than the exact score: all that rounding can lift over the floor stay in
                 slack = 1e-12 * (np.abs(asked[a : a + step]) @ np.abs(vectors).max(0))
+                floor = np.maximum(floor, least[a : a + step])
                 query, vector = np.nonzero((score >= (floor - slack)[:, None]) & (score > -np.inf))
                 exact = np.zeros(len(query))
                 for d in range(vectors.shape[1]):
@@ -315,7 +328,7 @@ def _best(k: int):
                 order = np.lexsort((own[vector], ids[vector], -exact, query))
                 query, vector, exact = query[order], vector[order], exact[order]
                 first = np.searchsorted(query, query)
-                kept = np.arange(len(query)) - first < k
+                kept = (np.arange(len(query)) - first < k) & (exact >= least[a + query])
                 query, vector, exact = query[kept], vector[kept], exact[kept]
                 for column, values in zip(out, (rows[a + query], names[a + query], own[vector], ids[vector], exact)):
                     column.append(values)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import align as A
 from .components import minimum_labels
 from .intervals import overlap_join
+from .tables import written
 
 GROUP = ("sample_id", "qname")
 
@@ -60,7 +61,25 @@ def mark_alignments(alignments: DataFrame, library: str = "unstrand", tiles: Dat
     return placed.join(tailed, ["chrom", "pos", "is_reverse"], "left").withColumn("pas", F.col("pas") & F.col("priming").isNull()).select(*own.columns)
 
 
-def pair_alignments(alignments: DataFrame, threshold: int = 255, all_pairs: bool = True, cap: int | None = None) -> DataFrame:
+def proper_pairs(own: DataFrame, carried: Sequence[str] = (), low: int = A.MIN_INSERT, high: int = A.MAX_INSERT) -> DataFrame:
+    """Proper pairs among alignments (GROUP, chrom, s, e, rev, mate, carried): a column c of mate k is named ck.
+
+    In a proper pair the forward mate starts at or before the reverse one, at most `high` bases away. So starts fall into
+    bins of that width, a forward alignment stands in its own bin and the next one, and only alignments that meet in the
+    reverse one's bin are compared: a read group with many places on a chromosome costs as many rows as places."""
+    columns = ("s", "e", "rev", *carried)
+    place = F.floor(F.col("s") / high)
+    side = lambda name, rows: rows.select(*GROUP, "chrom", "__bin", F.col("mate").alias(f"__m{name}"), *[F.col(c).alias(f"__{c}{name}") for c in columns])
+    ahead = side("f", own.where(~F.col("rev")).withColumn("__bin", F.explode(F.array(place, place + 1))))
+    back = side("r", own.where("rev").withColumn("__bin", place))
+    span = F.greatest("__ef", "__er") - F.least("__sf", "__sr")
+    met = ahead.join(back, [*GROUP, "chrom", "__bin"]).where((F.col("__mf") != F.col("__mr")) & (F.col("__sf") <= F.col("__sr")) & span.between(low, high))
+    first = F.col("__mf") == 1
+    mates = [F.when(first if k == 1 else ~first, F.col(f"__{c}f")).otherwise(F.col(f"__{c}r")).alias(f"{c}{k}") for k in (1, 2) for c in columns]
+    return met.select(*GROUP, "chrom", *mates)
+
+
+def pair_alignments(alignments: DataFrame, threshold: int = 255, all_pairs: bool = True, cap: int | None = None, min_insert: int = A.MIN_INSERT, max_insert: int = A.MAX_INSERT) -> DataFrame:
     """Fragments: proper pairs of mates of a read group, and single ends for alignments in no kept pair.
 
     `all_pairs` keeps every distinct proper pair, else the best of a group. The score is the sum of the mates' (1.0 if
@@ -75,9 +94,7 @@ def pair_alignments(alignments: DataFrame, threshold: int = 255, all_pairs: bool
         *GROUP, "chrom", "blocks", A.flag(F.col("flag"), A.REVERSE).alias("rev"), mate(F.col("flag")).alias("mate"), F.coalesce("score", F.lit(1.0)).alias("score"),
         A.is_unique(F.col("nh"), F.col("mapq"), threshold).alias("u"), F.element_at("blocks", 1).s.alias("s"), F.element_at("blocks", -1).e.alias("e"), *marks,
     ).distinct()
-    side = lambda k: own.where(F.col("mate") == k).select(*GROUP, "chrom", *[F.col(c).alias(f"{c}{k}") for c in ("blocks", "rev", "score", "u", "s", "e", *marks)])
-    pairs = side(1).join(side(2), [*GROUP, "chrom"]).where(A.proper_pair(*[F.col(c) for c in ("s1", "e1", "rev1", "s2", "e2", "rev2")]))
-    pairs = pairs.withColumn("score", F.col("score1") + F.col("score2"))
+    pairs = proper_pairs(own, ["blocks", "score", "u", *marks], min_insert, max_insert).withColumn("score", F.col("score1") + F.col("score2"))
     if not all_pairs:
         best = Window.partitionBy(*GROUP).orderBy(F.desc("score"), "chrom", "s1", "s2", "e1", "e2")
         pairs = pairs.withColumn("__nth", F.row_number().over(best)).where("__nth = 1").drop("__nth")
@@ -127,16 +144,65 @@ def gene_sets(overlaps: DataFrame) -> DataFrame:
     return overlaps.groupBy("frag").agg(F.sort_array(F.collect_set("gene_id")).alias("genes"))
 
 
-def feature_counts(fragments: DataFrame, exons: DataFrame, library: str = "unstrand", require_both: bool = True, min_bp: int = 1) -> DataFrame:
-    """gene_id, count: unique fragments of one locus that overlap exactly one gene; with `require_both`, pairs only.
-
-    A fragment that is marked as one of several places of its read (NH over 1) counts for no gene, even if its other
-    places are not there."""
-    loci = fragments.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("loci")).where("loci = 1")
-    used = fragments.where("is_unique").join(loci, list(GROUP), "left_semi")
-    used = used.where(F.col("blocks_r1").isNotNull() & F.col("blocks_r2").isNotNull()) if require_both else used
-    sets = gene_sets(fragment_gene_overlap(used, exons, library, min_bp, 0.0)).where(F.size("genes") == 1)
-    return sets.groupBy(F.element_at("genes", 1).alias("gene_id")).agg(F.count(F.lit(1)).alias("count"))
+def counting_units(fragments: DataFrame, require_both: bool = True, chimeric: bool = False) -> DataFrame:
+    """The unique fragments that count, with `unit`: those that are all of their read group, and, with `chimeric`, the two
+    single mates of a group that lie on two chromosomes (or on no proper places of one), as one unit. `require_both` leaves
+    out units with one mate. Fragments marked as one of several places of their read never count."""
+    ends = lambda k: F.sum(F.col(f"blocks_r{k}").isNotNull().cast("int"))
+    groups = fragments.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("__n"), ends(1).alias("__ends1"), ends(2).alias("__ends2"), F.min("is_unique").alias("__u"))
+    whole = (F.col("__n") == 1) | ((F.col("__n") == 2) & (F.col("__ends1") == 1) & (F.col("__ends2") == 1) & F.lit(chimeric))
+    both = (F.col("__ends1") > 0) & (F.col("__ends2") > 0) if require_both else F.lit(True)
+    kept = groups.where(F.col("__u") & whole & both).select(*GROUP)
+    return fragments.join(kept, list(GROUP), "left_semi").withColumn("unit", F.md5(F.to_json(F.struct(*GROUP))))
+
+
+def feature_counts(fragments: DataFrame, exons: DataFrame, library: str = "unstrand", require_both: bool = True, min_bp: int = 1, chimeric: bool = False, width: int = 1000) -> DataFrame:
+    """gene_id, count: units (`counting_units`) that overlap exactly one gene with `min_bp` bases or more.
+
+    With `require_both` a read group counts only if both mates are mapped, and without `chimeric` only if they lie in one
+    proper pair. The fragments are written once, as pairing them is the costliest part."""
+    own = written(fragments)
+    used = written(counting_units(own, require_both, chimeric))
+    hits = fragment_gene_overlap(used, exons, library, min_bp=1, min_fraction=0.0, width=width).join(used.select("frag", "unit"), "frag")
+    sets = hits.groupBy("unit", "gene_id").agg(F.sum("bases").alias("bases")).where(F.col("bases") >= min_bp)
+    sets = sets.groupBy("unit").agg(F.count(F.lit(1)).alias("genes"), F.min("gene_id").alias("gene_id")).where("genes = 1")
+    return sets.groupBy("gene_id").agg(F.count(F.lit(1)).alias("count"))
+
+
+#: Fixed order of the classes, and those whose strand never matters.
+REGION_CLASSES = ("5UTR", "exon", "3UTR", "intron", "promoter", "downstream", "intergenic", "blacklist")
+UNSTRANDED_CLASSES = ("intergenic", "blacklist")
+
+
+def unit_classes(fragments: DataFrame, regions: DataFrame, library: str = "unstrand", classes: Sequence[str] = REGION_CLASSES, unstranded: Sequence[str] = UNSTRANDED_CLASSES, min_bp: int = 1, width: int = 1000) -> DataFrame:
+    """GROUP and `classes` (a bit for each class, in order): the classes in which a unit overlaps exactly one region.
+
+    regions: region_class, region_id, chrom, s2, e2, strand. One join serves all classes at once; a unit that overlaps two
+    regions of a class is ambiguous there, as in a count of that class alone, whatever it does in the others. Regions of the
+    classes in `unstranded` are met whatever the strand. fragments: as `counting_units` gives them."""
+    wanted = regions.where(F.col("region_class").isin(*classes))
+    open_ = F.col("region_class").isin(*unstranded)
+    met = overlap_join(fragment_blocks(fragments), wanted.select("region_class", "region_id", "chrom", "s2", "e2", "strand"), ["chrom"], width)
+    own = fragments.select("frag", "unit", *GROUP, "rev1", "rev2").join(met.select("frag", "region_class", "region_id", "strand", "overlap"), "frag")
+    own = own.where(open_ | A.strand_compatible(F.col("rev1"), F.col("rev2"), F.col("strand"), library))
+    hit = own.groupBy("unit", *GROUP, "region_class", "region_id").agg(F.sum("overlap").alias("bases")).where(F.col("bases") >= min_bp)
+    one = hit.groupBy("unit", *GROUP, "region_class").agg(F.count(F.lit(1)).alias("regions")).where("regions = 1")
+    power = F.element_at(F.create_map(*[x for k, c in enumerate(classes) for x in (F.lit(c), F.lit(1 << k))]), F.col("region_class"))
+    return one.groupBy("unit", *GROUP).agg(F.bit_or(power).alias("classes"))
+
+
+def region_class_counts(fragments: DataFrame, regions: DataFrame, library: str = "unstrand", classes: Sequence[str] = REGION_CLASSES, unstranded: Sequence[str] = UNSTRANDED_CLASSES, require_both: bool = True, chimeric: bool = False, min_bp: int = 1, width: int = 1000) -> DataFrame:
+    """sample_id, ord, region_class, reads, share: reads (or pairs) of each class, every class counted on its own, in their
+    order, for every sample with a fragment; the share is of the sum over the classes, null where all are 0."""
+    own = written(fragments)
+    used = written(counting_units(own, require_both, chimeric))
+    bits = unit_classes(used, regions, library, classes, unstranded, min_bp, width)
+    sums = bits.groupBy("sample_id").agg(*[F.sum(F.col("classes").bitwiseAND(1 << k).cast("boolean").cast("long")).alias(f"c{k}") for k in range(len(classes))])
+    every = own.select("sample_id").distinct().join(sums, "sample_id", "left").fillna(0, [f"c{k}" for k in range(len(classes))])
+    total = sum((F.col(f"c{k}") for k in range(1, len(classes))), F.col("c0"))
+    rows = F.array(*[F.struct(F.lit(k + 1).alias("ord"), F.lit(c).alias("region_class"), F.col(f"c{k}").alias("reads")) for k, c in enumerate(classes)])
+    out = every.select("sample_id", total.alias("__all"), F.inline(rows))
+    return out.withColumn("share", F.when(F.col("__all") > 0, F.col("reads") / F.col("__all"))).drop("__all")
 
 
 def unique_gene_counts(fragments: DataFrame, sets: DataFrame, models: DataFrame) -> DataFrame:
@@ -274,7 +340,7 @@ def alignments_to_reads(alignments: DataFrame, paired: bool = True) -> DataFrame
     return own.join(both, ["sample_id", "read_id"], "left_semi")
 
 
-def umi_dedup(alignments: DataFrame, place: Sequence[str] = ("sample_id", "chrom", "pos", "strand"), exact: bool = False) -> DataFrame:
+def umi_clusters(alignments: DataFrame, place: Sequence[str] = ("sample_id", "chrom", "pos", "strand"), exact: bool = False) -> DataFrame:
     """place, umi, reads, cluster: UMIs of a place with their cluster's name; one read of each cluster would stay.
 
     Directional: a UMI absorbs one that differs in one letter and has at most (reads + 1) / 2 reads. `exact` clusters
@@ -283,8 +349,40 @@ def umi_dedup(alignments: DataFrame, place: Sequence[str] = ("sample_id", "chrom
     counts = alignments.groupBy(*place, "umi").agg(F.count(F.lit(1)).alias("reads"))
     if exact:
         return counts.withColumn("cluster", F.col("umi"))
+    counts = written(counts)
     masked = F.transform(F.sequence(F.lit(1), F.length("umi")), lambda i: F.concat(F.substring(F.col("umi"), F.lit(1), i - 1), F.lit("*"), F.substring(F.col("umi"), i + 1, F.length("umi"))))
-    variants = counts.select(*place, "umi", "reads", F.explode_outer(masked).alias("m")).where("m is not null")
+    variants = counts.where(F.length("umi") > 0).select(*place, "umi", "reads", F.explode(masked).alias("m"))
     a, b = variants, variants.select(*place, F.col("umi").alias("umi2"), F.col("reads").alias("reads2"), "m")
     links = a.join(b, [*place, "m"]).where((F.col("umi") != F.col("umi2")) & (F.col("reads") >= 2 * F.col("reads2") - 1)).select(*place, "umi", "umi2").distinct()
     return minimum_labels(counts, links, list(place))
+
+
+def umi_dedup(alignments: DataFrame, umi: Column | None = None, paired: bool = True, exact: bool = False) -> DataFrame:
+    """The alignments that stay of reads with a UMI at the end of their name (behind the last `_`, or as `umi` says).
+
+    First mates (all reads, if not `paired`) are grouped by chromosome, strand and 5' end, clipped bases included, and if
+    `paired` by tlen; UMIs of a group are clustered directionally, and of each cluster the read of the greatest MAPQ stays,
+    of equals the first by name. With `paired` the alignments of its second mate stay with it. Unmapped and supplementary
+    alignments, and reads without a UMI, are left out. Alignments: GROUP, flag, chrom, st, cigar, mapq, tlen, and any more.
+    """
+    f, cigar = F.col("flag"), F.col("cigar")
+    tag = umi if umi is not None else F.when(F.instr("qname", "_") > 0, F.substring_index("qname", "_", -1))
+    own = alignments.withColumn("__umi", tag).where((f.bitwiseAND(A.UNMAPPED | A.SUPPLEMENTARY) == 0) & F.col("__umi").isNotNull())
+    clip = lambda pattern: F.coalesce(F.nullif(F.regexp_extract(cigar, pattern, 1), F.lit("")).cast("bigint"), F.lit(0))
+    used = F.aggregate(F.filter(A.parse_cigar(cigar), lambda x: x.op.isin("M", "D", "N", "=", "X")), F.lit(0).cast("bigint"), lambda n, x: n + x.len)
+    pos = F.when(A.flag(f, A.REVERSE), F.col("st") + used + clip(r"(\d+)S$")).otherwise(F.col("st") - clip(r"^(\d+)S"))
+    first = own.where(~A.flag(f, A.READ2)) if paired else own
+    strand = F.when(A.flag(f, A.REVERSE), "-").otherwise("+")
+    size = F.coalesce("tlen", F.lit(0)).cast("bigint") if paired else F.lit(0).cast("bigint")
+    place = ["sample_id", "chrom", "__pos", "__strand", "__size"]
+    placed = first.select("*", pos.alias(place[2]), strand.alias(place[3]), size.alias(place[4]))
+    heads = written(placed.select(*place, "qname", "mapq", F.col("__umi").alias("umi")))
+    clusters = umi_clusters(heads, place, exact)
+    best = F.min_by("qname", F.struct((-F.coalesce("mapq", F.lit(-1))).alias("order"), F.col("qname").alias("name")))
+    kept = heads.join(clusters.select(*place, "umi", "cluster"), [*place, "umi"]).groupBy(*place, "cluster").agg(best.alias("qname"))
+    kept = written(kept.select(*place, "qname").distinct())
+    out = placed.join(kept, [*place, "qname"], "left_semi").select(*alignments.columns)
+    if not paired:
+        return out
+    second = own.where(A.flag(f, A.READ2)).join(kept.select("sample_id", "qname").distinct(), ["sample_id", "qname"], "left_semi")
+    return out.unionByName(second.select(*alignments.columns))

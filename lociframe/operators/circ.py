@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .tables import dropped, written
+
 
 def known_gene(gene: Column) -> Column:
     """Without trailing commas; empty and n/a become `novel`."""
@@ -44,8 +46,8 @@ def union_calls(a: DataFrame, b: DataFrame, names: tuple[str, str]) -> DataFrame
 def cluster_by_start(rows: DataFrame, keys: Sequence[str], tol: int = 2, start: str = "s", name: str = "cluster") -> DataFrame:
     """Numbers clusters within `keys`: from the least start on, a cluster takes the starts nearer than `tol` to its first.
 
-    With tol 2, starts of an island (no gap of 2 or more) pair up from its least start, which is a closed form. Another
-    tolerance walks the distinct starts of the key in order, in one array a key.
+    With tol 2, starts of an island (no gap of 2 or more) pair up from its least start, which is a closed form. For another
+    tolerance see `first_starts`.
     """
     if tol == 2:
         order = Window.partitionBy(*keys).orderBy(start)
@@ -53,11 +55,50 @@ def cluster_by_start(rows: DataFrame, keys: Sequence[str], tol: int = 2, start:
         island = rows.withColumn("__gap", gap).withColumn("__island", F.sum("__gap").over(order.rangeBetween(Window.unboundedPreceding, 0)))
         first = F.min(start).over(Window.partitionBy(*keys, "__island"))
         return island.withColumn(name, first + F.floor((F.col(start) - first) / 2) * 2).drop("__gap", "__island")
-    step = lambda firsts, x: F.when((F.size(firsts) > 0) & (x - F.try_element_at(firsts, F.lit(-1)) < tol), firsts).otherwise(F.concat(firsts, F.array(x)))
-    starts = F.sort_array(F.collect_set(F.col(start).cast("bigint")))
-    firsts = rows.groupBy(*keys).agg(F.aggregate(starts, F.array().cast("array<bigint>"), step).alias("__firsts"))
-    own = F.array_max(F.filter("__firsts", lambda f: f <= F.col(start)))
-    return rows.join(firsts, list(keys)).withColumn(name, own).drop("__firsts")
+    names = [f"__k{k}" for k in range(len(keys))]  # null keys are keys like any other
+    keyed = lambda df: df.select("*", *[F.struct(k).alias(n) for k, n in zip(keys, names)])
+    marks = first_starts(keyed(rows).select(*names, F.col(start).cast("bigint").alias("s")), names, tol)
+    points = keyed(rows).select(*names, F.col(start).cast("bigint").alias("s")).distinct()
+    known = nearest(points, marks, names).select(*names, F.col("s").alias("__s"), F.col("near").alias(name))
+    return keyed(rows).withColumn("__s", F.col(start).cast("bigint")).join(known, [*names, "__s"]).drop(*names, "__s")
+
+
+def nearest(points: DataFrame, marks: DataFrame, keys: list[str], ahead: int | None = None, tile: int = 100_000) -> DataFrame:
+    """points (keys, s) with `near`: the last mark (keys, s) at or before s, or with `ahead` the first one from s + ahead on; null
+    without one. Looked for inside tiles; where a tile has none, the tiles' outermost marks are asked."""
+    at = F.col("s") + (ahead or 0)
+    cut = F.floor(F.col("pos") / tile)
+    both = points.select(*keys, "s", at.alias("pos"), F.lit(None).cast("bigint").alias("mark")).unionByName(marks.select(*keys, F.lit(None).cast("bigint").alias("s"), F.col("s").alias("pos"), F.col("s").alias("mark")))
+    both = both.withColumn("tile", cut)
+    edge = F.min if ahead is not None else F.max
+    tiles = both.groupBy(*keys, "tile").agg(edge("mark").alias("edge"))
+    side = lambda c, *more: Window.partitionBy(*keys, *more).orderBy(F.desc(c) if ahead is not None else F.asc(c))
+    tiles = tiles.withColumn("beyond", F.last("edge", ignorenulls=True).over(side("tile").rowsBetween(Window.unboundedPreceding, -1))).drop("edge")
+    inside = F.last("mark", ignorenulls=True).over(side("pos", "tile").rangeBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("near", inside).where("s is not null").join(tiles, [*keys, "tile"])
+    return found.select(*keys, "s", F.coalesce("near", "beyond").alias("near"))
+
+
+def first_starts(rows: DataFrame, keys: list[str], tol: int) -> DataFrame:
+    """keys, s: the starts that begin a cluster. A start points to the first one at least `tol` further on; the chain of pointers
+    from a key's least start is followed by doubling: each round knows twice as many of its members and jumps twice as far,
+    so rounds grow with the logarithm of the chain. Finished rounds are deleted."""
+    starts = written(rows.where("s is not null").select(*keys, "s").distinct())
+    jump = written(nearest(starts, starts, keys, ahead=tol).where("near is not null"))
+    reached = written(starts.groupBy(*keys).agg(F.min("s").alias("s")))
+    while True:
+        more = reached.join(jump, [*keys, "s"]).select(*keys, F.col("near").alias("s"))
+        after = written(reached.unionByName(more))
+        grown = not more.isEmpty()
+        dropped(reached)
+        reached = after
+        if not grown:
+            break
+        twice = written(jump.join(jump.select(*keys, F.col("s").alias("near"), F.col("near").alias("far")), [*keys, "near"]).select(*keys, "s", F.col("far").alias("near")))
+        dropped(jump)
+        jump = twice
+    dropped(starts, jump)
+    return reached
 
 
 def cluster_representative(clustered: DataFrame, keys: Sequence[str], callers: Sequence[str], cluster: str = "cluster") -> DataFrame:
@@ -71,11 +112,13 @@ def cluster_representative(clustered: DataFrame, keys: Sequence[str], callers: S
 
 
 def number_within_gene(rows: DataFrame, sample: str = "sample_id") -> DataFrame:
-    """Adds circ_id3: `circRNA{n}|symbol`, n by place within the symbol; calls without gene carry their place instead."""
+    """Adds circ_id3: `circRNA{n}|symbol`, n by place within the symbol; calls without gene (`novel`) carry their place instead,
+    and are not ranked: there may be any number of them in a sample."""
+    novel = F.coalesce(F.col("symbol") == "novel", F.lit(False))
     order = Window.partitionBy(sample, "symbol").orderBy("s", "chrom", "e", "strand", "gene_id")
-    numbered = rows.withColumn("__n", F.row_number().over(order))
+    named = rows.where(~novel).withColumn("circ_id3", F.concat(F.lit("circRNA"), F.row_number().over(order), F.lit("|"), F.col("symbol")))
     place = F.concat(F.col("chrom"), F.lit(":"), F.col("s"), F.lit("|"), F.col("e"), F.lit("|"), F.col("symbol"))
-    return numbered.withColumn("circ_id3", F.when(F.col("symbol") == "novel", place).otherwise(F.concat(F.lit("circRNA"), F.col("__n"), F.lit("|"), F.col("symbol")))).drop("__n")
+    return named.unionByName(rows.where(novel).withColumn("circ_id3", place))
 
 
 def merge_calls(calls: DataFrame, callers: Sequence[str], keys: Sequence[str] = ("sample_id", "chrom", "e", "strand")) -> DataFrame:

@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .tables import written
+from .tables import dropped, written
 
 
 def minimum_labels(nodes: DataFrame, links: DataFrame, place: list[str]) -> DataFrame:
     """Adds cluster to nodes (place, umi, reads): the UMI of most reads (then the first by name) that reaches it.
 
-    Labels are ranks by reads and name, and spread along links (umi -> umi2) until none changes; chains are as short as
-    counts halve along them.
+    Labels are pairs of reads and name, so a place with very many UMIs is never ranked as a whole. They spread along links
+    (umi -> umi2) until none changes; chains are as short as counts halve along them. Finished rounds are deleted.
     """
-    order = Window.partitionBy(*place).orderBy(F.desc("reads"), "umi")
-    labels = written(nodes.withColumn("label", F.row_number().over(order)).withColumn("rank", F.col("label")))
-    links = written(links)
+    label = F.struct((-F.col("reads")).alias("order"), F.col("umi").alias("name"))
+    labels, links = written(nodes.withColumn("label", label)), written(links)
     while True:
         sent = links.join(labels.select(*place, "umi", F.col("label").alias("__sent")), [*place, "umi"])
         least = sent.groupBy(*place, F.col("umi2").alias("umi")).agg(F.min("__sent").alias("__sent"))
         after = labels.join(least, [*place, "umi"], "left").withColumn("__new", F.least("label", F.coalesce("__sent", "label")))
-        after = written(after.select(*nodes.columns, "rank", F.col("__new").alias("label"), (F.col("__new") < F.col("label")).alias("changed")))
-        if after.where("changed").isEmpty():
+        after = written(after.select(*nodes.columns, F.col("__new").alias("label"), (F.col("__new") < F.col("label")).alias("changed")))
+        done = after.where("changed").isEmpty()
+        dropped(labels)
+        labels = after
+        if done:
             break
-        labels = after.drop("changed")
-    names = labels.select(*place, F.col("rank").alias("label"), F.col("umi").alias("cluster"))
-    return labels.join(names, [*place, "label"]).select(*nodes.columns, "cluster")
+    dropped(links)
+    return labels.select(*nodes.columns, F.col("label.name").alias("cluster"))

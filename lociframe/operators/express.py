@@ -21,7 +21,7 @@ def share_of_total(df: DataFrame, value: str, by: Sequence[str], name: str = "sh
 
 def tpm(counts: DataFrame, by: Sequence[str] = ("sample_id",), count: str = "count", length: str = "length") -> DataFrame:
     """Adds tpm; rows without a positive count and length are left out."""
-    used = counts.where((F.col(count) > 0) & (F.col(length) > 0)).withColumn("__rpk", F.col(count) * 1000.0 / F.col(length))
+    used = countable(counts, count, length).withColumn("__rpk", F.col(count) * 1000.0 / F.col(length))
     return share_of_total(used, "__rpk", by, "tpm").withColumn("tpm", F.col("tpm") * 1e6).drop("__rpk")
 
 
@@ -62,7 +62,7 @@ def strand_subtract(sense: DataFrame, antisense: DataFrame, keys: Sequence[str],
 
 def combine_expression(linear: DataFrame, circ: DataFrame) -> DataFrame:
     """One matrix sample_id, gene_id, symbol, gene_type, read_counts, norm_expr from linear (tpm) and circular (cpm) RNA."""
-    a = linear.where(F.col("gene_type") != "artifact").select("sample_id", "gene_id", "symbol", "gene_type", F.col("count").cast("double").alias("read_counts"), F.col("tpm").alias("norm_expr"))
+    a = drop_artifact(linear).select("sample_id", "gene_id", "symbol", "gene_type", F.col("count").cast("double").alias("read_counts"), F.col("tpm").alias("norm_expr"))
     b = circ.select("sample_id", F.col("circ_id1").alias("gene_id"), F.col("circ_id3").alias("symbol"), F.lit("circRNAs").alias("gene_type"), F.col("reads").cast("double").alias("read_counts"), F.col("cpm").alias("norm_expr"))
     return a.unionByName(b)
 
@@ -106,10 +106,25 @@ def id_sets(a: DataFrame, b: DataFrame, key: str) -> tuple[DataFrame, DataFrame]
     return a.select(key).subtract(b.select(key)), a.select(key).intersect(b.select(key))
 
 
+def drop_artifact(matrix: DataFrame, artifact: str = "artifact") -> DataFrame:
+    """Without rows of the type `artifact`; rows without a type stay."""
+    return matrix.where(~F.col("gene_type").eqNullSafe(artifact))
+
+
+def countable(counts: DataFrame, count: str = "count", length: str = "length") -> DataFrame:
+    """Rows with a positive count and a positive length."""
+    return counts.where((F.col(count) > 0) & (F.col(length) > 0))
+
+
 def expressed(matrix: DataFrame, value: str = "norm_expr") -> DataFrame:
     return matrix.where(F.col(value) > 0)
 
 
+def remaining_genes(matrix: DataFrame, selected: DataFrame, keys: Sequence[str] = ("sample_id", "gene_id")) -> DataFrame:
+    """The rows whose keys are not among the selected ones."""
+    return matrix.join(selected.select(*keys).distinct(), list(keys), "left_anti")
+
+
 def top_n_per_group(df: DataFrame, group: Sequence[str], n: int, value: str, tie: str) -> DataFrame:
     best = Window.partitionBy(*group).orderBy(F.desc(value), tie)
     return df.withColumn("__nth", F.row_number().over(best)).where(F.col("__nth") <= n).drop("__nth")
@@ -119,7 +134,7 @@ def top_genes(matrix: DataFrame, n_per_type: int = 5, total: int = 100, sample:
     """Of each sample, the n best of every type, filled up with the best of the rest to `total` genes, or cut to it."""
     live = expressed(matrix)
     first = top_n_per_group(live, [sample, "gene_type"], n_per_type, "norm_expr", "gene_id").withColumn("round", F.lit(1))
-    rest = live.join(first.select(sample, "gene_id"), [sample, "gene_id"], "left_anti").withColumn("round", F.lit(2))
+    rest = remaining_genes(live, first, [sample, "gene_id"]).withColumn("round", F.lit(2))
     ranked = Window.partitionBy(sample).orderBy("round", F.desc("norm_expr"), "gene_id")
     # the rest is cut to `total` rows a sample before it meets the first
     rest = top_n_per_group(rest, [sample], total, "norm_expr", "gene_id")

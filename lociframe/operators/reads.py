@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.reads import motif_at
+from .tables import written
 
 
 def pair_mates(r1: DataFrame, r2: DataFrame, keys: list[str] = ["sample_id", "read_id"]) -> DataFrame:  # noqa: B006
@@ -19,10 +20,13 @@ def motif_fraction(reads: DataFrame, by: list[str], seq: str = "seq", **motif) -
 
 
 def base_composition(reads: DataFrame, by: list[str], n: int = 14, seq: str = "seq") -> DataFrame:
-    """by, pos (from 1), A, C, G, T: shares among the reads of n bases or more; other letters count below only."""
-    own = reads.where(F.length(seq) >= n).select(*by, F.posexplode(F.slice(F.split(F.upper(seq), ""), 1, n)).alias("pos", "base"))
-    share = lambda b: (F.sum((F.col("base") == b).cast("int")) / F.count(F.lit(1))).alias(b)
-    return own.groupBy(*by, (F.col("pos") + 1).alias("pos")).agg(*[share(b) for b in "ACGT"])
+    """by, pos (from 1), A, C, G, T: shares among the reads of n bases or more; other letters count below only. One pass over
+    the first n letters, without a row for each."""
+    at = lambda k: F.upper(F.substring(seq, k, 1))
+    sums = [F.sum((at(k) == b).cast("int")).alias(f"{b}{k}") for k in range(1, n + 1) for b in "ACGT"]
+    own = reads.where(F.length(seq) >= n).groupBy(*by).agg(F.count(F.lit(1)).alias("__all"), *sums)
+    rows = F.array(*[F.struct(F.lit(k).alias("pos"), *[(F.col(f"{b}{k}") / F.col("__all")).alias(b) for b in "ACGT"]) for k in range(1, n + 1)])
+    return own.select(*by, F.inline(rows))
 
 
 def read_length_histogram(reads: DataFrame, by: list[str], seq: str = "seq") -> DataFrame:
@@ -54,8 +58,26 @@ def fastq_stats(reads: DataFrame, by: list[str], file: str, seq: str = "seq") ->
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: str = "read_id") -> DataFrame:
-    """n rows in the order of a hash of the key: both mates of a pair come together."""
-    return df.orderBy(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), key).limit(n)
+    """The first n rows in the order of a hash of the key: both mates of a pair come together; rows without a key come last.
+
+    The hash of the n-th row is found from counts of hash prefixes, four hex digits more a pass and only among rows that
+    share the digits so far, until a prefix ends at the n-th row; what lies up to it is a filter, and no task holds n rows.
+    Only of rows with one and the same hash, where the n-th row is among them, some are taken by a limit."""
+    h = F.md5(F.concat_ws(":", F.col(key), F.lit(seed)))
+    prefix, left = "", n
+    while len(prefix) < 32:
+        size = len(prefix) + 4
+        counts = df.where(h.startswith(prefix)).groupBy(F.substring(h, 1, size).alias("p")).count().collect()  # 16 ** 4 rows at most
+        for p, count in sorted(map(tuple, counts)):
+            prefix = p
+            if count >= left:
+                break
+            left -= count
+        else:
+            return df  # there are fewer rows
+        if count == left:
+            return df.where(F.substring(h, 1, size) <= prefix)
+    return df.where(h < prefix).unionByName(df.where(h == prefix).limit(left))
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str = "read_id") -> DataFrame:
@@ -70,17 +92,45 @@ def limit_reads(df: DataFrame, n: int) -> DataFrame:
 
 
 def kmers(seq: Column, k: int) -> Column:
+    """The distinct k-mers of a read on either strand, packed two bits a letter (k up to 31): of a k-mer and its reverse
+    complement the lesser number. Stretches with other letters than A, C, G and T give none."""
+    clean = F.upper(seq)
+    back = F.reverse(F.translate(clean, "ACGT", "3210"))
+    ahead = F.translate(clean, "ACGT", "0123")
     places = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(places, lambda i: F.substring(seq, i, F.lit(k))))
-
-
-def kmer_screen(reads: DataFrame, refs: DataFrame, k: int = 31) -> DataFrame:
-    """read_id, ref, kmers: the reference that shares most k-mers with the read (the first by name of equals)."""
-    own = reads.select("read_id", F.explode(kmers(F.col("seq"), k)).alias("kmer"))
-    known = refs.select("ref", F.explode(kmers(F.col("seq"), k)).alias("kmer")).distinct()
-    counts = own.join(known, "kmer").groupBy("read_id", "ref").agg(F.count(F.lit(1)).alias("kmers"))
-    best = Window.partitionBy("read_id").orderBy(F.desc("kmers"), "ref")
-    return counts.withColumn("nth", F.row_number().over(best)).where("nth = 1").drop("nth")
+    pure = F.filter(places, lambda i: ~F.substring(ahead, i, F.lit(k)).rlike("[^0-3]"))
+    packed = lambda digits: F.conv(digits, 4, 10).cast("bigint")
+    return F.array_distinct(F.transform(pure, lambda i: packed(F.least(F.substring(ahead, i, F.lit(k)), F.substring(back, F.length(seq) - i - k + 2, F.lit(k))))))
+
+
+#: K-mers of more references than this are counted apart.
+COMMON = 64
+
+
+def kmer_screen(reads: DataFrame, refs: DataFrame, k: int = 31, common: int = COMMON) -> DataFrame:
+    """read_id, ref, kmers: the reference that shares most k-mers with the read, on either strand (the first by name of equals).
+
+    Each distinct k-mer of the references is one row with its class, the set of references that hold it, so a k-mer is a
+    join key once on that side. Classes of up to `common` references are counted for each of these. Larger ones are counted
+    as classes: what they give a reference that a read shares rarer k-mers with is looked up, and which reference they favour
+    by themselves is worked out once for each combination of such classes and counts that reads show."""
+    known = refs.where("ref is not null").select("ref", F.explode(kmers(F.col("seq"), k)).alias("kmer"))
+    known = written(known.groupBy("kmer").agg(F.sort_array(F.collect_set("ref")).alias("refs")).select("kmer", "refs", F.md5(F.concat_ws("\n", F.transform("refs", lambda r: F.concat(F.length(r).cast("string"), F.lit(":"), r)))).alias("class")))
+    members = known.groupBy("class").agg(F.first("refs").alias("refs"))
+    wide = members.where(F.size("refs") > common).select("class", F.explode("refs").alias("ref"))
+    own = reads.select("read_id", F.explode(kmers(F.col("seq"), k)).alias("kmer")).distinct()
+    met = own.join(known.select("kmer", "class", (F.size("refs") > common).alias("wide")), "kmer")
+    met = written(met.groupBy("read_id", "class", "wide").agg(F.count(F.lit(1)).alias("n")))
+    rare = met.where(~F.col("wide")).join(members, "class").select("read_id", "n", F.explode("refs").alias("ref")).groupBy("read_id", "ref").agg(F.sum("n").alias("n"))
+    often = met.where("wide").select("read_id", "class", "n")
+    added = rare.select("read_id", "ref").join(often, "read_id").join(wide, ["class", "ref"]).select("read_id", "ref", "n")
+    shown = often.groupBy("read_id").agg(F.sort_array(F.collect_list(F.struct("class", "n"))).alias("shown"))
+    kinds = shown.select("shown").distinct()
+    alone = kinds.select("shown", F.inline("shown")).join(wide, "class").groupBy("shown", "ref").agg(F.sum("n").alias("n"))
+    first = alone.groupBy("shown").agg(F.min_by(F.struct("ref", "n"), F.struct((-F.col("n")).alias("order"), "ref")).alias("best")).select("shown", "best.*")
+    both = rare.unionByName(added).groupBy("read_id", "ref").agg(F.sum("n").alias("kmers")).unionByName(shown.join(first, "shown").select("read_id", "ref", F.col("n").alias("kmers")))
+    most = both.groupBy("read_id").agg(F.min_by(F.struct("ref", "kmers"), F.struct((-F.col("kmers")).alias("order"), "ref")).alias("best"))
+    return most.select("read_id", "best.ref", "best.kmers")
 
 
 def contaminant_share(labelled: DataFrame, by: list[str], label: str = "label") -> DataFrame:

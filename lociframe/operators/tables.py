@@ -24,4 +24,28 @@ def written(df: DataFrame) -> DataFrame:
     """`df` as Parquet in the shared folder, read again."""
     path = shared_path(df.sparkSession, "round")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.__dict__["folder"] = path
+    return table
+
+
+def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`df` as a table in the shared folder that is bucketed by `keys`, so that joins and sums by these keys do not shuffle it.
+    There are as many buckets as shuffle partitions, and a file for each."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, name = shared_path(spark, "buckets"), f"buckets_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    table.__dict__["folder"], table.__dict__["table"] = path, name
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what `written` and `bucketed` made."""
+    for df in tables:
+        spark = df.sparkSession
+        if "table" in df.__dict__:
+            spark.sql(f"DROP TABLE IF EXISTS {df.__dict__['table']}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.__dict__["folder"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

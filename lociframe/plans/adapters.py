@@ -22,8 +22,8 @@ def v_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reads of 48 letters or more, parted into mates; the UMI is taken from the end of mate 1, so that many read through."""
-    own = v_reads(spark, sf_dir).where("length(seq) >= 48").withColumn("n", F.col("doc_id") + F.col("piece"))
+    """Reads parted into mates; the UMI is taken from the end of mate 1, so that many read through. Short reads have short UMIs."""
+    own = v_reads(spark, sf_dir).withColumn("n", F.col("doc_id") + F.col("piece"))
     return own.selectExpr(
         "sample_id", "doc_id", "piece", "concat(read_id, '_', translate(reverse(substring(seq, cast(40 - n % 12 as int), 14)), 'ACGT', 'TGCA')) as read_id",
         "substring(seq, 1, cast(45 - n % 7 as int)) as seq1", "repeat('I', cast(45 - n % 7 as int)) as qual1", "substring(seq, cast(46 - n % 7 as int), 100) as seq2",
@@ -40,6 +40,17 @@ def v_aln(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def v_pe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read pairs with a UMI in their name: most are proper, some lie on two chromosomes, lack a mate or have several places."""
+    own = table(spark, sf_dir, "lineitem").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("second")).where("not (second = 1 and l_linenumber = 6)")
+    return own.withColumn("back", F.expr("(l_partkey + second) % 2 = 1")).selectExpr(
+        "l_suppkey % 4 as sample_id", "concat(l_orderkey, '.', l_linenumber, '_', substring('AC', cast(l_orderkey % 2 + 1 as int), 1), 'GT', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as qname",
+        "cast(65 + 64 * second + if(back, 16, 0) as int) as flag", "cast((l_suppkey + if(l_linenumber = 5, second, 0)) % 10 as string) as chrom", "l_partkey * 7 + if(back, 30 + cast(l_quantity as bigint), 0) as st",
+        "cast(round(l_discount * 100) as double) as score", "255 - cast(l_linenumber as int) as mapq", "cast(if(l_linenumber = 4, 2, 1) as int) as nh", "cast(if(back, -200, 200) as bigint) as tlen",
+        "concat(cast(cast(l_quantity as int) as string), 'M', cast(10 * l_linenumber as string), 'N', cast(l_partkey % 20 + 5 as string), 'M') as cigar",
+    )
+
+
 def v_iv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr("l_suppkey % 10 as chrom", "l_partkey * 7 as s", "l_partkey * 7 + cast(l_quantity as bigint) as e", "l_discount as w")
 
@@ -76,12 +87,17 @@ SQL = {
         SELECT *, unnest(range(0, greatest((length(letters) + {READ - 1}) // {READ}, 1))) AS piece FROM (
         SELECT source AS sample_id, doc_id, translate(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')), '{LETTERS}', '{BASES}') AS letters FROM documents))""",
     "v_pairs": """SELECT sample_id, doc_id, piece, read_id || '_' || translate(reverse(substr(seq, 40 - n % 12, 14)), 'ACGT', 'TGCA') AS read_id,
-        substr(seq, 1, 45 - n % 7) AS seq1, repeat('I', 45 - n % 7) AS qual1, substr(seq, 46 - n % 7, 100) AS seq2 FROM (SELECT *, doc_id + piece AS n FROM v_reads WHERE length(seq) >= 48)""",
+        substr(seq, 1, 45 - n % 7) AS seq1, repeat('I', 45 - n % 7) AS qual1, substr(seq, 46 - n % 7, 100) AS seq2 FROM (SELECT *, doc_id + piece AS n FROM v_reads)""",
     "v_aln": """SELECT l_suppkey % 4 AS sample_id, CAST(l_orderkey AS VARCHAR) AS qname,
         1 + CASE WHEN l_linenumber % 2 = 1 THEN 64 ELSE 128 END + CASE WHEN l_partkey % 2 = 1 THEN 16 ELSE 0 END + CASE WHEN l_quantity > 48 THEN 256 ELSE 0 END AS flag,
         CAST(l_suppkey % 10 AS VARCHAR) AS chrom, l_partkey * 7 AS st, round(l_discount * 100) AS score, l_linenumber * 40 AS mapq,
         CASE WHEN l_linenumber = 7 THEN NULL ELSE 1 + l_partkey % 2 END AS nh, CAST(l_quantity * 10 - 100 AS BIGINT) AS tlen,
         CAST(l_quantity AS BIGINT) AS m1, 10 * l_linenumber AS gap, l_partkey % 20 + 5 AS m2 FROM lineitem""",
+    "v_pe": """SELECT l_suppkey % 4 AS sample_id, l_orderkey || '.' || l_linenumber || '_' || substr('AC', CAST(l_orderkey % 2 + 1 AS INTEGER), 1) || 'GT' || substr('AAAC', CAST(l_linenumber % 4 + 1 AS INTEGER), 1) AS qname,
+        65 + 64 * second + CASE WHEN back THEN 16 ELSE 0 END AS flag, CAST((l_suppkey + CASE WHEN l_linenumber = 5 THEN second ELSE 0 END) % 10 AS VARCHAR) AS chrom,
+        l_partkey * 7 + CASE WHEN back THEN 30 + CAST(l_quantity AS BIGINT) ELSE 0 END AS st, round(l_discount * 100) AS score, 255 - l_linenumber AS mapq, CASE WHEN l_linenumber = 4 THEN 2 ELSE 1 END AS nh,
+        CASE WHEN back THEN -200 ELSE 200 END AS tlen, CAST(l_quantity AS BIGINT) AS m1, 10 * l_linenumber AS gap, l_partkey % 20 + 5 AS m2
+        FROM (SELECT *, (l_partkey + second) % 2 = 1 AS back FROM lineitem, range(0, 2) t(second) WHERE NOT (second = 1 AND l_linenumber = 6))""",
     "v_iv": "SELECT l_suppkey % 10 AS chrom, l_partkey * 7 AS s, l_partkey * 7 + CAST(l_quantity AS BIGINT) AS e, l_discount AS w FROM lineitem",
     "v_exon": """SELECT p_partkey AS gene_id, p_partkey % 10 AS chrom, p_partkey * 7 AS s, p_partkey * 7 + p_size * 3 AS e, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
         p_name AS symbol, p_type AS gene_type FROM part""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import align as A
 from ..operators import align as L, em as E, express as X, intervals as I
-from .adapters import sql, table, v_aln, v_exon
+from .adapters import SQL, sql, table, v_aln, v_exon, v_pe
 
 
 def exons(s, d):
@@ -22,6 +22,17 @@ def fragments(s, d, **kw):
     return L.with_fragment_key(L.pair_alignments(own, **kw))
 
 
+def paired(s, d, **kw):
+    own = v_pe(s, d).where(A.alignment_filter(F.col("flag")))
+    return L.with_fragment_key(L.pair_alignments(own, **kw))
+
+
+def regions(s, d):
+    """The exons as regions of eight classes, which overlap each other."""
+    classes = F.array(*[F.lit(c) for c in L.REGION_CLASSES])
+    return merged(s, d).select(F.element_at(classes, (F.col("gene_id") % len(L.REGION_CLASSES) + 1).cast("int")).alias("region_class"), F.col("gene_id").alias("region_id"), "chrom", "s2", "e2", "strand")
+
+
 def sets(s, d):
     return L.gene_sets(L.fragment_gene_overlap(fragments(s, d), merged(s, d), width=64))
 
@@ -87,10 +98,21 @@ def fragment_sql(body, of=HITS, every="true", bases=10, share=0.01):
     return sql(of.replace("WANTED", every).replace("LEAST_BASES", str(bases)).replace("LEAST_SHARE", str(share)) + " " + body, "v_aln", "v_exon")
 
 
+def paired_sql(body, of=HITS, **kw):
+    """Over the view of read pairs, under the name that the fragments of SQL are made from."""
+    return fragment_sql(body, of, **kw).replace(SQL["v_aln"], SQL["v_pe"], 1)
+
+
+UNITS = """, un AS (SELECT sample_id, qname FROM f GROUP BY 1, 2 HAVING bool_and(u) AND (count(*) = 1 OR (CHIMERIC AND count(*) = 2 AND count(s1) = 1 AND count(s2) = 1)) AND count(s1) > 0 AND count(s2) > 0)"""
+
 LABELS = """u AS (SELECT DISTINCT sample_id, qname, chrom, st, m1, gap, m2, flag FROM v_aln), b AS (SELECT *, st AS s, st + m1 AS e FROM u UNION ALL SELECT *, st + m1 + gap, st + m1 + gap + m2 FROM u),
 h AS (SELECT b.sample_id, qname, b.chrom, st, m1, gap, m2, flag, min(strand) AS lo, max(strand) AS hi FROM b JOIN v_exon x ON b.chrom = CAST(x.chrom AS VARCHAR) AND b.s < x.e AND x.s < b.e GROUP BY ALL),
 l AS (SELECT sample_id, CASE WHEN lo <> hi THEN 'both' ELSE (CASE WHEN (flag & 128) <> 0 THEN '2' ELSE '1' END) || (CASE WHEN (flag & 16) <> 0 THEN '-' ELSE '+' END) || lo END AS label FROM h)"""
 UMIS = "l_suppkey % 4 AS sample_id, l_suppkey % 10 AS chrom, l_partkey % 50 AS pos, substr('ACGT', CAST(l_orderkey % 4 + 1 AS INTEGER), 1) || 'ACG' || substr('AAAC', CAST(l_linenumber % 4 + 1 AS INTEGER), 1) AS umi"
+#: From c (places, UMIs, reads and their rank): which UMI of most reads reaches each one.
+REACHED = """k_links AS (SELECT a.sample_id, a.chrom, a.pos, a.umi, b.umi AS umi2 FROM c a JOIN c b USING (sample_id, chrom, pos) WHERE a.reads >= 2 * b.reads - 1 AND length(a.umi) = length(b.umi) AND len(list_filter(range(1, length(a.umi) + 1), lambda i: substr(a.umi, i, 1) <> substr(b.umi, i, 1))) = 1),
+r AS (SELECT sample_id, chrom, pos, umi AS source, place, umi FROM c UNION SELECT r.sample_id, r.chrom, r.pos, source, place, k.umi2 FROM r JOIN k_links k USING (sample_id, chrom, pos, umi)),
+m AS (SELECT sample_id, chrom, pos, umi, arg_min(source, place) AS cluster FROM r GROUP BY 1, 2, 3, 4)"""
 
 #: Rounds as recursion: the state of a round is a row of lists by gene (E2), or a row for each place (E1).
 GENE_EM = """WITH RECURSIVE f AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem),
@@ -123,7 +145,8 @@ SELECT i + 1, sample_id, chrom, qname, frag, score, boost, after, max(abs(after
 placed AS MATERIALIZED (SELECT * FROM r WHERE i = (SELECT max(i) FROM r))"""
 PLACE_EM = (
     FRAGMENTS.replace("WANTED", "true")
-    + """, bl AS (SELECT sample_id, chrom, qname, frag, score, s1 AS s, s1 + a1 AS e FROM f WHERE s1 IS NOT NULL UNION ALL SELECT sample_id, chrom, qname, frag, score, s1 + a1 + g1, s1 + a1 + g1 + b1 FROM f WHERE s1 IS NOT NULL),
+    + """, bl AS (SELECT sample_id, chrom, qname, frag, score, unnest([s1, s1 + a1 + g1]) AS s, unnest([s1 + a1, s1 + a1 + g1 + b1]) AS e FROM f WHERE s1 IS NOT NULL
+  UNION ALL SELECT sample_id, chrom, qname, frag, score, unnest([s2, s2 + a2 + g2]), unnest([s2 + a2, s2 + a2 + g2 + b2]) FROM f WHERE s2 IS NOT NULL),
 ab AS (SELECT sample_id, chrom, st AS s, st + m1 AS e FROM v_aln UNION ALL SELECT sample_id, chrom, st + m1 + gap, st + m1 + gap + m2 FROM v_aln), """
     + PLACE_ROUNDS + " SELECT sample_id, chrom, qname, score, round(fraction, 6) AS fraction FROM placed"
 )
@@ -185,9 +208,23 @@ QUERIES = {
     "a8_strand_fractions": (lambda s, d: L.strand_fractions(L.infer_strand(v_aln(s, d), merged(s, d), width=64)).select("sample_id", *[F.round(c, 8).alias(c) for c in ("forward", "reverse", "undetermined")]),
         sql(LABELS + """ SELECT sample_id, round(avg(CASE WHEN label IN ('1++', '1--', '2+-', '2-+') THEN 1 ELSE 0 END), 8) AS forward, round(avg(CASE WHEN label IN ('1+-', '1-+', '2++', '2--') THEN 1 ELSE 0 END), 8) AS reverse,
         round(avg(CASE WHEN label = 'both' THEN 1 ELSE 0 END), 8) AS undetermined FROM l GROUP BY 1""", "v_aln", "v_exon")),
-    "a15_feature_counts": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d)),
-        fragment_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u AND s1 IS NOT NULL AND s2 IS NOT NULL GROUP BY 1", bases=1, share=0.0)),
-    "a15_feature_counts_single": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d), require_both=False), fragment_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1", bases=1, share=0.0)),
+    "a15_feature_counts": (lambda s, d: L.feature_counts(paired(s, d), merged(s, d), width=64),
+        paired_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u AND s1 IS NOT NULL AND s2 IS NOT NULL GROUP BY 1", bases=1, share=0.0)),
+    "a15_feature_counts_stranded": (lambda s, d: L.feature_counts(paired(s, d), merged(s, d), "reverse", width=64),
+        paired_sql("""SELECT gene_id, count(*) AS count FROM (SELECT frag, min(hit.gene_id) AS gene_id FROM hit JOIN f USING (frag) JOIN v_exon v ON v.gene_id = hit.gene_id WHERE loci = 1 AND u AND s1 IS NOT NULL AND s2 IS NOT NULL
+        AND rev1 <> (v.strand = '-') AND rev2 = (v.strand = '-') GROUP BY 1 HAVING count(*) = 1) GROUP BY 1""", bases=1, share=0.0)),
+    "a15_feature_counts_chimeric": (lambda s, d: L.feature_counts(paired(s, d), merged(s, d), chimeric=True, width=64),
+        paired_sql(UNITS.replace("CHIMERIC", "true")[2:] + """, ug AS (SELECT sample_id, qname, gene_id FROM hit JOIN f USING (frag) SEMI JOIN un USING (sample_id, qname) GROUP BY 1, 2, 3)
+        SELECT gene_id, count(*) AS count FROM (SELECT min(gene_id) AS gene_id FROM ug GROUP BY sample_id, qname HAVING count(*) = 1) GROUP BY 1""", HITS + ",", bases=1, share=0.0)),
+    "a15_feature_counts_single": (lambda s, d: L.feature_counts(fragments(s, d), merged(s, d), require_both=False, width=64), fragment_sql("SELECT gene_id, count(*) AS count FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1", bases=1, share=0.0)),
+    "a16_region_class_counts": (lambda s, d: L.region_class_counts(paired(s, d), regions(s, d), "reverse", width=64).select("sample_id", F.col("ord").cast("long").alias("ord"), "region_class", "reads", F.round("share", 8).alias("share")),
+        paired_sql(UNITS.replace("CHIMERIC", "false")[2:] + f""", c AS (SELECT unnest(range(0, 8)) AS k, unnest({list(L.REGION_CLASSES)}) AS region_class),
+        r AS (SELECT gene_id % 8 AS k, gene_id AS region_id, CAST(chrom AS VARCHAR) AS chrom, s, e, strand FROM v_exon),
+        h AS (SELECT f.sample_id, f.qname, r.k, r.region_id FROM fb JOIN r ON fb.chrom = r.chrom AND fb.s < r.e AND r.s < fb.e JOIN f ON f.frag = fb.frag SEMI JOIN un ON un.sample_id = f.sample_id AND un.qname = f.qname
+          WHERE r.k >= 6 OR (coalesce(rev1 <> (r.strand = '-'), true) AND coalesce(rev2 = (r.strand = '-'), true)) GROUP BY 1, 2, 3, 4),
+        one AS (SELECT sample_id, k FROM h GROUP BY sample_id, qname, k HAVING count(*) = 1), nk AS (SELECT sample_id, k, count(*) AS reads FROM one GROUP BY 1, 2)
+        SELECT s.sample_id, c.k + 1 AS ord, region_class, coalesce(reads, 0) AS reads, round(coalesce(reads, 0) / sum(coalesce(reads, 0)) OVER (PARTITION BY s.sample_id), 8) AS share
+        FROM (SELECT DISTINCT sample_id FROM f) s CROSS JOIN c LEFT JOIN nk n ON n.sample_id = s.sample_id AND n.k = c.k""", HITS + ",", bases=1, share=0.0)),
     "a20_unique_gene_counts": (lambda s, d: L.unique_gene_counts(marked(fragments(s, d)), sets(s, d), X.gene_model(exons(s, d)).withColumn("exons", 1 + F.col("gene_id") % 2)),
         fragment_sql("SELECT gene_id, count(*) AS count, count(*) FILTER (score % 2 = 0 AND gene_id % 2 = 1) AS splice, count(*) FILTER (score % 3 = 0) AS pas FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1")),
     "a28_base_classes": (lambda s, d: L.base_class_metrics(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), merged(s, d).withColumn("base_class", F.when(F.col("gene_id") % 3 == 0, "coding").when(F.col("gene_id") % 3 == 1, "utr").otherwise("intron")), ["coding", "utr", "intron"], width=64).select("sample_id", "base_class", "bases", F.round("fraction", 6).alias("fraction")),
@@ -197,12 +234,14 @@ QUERIES = {
         h AS (SELECT sample_id, c, sum(least(b.e, r.e) - greatest(b.s, r.s)) AS bases FROM b JOIN r ON b.chrom = r.chrom AND b.s < r.e AND r.s < b.e GROUP BY 1, 2),
         y AS (SELECT sample_id, CASE c WHEN 0 THEN 'coding' WHEN 1 THEN 'utr' ELSE 'intron' END AS base_class, bases FROM h UNION ALL SELECT sample_id, 'intergenic', total - coalesce(met, 0) FROM t LEFT JOIN (SELECT sample_id, sum(bases) AS met FROM h GROUP BY 1) USING (sample_id))
         SELECT sample_id, base_class, CAST(bases AS BIGINT) AS bases, round(bases / total, 6) AS fraction FROM y JOIN t USING (sample_id)""", "v_aln", "v_exon")),
-    "a34_umi_dedup": (lambda s, d: L.umi_dedup(table(s, d, "lineitem").selectExpr("l_suppkey % 4 as sample_id", "l_suppkey % 10 as chrom", "l_partkey % 50 as pos", "'+' as strand", "concat(substring('ACGT', cast(l_orderkey % 4 + 1 as int), 1), 'ACG', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as umi")),
-        f"""WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT {UMIS}, count(*) AS reads FROM lineitem GROUP BY ALL)),
-        k AS (SELECT a.sample_id, a.chrom, a.pos, a.umi, b.umi AS umi2 FROM c a JOIN c b USING (sample_id, chrom, pos) WHERE a.reads >= 2 * b.reads - 1 AND len(list_filter(range(1, 6), lambda i: substr(a.umi, i, 1) <> substr(b.umi, i, 1))) = 1),
-        r AS (SELECT sample_id, chrom, pos, umi AS source, place, umi FROM c UNION SELECT r.sample_id, r.chrom, r.pos, source, place, k.umi2 FROM r JOIN k USING (sample_id, chrom, pos, umi)),
-        m AS (SELECT sample_id, chrom, pos, umi, arg_min(source, place) AS cluster FROM r GROUP BY 1, 2, 3, 4)
-        SELECT sample_id, chrom, pos, '+' AS strand, umi, reads, cluster FROM c JOIN m USING (sample_id, chrom, pos, umi)"""),
+    "a34_umi_clusters": (lambda s, d: L.umi_clusters(table(s, d, "lineitem").selectExpr("l_suppkey % 4 as sample_id", "l_suppkey % 10 as chrom", "l_partkey % 50 as pos", "'+' as strand", "concat(substring('ACGT', cast(l_orderkey % 4 + 1 as int), 1), 'ACG', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as umi")),
+        f"WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT {UMIS}, count(*) AS reads FROM lineitem GROUP BY ALL)), {REACHED} SELECT sample_id, chrom, pos, '+' AS strand, umi, reads, cluster FROM c JOIN m USING (sample_id, chrom, pos, umi)"),
+    "a34_umi_dedup": (lambda s, d: L.umi_dedup(v_pe(s, d)).select("sample_id", "qname", "flag", "chrom", "st"),
+        sql(f"""a AS (SELECT *, split_part(qname, '_', 2) AS umi, CASE WHEN {bit(16)} THEN st + m1 + gap + m2 ELSE st END AS five, ({bit(16)}) AS back, NOT ({bit(128)}) AS one FROM v_pe),
+        b AS (SELECT sample_id, chrom || back AS chrom, five AS pos, umi, qname, mapq FROM a WHERE one), c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT sample_id, chrom, pos, umi, count(*) AS reads FROM b GROUP BY ALL)), {REACHED},
+        k AS (SELECT DISTINCT sample_id, chrom, pos, qname FROM (SELECT b.*, row_number() OVER (PARTITION BY sample_id, chrom, pos, cluster ORDER BY mapq DESC, qname) AS nth FROM b JOIN m USING (sample_id, chrom, pos, umi)) WHERE nth = 1)
+        SELECT sample_id, qname, flag, chrom, st FROM a WHERE one AND EXISTS (SELECT 1 FROM k WHERE k.sample_id = a.sample_id AND k.qname = a.qname AND k.chrom = a.chrom || a.back AND k.pos = a.five)
+        UNION ALL SELECT sample_id, qname, flag, chrom, st FROM a WHERE NOT one AND EXISTS (SELECT 1 FROM k WHERE k.sample_id = a.sample_id AND k.qname = a.qname)""", "v_pe").replace("WITH ", "WITH RECURSIVE ", 1)),
     "p16_proper_pair": (lambda s, d: fragments(s, d, all_pairs=False).where("blocks_r1 is not null and blocks_r2 is not null").groupBy("sample_id").agg(F.count("*").alias("pairs"), F.sum("score").alias("score")),
         fragment_sql("SELECT sample_id, count(*) AS pairs, sum(score) AS score FROM pr GROUP BY 1", PAIRS, "place = 1")),
     "p18_polya_clip": (lambda s, d: v_aln(s, d).selectExpr("sample_id", "concat(repeat('C', 20), repeat('A', cast(st % 12 as int))) as seq", "transform(sequence(1, 20 + cast(st % 12 as int)), x -> 30) as q", "concat('20M', cast(st % 12 as string), 'S') as cigar").groupBy("sample_id", A.polya_clip(F.col("seq"), F.col("q"), F.col("cigar"), F.lit(False)).alias("pas")).agg(F.count("*").alias("n")),
@@ -215,7 +254,7 @@ QUERIES = {
         sql(f"""p AS (SELECT *, {bit(128)} AS two FROM v_aln WHERE {PRIMARY}), b AS (SELECT sample_id, qname FROM p GROUP BY 1, 2 HAVING count(DISTINCT two) = 2)
         SELECT CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN 'AACGT' ELSE 'ACGTT' END AS seq, CASE WHEN {bit(16)} THEN 'EDCBA' ELSE 'ABCDE' END AS qual, count(*) AS n FROM p SEMI JOIN b USING (sample_id, qname) GROUP BY 1, 2, 3""", "v_aln")),
     "e1_positional_em": (lambda s, d: E.positional_em(
-            fragments(s, d).where("blocks_r1 is not null").select("sample_id", "chrom", "qname", F.col("frag").alias("locus"), "score", F.inline("blocks_r1")), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
+            E._mate_blocks("sample_id", "qname", "score")(fragments(s, d)).withColumnRenamed("frag", "locus"), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
         ).select("sample_id", "chrom", "qname", "score", F.round("fraction", 6).alias("fraction")), sql(PLACE_EM, "v_aln").replace("WITH ", "WITH RECURSIVE ", 1)),
     "e2_gene_em": (lambda s, d: E.gene_em(ambiguous(s, d), em_counts(s, d), 250.0)[0].select("gene_id", F.round("em_count", 3).alias("em_count")), GENE_EM),
     "e3_resolve_multi": (lambda s, d: E.resolve_multi(fragments(s, d).select("frag", (1 / (1 + F.col("score"))).alias("fraction"), (F.col("score") % 2 == 0).alias("spliced"), (F.col("score") % 3 == 0).alias("pas")), sets(s, d))[0].select("gene_id", *[F.round(c, 6).alias(c) for c in ("count", "splice", "pas")]),
@@ -227,6 +266,11 @@ QUERIES = {
         SELECT bucket, chrom, pos, sum(d) AS d FROM (SELECT bucket, chrom, unnest([s, e]) AS pos, unnest([1.0, -1.0]) AS d FROM (
           SELECT frag, chrom, CASE WHEN rev1 THEN 'F2R1' ELSE 'F1R2' END AS bucket, unnest([s1, s1 + a1 + g1]) AS s, unnest([s1 + a1, s1 + a1 + g1 + b1]) AS e FROM f WHERE s1 IS NOT NULL AND loci = 1 AND u UNION ALL
           SELECT frag, chrom, CASE WHEN rev2 THEN 'F1R2' ELSE 'F2R1' END, unnest([s2, s2 + a2 + g2]), unnest([s2 + a2, s2 + a2 + g2 + b2]) FROM f WHERE s2 IS NOT NULL AND loci = 1 AND u)) GROUP BY 1, 2, 3)) WHERE value > 1e-9 AND e IS NOT NULL""", FRAGMENTS, "place = 1")),
+    "e4_multi_tracks": (lambda s, d: E.quantification_tracks(*E.placed_fragments(tailed(s, d), exons(s, d))).where("part = 'multi'").select("part", "bucket", "chrom", "s", "e", F.round("value", 5).alias("value")),
+        quantified_sql("""SELECT 'multi' AS part, bucket, chrom, s, e, round(value, 5) AS value FROM (SELECT bucket, chrom, pos AS s, lead(pos) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS e, sum(d) OVER (PARTITION BY bucket, chrom ORDER BY pos) AS value FROM (
+        SELECT bucket, chrom, pos, sum(d) AS d FROM (SELECT bucket, chrom, unnest([s, e]) AS pos, unnest([p, -p]) AS d FROM (
+          SELECT p, chrom, CASE WHEN rev1 THEN 'F2R1' ELSE 'F1R2' END AS bucket, unnest([s1, s1 + a1 + g1]) AS s, unnest([s1 + a1, s1 + a1 + g1 + b1]) AS e FROM fm JOIN fp USING (frag) WHERE s1 IS NOT NULL AND NOT fm.alone UNION ALL
+          SELECT p, chrom, CASE WHEN rev2 THEN 'F1R2' ELSE 'F2R1' END, unnest([s2, s2 + a2 + g2]), unnest([s2 + a2, s2 + a2 + g2 + b2]) FROM fm JOIN fp USING (frag) WHERE s2 IS NOT NULL AND NOT fm.alone)) GROUP BY 1, 2, 3)) WHERE value > 1e-9 AND e IS NOT NULL""")),
     "e4_quantify_unique": (lambda s, d: quantified(s, d, mode="unique", genes="unique").select("gene_id", "counts_uniq", "counts_splice", "counts_pas", F.round("tpm", 3).alias("tpm")),
         fragment_sql("""SELECT gene_id, CAST(count(*) AS DOUBLE) AS counts_uniq, 0.0::DOUBLE AS counts_splice, CAST(count(*) FILTER (coalesce(g1 % 30 = 0, false) OR coalesce(g2 % 30 = 0, false)) AS DOUBLE) AS counts_pas, round(count(*) * 1e6 / sum(count(*)) OVER (), 3) AS tpm FROM gs JOIN f USING (frag)
         WHERE genes = 1 AND loci = 1 AND u AND NOT EXISTS (SELECT 1 FROM f g WHERE g.sample_id = f.sample_id AND g.qname = f.qname AND NOT g.u) GROUP BY 1""", every="place = 1")),

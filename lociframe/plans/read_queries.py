@@ -68,8 +68,8 @@ QUERIES = {
         CASE WHEN sum(CASE WHEN outcome <> 'Too_short' THEN 1 ELSE 0 END) > 0 THEN round(sum(CASE WHEN outcome = 'UMI_readthrough' THEN 1 ELSE 0 END) / sum(CASE WHEN outcome <> 'Too_short' THEN 1 ELSE 0 END), 6) ELSE 0.0 END AS ratio FROM o GROUP BY 1""", "v_reads", "v_pairs")),
     "a5_trim_log": (lambda s, d: O.trim_log(trimmed(s, d)).select("read_id", "adapter", F.col("trimmed").cast("long").alias("trimmed"), F.col("length").cast("long").alias("length")),
         sql(PAIRS_SQL + "SELECT split_part(read_id, '_', 1) || '_' || substr(umi, 1, 8) AS read_id, adapter, CAST(trimmed AS BIGINT) AS trimmed, CAST(keep AS BIGINT) AS length FROM o WHERE trimmed > 0", "v_reads", "v_pairs")),
-    "a6_fastq_stats": (lambda s, d: O.fastq_stats(v_reads(s, d).where("length(seq) > 0").withColumn("file", F.col("doc_id") % 3), ["sample_id"], "file").select("sample_id", "reads", F.round("mean_length", 6).alias("mean_length"), F.round("gc_percent", 6).alias("gc_percent"), F.col("min_length").cast("long").alias("min_length"), F.col("max_length").cast("long").alias("max_length")),
-        sql("""f AS (SELECT sample_id, doc_id % 3 AS file, count(*) AS n, avg(length(seq)) AS m, sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) * 100.0 / sum(length(seq)) AS g, min(length(seq)) AS lo, max(length(seq)) AS hi FROM v_reads WHERE length(seq) > 0 GROUP BY 1, 2)
+    "a6_fastq_stats": (lambda s, d: O.fastq_stats(v_reads(s, d).withColumn("file", F.col("doc_id") % 3), ["sample_id"], "file").select("sample_id", "reads", F.round("mean_length", 6).alias("mean_length"), F.round("gc_percent", 6).alias("gc_percent"), F.col("min_length").cast("long").alias("min_length"), F.col("max_length").cast("long").alias("max_length")),
+        sql("""f AS (SELECT sample_id, doc_id % 3 AS file, count(*) AS n, avg(length(seq)) AS m, sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) * 100.0 / sum(length(seq)) AS g, min(length(seq)) AS lo, max(length(seq)) AS hi FROM v_reads GROUP BY 1, 2)
         SELECT sample_id, CAST(sum(n) AS BIGINT) AS reads, round(avg(m), 6) AS mean_length, round(avg(g), 6) AS gc_percent, min(lo) AS min_length, max(hi) AS max_length FROM f GROUP BY 1""", "v_reads")),
     "a38_contaminant_share": (lambda s, d: O.contaminant_share(v_reads(s, d).withColumn("label", F.when(F.col("doc_id") % 7 == 0, "rRNA").when(F.col("doc_id") % 11 == 0, "bacteria")), ["sample_id"]),
         sql("""l AS (SELECT sample_id, CASE WHEN doc_id % 7 = 0 THEN 'rRNA' WHEN doc_id % 11 = 0 THEN 'bacteria' END AS label, count(*) OVER (PARTITION BY sample_id) AS n FROM v_reads)
@@ -78,8 +78,8 @@ QUERIES = {
         sql("SELECT sample_id, a.read_id, seq AS seq1, seq2 FROM v_reads a JOIN v_pairs b USING (sample_id, doc_id, piece)", "v_reads", "v_pairs")),
     "j13_kmer_screen": (lambda s, d: O.kmer_screen(v_reads(s, d), panel(s, d), k=12),
         sql(f"""p AS (SELECT '@b' || item_id AS ref, translate(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')), '{LETTERS}', '{BASES}') AS seq FROM benchmark),
-        k AS (SELECT DISTINCT read_id, substr(seq, i, 12) AS kmer FROM v_reads, range(1, 90) t(i) WHERE i <= length(seq) - 11),
-        q AS (SELECT DISTINCT ref, substr(seq, i, 12) AS kmer FROM (SELECT ref, seq, unnest(range(1, greatest(length(seq) - 10, 1))) AS i FROM p)),
+        k AS (SELECT DISTINCT read_id, least(substr(seq, i, 12), translate(reverse(substr(seq, i, 12)), 'ACGT', 'TGCA')) AS kmer FROM v_reads, range(1, 90) t(i) WHERE i <= length(seq) - 11),
+        q AS (SELECT DISTINCT ref, least(substr(seq, i, 12), translate(reverse(substr(seq, i, 12)), 'ACGT', 'TGCA')) AS kmer FROM (SELECT ref, seq, unnest(range(1, greatest(length(seq) - 10, 1))) AS i FROM p)),
         c AS (SELECT read_id, ref, count(*) AS kmers FROM k JOIN q USING (kmer) GROUP BY 1, 2),
         n AS (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY kmers DESC, ref) AS nth FROM c) SELECT read_id, ref, kmers FROM n WHERE nth = 1""", "v_reads")),
     "o3_sample_rows": (lambda s, d: O.sample_rows(v_reads(s, d), 100, 42).select("read_id", "seq"), sql("SELECT read_id, seq FROM v_reads ORDER BY md5(read_id || ':42'), read_id LIMIT 100", "v_reads")),

@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .shared import without
+
 #: Fixed values of byte-level BPE: the pre-split pattern, and the printable bytes that stand for themselves.
 PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
@@ -238,7 +240,7 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
     new: dict[str, T.DataType] = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     new |= {ids: T.ArrayType(T.LongType())} if ids else {}
     new |= {decoded: T.StringType()} if decoded else {}
-    kept = [c for c in docs.columns if c not in new]
+    kept = without(docs, new)
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*source.schema.fields, *(T.StructField(name, kind) for name, kind in new.items())])
 

@@ -6,17 +6,22 @@ shingle similarity (sum of least counts by sum of greatest counts) of at least t
 than the item is one window.
 
 Only windows that hold enough of the shingles of some item of their size can reach it, so fingerprints are taken of
-these windows. Fingerprints are cut into radius + 1 blocks; two within the radius agree in a block, so an equality join
-over blocks finds all of them, and candidates are verified on their shingles.
+these windows. Fingerprints are cut into SEGMENTS blocks; two within the radius agree in one of them up to a few bits, so
+an equality join of the windows' blocks with all values that near to an item's finds all of them, and candidates are
+verified on their shingles. At the threshold two fingerprints differ in 10 bits on average and hardly ever in more than
+RADIUS.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import dropped, fresh, small, written
+from .shared import dropped, fresh, numbering, small, text_key, written
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 15
+SHINGLE, SIMILARITY, RADIUS, SEGMENTS = 5, 0.8, 19, 5
 #: Counters of three bits share a 63-bit integer, 21 bits each.
 LANES, LANE_BITS = 22, 21
 
@@ -52,12 +57,24 @@ def with_fingerprints(windows: DataFrame, keys: list[str], hashes: str) -> DataF
     return sums.select(*keys, fingerprint([F.col(f"c{k}") for k in range(LANES)], F.col("n")).alias("fp"))
 
 
-def blocks(fp: str, radius: int) -> Column:
-    cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
+def blocks(fp: str) -> Column:
+    """(block, value): the SEGMENTS parts of a fingerprint."""
+    cuts = [64 * k // SEGMENTS for k in range(SEGMENTS + 1)]
     parts = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << (b - a)) - 1) for a, b in zip(cuts, cuts[1:])]
     return F.posexplode(F.array(*parts)).alias("block", "value")
 
 
+def near_blocks(items: DataFrame, fp: str, radius: int) -> DataFrame:
+    """`items` once for every block and every value of it that differs in radius div SEGMENTS bits at most. Two fingerprints within
+    the radius agree that far in one block at least, so an equality join with plain blocks finds all of them."""
+    wide = -(-64 // SEGMENTS)
+    masks = [sum(1 << b for b in bits) for n in range(radius // SEGMENTS + 1) for bits in combinations(range(wide), n)]
+    limit = F.element_at(F.array(*[F.lit(1 << (64 * (k + 1) // SEGMENTS - 64 * k // SEGMENTS)) for k in range(SEGMENTS)]), F.col("block") + 1)
+    every = items.select("*", blocks(fp)).withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks]).cast("array<bigint>")))
+    every = every.where(F.col("mask") < limit)
+    return every.withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
+
+
 def similarity(a: str, b: str) -> Column:
     """Sum of the least by sum of the greatest counts of two arrays of hashes."""
     plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
@@ -67,14 +84,10 @@ def similarity(a: str, b: str) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(text, F.lit(2))
-
-
-def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+def held_items(docs: DataFrame, items: DataFrame, numbered: Callable[[DataFrame, str], DataFrame], threshold: float = SIMILARITY, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
     """(key, item_id, start, similarity): the best window (then the first) of every text that holds an item.
 
-    `key` is `text_key`; `start` counts words from 0. Items without words, and null texts, hold nothing; repeated items
+    `key` is the number of the text (`numbering`); `start` counts words from 0. Items without words, and null texts, hold nothing; repeated items
     are found each under its id.
     """
     asked = items.where(F.col("text").isNotNull()).select("item_id", words_of(F.col("text")).alias("w")).withColumn("m", F.size("w")).where("m > 0")
@@ -92,7 +105,7 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
     lengths = [r[0] for r in asked.where("size = 0").select("m").distinct().collect()]  # at most size - 1 values
 
     def hashes(texts: DataFrame) -> DataFrame:
-        own = texts.where(F.col("text").isNotNull()).select(text_key(F.col("text")).alias("key"), words_of(F.col("text")).alias("w"))
+        own = numbered(texts.where(F.col("text").isNotNull()), "key").select("key", words_of(F.col("text")).alias("w"))
         out = own.select("key", F.lit(size).alias("size"), shingle_hashes(F.col("w"), size).alias("hs"))
         for m in lengths:
             joined = F.transform(
@@ -121,12 +134,12 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
     )
     windows = kept(gathered.select("key", "size", "m", "n", F.explode_outer(F.array_distinct(starts)).alias("start")).where("start is not null"), "windows")
     keys = small(kept(windows.select("key").distinct(), "keys"))
-    texts = docs.select("text").join(keys, text_key(F.col("text")) == F.col("key"), "left_semi")
+    texts = numbered(docs.select("text"), "key").join(keys, "key", "left_semi").select("text")
     found = hashes(texts).dropDuplicates(["key", "size"])
     slices = windows.join(found, ["key", "size"]).where(F.col("start") + F.col("n") <= F.size("hs"))
     slices = kept(slices.select("key", "size", "m", "start", F.slice("hs", F.col("start") + 1, F.col("n")).alias("p")), "windows")
-    of_window = with_fingerprints(slices, ["key", "size", "m", "start"], "p").select("*", blocks("fp", radius))
-    of_item = with_fingerprints(asked.withColumn("size", side()), ["item_id", "size", "m"], "q").select("item_id", "size", "m", F.col("fp").alias("item_fp"), blocks("fp", radius))
+    of_window = with_fingerprints(slices, ["key", "size", "m", "start"], "p").select("*", blocks("fp"))
+    of_item = near_blocks(with_fingerprints(asked.withColumn("size", side()), ["item_id", "size", "m"], "q").withColumnRenamed("fp", "item_fp"), "item_fp", radius)
     near = of_window.join(of_item, ["size", "m", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     near = near.select("key", "size", "m", "start", "item_id").distinct()
     both = near.join(slices, ["key", "size", "m", "start"]).join(asked.select("item_id", "m", "q"), ["item_id", "m"])
@@ -139,14 +152,19 @@ def held_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY,
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """doc_id, item_id, start, similarity for every document row and item that it holds."""
-    held = held_items(docs, items, threshold, radius)
-    own = docs.select("doc_id", text_key(F.col("text")).alias("key"))
+    """doc_id, item_id, start, similarity for every document row and item that it holds.
+
+    Repeated rows hold the same items each; texts of any length are cut into all their windows; null texts hold none; an empty
+    table of either kind gives none. Other columns are left out, whatever their names."""
+    numbered = numbering(docs, text_key(F.col("text")))
+    held = held_items(docs, items, numbered, threshold, radius)
+    own = numbered(docs.select("doc_id", "text"), "key").select("doc_id", "key")
     return own.join(held, "key").select("doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """The rows of `docs` that hold no item; null and empty texts stay."""
     (key,) = fresh(docs, "key")
-    held = small(written(held_items(docs, items, threshold, radius).select(F.col("key").alias(key)).distinct(), "held"))
-    return docs.join(held, text_key(F.col("text")) == F.col(key), "left_anti")
+    numbered = numbering(docs, text_key(F.col("text")))
+    held = small(written(held_items(docs, items, numbered, threshold, radius).select(F.col("key").alias(key)).distinct(), "held"))
+    return numbered(docs, key).join(held, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

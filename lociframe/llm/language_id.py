@@ -17,11 +17,11 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import pieces, text_buffer
-from .shared import held_out, row_key, sampled_texts
+from .shared import held_out, row_key, sampled_texts, without
 
 ROWS, WIDE, GRAMS = 1 << 15, 16, (3, 4)
-#: The bound on what is learned from: rows of each language, and characters of their texts together.
-SAMPLE_ROWS, SAMPLE_CHARS = 400, 2_000_000
+#: The bound on what is learned from: rows of each language, and characters of the texts of all languages together.
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 8_000_000
 #: Share of the rows kept apart for the temperature and the threshold, and the accuracy wanted of accepted answers.
 APART, ACCURACY = 0.25, 0.99
 UNKNOWN = "und"
@@ -127,7 +127,7 @@ def trained(texts: list[str], langs: list[str], steps: int = 7000, rate: float =
 
 def learned(docs: DataFrame) -> Model | None:
     """From text and lang of rows that are not held out: of each language the SAMPLE_ROWS first in the order of a hash of id
-    and text, texts of any length, as far as they have SAMPLE_CHARS characters."""
+    and text, whole texts, as far as they have an equal part of SAMPLE_CHARS characters together."""
     usable = ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()
     found = sampled_texts(docs.where(usable).select(F.col("lang").alias("kind"), row_key().alias("row"), "text"), SAMPLE_ROWS, SAMPLE_CHARS)
     return trained([r[1] for r in found], [r[0] for r in found])
@@ -137,10 +137,11 @@ def identified(docs: DataFrame, model: Model | None, text: str = "text") -> Data
     """Adds lang_pred, score and accepted to every row; own columns of these names are replaced.
 
     A text that is null or has no letter is `und` with score 0, and so is every text if there was nothing to learn from.
-    `accepted` says whether the score reaches the fitted threshold.
+    `accepted` says whether the score reaches the fitted threshold. Texts of any length are read whole; repeated rows are judged
+    alike; an empty table stays empty.
     """
     new = {"lang_pred": T.StringType(), "score": T.DoubleType(), "accepted": T.BooleanType()}
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
+    source = docs.select(*[F.col(f"`{c}`") for c in without(docs, new)])
     schema = T.StructType([*source.schema.fields, *(T.StructField(k, v) for k, v in new.items())])
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -16,7 +16,7 @@ that recur as they are, as copies do, are found by their digest.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .bytes_np import PIECE_BYTES, Spans, mixed, overlapping, split_words
 from .repeats import SEGMENT, gathered, sorted_out, spans_of, wanted
-from .shared import fresh, row_key, written
+from .shared import fresh, numbering, row_key, without, written
 
 IS_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 ROUNDS, ANCHOR_ROUND = 40, 2
@@ -168,9 +168,9 @@ def _opened(size: int, most: int):
     return opened
 
 
-def repeated_windows(docs: DataFrame, size: int, text: str = "text", most: int = PIECE_BYTES) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame, str], DataFrame], text: str = "text", most: int = PIECE_BYTES) -> DataFrame:
     """(row, spans): for every document row that has some, the starts of windows whose words also start elsewhere."""
-    own = docs.select(row_key(text=text).alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    own = numbered(docs.select("doc_id", F.col(text)), "__row").select(F.col("__row").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     wanted = opened.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
     names = own.join(wanted, "row").select("row", "text", "spans").mapInArrow(_opened(size, most), "name long, check long, row long, at int")
@@ -190,11 +190,12 @@ def without_repeats(docs: DataFrame, size: int = 35, text: str = "text", kept_te
     `docs` already has are replaced.
     """
     new = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType()} | ({kept_text: T.StringType()} if kept_text else {})
-    carried = [c for c in docs.columns if c not in new or c == text]
+    carried = without(docs, [c for c in new if c.lower() != text.lower()])
     row, found = fresh(docs, "row", "spans")
-    source = docs.select(*[F.col(f"`{c}`") for c in carried], row_key(text=text).alias(row))
-    joined = source.join(repeated_windows(docs, size, text, most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
-    output = [c for c in carried if c not in new]
+    numbered = numbering(docs, row_key(text=text))
+    source = numbered(docs, row).select(*[F.col(f"`{c}`") for c in carried], row)
+    joined = source.join(repeated_windows(docs, size, numbered, text, most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
+    output = [c for c in carried if c.lower() not in {n.lower() for n in new}]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in output]).schema.fields, *(T.StructField(k, v) for k, v in new.items())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

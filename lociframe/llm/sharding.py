@@ -10,22 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .shared import written
+from .shared import offsets, written
 
 #: Rows of a range on average.
 ROWS = 20_000
 
 
-def _offsets(counts: DataFrame, by: list[str], order: str) -> DataFrame:
-    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-
-
 def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str = "text", source: str = "source", rows: int = ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law (`rows`), shard, slot, grown_shard (null) for every row of `docs`.
 
     size is the text's UTF-8 bytes (null: none) plus 16. Rows without a source form a stratum of their own. Repeated rows
-    take places of their own; as they are alike, which of them takes which is not fixed.
+    take places of their own; as they are alike, which of them takes which is not fixed. A null doc_id is hashed like any other;
+    an empty table gives no rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     stratum = F.when(F.col(source).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(source).cast("string")))
@@ -45,7 +41,7 @@ def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str =
     within = Window.partitionBy("stratum", "part").orderBy("h", "doc_id", "text_crc32", "size")
     ranked = (
         base.withColumn("nth", F.row_number().over(within))
-        .join(_offsets(counts, ["stratum"], "part").drop("n"), ["stratum", "part"])
+        .join(offsets(counts, ["stratum"], "part").drop("n"), ["stratum", "part"])
         .join(sizes, "stratum")
         .withColumn("rank", F.col("before") + F.col("nth"))
         .withColumn("fraction", (F.col("rank") - 0.5) / F.col("of"))
@@ -53,7 +49,7 @@ def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str =
         .select("doc_id", "size", "text_crc32", "stratum", "rank", "fraction", "part")
     )
     ranked = written(ranked, "shards")
-    starts = _offsets(ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), ["all"], "part").select("part", "before")
+    starts = offsets(ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), ["all"], "part").select("part", "before")
     over = Window.partitionBy("part").orderBy("fraction", F.xxhash64(F.lit(seed), "stratum"), "stratum", "rank")
     place = F.col("before") + F.row_number().over(over) - 1
     shard = F.expr(f"place * {shards} div {max(1, total)}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -57,9 +58,46 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def text_key(text: Column) -> Column:
+    """Identity of a text, null being one of its own: 128 bits, as 32 hex digits."""
+    return F.when(text.isNull(), "-").otherwise(F.md5(text.cast("binary")))
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """Identity of a document row: rows that are equal in id and text share it, and are treated alike."""
-    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text))
+    """Identity of a document row: rows that are equal in id and text, nulls included, share its 128 bits and are treated alike."""
+    name = F.col(doc_id).cast("string")
+    return F.md5(F.concat(F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), name), F.lit("-")), text_key(F.col(text))).cast("binary"))
+
+
+def numbering(df: DataFrame, identity: Column, narrow: Column | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """A function that adds a 64-bit number of the 128-bit identity to tables with the columns of `df`: different rows of `df` have
+    different numbers.
+
+    The number is a hash; it is counted first whether different identities share one, as a few do among 10 ** 10. These, and
+    only these, get another hash, by a join with a table of that few. `narrow` stands for the first hash in tests."""
+    spark, first = df.sparkSession, narrow if narrow is not None else F.xxhash64(identity)
+    seen = df.select(identity.alias("id"), first.alias("n")).groupBy("n").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    shared = written(seen.where("low <> high").select("n"), "numbers")
+    none = shared.isEmpty()
+    twice = [r[0] for r in shared.limit(1_000_000).collect()] if not none else []
+    if len(twice) == 1_000_000:
+        raise ValueError("numbers of 64 bits do not tell so many rows apart")
+
+    def numbered(table: DataFrame, name: str) -> DataFrame:
+        if none:
+            return table.withColumn(name, first)
+        (mark,) = fresh(table, "mark")
+        few = F.broadcast(spark.createDataFrame([(n, True) for n in twice], f"{name} long, {mark} boolean"))
+        again = F.when(F.col(mark), F.xxhash64(identity, F.lit(1))).otherwise(F.col(name))
+        return table.withColumn(name, first).join(few, name, "left").withColumn(name, again).select(*table.columns, name)
+
+    return numbered
+
+
+def without(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """The columns of `df` that have none of the names (upper and lower case are one to Spark)."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
 
 
 #: Ranges whose counts are summed together.
@@ -81,21 +119,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def sampled_texts(marked: DataFrame, rows: int, chars: int) -> list[tuple]:
     """(kind, text), sorted, of a bounded sample of a table kind, row (a hash), text: of each kind the first `rows` distinct
-    rows in the order of the hash, as far as their texts have `chars` characters together.
+    rows in the order of the hash, as far as their whole texts have `chars` characters together, over all kinds.
 
-    Texts of every length take part; of one with more than a tenth of `chars`, a stretch of that length at a place that the
-    hash chooses. Rows with large hashes are left aside before ranks are taken, by the number of rows
-    of their kind, so that a hot kind is no burden, and only the texts of the sample are moved.
+    A text of more than a tenth of what its kind may have is passed over, not cut. Rows with large hashes are left aside before
+    ranks are taken, by the number of rows of their kind, so that a hot kind is no burden, and only the texts of the sample
+    are moved.
     """
-    most = chars // 10
-    sized = marked.select("kind", "row", F.least(F.length("text"), F.lit(most)).alias("size"))
-    share = F.shiftrightunsigned("row", 33) / float(1 << 31)
+    sized = marked.select("kind", "row", F.length("text").alias("size"))
+    share = F.shiftrightunsigned(F.xxhash64("row"), 33) / float(1 << 31)
     counts = sized.groupBy("kind").agg(F.count(F.lit(1)).alias("of"))
-    low = sized.join(counts, "kind").where(share < 8.0 * rows / F.col("of")).select("kind", "row", "size").distinct()
+    kinds = counts.agg(F.count(F.lit(1)).alias("kinds"))
+    counts = counts.crossJoin(F.broadcast(kinds)).withColumn("chars", F.lit(chars) / F.col("kinds"))  # one row
+    low = sized.join(counts, "kind").where((share < 8.0 * rows / F.col("of")) & (F.col("size") <= F.col("chars") / 10)).select("kind", "row", "size", "chars").distinct()
     order = Window.partitionBy("kind").orderBy("share", "row").rowsBetween(Window.unboundedPreceding, 0)
     ranked = low.withColumn("share", share).withColumn("nth", F.count(F.lit(1)).over(order)).withColumn("total", F.sum("size").over(order))
-    chosen = ranked.where((F.col("nth") <= rows) & (F.col("total") <= chars)).select("kind", "row")
-    place = (F.pmod("row", F.greatest(F.length("text") - most, F.lit(0)) + 1) + 1).cast("int")
-    texts = marked.join(F.broadcast(chosen), ["kind", "row"]).withColumn("text", F.substring("text", place, F.lit(most)))
-    texts = texts.groupBy("kind", "row").agg(F.min("text").alias("text"))
+    chosen = ranked.where((F.col("nth") <= rows) & (F.col("total") <= F.col("chars"))).select("kind", "row")
+    texts = marked.join(F.broadcast(chosen), ["kind", "row"]).groupBy("kind", "row").agg(F.min("text").alias("text"))
     return sorted({(r.kind, r.text) for r in texts.select("kind", "text").collect()})

@@ -14,7 +14,7 @@ radius come from an equality join over the least shingle hashes of each text, wh
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .components import components
-from .shared import dropped, fresh, small, written
+from .shared import dropped, fresh, numbering, small, text_key, without, written
 
 #: Fingerprints (texts) under one signature (mark) beyond which all are compared with a few of them first.
 HOT = 32
@@ -60,7 +60,7 @@ def hashed(pieces: list[bytes]) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, size: int = 3, distinct: bool = False, text: str = "text", name: str = "fp") -> DataFrame:
     """Adds the fingerprint over `size`-word shingles (`distinct`: each counts once) to every row; null counts as empty."""
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name])
+    source = docs.select(*[F.col(f"`{c}`") for c in without(docs, [name])])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,12 +163,13 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
     return own.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(1))
+def text_numbers(docs: DataFrame) -> Callable[[DataFrame, str], DataFrame]:
+    """A function that numbers texts; null counts as empty."""
+    return numbering(docs, text_key(F.coalesce("text", F.lit(""))))
 
 
-def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, hot: int = HOT) -> DataFrame:
-    """(key, root): the group of every distinct text that is not alone; `key` is `_text_key`.
+def text_groups(docs: DataFrame, numbered: Callable[[DataFrame, str], DataFrame], shingle: int = 5, similarity: float = 0.8, radius: int = 3, hot: int = HOT) -> DataFrame:
+    """(key, root): the group of every distinct text that is not alone; `key` is its number (`text_numbers`).
 
     Two texts are linked if the Jaccard similarity of their sets of `shingle`-word shingles is at least `similarity`; links
     are verified exactly. Texts whose fingerprints over their distinct words differ in at most `radius` bits are compared
@@ -177,7 +178,8 @@ def text_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     Cut and extended texts lie further apart: an equality join over the least shingles of each text has every pair that
     the first links leave apart.
     """
-    keyed = docs.select(_text_key(F.col("text")).alias("key"), "text")
+    keyed = numbered(docs.select("text"), "key")
+    keyed = keyed.select("key", "text")
     texts = written(prepared(keyed, shingle, similarity, common_shingles(keyed, shingle)), "shingles")
     close = settled(shared(texts.select("key", F.explode(signatures(F.col("fp"), radius)).alias("b")), texts), None, keyed, shingle, similarity, radius, hot)
     near = settled(shared(texts.select("key", F.explode("least").alias("b")), texts), close, keyed, shingle, similarity, hot=hot)
@@ -342,8 +344,9 @@ def deduplicated(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, rad
     all rows belong to arrives as one row a task.
     """
     key, group, nth = fresh(docs, "key", "group", "nth")
-    groups = text_groups(docs, shingle, similarity, radius)
-    keyed = docs.withColumn(key, _text_key(F.col("text")))
+    numbered = text_numbers(docs)
+    groups = text_groups(docs, numbered, shingle, similarity, radius)
+    keyed = numbered(docs, key)
     joined = keyed.join(groups.select(F.col("key").alias(key), F.col("root").alias(group)), key, "left").withColumn(group, F.coalesce(group, key))
     first = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), key)
     return joined.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

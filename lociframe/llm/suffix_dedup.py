@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .bytes_np import Spans, mixed, overlapping
 from .deep_shallow import Sorted
 from .repeats import SEGMENT, gathered, sorted_out, spans_of, wanted
-from .shared import fresh, row_key, small, written
+from .shared import dropped, fresh, numbering, row_key, small, without, written
 
 GRAM = 16
 BUCKET = 20_000
@@ -227,12 +227,12 @@ def _sorted_buckets(size: int):
     return buckets
 
 
-def repeated_windows(docs: DataFrame, size: int, text: str = "text", bucket: int = BUCKET, words: int | None = None, most: int = PIECE) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame, str], DataFrame], text: str = "text", bucket: int = BUCKET, words: int | None = None, most: int = PIECE) -> DataFrame:
     """(row, spans): for every document row that has some, the starts of `size`-byte windows that also start elsewhere.
 
     With `words`, windows of so many words count as well, where they are shorter than `size` bytes: n is 0 or less then.
     """
-    own = docs.select(row_key(text=text).alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
+    own = numbered(docs.select("doc_id", F.col(text)), "__row").select(F.col("__row").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     opened = opened.select("*", F.lit(0).alias("left"), F.lit(GRAM).alias("right"))
 
@@ -287,9 +287,10 @@ def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_t
     """
     new = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType()} | ({kept_text: T.StringType()} if kept_text else {})
     row, found = fresh(docs, "row", "spans")
-    source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new or c == text], row_key(text=text).alias(row))
-    joined = source.join(repeated_windows(docs, size, text, words=words, most=most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
-    output = [c for c in docs.columns if c not in new]
+    numbered = numbering(docs, row_key(text=text))
+    source = numbered(docs, row).select(*[F.col(f"`{c}`") for c in without(docs, [c for c in new if c.lower() != text.lower()])], row)
+    joined = source.join(repeated_windows(docs, size, numbered, text, words=words, most=most).select(F.col("row").alias(row), F.col("spans").alias(found)), row, "left").drop(row)
+    output = without(docs, new)
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in output]).schema.fields, *(T.StructField(k, v) for k, v in new.items())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -122,7 +122,8 @@ def top_k(vectors: DataFrame, k: int = 10, queries: str = "vec_id % 100 = 0", sc
 
     Ties go to the smaller vec_id; a query with fewer candidates gets all of them. Vectors meet only others of their own
     length. Rows are told apart by their place, not by their id: every row of a repeated id is a candidate, of the other
-    rows of its id as well, and each query row is answered for itself. A pass over the rows answers the queries of one
+    rows of its id as well, and each query row is answered for itself. An empty table gives no rows; other columns are left out,
+    whatever their names. A pass over the rows answers the queries of one
     block, whose vectors have `block` components together on average; no row is copied or shuffled.
     """
     whole = written(integers(vectors, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
@@ -133,6 +134,8 @@ def top_k(vectors: DataFrame, k: int = 10, queries: str = "vec_id % 100 = 0", sc
         own = asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == number).collect()
         sent = whole.sparkSession.sparkContext.broadcast([(r[0], r[1], list(r[2])) for r in own])
         part = whole.select("row", "vec_id", "v").mapInArrow(_answers(sent, k, chunk), "row long, query_id long, vec_id long, score long")
+        part = written(part, "answers")  # so that the block's queries can go
+        sent.destroy()
         found = part if found is None else found.unionByName(part)
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .shared import fresh, written
+from .shared import fresh, without, written
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -117,7 +117,7 @@ def judged(pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "h
     blocked = classes.where(rule_of(host_of(F.col("node")), path_of(F.col("node")), rules).isin(block)).select("component").distinct()
     aliases = classes.join(blocked, "component", "left_semi").select(F.col("node").alias(node), F.lit(True).alias(mark))
     new = ("host", "path", "rule", "verdict")
-    own = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), node_of(F.col(url)).alias(node))
+    own = pages.select(*[F.col(f"`{c}`") for c in without(pages, new)], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), node_of(F.col(url)).alias(node))
     own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.when(F.col("rule").isin(block), "block").when(F.col("rule").isin(allow), "allow").when(F.col(mark), "block").otherwise("allow")
     return own.join(aliases, node, "left").withColumn("verdict", verdict).drop(node, mark)

@@ -12,9 +12,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lociframe.llm import bpe_automaton, decontamination, language_id, sharding, simhash, threshold_topk, toxicity, url_filter
+from lociframe.llm import bpe_automaton, decontamination, language_id, recompression, sharding, simhash, suffix_dedup, threshold_topk, toxicity, url_filter
 from lociframe.llm.components import components
 from lociframe.llm.queries import URL_RULES
+from lociframe.llm.shared import numbering, row_key
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,8 +135,9 @@ def test_text_groups_misses_no_pair(spark, monkeypatch, hot, sample):
                 want = {k: b if v == a else v for k, v in want.items()}
     monkeypatch.setattr(simhash, "SAMPLE", sample)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    keys = {r.doc_id: r.key for r in df.select("doc_id", simhash._text_key(F.col("text")).alias("key")).collect()}
-    roots = {r.key: r.root for r in simhash.text_groups(df, hot=hot).collect()}
+    numbered = simhash.text_numbers(df)
+    keys = {r.doc_id: r.key for r in numbered(df, "key").collect()}
+    roots = {r.key: r.root for r in simhash.text_groups(df, numbered, hot=hot).collect()}
     got = [roots.get(keys[k], keys[k]) for k in range(len(texts))]
     assert len(set(zip(got, want.values()))) == len(set(got)) == len(set(want.values())) < len(texts) - 30
 
@@ -295,6 +297,25 @@ def test_decontamination_equals_brute_force(spark):
     assert {(r.doc_id, r.item_id): (r.start, r.similarity) for r in got.collect()} == {k: (s, round(x, 6)) for k, (s, x) in want.items()} and len(want) > 20
 
 
+def test_recall_at_the_threshold(spark):
+    """Items of every length with edits that leave a similarity of just over 0.8: nearly all are within the radius."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(5))
+    items, docs, wanted = [], [], set()
+    for k in range(240):
+        words = [word() for _ in range(rng.randrange(30, 90))]
+        most = (len(words) - 4) // 9  # so many shingles may be foreign
+        cut = words[most:] + [word() for _ in range(most)]
+        sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (words, cut)]
+        if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
+            wanted.add((k, k))
+        items.append((k, " ".join(words)))
+        docs.append((k, " ".join([word() for _ in range(9)] + cut + [word() for _ in range(9)])))
+    held = decontamination.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r.doc_id, r.item_id) for r in held.collect()}
+    assert len(wanted) > 150 and len(got & wanted) >= 0.99 * len(wanted)
+
+
 def test_weighted_similarity(spark):
     row = spark.createDataFrame([([1, 1, 2, 3], [1, 2, 2, 3])], "a array<bigint>, b array<bigint>")
     assert row.select(decontamination.similarity("a", "b").alias("s")).first().s == 3 / 5
@@ -322,9 +343,12 @@ def test_toxicity(spark):
 def test_gradients():
     net, rng = toxicity.Network(1), np.random.default_rng(2)
     x = rng.normal(size=(9, toxicity.INPUTS)).astype(np.float32)
-    index = np.array([[0, 1, 2, 3], [4, 5, 6, -1], [7, 8, -1, -1]])
+    index = np.full((3, toxicity.WINDOW + 2 * toxicity.CONTEXT), -1)
+    at = toxicity.CONTEXT
+    index[0, at : at + 4], index[1, at - 2 : at + 1], index[2, at : at + 2] = [0, 1, 2, 3], [4, 5, 6], [7, 8]
+    index[0, at + toxicity.WINDOW :][:2], index[2, :2] = [5, 6], [1, 3]
     y, w = np.array([1.0, 0.0, 1.0]), np.ones(3)
-    loss = lambda: float(np.sum(np.logaddexp(0, z := net.forward(x, index).astype(float)) - y * z))  # noqa: E731, F821
+    loss = lambda: float(np.sum(np.logaddexp(0, z := net.forward(x, index)[0].astype(float)) - y * z))  # noqa: E731, F821
     g, d_x = net.gradients(x, index, y, w)
     for name in ("wx", "wh", "b", "att", "v", "out", "bias"):
         p, k = net.p[name], tuple(rng.integers(s) for s in net.p[name].shape)
@@ -337,6 +361,84 @@ def test_gradients():
         assert abs((up - down) / 2e-2 - g[name][k]) < 2e-3, name
 
 
+def test_toxicity_of_a_text_word_by_word():
+    """All windows of a text, each state read on its own from its block's context on."""
+    net, rng = toxicity.Network(3), np.random.default_rng(1)
+    net.p["out"] *= 4
+    for size in (1, 31, 32, 33, 150):
+        text = " ".join(rng.choice(["one", "Two", "threes", "four's", "é"], size)).encode()
+        words, begins, grams, gram_start, first = toxicity.inputs(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        x, p, h = net.vectors(words, begins, grams, gram_start).astype(float), net.p, toxicity.HIDDEN
+        n = len(x)
+        one = lambda v: 1 / (1 + np.exp(-v))
+        states = np.zeros((n, 2 * h))
+        for word in range(n):
+            block = word // toxicity.BLOCK * toxicity.BLOCK
+            ahead = range(max(0, block - toxicity.CONTEXT), word + 1)
+            back = range(min(n, block + toxicity.BLOCK + toxicity.CONTEXT) - 1, word - 1, -1)
+            for d, way in ((0, ahead), (1, back)):
+                state = np.zeros(h)
+                for k in way:
+                    a, u = x[k] @ p["wx"][d] + p["b"][d][0], state @ p["wh"][d]
+                    z, r = one(a[:h] + u[:h]), one(a[h : 2 * h] + u[h : 2 * h])
+                    state = z * state + (1 - z) * np.tanh(a[2 * h :] + r * u[2 * h :])
+                states[word, d * h : (d + 1) * h] = state
+        logits = []
+        for start in range(max(1, n - toxicity.WINDOW + 1)):
+            own = states[start : start + toxicity.WINDOW]
+            weight = np.exp(np.tanh(own @ p["att"]) @ p["v"])
+            logits.append(weight / weight.sum() @ own @ p["out"] + p["bias"][0])
+        assert abs(toxicity.text_scores(net, np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0] - one(max(logits))) < 1e-5
+        assert len(net.window_logits(net.states(x.astype(np.float32), first), first)[0]) == len(logits)
+
+
+def test_language_of_a_text_by_its_subwords():
+    """The average of the scores of all n-grams, blanks around words included."""
+    model = language_id.trained(["the house and the garden"] * 30 + ["das haus und der garten"] * 30, ["en"] * 30 + ["de"] * 30, steps=500)
+    for text in ("The garden, 9 das", "é", "ab", "x" * 300):
+        data = text.encode()
+        rows, chars = [], [" ", *(chr(b).lower() if b < 128 else chr(b) for b in data), " "]
+        letter = [len(c) == 1 and (c.isalpha() if ord(c) < 128 else True) for c in chars]
+        plain = [ord(c) if ok else 32 for c, ok in zip(chars, letter)]
+        for size in language_id.GRAMS:
+            for k in range(len(plain) - size + 1):
+                if all(letter[k + 1 : k + size - 1]):
+                    code = plain[k]
+                    for c in plain[k + 1 : k + size]:
+                        code = (code * 0x01000193 + c) % (1 << 32)
+                    rows.append(((code ^ size) * 0x9E3779B1) % (1 << 32) >> (32 - language_id.ROWS.bit_length() + 1))
+        logits = (sum(model.table[r].astype(float) for r in rows) / max(1, len(rows)) + model.bias) / model.temperature
+        want = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        got = language_id.text_probabilities(model, np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+        assert np.allclose(got, want, atol=1e-4), text
+
+
+def test_columns_that_differ_in_case_only(spark):
+    docs = spark.createDataFrame([(1, "a b c", 7)], "doc_id bigint, text string, x int")
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cases = {
+        "Score": lambda df: toxicity.scored(df, None).select("score"), "LANG_pred": lambda df: language_id.identified(df, None).select("lang_pred"), "N_Tokens": lambda df: bpe_automaton.tokenized(df, path).select("n_tokens"),
+        "N_words": lambda df: recompression.without_repeats(df).select("n_words"), "N_Bytes": lambda df: suffix_dedup.without_repeats(df).select("n_bytes"), "FP": lambda df: simhash.fingerprints(df).select("fp"),
+        "Verdict": lambda df: url_filter.judged(df.withColumnRenamed("text", "url").withColumn("html", F.lit("")), URL_RULES).select("verdict"), "__KEY": lambda df: simhash.deduplicated(df).select("__KEY"),
+    }
+    for name, made in cases.items():
+        assert len(made(docs.withColumnRenamed("x", name)).collect()) == 1, name
+
+
+def test_rows_are_told_apart_by_nulls_and_when_hashes_meet(spark):
+    text = "one two three four five six"
+    for rows in ([("x", None), (None, "x")], [(None, text), ("b", text), (text, None)]):
+        docs = spark.createDataFrame(rows, "doc_id string, text string")
+        assert docs.select(row_key()).distinct().count() == len(rows)
+        assert sorted(r.n_words for r in recompression.without_repeats(docs, 3).collect()) == sorted(len((t or "").split()) for _, t in rows)
+        assert sorted(r.n_bytes for r in suffix_dedup.without_repeats(docs, 20).collect()) == sorted(len(t or "") for _, t in rows)
+    docs = spark.range(40).selectExpr("cast(id as string) as doc_id", "concat('t', id % 7) as text", "1 as __mark")
+    numbered = numbering(docs, row_key(), narrow=F.col("doc_id").cast("long") % 5)
+    got = numbered(docs, "row")
+    assert got.columns == [*docs.columns, "row"] and got.select("row").distinct().count() == 40 == got.count()
+
+
 def test_language(spark):
     out = entry.queries()["op8_language_id"](spark, SF).join(spark.read.parquet(SF + "/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r.lang_pred == r.lang for r in out]) > 0.9

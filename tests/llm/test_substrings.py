@@ -70,7 +70,7 @@ def test_words(spark, seed, size, most):
 def test_bytes(spark, monkeypatch, seed, size, bucket, most):
     rows = corpus(seed)
     plain = suffix_dedup.repeated_windows
-    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda docs, n, text="text", **kw: plain(docs, n, text, bucket, **kw))
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda docs, n, numbered, text="text", **kw: plain(docs, n, numbered, text, bucket, **kw))
     out = suffix_dedup.without_repeats(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("n_words", "__row"), size, most=most)
     got = [tuple(r) for r in out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
     assert sorted(got, key=str) == sorted(by_bytes(rows, size), key=str)

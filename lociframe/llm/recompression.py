@@ -171,13 +171,13 @@ def _opened(size: int, most: int):
 def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame, str], DataFrame], text: str = "text", most: int = PIECE_BYTES) -> DataFrame:
     """(row, spans): for every document row that has some, the starts of windows whose words also start elsewhere."""
     own = numbered(docs.select("doc_id", F.col(text)), "__row").select(F.col("__row").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
+    repeated, opened, done = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     wanted = opened.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
     names = own.join(wanted, "row").select("row", "text", "spans").mapInArrow(_opened(size, most), "name long, check long, row long, at int")
     names = written(names, "windows")  # rows that repeat come twice, and so do their windows, which are repeated
     twice = names.groupBy("name", "check").count().where("count > 1").select("name", "check")
     single = names.join(twice, ["name", "check"], "left_semi").select("row", "at", F.lit(1).alias("n"))
-    return spans_of(repeated, single)
+    return spans_of(repeated, single, done=[*done, names])
 
 
 def without_repeats(docs: DataFrame, size: int = 35, text: str = "text", kept_text: str | None = None, most: int = PIECE_BYTES) -> DataFrame:

@@ -42,8 +42,9 @@ def wanted(batch: pa.RecordBatch, column: int = 2) -> tuple[np.ndarray, np.ndarr
     return np.asarray(pc.list_parent_indices(spans)).astype(np.int64), np.asarray(flat.field(0)).astype(np.int64), flat
 
 
-def sorted_out(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(repeated, open): segments that occur as a whole more than once, and those that must be looked into.
+def sorted_out(segments: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(repeated, open, tables): segments that occur as a whole more than once, those that must be looked into, and the tables
+    behind them, to be dropped when both are used up.
 
     Repeated: row, at, n of every occurrence. Open: key, row, at, n of the segments whose anchor key other segments have
     as well, one occurrence of each (with `whole` set if the segment itself is repeated). Both stages aggregate before
@@ -62,12 +63,16 @@ def sorted_out(segments: DataFrame) -> tuple[DataFrame, DataFrame]:
     again = written(shared.where("mixed").join(counts.where("c > 1").select("key", "seg"), ["key", "seg"], "left_semi").select("row", "at", "n", "more"), "segments")
     whole = shared.where("not mixed").select("row", "at", "n", "more").unionByName(again)
     more = whole.where("more is not null").select("row", F.inline("more"))
-    return whole.select("row", "at", "n").unionByName(more), opened
+    return whole.select("row", "at", "n").unionByName(more), opened, [shared, counts, again]
 
 
-def spans_of(*found: DataFrame) -> DataFrame:
-    """(row, spans) from tables of row, at, n: the starts of repeated windows of each row as [at, at + n) pairs, at first."""
+def spans_of(*found: DataFrame, done: list[DataFrame]) -> DataFrame:
+    """(row, spans) from tables of row, at, n: the starts of repeated windows of each row as [at, at + n) pairs, at first. Written;
+    the tables in `done`, which it is made from, are dropped."""
     table = found[0].select("row", "at", "n")
     for more in found[1:]:
         table = table.unionByName(more.select("row", "at", "n"))
-    return table.distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans"))
+    spans = written(table.distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("spans")), "spans")
+    for table in done:
+        dropped(table)
+    return spans

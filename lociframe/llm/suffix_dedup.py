@@ -233,7 +233,7 @@ def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame,
     With `words`, windows of so many words count as well, where they are shorter than `size` bytes: n is 0 or less then.
     """
     own = numbered(docs.select("doc_id", F.col(text)), "__row").select(F.col("__row").alias("row"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    repeated, opened = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
+    repeated, opened, done = sorted_out(own.mapInArrow(_segments(size, most), SEGMENT))
     opened = opened.select("*", F.lit(0).alias("left"), F.lit(GRAM).alias("right"))
 
     def texts_with(some: DataFrame, texts: DataFrame = own) -> DataFrame:
@@ -244,14 +244,20 @@ def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame,
     found, ready = [repeated], []
     while True:
         crowded = written(opened.groupBy("key").count().where(F.col("count") > bucket).select("key"), "keys")
+        done.append(crowded)
         if crowded.isEmpty():
             ready.append(opened)
             break
         ready.append(opened.join(crowded, "key", "left_anti"))
         large = written(opened.join(crowded, "key", "left_semi"), "segments")
-        rows = small(written(large.select("row").distinct(), "keys"))  # so that only these texts move
+        rows_table = written(large.select("row").distinct(), "keys")
+        rows = small(rows_table)  # so that only these texts move
         parts = texts_with(large, own.join(rows, "row", "left_semi")).mapInArrow(_parted(size, most), "key long, seg long, row long, at int, n int, whole boolean, left int, right int")
-        again, opened = sorted_again(written(parts, "segments"))
+        parts = written(parts, "segments")
+        dropped(rows_table)
+        dropped(large)
+        again, opened, counts = sorted_again(parts)
+        done += [parts, opened, counts]
         found.append(again)
     ready = reduce(DataFrame.unionByName, ready)
     bodies = texts_with(ready).mapInArrow(_bodies(size, most), "key long, row long, at int, whole boolean, anchor int, body binary")
@@ -261,19 +267,21 @@ def repeated_windows(docs: DataFrame, size: int, numbered: Callable[[DataFrame,
         here = F.when(F.col("more").isNull(), 1).otherwise(1 + F.size("more"))
         again = short.groupBy("key", "seg").agg(F.sum(here).alias("c")).where("c > 1").select("key", "seg")
         again = written(short.join(again, ["key", "seg"], "left_semi").select("row", "at", "n", "more"), "windows")
+        dropped(short)
+        done.append(again)
         found += [again.select("row", "at", "n"), again.where("more is not null").select("row", F.inline("more"))]
-    return spans_of(*found)
+    return spans_of(*found, done=done)
 
 
-def sorted_again(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(repeated, open) of the segments of parted buckets: of those not repeated as a whole before, the ones that are now;
+def sorted_again(parts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(repeated, open, the table of counts behind them) of the segments of parted buckets: of those not repeated as a whole before, the ones that are now;
     and one occurrence of each segment whose new key others have as well."""
     place = F.struct("row", "at", "n", "left", "right")
     counts = written(parts.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("place"), F.max("whole").alias("whole")), "segments")
     keys = counts.groupBy("key").agg(F.count(F.lit(1)).alias("segments")).where("segments > 1").select("key")
     opened = counts.join(keys, "key", "left_semi").select("key", "place.row", "place.at", "place.n", (F.col("whole") | (F.col("c") > 1)).alias("whole"), "place.left", "place.right")
     repeated = parts.where("not whole").join(counts.where("c > 1").select("key", "seg"), ["key", "seg"], "left_semi")
-    return repeated.select("row", "at", "n"), written(opened, "segments")
+    return repeated.select("row", "at", "n"), written(opened, "segments"), counts
 
 
 def without_repeats(docs: DataFrame, size: int = 400, text: str = "text", kept_text: str | None = None, words: int | None = None, most: int = PIECE) -> DataFrame:

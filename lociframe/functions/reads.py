@@ -46,12 +46,15 @@ def _within(a: Column, b: Column, most: Column) -> Column:
     return F.when(most < 1, a == b).when(most < 2, F.levenshtein(a, b, 1) >= 0).otherwise(_mismatches(a, b) <= most)
 
 
-def overlap_length(seq: Column, adapter: Column, min_overlap: int = 3, error_rate: float = 0.1) -> Column:
-    """The longest end of the read that is, but for int(length * error_rate) letters, a beginning of the adapter; else 0."""
-    most = F.least(F.length(seq), F.length(adapter))
-    sizes = F.when(most >= min_overlap, F.sequence(F.lit(min_overlap), most)).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(sizes, lambda n: _within(F.right(seq, n), F.substring(adapter, F.lit(1), n), F.floor(n * F.lit(error_rate))))
-    return F.coalesce(F.array_max(fits), F.lit(0))
+def overlap_length(seq: Column, adapter: Column, min_overlap: int = 3, error_rate: float = 0.1, longest: int = UMI_LENGTH) -> Column:
+    """The longest end of the read, of `longest` letters at most, that is, but for int(length * error_rate) letters, a beginning of
+    the adapter; else 0. A condition for each length, the longest first, so that all is compiled and the first fit ends it."""
+    out = F.lit(0)
+    for n in range(min_overlap, longest + 1):
+        a, b, most = F.right(seq, F.lit(n)), F.substring(adapter, 1, n), int(n * error_rate + 1e-9)
+        close = a == b if most < 1 else F.levenshtein(a, b, 1) >= 0 if most < 2 else _mismatches(a, b) <= most
+        out = F.when((F.length(seq) >= n) & (F.length(adapter) >= n) & close, n).otherwise(out)
+    return out
 
 
 def trim_readthrough(pairs: DataFrame, min_overlap: int = 3, error_rate: float = 0.1, min_length: int = 10) -> DataFrame:

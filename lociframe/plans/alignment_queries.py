@@ -196,12 +196,16 @@ QUERIES = {
         sql("u AS (SELECT sample_id, tlen FROM v_aln WHERE (flag & 256) = 0 AND tlen > 0), q AS (SELECT sample_id, quantile_cont(tlen, 0.25) AS a, quantile_cont(tlen, 0.75) AS b FROM u GROUP BY 1) SELECT sample_id, round(avg(tlen), 4) AS mean, round(stddev_pop(tlen), 4) AS sd FROM u JOIN q USING (sample_id) WHERE tlen BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a) GROUP BY 1", "v_aln")),
     "a28_insert_size": (lambda s, d: L.insert_size_metrics(v_aln(s, d)).select("sample_id", "median", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"), "low", "high"),
         sql(f"SELECT sample_id, median(abs(tlen)) AS median, round(avg(abs(tlen)), 4) AS mean, round(stddev_pop(abs(tlen)), 4) AS sd, min(abs(tlen)) AS low, max(abs(tlen)) AS high FROM v_aln WHERE {bit(64)} AND (flag & 256) = 0 AND tlen <> 0 GROUP BY 1", "v_aln")),
-    "w13_dedup_alignments": (lambda s, d: L.dedup_alignments(v_aln(s, d)).groupBy("sample_id").agg(F.count("*").alias("n")), sql(f"SELECT sample_id, count(*) AS n FROM (SELECT DISTINCT sample_id, qname, chrom, st, m1, gap, m2, {bit(128)} FROM v_aln) GROUP BY 1", "v_aln")),
-    "w10_cap_alignments": (lambda s, d: L.cap_alignments_per_mate(v_aln(s, d), 1).groupBy("sample_id").agg(F.count("*").alias("n")), sql(f"SELECT sample_id, count(*) AS n FROM (SELECT DISTINCT sample_id, qname, {bit(128)} FROM v_aln) GROUP BY 1", "v_aln")),
+    "w13_dedup_alignments": (lambda s, d: L.dedup_alignments(v_aln(s, d)).select("sample_id", "qname", "chrom", "st", "cigar", "flag", "score", "mapq"),
+        sql(f"""n AS (SELECT *, row_number() OVER (PARTITION BY sample_id, qname, chrom, st, m1, gap, m2, {bit(128)} ORDER BY score DESC NULLS LAST, flag, mapq DESC) AS nth FROM v_aln)
+        SELECT sample_id, qname, chrom, st, m1 || 'M' || gap || 'N' || m2 || 'M' AS cigar, flag, score, mapq FROM n WHERE nth = 1""", "v_aln")),
+    "w10_cap_alignments": (lambda s, d: L.cap_alignments_per_mate(v_aln(s, d), 1).select("sample_id", "qname", "chrom", "st", "cigar", "flag", "score"),
+        sql(f"""c AS (SELECT *, m1 || 'M' || gap || 'N' || m2 || 'M' AS cigar FROM v_aln), n AS (SELECT *, row_number() OVER (PARTITION BY sample_id, qname, {bit(128)} ORDER BY score DESC NULLS LAST, chrom, st, cigar, flag) AS nth FROM c)
+        SELECT sample_id, qname, chrom, st, cigar, flag, score FROM n WHERE nth = 1""", "v_aln")),
     "j2_pair_alignments": (lambda s, d: fragments(s, d).groupBy("sample_id", "is_unique", F.col("blocks_r1").isNotNull().alias("r1"), F.col("blocks_r2").isNotNull().alias("r2")).agg(F.count("*").alias("n"), F.sum("score").alias("score")),
         fragment_sql("SELECT sample_id, u AS is_unique, s1 IS NOT NULL AS r1, s2 IS NOT NULL AS r2, count(*) AS n, sum(score) AS score FROM f GROUP BY 1, 2, 3, 4", FRAGMENTS)),
-    "w9_dedup_fragments": (lambda s, d: L.dedup_fragments_by_locus(fragments(s, d).unionByName(fragments(s, d).withColumn("score", F.col("score") - 1))).groupBy("sample_id").agg(F.count("*").alias("n"), F.sum("score").alias("score")),
-        fragment_sql("SELECT sample_id, count(*) AS n, sum(score) AS score FROM f GROUP BY 1", FRAGMENTS)),
+    "w9_dedup_fragments": (lambda s, d: L.dedup_fragments_by_locus(fragments(s, d).unionByName(fragments(s, d).withColumn("score", F.col("score") - 1))).select("sample_id", "qname", "chrom", F.element_at("blocks_r1", 1).s.alias("s1"), F.element_at("blocks_r2", 1).s.alias("s2"), "score").fillna(-1, ["s1", "s2"]),
+        fragment_sql("SELECT sample_id, qname, chrom, coalesce(s1, -1) AS s1, coalesce(s2, -1) AS s2, score FROM f", FRAGMENTS)),
     "j4_fragment_gene_overlap": (lambda s, d: L.fragment_gene_overlap(fragments(s, d), merged(s, d), width=64).groupBy("gene_id").agg(F.count("*").alias("fragments"), F.sum("bases").alias("bases")),
         fragment_sql("SELECT gene_id, count(*) AS fragments, CAST(sum(bases) AS BIGINT) AS bases FROM hit GROUP BY 1")),
     "j12_infer_strand": (lambda s, d: L.infer_strand(v_aln(s, d), merged(s, d), width=64).groupBy("sample_id", "label").agg(F.count("*").alias("n")), sql(LABELS + " SELECT sample_id, label, count(*) AS n FROM l GROUP BY 1, 2", "v_aln", "v_exon")),
@@ -250,9 +254,9 @@ QUERIES = {
         sql(f"""u AS (SELECT DISTINCT chrom, st % 4000 AS pos, {bit(16)} AS is_reverse FROM v_aln), w AS (SELECT *, CASE WHEN is_reverse THEN greatest(pos - 20, 0) ELSE pos END AS low, CASE WHEN is_reverse THEN pos ELSE pos + 20 END AS high FROM u),
         a AS (SELECT *, greatest(0, least(high, 1000) - low) AS adenines, greatest(0, least(high, 3000) - greatest(low, 2000)) AS thymines, least(high, 4000) - low AS bases FROM w)
         SELECT chrom, is_reverse, bases > 0 AND greatest(adenines, thymines) * 10 >= bases * 8 AS priming, count(*) AS n FROM a GROUP BY 1, 2, 3""", "v_aln")),
-    "p29_alignments_to_reads": (lambda s, d: L.alignments_to_reads(v_aln(s, d).withColumn("seq", F.lit("ACGTT")).withColumn("qual", F.lit("ABCDE"))).groupBy("mate", "seq", "qual").agg(F.count("*").alias("n")),
-        sql(f"""p AS (SELECT *, {bit(128)} AS two FROM v_aln WHERE {PRIMARY}), b AS (SELECT sample_id, qname FROM p GROUP BY 1, 2 HAVING count(DISTINCT two) = 2)
-        SELECT CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN 'AACGT' ELSE 'ACGTT' END AS seq, CASE WHEN {bit(16)} THEN 'EDCBA' ELSE 'ABCDE' END AS qual, count(*) AS n FROM p SEMI JOIN b USING (sample_id, qname) GROUP BY 1, 2, 3""", "v_aln")),
+    "p29_alignments_to_reads": (lambda s, d: L.alignments_to_reads(v_pe(s, d).withColumn("seq", F.translate(F.substring(F.md5("qname"), 1, 12), "0123456789abcdef", "ACGTACGTACGTACGT")).withColumn("qual", F.substring(F.md5("qname"), 13, 12))),
+        sql(f"""p AS (SELECT *, {bit(128)} AS two, translate(substr(md5(qname), 1, 12), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, substr(md5(qname), 13, 12) AS qual FROM v_pe WHERE {PRIMARY}), b AS (SELECT sample_id, qname FROM p GROUP BY 1, 2 HAVING count(DISTINCT two) = 2)
+        SELECT sample_id, qname AS read_id, CAST(CASE WHEN two THEN 2 ELSE 1 END AS INTEGER) AS mate, CASE WHEN {bit(16)} THEN translate(reverse(seq), 'ACGT', 'TGCA') ELSE seq END AS seq, CASE WHEN {bit(16)} THEN reverse(qual) ELSE qual END AS qual FROM p SEMI JOIN b USING (sample_id, qname)""", "v_pe")),
     "e1_positional_em": (lambda s, d: E.positional_em(
             E._mate_blocks("sample_id", "qname", "score")(fragments(s, d)).withColumnRenamed("frag", "locus"), I.coverage(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), ["sample_id", "chrom"]), width=64
         ).select("sample_id", "chrom", "qname", "score", F.round("fraction", 6).alias("fraction")), sql(PLACE_EM, "v_aln").replace("WITH ", "WITH RECURSIVE ", 1)),

@@ -141,12 +141,16 @@ def read_fastqc_basic(spark: SparkSession, path: str, sample_id: str) -> DataFra
     return out.select(F.lit(sample_id).alias("sample_id"), "total", "gc", middle.alias("length"))
 
 
-def read_picard_metrics(spark: SparkSession, path: str, sample_id: str) -> DataFrame:
-    """sample_id, metric, value of the first header line and the data line behind it."""
-    lines = _lines(spark, path).where((F.col("value") != "") & ~F.col("value").startswith("#")).withColumn("line", F.monotonically_increasing_id())
-    two = [r[0] for r in lines.orderBy("line").limit(2).select("value").collect()]
-    pairs = zip(*(x.split("\t") for x in two)) if len(two) == 2 else ()
-    return spark.createDataFrame([(sample_id, k, v) for k, v in pairs], "sample_id string, metric string, value string")
+def read_picard_metrics(spark: SparkSession, path: str, sample_id: str | None = None) -> DataFrame:
+    """sample_id (the file's stem, if not given), metric, value: of every file the first line that is neither empty nor a comment
+    as names, and the one behind it as values. A file is one row (they are short), and none is read while the plan is made."""
+    files = spark.read.text(path, wholetext=True)
+    stem = F.regexp_extract(F.input_file_name(), r"([^/.]+)[^/]*$", 1)
+    used = F.filter(F.split("value", r"\r?\n"), lambda x: (F.trim(x) != "") & ~x.startswith("#"))
+    part = lambda k: F.split(F.try_element_at("used", F.lit(k)), "\t")
+    rows = files.select((F.lit(sample_id) if sample_id is not None else stem).alias("sample_id"), used.alias("used")).where(F.size("used") > 1)
+    pairs = rows.select("sample_id", F.inline(F.arrays_zip(part(1).alias("metric"), part(2).alias("value"))).alias("metric", "value"))
+    return pairs.where("metric is not null and value is not null")
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

@@ -103,7 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def crc32_sql(text: str) -> str:
     """Unsigned CRC-32 of a string expression's UTF-8 bytes."""
     table = "list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
-    byte = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    byte = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
     step = "lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])"
     return f"(SELECT xor(list_reduce(list_prepend(4294967295, {byte}), {step}), 4294967295) FROM (SELECT {table} AS t))"
 
@@ -133,6 +133,14 @@ o AS (SELECT *, list_reduce(list_prepend({{'l': '', 'r': '', 'h': coalesce(chang
 SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_prepend('', list_transform(path, lambda x: x.l || x.r)), 'string_agg', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM o
 """
 
+SHARDS_SQL = f"""
+WITH b AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 16 AS BIGINT) AS size, CAST({crc32_sql("coalesce(text, '')")} AS BIGINT) AS text_crc32, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS stratum,
+  CAST('0x' || substr(md5('{sharding.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, doc_id, text_crc32, size) AS rank, count(*) OVER (PARTITION BY stratum) AS n FROM b),
+p AS (SELECT *, row_number() OVER (ORDER BY (CAST(rank AS DOUBLE) - 0.5) / n, md5('{sharding.SEED}:' || stratum), stratum, rank) - 1 AS place, count(*) OVER () AS total FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 40 // total AS INTEGER) AS shard, place - (place * 40 // total * total + 39) // 40 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p
+"""
+
 _AFTER, _ROLE = "CASE {q} WHEN 2 THEN 3 ELSE 2 END", "CASE {q} WHEN 2 THEN 'assistant:' ELSE 'user:' END"
 _NEXT, _NAME = _AFTER.format(q="q"), _ROLE.format(q="q")
 #: A row at a time: of all edits that lead to a state, the cheapest, of equals the ASCII-least; then up to two insertions.
@@ -200,4 +208,4 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": URL_SQL, "op6_threshold_topk": TOP_K_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_merkle_manifest": MERKLE_SQL}
+    return {"op4_url_filter": URL_SQL, "op5_stratified_shards": SHARDS_SQL, "op6_threshold_topk": TOP_K_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_merkle_manifest": MERKLE_SQL}

@@ -14,9 +14,10 @@ from .shared import offsets, written
 
 #: Rows of a range on average.
 ROWS = 20_000
+SEED = 20240601
 
 
-def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str = "text", source: str = "source", rows: int = ROWS) -> DataFrame:
+def sharded(docs: DataFrame, shards: int = 40, seed: int = SEED, text: str = "text", source: str = "source", rows: int = ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law (`rows`), shard, slot, grown_shard (null) for every row of `docs`.
 
     size is the text's UTF-8 bytes (null: none) plus 16. Rows without a source form a stratum of their own. Repeated rows
@@ -25,17 +26,19 @@ def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str =
     """
     body = F.coalesce(F.col(text), F.lit(""))
     stratum = F.when(F.col(source).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(source).cast("string")))
+    # 60 bits of an MD5 digest, so that SQL can say the same
+    hashed = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), body)), 1, 15), 16, 10).cast("long")
     base = written(
         docs.select(
             "doc_id", (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body.cast("binary")).cast("long").alias("text_crc32"),
-            stratum.alias("stratum"), F.xxhash64(F.lit(seed), F.col("doc_id"), body).alias("h"),
+            stratum.alias("stratum"), hashed.alias("h"),
         ),
         "shards",
     )
     total = base.count()
     ranges = max(1, total // rows)
     # where a row falls among the ranges of equal width
-    base = base.withColumn("part", (F.shiftrightunsigned("h", 33) * F.lit(ranges) / F.lit(float(1 << 31))).cast("long"))
+    base = base.withColumn("part", (F.shiftright("h", 29) * F.lit(ranges) / F.lit(float(1 << 31))).cast("long"))
     counts = base.groupBy("stratum", "part").agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy("stratum").agg(F.sum("n").alias("of"))
     within = Window.partitionBy("stratum", "part").orderBy("h", "doc_id", "text_crc32", "size")
@@ -50,7 +53,7 @@ def sharded(docs: DataFrame, shards: int = 40, seed: int = 20240601, text: str =
     )
     ranked = written(ranked, "shards")
     starts = offsets(ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("all", F.lit(0)), ["all"], "part").select("part", "before")
-    over = Window.partitionBy("part").orderBy("fraction", F.xxhash64(F.lit(seed), "stratum"), "stratum", "rank")
+    over = Window.partitionBy("part").orderBy("fraction", F.md5(F.concat(F.lit(f"{seed}:"), "stratum")), "stratum", "rank")
     place = F.col("before") + F.row_number().over(over) - 1
     shard = F.expr(f"place * {shards} div {max(1, total)}")
     return (

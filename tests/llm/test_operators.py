@@ -179,14 +179,12 @@ def test_shards(spark):
 def test_shards_equal_one_sort_of_all_rows(spark, per):
     rows = [(k, "t" * (k * 7 % 31), ["a", "b", None, "c"][min(k % 9, 3)]) for k in range(911)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    stratum = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))
-    hashed = df.select("doc_id", "text", stratum.alias("s"), F.xxhash64(F.lit(20240601), "doc_id", "text").alias("h"), F.xxhash64(F.lit(20240601), stratum).alias("g")).collect()
-    ranges = max(1, len(rows) // per)
-    part = lambda h: (h % (1 << 64) >> 33) * ranges // (1 << 31)
+    md5 = lambda *parts: hashlib.md5(":".join(map(str, (sharding.SEED, *parts))).encode()).hexdigest()
     order = []
-    for s in {r.s for r in hashed}:
-        own = sorted((r for r in hashed if r.s == s), key=lambda r: (part(r.h), r.h))
-        order += [((k + 0.5) / len(own), r.g, s, k, r.doc_id) for k, r in enumerate(own)]
+    for s in {r[2] for r in rows}:
+        name = "-" if s is None else "+" + s
+        own = sorted((int(md5(k, t)[:15], 16), k) for k, t, source in rows if source == s)
+        order += [((k + 0.5) / len(own), md5(name), name, k, doc_id) for k, (_, doc_id) in enumerate(own)]
     want, n, first = {}, len(rows), {}
     for place, (*_, doc_id) in enumerate(sorted(order)):
         shard = place * 40 // n

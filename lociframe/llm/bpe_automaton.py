@@ -233,7 +233,8 @@ def compiled(definition: str) -> Automaton:
 def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256 (and, if named, the ids and the decoded text) to every row.
 
-    A null text counts as empty: no tokens. Columns of these names that `docs` already has are replaced. The definition
+    A null text counts as empty: no tokens. Texts of any length are encoded whole; repeated rows are encoded alike; an empty table
+    stays empty. Columns of these names that `docs` already has are replaced. The definition
     file must be readable on every executor; the automaton is compiled once a task and its word memory is bounded, so a
     task needs the same memory at any input size and leaves none behind. There is no shuffle: a lost executor costs its own tasks only.
     """

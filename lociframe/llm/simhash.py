@@ -151,7 +151,8 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
     """doc_id, fingerprint (16 hex digits) and component_id (least doc_id that links reach) for every row of `docs`.
 
     Fingerprints over `size`-word shingles with repeats link at `radius` or fewer differing bits. Null and empty texts
-    have fingerprint zero and link like any other; a row without doc_id gets the component of its fingerprint, which
+    have fingerprint zero and link like any other; a text is read whole, one at a time, however long; repeated rows are alike; an
+    empty table gives no rows and other columns are left out, whatever their names; a row without doc_id gets the component of its fingerprint, which
     is null only if no row of it has a doc_id.
     """
     own = written(fingerprints(docs.select("doc_id", "text"), size).select("doc_id", "fp"), "fingerprints")
@@ -175,7 +176,8 @@ def text_groups(docs: DataFrame, numbered: Callable[[DataFrame, str], DataFrame]
     are verified exactly. Texts whose fingerprints over their distinct words differ in at most `radius` bits are compared
     first, by deletion-variant signatures; single words serve the fingerprint because one changed word changes one of them
     but five shingles. Signatures are long (two segments for a radius of 3), so they stay selective as the corpus grows.
-    Cut and extended texts lie further apart: an equality join over the least shingles of each text has every pair that
+    A task holds the shingles of one text at a time, however long it is; null and empty texts are one text without shingles, and
+    repeated texts are one. Cut and extended texts lie further apart: an equality join over the least shingles of each text has every pair that
     the first links leave apart.
     """
     keyed = numbered(docs.select("text"), "key")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .bytes_np import Spans, mixed, pieces, split_words, text_buffer
+from .bytes_np import Spans, pieces, split_words, text_buffer
 from .shared import held_out, row_key, sampled_texts, without
 
 WINDOW, BLOCK, CONTEXT = 32, 48, 16

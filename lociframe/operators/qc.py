@@ -88,7 +88,7 @@ def qc_matrix(
     wide = samples.select(by).distinct()
     have: set[str] = set()
 
-    def add(name: str, source: DataFrame | None, *sums: Column) -> None:
+    def add(source: DataFrame | None, *sums: Column) -> None:
         nonlocal wide
         if source is not None:
             own = source.groupBy(by).agg(*sums)
@@ -99,29 +99,29 @@ def qc_matrix(
     zero = lambda c: F.coalesce(col(c).cast("double"), F.lit(0.0))
     bounds = F.transform(F.split("length", "-"), lambda x: x.cast("double"))
     length = F.aggregate(bounds, F.lit(0.0), lambda a, x: a + x) / F.size(bounds)
-    add("fastqc", fastqc, F.sum("reads").alias("raw"), F.count_distinct("file").alias("files"), F.avg("gc").alias("gc"), *([F.avg(length).alias("raw_length")] if fastqc is not None else []))
-    add("motif", motif, F.max("ratio").alias("motif"))
-    add("trimmed", trimmed, F.sum("reads").alias("left"), F.avg("mean_length").alias("left_length"))
+    add(fastqc, F.sum("reads").alias("raw"), F.count_distinct("file").alias("files"), F.avg("gc").alias("gc"), *([F.avg(length).alias("raw_length")] if fastqc is not None else []))
+    add(motif, F.max("ratio").alias("motif"))
+    add(trimmed, F.sum("reads").alias("left"), F.avg("mean_length").alias("left_length"))
     if taxonomy is not None:
         shares = taxonomy_share(taxonomy, by)
         have.update(c for c in shares.columns if c != by)
         wide = wide.join(shares, by, "left")
     labelled = lambda label: F.sum(F.when(F.col("label") == label, F.col("reads"))).alias(f"of_{label}")
-    add("contaminants", contaminants, *[labelled(x) for x in ("ecoli", "mycoplasma", "rRNA")])
+    add(contaminants, *[labelled(x) for x in ("ecoli", "mycoplasma", "rRNA")])
     for prefix, source in (("first", first_log), ("star", log)):
         if source is not None:
             own = _log_row(source, by, prefix)
             have.update(c for c in own.columns if c != by)
             wide = wide.join(own, by, "left")
-    add("strand", strand, *[F.max(c).alias(c) for c in ("forward", "reverse", "undetermined", "splice_per_kb")])
-    add("regions", regions, *[F.sum(F.when(F.col("region_class") == c, F.col("reads"))).alias(f"in_{c}") for c in REGION_NAMES])
-    add("picard", picard, *[F.max(F.when(F.col("metric") == k, F.col("value").cast("string"))).alias(f"picard_{k}") for k in PICARD_KEYS])
+    add(strand, *[F.max(c).alias(c) for c in ("forward", "reverse", "undetermined", "splice_per_kb")])
+    add(regions, *[F.sum(F.when(F.col("region_class") == c, F.col("reads"))).alias(f"in_{c}") for c in REGION_NAMES])
+    add(picard, *[F.max(F.when(F.col("metric") == k, F.col("value").cast("string"))).alias(f"picard_{k}") for k in PICARD_KEYS])
     tests = [("read_counts", "Read Counts", t) for t in read_thresholds] + [("norm_expr", "TPM/CPM", t) for t in expression_thresholds]
     of_type = lambda rna, x: F.when(F.col("gene_type") == rna, x)
     number = lambda c: F.coalesce(F.expr(f"try_cast({c} as double)"), F.lit(0.0))
     genes = [F.sum(of_type(rna, (number(c) > t).cast("long"))).alias(f"genes_{r}_{k}") for r, rna in enumerate(RNA_TYPES) for k, (c, _, t) in enumerate(tests)] if expression is not None else []
     reads = [F.sum(of_type(rna, number("read_counts"))).alias(f"reads_{r}") for r, rna in enumerate(RNA_TYPES)] if expression is not None else []
-    add("expression", expression, *genes, *reads, F.sum(F.coalesce(F.expr("try_cast(read_counts as double)"), F.lit(0.0))).alias("reads_all"))
+    add(expression, *genes, *reads, F.sum(F.coalesce(F.expr("try_cast(read_counts as double)"), F.lit(0.0))).alias("reads_all"))
 
     mapped = zero("first_unique") + zero("first_several") + zero("first_too_many")
     multi = zero("star_several") + zero("star_too_many")

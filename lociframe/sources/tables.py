@@ -141,7 +141,7 @@ def read_fastqc_basic(spark: SparkSession, path: str, sample_id: str) -> DataFra
     return out.select(F.lit(sample_id).alias("sample_id"), "total", "gc", middle.alias("length"))
 
 
-def read_picard_metrics(spark: SparkSession, path: str, sample_id: str | None = None) -> DataFrame:
+def read_picard_metrics(spark: SparkSession, path: str | list[str], sample_id: str | None = None) -> DataFrame:
     """sample_id (the file's stem, if not given), metric, value: of every file the first line that is neither empty nor a comment
     as names, and the one behind it as values. A file is one row (they are short), and none is read while the plan is made."""
     files = spark.read.text(path, wholetext=True)

@@ -221,6 +221,8 @@ def test_files(spark, tmp_path):
     assert [tuple(r) for r in tables.read_fastqc_basic(spark, fqc, "s").collect()] == [("s", 9.0, 44.0, 40.0)]
     picard = write("pic", "## x\n# y\nA\tPCT_B\n1\t0.5\n")
     assert sorted((r.metric, r.value) for r in tables.read_picard_metrics(spark, picard, "s").collect()) == [("A", "1"), ("PCT_B", "0.5")]
+    several = [write("p1.txt", "# x\n\nA\tB\n1\t2\n3\t4\n"), write("p2.txt", "A\tC\r\n5\t6\r\n"), write("p3.txt", "# only comments\n")]
+    assert sorted(map(tuple, tables.read_picard_metrics(spark, several).collect())) == [("p1", "A", "1"), ("p1", "B", "2"), ("p2", "A", "5"), ("p2", "C", "6")]
     cov = spark.createDataFrame([("c", 0, 5, 1.0), ("c", 5, 20, 2.0), ("c", 30, 40, 0.0)], "chrom string, s bigint, e bigint, value double")
     tables.write_bedgraph(cov, str(tmp_path / "bg"), spark.createDataFrame([("c", 10)], "chrom string, length bigint"))
     assert sorted(map(tuple, spark.read.option("sep", "\t").csv(str(tmp_path / "bg")).collect())) == [("c", "0", "5", "1.0"), ("c", "5", "10", "2.0")]

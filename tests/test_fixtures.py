@@ -134,7 +134,7 @@ def test_quality_cut(spark):
 def test_umi_dedup_absorbs_neighbours(spark):
     umis = ["AAAA"] * 8 + ["AAAT"] * 4 + ["AATT"] * 2 + ["CCCC"] * 3
     df = spark.createDataFrame([("s", "c", 1, "+", u) for u in umis], "sample_id string, chrom string, pos int, strand string, umi string")
-    assert {r.umi: r.cluster for r in L.umi_dedup(df).collect()} == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AAAA", "CCCC": "CCCC"}
+    assert {r.umi: r.cluster for r in L.umi_clusters(df).collect()} == {"AAAA": "AAAA", "AAAT": "AAAA", "AATT": "AAAA", "CCCC": "CCCC"}
 
 
 def test_pair_alignments(spark):

@@ -22,6 +22,8 @@ from .shared import held_out, row_key, sampled_texts, without
 WINDOW, BLOCK, CONTEXT = 32, 48, 16
 WORD_ROWS, CHAR_ROWS, BEGIN_ROWS, WIDE, HIDDEN = 1 << 15, 1 << 12, 1 << 14, 8, 8
 BEGIN, INPUTS = 6, 3 * WIDE
+#: Bytes of text that a task scores at once: some 60 MB of memory.
+PIECE = 400_000
 #: The bound on what is learned from: labelled rows of each class, and characters of the texts of both together.
 SAMPLE_ROWS, SAMPLE_CHARS = 1200, 4_000_000
 #: Weight of the clean class against the toxic one.
@@ -278,7 +280,7 @@ def scored(docs: DataFrame, net: Network | None, text: str = "text", score: str
     broadcast = docs.sparkSession.sparkContext.broadcast(net)
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, PIECE):
             model = broadcast.value
             data, offsets = text_buffer(batch.column(batch.schema.get_field_index(text)))
             values = text_scores(model, data, offsets) if model else np.zeros(batch.num_rows)

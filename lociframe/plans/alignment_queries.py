@@ -240,7 +240,7 @@ QUERIES = {
         SELECT sample_id, base_class, CAST(bases AS BIGINT) AS bases, round(bases / total, 6) AS fraction FROM y JOIN t USING (sample_id)""", "v_aln", "v_exon")),
     "a34_umi_clusters": (lambda s, d: L.umi_clusters(table(s, d, "lineitem").selectExpr("l_suppkey % 4 as sample_id", "l_suppkey % 10 as chrom", "l_partkey % 50 as pos", "'+' as strand", "concat(substring('ACGT', cast(l_orderkey % 4 + 1 as int), 1), 'ACG', substring('AAAC', cast(l_linenumber % 4 + 1 as int), 1)) as umi")),
         f"WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT {UMIS}, count(*) AS reads FROM lineitem GROUP BY ALL)), {REACHED} SELECT sample_id, chrom, pos, '+' AS strand, umi, reads, cluster FROM c JOIN m USING (sample_id, chrom, pos, umi)"),
-    "a34_umi_dedup": (lambda s, d: L.umi_dedup(v_pe(s, d)).select("sample_id", "qname", "flag", "chrom", "st"),
+    "a34_umi_dedup": (lambda s, d: L.umi_dedup(v_pe(s, d)).select("sample_id", "qname", F.col("flag").cast("long").alias("flag"), "chrom", "st"),
         sql(f"""a AS (SELECT *, split_part(qname, '_', 2) AS umi, CASE WHEN {bit(16)} THEN st + m1 + gap + m2 ELSE st END AS five, ({bit(16)}) AS back, NOT ({bit(128)}) AS one FROM v_pe),
         b AS (SELECT sample_id, chrom || back AS chrom, five AS pos, umi, qname, mapq FROM a WHERE one), c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, pos ORDER BY reads DESC, umi) AS place FROM (SELECT sample_id, chrom, pos, umi, count(*) AS reads FROM b GROUP BY ALL)), {REACHED},
         k AS (SELECT DISTINCT sample_id, chrom, pos, qname FROM (SELECT b.*, row_number() OVER (PARTITION BY sample_id, chrom, pos, cluster ORDER BY mapq DESC, qname) AS nth FROM b JOIN m USING (sample_id, chrom, pos, umi)) WHERE nth = 1)

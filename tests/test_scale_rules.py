@@ -221,3 +221,32 @@ def test_base_composition_does_not_explode_reads(spark):
     df = spark.createDataFrame([("s", "ACGTN"), ("s", "acgta"), ("s", "AC")], "sample_id string, seq string")
     got = {r.pos: (r.A, r.C, r.G, r["T"]) for r in O.base_composition(df, ["sample_id"], n=5).collect()}
     assert got == {1: (1, 0, 0, 0), 2: (0, 1, 0, 0), 3: (0, 0, 1, 0), 4: (0, 0, 0, 1), 5: (0.5, 0, 0, 0)}
+
+
+def fragments_of(spark, all_pairs=True, n=400):
+    rng = random.Random(n)
+    rows = [("s", f"q{rng.randrange(n // 4)}", rng.choice([99, 147, 83, 163]), rng.choice("12"), rng.choice([rng.randrange(300), 1_999_900 + rng.randrange(300), 4_000_000]), float(rng.randrange(4)), rng.choice(["20M", "10M5N10M", "10M5I10M", "25M", "5S"]), rng.choice([255, 3]), rng.choice([1, 2, None])) for _ in range(n)]
+    df = spark.createDataFrame(rows, "sample_id string, qname string, flag int, chrom string, st bigint, score double, cigar string, mapq int, nh int")
+    return rows, L.pair_alignments(df, all_pairs=all_pairs)
+
+
+@pytest.mark.parametrize("all_pairs", [True, False])
+def test_pairing_is_one_shuffle(spark, all_pairs):
+    _, frags = fragments_of(spark, all_pairs)
+    assert plan(L.counting_units(frags)).count("Exchange") == 1
+    # every alignment with a base is in a fragment; a place is in a pair or alone, never both
+    got = frags.collect()
+    pairs = [r for r in got if r.blocks_r1 and r.blocks_r2]
+    used = {(r.qname, r.chrom, k, str(r[f"blocks_r{k}"]), r[f"rev{k}"]) for r in pairs for k in (1, 2)}
+    alone = {(r.qname, r.chrom, k, str(r[f"blocks_r{k}"]), r[f"rev{k}"]) for r in got for k in (1, 2) if r[f"blocks_r{k}"] and not r[f"blocks_r{3 - k}"]}
+    assert pairs and alone and not used & alone and len(got) == len(pairs) + len(alone)
+    if not all_pairs:
+        assert len({r.qname for r in pairs}) == len(pairs)
+
+
+def test_fragments_meet_genes_without_further_joins(spark):
+    frags = L.with_fragment_key(spark.createDataFrame([("s", "q", "1", [(0, 50)], None, False, None, 1.0, True)], "sample_id string, qname string, chrom string, blocks_r1 array<struct<s:bigint,e:bigint>>, blocks_r2 array<struct<s:bigint,e:bigint>>, rev1 boolean, rev2 boolean, score double, is_unique boolean"))
+    exons = spark.createDataFrame([("g", "1", 0, 100, "+")], "gene_id string, chrom string, s2 bigint, e2 bigint, strand string")
+    text = plan(L.fragment_gene_overlap(frags, exons))
+    # blocks, exons, the sums, and the few levels that exons stand on
+    assert text.count("Exchange hashpartitioning") == 4 and "ShuffledHashJoin" in text and "SortMergeJoin" not in text

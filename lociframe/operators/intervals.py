@@ -155,14 +155,22 @@ def exclude_regions(regions: DataFrame, blacklist: DataFrame, keys: list[str], r
 def scaled_profile(signal: DataFrame, regions: DataFrame, keys: list[str], bins: int = 20, group: str = "region_class", width: int = 1000) -> DataFrame:
     """group, bin, value: mean per-base signal over equal parts of each region (region_id, s2, e2, strand), 5' to 3',
     averaged over the group's regions; a part without signal counts 0. Regions shorter than `bins` are left out."""
+    whole = regions.where(F.col("e2") - F.col("s2") >= bins).select("region_id", group, *keys, "strand", "s2", "e2")
     size = F.col("e2") - F.col("s2")
-    cut = regions.where(size >= bins).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    low, high = F.floor(F.col("s2") + F.col("i") * size / bins), F.floor(F.col("s2") + (F.col("i") + 1) * size / bins)
-    cut = cut.withColumn("__low", low).withColumn("__high", high).withColumn("bin", F.when(F.col("strand") == "-", bins - 1 - F.col("i")).otherwise(F.col("i")).cast("int"))
-    cut = cut.select("region_id", group, *keys, "bin", F.col("__low").alias("s2"), F.col("__high").alias("e2"))
-    met = overlap_join(signal, cut, keys, width).groupBy("region_id", "bin").agg(F.sum(F.col("value") * F.col("overlap")).alias("x"))
-    part = cut.join(met, ["region_id", "bin"], "left").withColumn("x", F.coalesce("x", F.lit(0.0)) / (F.col("e2") - F.col("s2")))
-    return part.groupBy(group, "bin").agg(F.avg("x").alias("value"))
+    edge = lambda i: F.floor(F.col("s2") + i * size / bins)
+    # a stretch of signal meets whole regions, and is cut among the few parts that it lies in; the rest count 0
+    met = overlap_join(signal, whole, keys, width)
+    low, high = F.greatest("s", "s2"), F.least("e", "e2")
+    part = lambda pos: F.floor((pos - F.col("s2")) * bins / size)
+    touched = F.sequence(F.greatest(part(low) - 1, F.lit(0)), F.least(part(high) + 1, F.lit(bins - 1)))
+    cut = met.select(group, "strand", "value", low.alias("__low"), high.alias("__high"), "s2", "e2", F.explode(touched).alias("i"))
+    cut = cut.select(group, "strand", "value", "__low", "__high", "i", edge(F.col("i")).alias("__s"), edge(F.col("i") + 1).alias("__e"))
+    shared = F.least("__high", "__e") - F.greatest("__low", "__s")
+    bin_ = F.when(F.col("strand") == "-", bins - 1 - F.col("i")).otherwise(F.col("i")).cast("int").alias("bin")
+    sums = cut.where(shared > 0).groupBy(group, bin_).agg(F.sum(F.col("value") * shared / (F.col("__e") - F.col("__s"))).alias("x"))
+    counted = whole.groupBy(group).agg(F.count(F.lit(1)).alias("n")).select(group, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "n")
+    both = counted.withColumn("x", F.lit(0.0)).unionByName(sums.select(group, "bin", F.lit(0).cast("bigint").alias("n"), "x"))
+    return both.groupBy(group, "bin").agg((F.sum("x") / F.sum("n")).alias("value"))
 
 
 def merge_tracks(keys: list[str], *tracks: DataFrame, tile: int = TILE) -> DataFrame:

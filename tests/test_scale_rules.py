@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lociframe.operators import align as L, circ as C, deconv as D, em as E, qc as Q, reads as O
+from lociframe.operators import align as L, circ as C, deconv as D, em as E, intervals as I, qc as Q, reads as O
 from lociframe.operators.tables import bucketed
 
 
@@ -250,3 +250,31 @@ def test_fragments_meet_genes_without_further_joins(spark):
     text = plan(L.fragment_gene_overlap(frags, exons))
     # blocks, exons, the sums, and the few levels that exons stand on
     assert text.count("Exchange hashpartitioning") == 4 and "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_profile_cuts_what_has_signal(spark):
+    rng = random.Random(3)
+    regions = [(k, rng.choice("ab"), "1", rng.choice("+-"), s := rng.randrange(3000), s + rng.choice([5, 20, 33, 150])) for k in range(40)]
+    signal = [("1", s := rng.randrange(3000), s + rng.choice([1, 7, 60]), float(rng.randrange(1, 9))) for _ in range(60)]
+    r = spark.createDataFrame(regions, "region_id int, region_class string, chrom string, strand string, s2 bigint, e2 bigint")
+    found = I.scaled_profile(spark.createDataFrame(signal, "chrom string, s bigint, e bigint, value double"), r, ["chrom"], width=64)
+    want = {}
+    for _, g, _, strand, s, e in regions:
+        for i in range(20) if e - s >= 20 else ():
+            a, b = s + i * (e - s) // 20, s + (i + 1) * (e - s) // 20
+            want.setdefault((g, 19 - i if strand == "-" else i), []).append(sum(v * max(0, min(b, y) - max(a, x)) for _, x, y, v in signal) / (b - a))
+    assert {(x.region_class, x.bin): round(x.value, 6) for x in found.collect()} == {k: round(sum(v) / len(v), 6) for k, v in want.items()}
+    # regions are not joined back, part by part
+    assert "LeftOuter" not in plan(found)
+
+
+def test_clusters_of_two_starts_sort_once(spark):
+    rows = spark.range(50).selectExpr("'k' as k", "id + cast(id / 7 as bigint) * 3 as s")
+    text = plan(C.cluster_by_start(rows, ["k"]))
+    assert text.count("Sort ") == 1
+
+
+def test_annotations_are_not_sorted_against(spark):
+    left, right = spark.range(9).selectExpr("1 as chrom", "id as s", "id + 2 as e", "1.0d as value"), spark.range(9).selectExpr("1 as chrom", "id as s2", "id + 3 as e2", "id as region_id")
+    text = plan(I.signal_in_regions(left, right, ["chrom"]))
+    assert "ShuffledHashJoin [chrom" in text and "SortMergeJoin [chrom" not in text

@@ -51,10 +51,11 @@ def cluster_by_start(rows: DataFrame, keys: Sequence[str], tol: int = 2, start:
     """
     if tol == 2:
         order = Window.partitionBy(*keys).orderBy(start)
-        gap = F.when(F.col(start) - F.lag(start).over(order) < 2, 0).otherwise(1)
-        island = rows.withColumn("__gap", gap).withColumn("__island", F.sum("__gap").over(order.rangeBetween(Window.unboundedPreceding, 0)))
-        first = F.min(start).over(Window.partitionBy(*keys, "__island"))
-        return island.withColumn(name, first + F.floor((F.col(start) - first) / 2) * 2).drop("__gap", "__island")
+        gap = F.coalesce(F.col(start) - F.lag(start).over(order), F.lit(2)) >= 2
+        # the last start behind a gap, in the order that is there already
+        first = F.last(F.when(F.col("__gap"), F.col(start)), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        island = rows.withColumn("__gap", gap).withColumn("__first", first)
+        return island.withColumn(name, F.col("__first") + F.floor((F.col(start) - F.col("__first")) / 2) * 2).drop("__gap", "__first")
     names = [f"__k{k}" for k in range(len(keys))]  # null keys are keys like any other
     keyed = lambda df: df.select("*", *[F.struct(k).alias(n) for k, n in zip(keys, names)])
     marks = first_starts(keyed(rows).select(*names, F.col(start).cast("bigint").alias("s")), names, tol)

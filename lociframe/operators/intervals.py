@@ -125,7 +125,7 @@ def binned_coverage(df: DataFrame, keys: list[str], width: int, start: str = "s"
 
 def signal_in_regions(signal: DataFrame, regions: DataFrame, keys: list[str], region_id: str = "region_id", width: int = 1000) -> DataFrame:
     """region_id, signal: value times shared bases, summed (regions as s2, e2; signal as s, e, value); 0 without any."""
-    met = overlap_join(signal, regions, keys, width).groupBy(region_id).agg(F.sum(F.col("value") * F.col("overlap")).alias("signal"))
+    met = overlap_join(signal, regions, keys, width, build=True).groupBy(region_id).agg(F.sum(F.col("value") * F.col("overlap")).alias("signal"))
     return regions.select(region_id).distinct().join(met, region_id, "left").select(region_id, F.coalesce("signal", F.lit(0.0)).alias("signal"))
 
 
@@ -159,7 +159,7 @@ def scaled_profile(signal: DataFrame, regions: DataFrame, keys: list[str], bins:
     size = F.col("e2") - F.col("s2")
     edge = lambda i: F.floor(F.col("s2") + i * size / bins)
     # a stretch of signal meets whole regions, and is cut among the few parts that it lies in; the rest count 0
-    met = overlap_join(signal, whole, keys, width)
+    met = overlap_join(signal, whole, keys, width, build=True)
     low, high = F.greatest("s", "s2"), F.least("e", "e2")
     part = lambda pos: F.floor((pos - F.col("s2")) * bins / size)
     touched = F.sequence(F.greatest(part(low) - 1, F.lit(0)), F.least(part(high) + 1, F.lit(bins - 1)))

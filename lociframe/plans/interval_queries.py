@@ -25,7 +25,7 @@ QUERIES = {
     "w6_binned_coverage": (lambda s, d: I.binned_coverage(v_iv(s, d), ["chrom"], 50).select("chrom", "bin", F.round("value", 6).alias("value")),
         sql("""b AS (SELECT chrom, s, e, unnest(range(s // 50, (e - 1) // 50 + 1)) AS bin FROM v_iv WHERE s < e)
         SELECT chrom, bin, round(sum((least(e, (bin + 1) * 50) - greatest(s, bin * 50)) / 50.0), 6) AS value FROM b GROUP BY 1, 2""", "v_iv")),
-    "j3_overlap_join": (lambda s, d: I.overlap_join(v_iv(s, d), regions(s, d), ["chrom"], 64).groupBy("region_id").agg(F.count("*").alias("pairs"), F.sum("overlap").alias("bases")),
+    "j3_overlap_join": (lambda s, d: I.overlap_join(v_iv(s, d), regions(s, d), ["chrom"], 64, build=True).groupBy("region_id").agg(F.count("*").alias("pairs"), F.sum("overlap").alias("bases")),
         sql("SELECT gene_id AS region_id, count(*) AS pairs, CAST(sum(least(a.e, b.e) - greatest(a.s, b.s)) AS BIGINT) AS bases FROM v_iv a JOIN v_exon b ON a.chrom = b.chrom AND a.s < b.e AND b.s < a.e AND a.s < a.e GROUP BY 1", "v_iv", "v_exon")),
     "j8_signal_in_regions": (lambda s, d: I.signal_in_regions(v_signal(s, d), regions(s, d), ["chrom"], width=64).select("region_id", F.round("signal", 4).alias("signal")),
         sql("SELECT gene_id AS region_id, round(coalesce(sum(value * (least(a.e, b.e) - greatest(a.s, b.s))), 0.0), 4) AS signal FROM v_exon b LEFT JOIN v_signal a ON a.chrom = b.chrom AND a.s < b.e AND b.s < a.e GROUP BY 1", "v_signal", "v_exon")),

@@ -289,3 +289,49 @@ def test_lone_places_take_no_part_in_rounds(spark, monkeypatch):
     unique = spark.createDataFrame([], "sample_id string, chrom string, s bigint, e bigint, value double")
     got = {r.locus: r.fraction for r in E.positional_em(blocks, unique).collect()}
     assert set(seen) == {(2, 2)} and len(got) == 32 and all(got[f"o{k}"] == 1.0 for k in range(30)) and got["t1"] > 0.9 and abs(got["t1"] + got["t2"] - 1) < 1e-9
+
+
+def test_rows_meet_a_tiles_features_whole(spark):
+    """Every shared base is counted once, over tiles' edges and for features of any length; a row is shuffled once a tile."""
+    rng = random.Random(5)
+    length = lambda: rng.choice([3, 40, 90, 2000, 200_000])
+    features = [(f"g{k % 50}", rng.choice("12"), s := rng.randrange(4000), s + length()) for k in range(80)] + [("none", "1", 5, 5)]
+    rows = [(k, rng.choice("12"), [(a := rng.randrange(4000), a + rng.choice([0, 5, 30])), (b := a + rng.choice([10, 3000]), b + 20)]) for k in range(60)]
+    f = spark.createDataFrame(features, "gene string, chrom string, s2 bigint, e2 bigint")
+    r = spark.createDataFrame([(k, c, [{"s": a, "e": b} for a, b in x]) for k, c, x in rows], "id int, chrom string, blocks array<struct<s:bigint,e:bigint>>")
+    for some in (f, f.where("e2 - s2 < 100")):
+        found, got = I.tiled_overlaps(r, some, ["chrom"], ["gene"], width=8).collect(), {}
+        for x in found:
+            for y in x.met:
+                got[x.id, y.gene] = got.get((x.id, y.gene), 0) + y.overlap
+        want = {}
+        for g, c, s, e in some.collect():
+            for k, d, own in rows:
+                n = sum(max(0, min(e, y) - max(s, x)) for x, y in own) if c == d else 0
+                want[k, g] = want.get((k, g), 0) + n
+        assert got == {k: n for k, n in want.items() if n}
+        # what is whole is there once
+        assert all(sum(y.id == x.id for y in found) == 1 for x in found if x.whole)
+
+
+def test_only_counts_of_whole_units_are_shuffled(spark):
+    rng = random.Random(6)
+    block = lambda a: [{"s": a, "e": a + 30}]
+    frags = [("s", f"q{k}", "1", block(a := rng.randrange(5000)), block(a + rng.choice([40, 900, 2500])), False, True, 1.0, True) for k in range(120)]
+    df = L.with_fragment_key(spark.createDataFrame(frags, "sample_id string, qname string, chrom string, blocks_r1 array<struct<s:bigint,e:bigint>>, blocks_r2 array<struct<s:bigint,e:bigint>>, rev1 boolean, rev2 boolean, score double, is_unique boolean"))
+    exons = [(k // 2, "1", s := 50 * k, s + rng.choice([10, 45, 70]), "+") for k in range(110)]
+    e = spark.createDataFrame(exons, "gene_id int, chrom string, s2 bigint, e2 bigint, strand string")
+    want = {}
+    for f in frags:
+        hit = {}
+        for x in (*f[3], *f[4]):
+            for g, _, s, t, _ in exons:
+                hit[g] = hit.get(g, 0) + max(0, min(t, x["e"]) - max(s, x["s"]))
+        genes = [g for g, n in hit.items() if n >= 12]
+        if len(genes) == 1:
+            want[genes[0]] = want.get(genes[0], 0) + 1
+    for chimeric in (False, True):
+        found = L.feature_counts(df, e, min_bp=12, width=16, chimeric=chimeric)
+        assert want and dict(map(tuple, found.collect())) == want
+        # sums are by unit only where it is not whole
+        assert "whole" in plan(found) and "SortMergeJoin" not in plan(found)

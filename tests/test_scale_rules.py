@@ -335,3 +335,21 @@ def test_only_counts_of_whole_units_are_shuffled(spark):
         assert want and dict(map(tuple, found.collect())) == want
         # sums are by unit only where it is not whole
         assert "whole" in plan(found) and "SortMergeJoin" not in plan(found)
+
+
+def test_rounds_cost_the_ends_of_blocks(spark):
+    """What lies over a place is summed from the ends of blocks, over tiles' edges too, however deep these lie."""
+    rng = random.Random(8)
+    rows = [("q", None if k % 9 == 0 else k % 20, s := rng.randrange(150), s + rng.choice([0, 1, 7, 40]), float(rng.randrange(1, 5))) for k in range(120)]
+    df = spark.createDataFrame(rows, "qname string, locus int, s bigint, e bigint, w double")
+    found = {x.locus: x.cover for x in E.covered(E.tiled(df, 2).withColumn("cell", F.col("tile")), ["qname", "locus"]).collect()}
+    want = {}
+    for _, k, s, e, _ in rows:
+        if k is not None and s < e:
+            want[k] = want.get(k, 0) + sum(w * max(0, min(e, y) - max(s, x)) for _, _, x, y, w in rows)
+    assert {k: round(x, 6) for k, x in found.items()} == want
+    by_place = bucketed(E.tiled(df.where("locus is not null"), 64).selectExpr("qname", "locus", "tile as cell", "s", "e"), ["qname", "locus"])
+    state = bucketed(df.where("locus is not null").select("qname", "locus").distinct().selectExpr("*", "1.0d as score", "1.0d as boost", "0.5d as fraction", "0.0d as base"), ["qname", "locus"])
+    text = plan(E.next_fractions(by_place, None, state, ()))
+    # ends by cell, sums by place, the state by read group
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("FileScan parquet") == 3

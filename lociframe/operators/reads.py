@@ -95,16 +95,22 @@ def kmers(seq: Column, k: int) -> Column:
     """The distinct k-mers of a read on either strand, packed two bits a letter (k up to 31): of a k-mer and its reverse
     complement the lesser number. Stretches with other letters than A, C, G and T give none."""
     clean = F.upper(seq)
-    back = F.reverse(F.translate(clean, "ACGT", "3210"))
-    ahead = F.translate(clean, "ACGT", "0123")
     places = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
-    pure = F.filter(places, lambda i: ~F.substring(ahead, i, F.lit(k)).rlike("[^0-3]"))
     packed = lambda digits: F.conv(digits, 4, 10).cast("bigint")
-    return F.array_distinct(F.transform(pure, lambda i: packed(F.least(F.substring(ahead, i, F.lit(k)), F.substring(back, F.length(seq) - i - k + 2, F.lit(k))))))
+
+    def of(both: Column) -> Column:
+        pure = F.when(both.ahead.rlike("^[0-3]*$"), both.places).otherwise(F.filter(both.places, lambda i: ~F.substring(both.ahead, i, F.lit(k)).rlike("[^0-3]")))
+        return F.transform(pure, lambda i: packed(F.least(F.substring(both.ahead, i, F.lit(k)), F.substring(both.back, F.length(both.ahead) - i - k + 2, F.lit(k)))))
+
+    # as one element of an array, so that the strands are translated once a read and not once a place
+    strands = F.struct(F.translate(clean, "ACGT", "0123").alias("ahead"), F.reverse(F.translate(clean, "ACGT", "3210")).alias("back"), places.alias("places"))
+    return F.array_distinct(F.flatten(F.transform(F.array(strands), of)))
 
 
 #: K-mers of more references than this are counted apart.
 COMMON = 64
+#: The most k-mers of references that are sent to all tasks.
+BROADCAST = 1_000_000
 
 
 def kmer_screen(reads: DataFrame, refs: DataFrame, k: int = 31, common: int = COMMON) -> DataFrame:
@@ -118,8 +124,10 @@ def kmer_screen(reads: DataFrame, refs: DataFrame, k: int = 31, common: int = CO
     known = written(known.groupBy("kmer").agg(F.sort_array(F.collect_set("ref")).alias("refs")).select("kmer", "refs", F.md5(F.concat_ws("\n", F.transform("refs", lambda r: F.concat(F.length(r).cast("string"), F.lit(":"), r)))).alias("class")))
     members = known.groupBy("class").agg(F.first("refs").alias("refs"))
     wide = members.where(F.size("refs") > common).select("class", F.explode("refs").alias("ref"))
-    own = reads.select("read_id", F.explode(kmers(F.col("seq"), k)).alias("kmer")).distinct()
-    met = own.join(known.select("kmer", "class", (F.size("refs") > common).alias("wide")), "kmer")
+    own = reads.select("read_id", F.explode(kmers(F.col("seq"), k)).alias("kmer"))
+    # k-mers that no reference has are gone before anything is shuffled, if the references' go into memory
+    of = known.select("kmer", "class", (F.size("refs") > common).alias("wide"))
+    met = own.join(F.broadcast(of) if known.count() <= BROADCAST else of, "kmer").distinct()
     met = written(met.groupBy("read_id", "class", "wide").agg(F.count(F.lit(1)).alias("n")))
     rare = met.where(~F.col("wide")).join(members, "class").select("read_id", "n", F.explode("refs").alias("ref")).groupBy("read_id", "ref").agg(F.sum("n").alias("n"))
     often = met.where("wide").select("read_id", "class", "n")

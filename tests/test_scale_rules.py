@@ -353,3 +353,15 @@ def test_rounds_cost_the_ends_of_blocks(spark):
     text = plan(E.next_fractions(by_place, None, state, ()))
     # ends by cell, sums by place, the state by read group
     assert text.count("Exchange hashpartitioning") == 3 and text.count("FileScan parquet") == 3
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_kmers_of_reads_are_not_shuffled_unless_references_are_large(spark, monkeypatch, most):
+    seen, plain = [], O.written
+    monkeypatch.setattr(O, "written", lambda df: (seen.append(plan(df)), plain(df))[1])
+    monkeypatch.setattr(O, "BROADCAST", most)
+    reads = spark.createDataFrame([("a", "ACGTTGCAAC"), ("a", "ACGTTGCAAC"), ("b", "ACGNTGCAACG"), ("c", None)], "read_id string, seq string")
+    refs = spark.createDataFrame([("r", "ACGTTGCAACG"), ("t", "TTTTTTTT")], "ref string, seq string")
+    # rows of one name are one read
+    assert sorted(map(tuple, O.kmer_screen(reads, refs, k=6).collect())) == [("a", "r", 4), ("b", "r", 2)]
+    assert most == 0 or "BroadcastHashJoin" in seen[1]

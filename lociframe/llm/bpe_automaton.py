@@ -10,7 +10,7 @@ it is the BPE tokenization.
 For reading bytes, the labels are compiled once more, into the transition table of a pattern-matching automaton: a state
 for every beginning of a label, a transition for every byte, and the labels that end there. A word is read byte by byte;
 at each place exactly one of the labels that end there continues the path of the bytes before it. So the walk never turns
-back and takes time linear in the length.
+back and takes time linear in the length. The words that some texts have are walked side by side, each word once.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,11 @@ PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 PRINTABLE = (range(33, 127), range(161, 173), range(174, 256))
 #: Words whose ids a worker remembers at once; the memory is emptied when it is full.
 REMEMBERED = 100_000
+#: Texts of so many characters together are worked on at once (one text at least). Words of up to so many bytes are walked
+#: side by side, while so many of them are left; others alone.
+TOGETHER, SHORT, SIDE_BY_SIDE = 1 << 20, 64, 32
+#: Words that are walked side by side at once.
+ABREAST = 1 << 14
 
 
 def byte_symbols() -> dict[str, int]:
@@ -69,8 +75,8 @@ class Automaton:
         self.compile_bytes(sorted(reachable))
         self.allowed: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.labels = [self.label.get(t, b"") for t in range(max(self.label) + 1)]
+        self.compile_arrays()
         specials = sorted(self.special, key=len, reverse=True)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self.pre_split = regex.compile(PRE_SPLIT)
@@ -149,6 +155,23 @@ class Automaton:
                     below.append(after)
             level = below
 
+    def compile_arrays(self) -> None:
+        """The byte table as arrays: edges sorted, with an end mark, and the states' labels and shorter states."""
+        edges = np.fromiter(self.step, np.int64, len(self.step))
+        order = np.argsort(edges)
+        self.edges = np.append(edges[order], np.iinfo(np.int64).max)
+        self.targets = np.append(np.fromiter(self.step.values(), np.int64, len(edges))[order], 0)
+        self.ends_at, self.next_at, self.falls = (np.array(x, np.int64) for x in (self.ends, self.next_end, self.fall))
+        self.sizes = np.fromiter(map(len, self.labels), np.int64, len(self.labels))
+        self.pairs = np.array([np.iinfo(np.int64).max])
+        splits = np.fromiter((t << 32 | y for t, y in self.split), np.int64, len(self.split))
+        order = np.argsort(splits)
+        self.splits = np.append(splits[order], np.iinfo(np.int64).max)
+        self.numbers = np.append(np.fromiter(self.split.values(), np.int64, len(splits))[order], 0)
+        self.born_at, self.left_at, self.right_at = (np.full(len(self.labels), -1, np.int64) for _ in range(3))
+        for array_of, known in ((self.born_at, self.born), (self.left_at, self.left), (self.right_at, self.right)):
+            array_of[np.fromiter(known, np.int64, len(known))] = np.fromiter(known.values(), np.int64, len(known))
+
     def path(self, data: bytes) -> list[int]:
         """The only path of labels that spells `data`: the last label of every beginning of `data`, then back from its end."""
         step, fall, ends, next_end, known, label = self.step, self.fall, self.ends, self.next_end, self.allowed, self.label
@@ -175,46 +198,114 @@ class Automaton:
             i -= len(label[last[i]])
         return out[::-1]
 
-    def word_ids(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = array("I", self.path(word.encode("utf-8", "replace"))).tobytes()
-            if len(word) <= 64:
-                if len(self.words) >= REMEMBERED:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
-
-    def piece_ids(self, piece: str) -> bytes:
-        ids = b"".join(map(self.word_ids, self.pre_split.findall(piece)))
-        if len(piece) <= 64:
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            self.pieces[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers.
-
-        The pre-split always cuts before a space that a non-space follows, so the text is cut there first.
-        """
-        known, out = self.pieces, []
-        for k, part in enumerate(self.special_split.split(text) if self.special_split else [text]):
-            if k % 2:
-                out.append(array("I", [self.special[part]]).tobytes())
-                continue
-            pieces = part.split(" ")
-            held = pieces[0]
-            for piece in pieces[1:]:
-                if not piece or piece[0].isspace():
-                    held += " " + piece
-                    continue
-                ids = known.get(held)
-                out.append(ids if ids is not None else self.piece_ids(held))
-                held = " " + piece
-            ids = known.get(held)
-            out.append(ids if ids is not None else self.piece_ids(held))
-        return b"".join(out)
+    def spelled_all(self, state: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """`spelled` for pairs of labels, side by side."""
+        out = np.ones(len(state), np.int64)
+        rows, t, t_limit = np.arange(len(state)), state, np.full(len(state), 1 << 62)
+        while len(rows):
+            bad = np.zeros(len(rows), bool)
+            left, y, limit = np.arange(len(rows)), label[rows], t_limit
+            while len(left):
+                pair = t[left] << 32 | y
+                at = np.searchsorted(self.splits, pair)
+                hit = (self.splits[at] == pair) & (self.numbers[at] < limit)
+                bad[left[hit]] = True
+                more = ~hit & (self.left_at[y] >= 0)
+                left, y, limit = left[more], y[more], limit[more]
+                y, limit = self.left_at[y], np.minimum(limit, self.born_at[y] + 1)
+            out[rows[bad]] = 0
+            more = ~bad & (self.right_at[t] >= 0)
+            rows, t, t_limit = rows[more], t[more], t_limit[more]
+            t, t_limit = self.right_at[t], np.minimum(t_limit, self.born_at[t])
+        return out
+
+    def free(self, before: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """`spelled` for pairs of labels. Pairs are kept sorted, as (pair << 1 | answer)."""
+        pair = before << 32 | labels
+        at = np.searchsorted(self.pairs, pair << 1)
+        found = self.pairs[at]
+        missing = found >> 1 != pair
+        if missing.any():
+            new = np.unique(pair[missing])
+            new = new << 1 | self.spelled_all(new >> 32, new & 0xFFFFFFFF)
+            kept = self.pairs if len(self.pairs) + len(new) < 2 * REMEMBERED else self.pairs[-1:]
+            self.pairs = np.insert(kept, np.searchsorted(kept, new), new)
+            found[missing] = new[np.searchsorted(new, pair[missing] << 1)]
+        return found & 1 > 0
+
+    def walk(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The states after one more byte each."""
+        out = np.zeros(len(state), np.int64)
+        left = np.arange(len(state))
+        while len(left):
+            edge = state << 8 | byte
+            at = np.searchsorted(self.edges, edge)
+            hit = self.edges[at] == edge
+            out[left[hit]] = self.targets[at[hit]]
+            more = ~hit & (state > 0)
+            left, byte, state = left[more], byte[more], self.falls[state[more]]
+        return out
+
+    def paths(self, words: list[bytes]) -> list[bytes]:
+        """`path` of words of 1 to SHORT bytes, as little-endian unsigned 32-bit integers; the longest come first."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        starts = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        left = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")  # words of more than so many bytes
+        last = np.full((len(words), lengths[0] + 1), -1, np.int64)
+        state = np.zeros(len(words), np.int64)
+        for i in range(lengths[0]):
+            state = self.walk(state[: left[i]], data[starts[: left[i]] + i])
+            at = np.where(self.ends_at[state] >= 0, state, self.next_at[state])
+            rows = np.arange(len(state))
+            while len(rows):
+                label = self.ends_at[at]
+                before = last[rows, i + 1 - self.sizes[label]]
+                free = before < 0
+                told = np.flatnonzero(~free)
+                free[told] = self.free(before[told], label[told])
+                last[rows[free], i + 1] = label[free]
+                rows, at = rows[~free], self.next_at[at[~free]]
+        out = np.zeros((len(words), lengths[0]), "<u4")
+        place, count = lengths.copy(), np.zeros(len(words), np.int64)
+        rows = np.arange(len(words))
+        while len(rows):
+            count[rows] += 1
+            out[rows, lengths[0] - count[rows]] = label = last[rows, place[rows]]
+            place[rows] -= self.sizes[label]
+            rows = rows[place[rows] > 0]
+        whole, size = out.tobytes(), 4 * int(lengths[0])
+        return [whole[end - 4 * n : end] for end, n in zip(range(size, len(whole) + 1, size), count.tolist())]
+
+    def learn(self, words: list[str]) -> list[str]:
+        """Puts the ids of the words into the memory; gives those of more than SHORT bytes."""
+        coded = [word.encode("utf-8", "replace") for word in words]
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+        order = np.argsort(-lengths, kind="stable").tolist()
+        words, coded = [words[k] for k in order], [coded[k] for k in order]
+        long = int((lengths > SHORT).sum())
+        alone = long if len(words) - long >= SIDE_BY_SIDE else len(words)
+        for word, data in zip(words[:alone], coded):
+            self.words[word] = array("I", self.path(data)).tobytes()
+        for k in range(alone, len(words), ABREAST):
+            self.words.update(zip(words[k : k + ABREAST], self.paths(coded[k : k + ABREAST])))
+        return words[:long]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        split = [self.special_split.split(text) if self.special_split else [text] for text in texts]
+        parts = [[self.pre_split.findall(part) if k % 2 == 0 else part for k, part in enumerate(own)] for own in split]
+        if len(self.words) >= REMEMBERED:
+            self.words.clear()
+        new = set().union(*(words for own in parts for words in own[::2])).difference(self.words)
+        long = self.learn(list(new))
+        known = self.words.__getitem__
+        out = []
+        for own in parts:
+            out.append(b"".join(b"".join(map(known, part)) if k % 2 == 0 else array("I", [self.special[part]]).tobytes() for k, part in enumerate(own)))
+        for word in long:
+            del self.words[word]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """The labels along the path, as UTF-8; bytes that are not UTF-8 become the replacement character."""
@@ -230,6 +321,19 @@ def compiled(definition: str) -> Automaton:
     return Automaton(j["model"]["vocab"], merges, special)
 
 
+def _together(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, in runs of TOGETHER characters."""
+    run, size = [], 0
+    for value in column:
+        run.append(value.as_py() or "")
+        size += len(run[-1])
+        if size >= TOGETHER:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: str | None = None, decoded: str | None = None) -> DataFrame:
     """Adds n_tokens, ids_sha256 and decoded_sha256 (and, if named, the ids and the decoded text) to every row.
 
@@ -253,8 +357,7 @@ def tokenized(docs: DataFrame, definition_path: str, text: str = "text", ids: st
                     automaton = compiled(f.read())
             column = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {c: [] for c in new}
-            for value in column:
-                data = automaton.encode(value.as_py() or "")
+            for data in chain.from_iterable(map(automaton.encode, _together(column))):
                 back = automaton.decode(data)
                 out["n_tokens"].append(len(data) // 4)
                 out["ids_sha256"].append(hashlib.sha256(data).hexdigest())

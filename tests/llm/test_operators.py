@@ -57,6 +57,22 @@ def test_bpe(spark):
     assert bpe_automaton.tokenized(df.limit(0), path).count() == 0
 
 
+def test_bpe_words_are_walked_side_by_side(monkeypatch):
+    """Short words are not walked one at a time, and have the ids of those that are; the memory keeps no long word."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        automaton = bpe_automaton.compiled(f.read())
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("theans1é!🙂\n") for _ in range(rng.randrange(1, 16))) for _ in range(40)) for _ in range(60)] + ["", "x" * 300, "<|endoftext|>the"]
+    alone, path = [], automaton.path
+    monkeypatch.setattr(automaton, "path", lambda data: alone.append(data) or path(data))
+    together = automaton.encode(texts)
+    assert alone == [b"x" * 300] and max(map(len, automaton.words)) < 300
+    monkeypatch.setattr(bpe_automaton, "SIDE_BY_SIDE", 1 << 30)
+    automaton.words.clear()
+    assert automaton.encode(texts) == together and len(alone) > 1000
+
+
 def test_fingerprint_groups(spark):
     rng = random.Random(5)
     base = [" ".join(rng.choice("abcdefghij") for _ in range(n)) for n in (0, 1, 2, 3, 9, 40, 300)]

@@ -111,6 +111,16 @@ def test_umi_dedup_by_hand(spark):
     assert sorted((r.qname, r.flag) for r in L.umi_dedup(df, exact=True).collect()) == [("b_AAAA", 99), ("b_AAAA", 147), ("c_AAAT", 99), ("d_TTTT", 99), ("e_AAAA", 99), ("f_AAAA", 83)]
 
 
+def test_umis_alone_in_their_place_take_no_part_in_rounds(spark, monkeypatch):
+    rows = [("s", "1", k, "+", "AAAA") for k in range(500)] + [("s", "1", 7, "+", u) for u in ("AAAA", "AAAT", "CCCC")] + [("s", None, 7, "+", u) for u in ("AAAA", "AAAT")]
+    df = spark.createDataFrame(rows, "sample_id string, chrom string, pos bigint, strand string, umi string")
+    sent, spread = [], L.minimum_labels
+    monkeypatch.setattr(L, "minimum_labels", lambda nodes, *args: sent.append(nodes.count()) or spread(nodes, *args))
+    got = {(r.chrom, r.pos, r.umi): (r.reads, r.cluster) for r in L.umi_clusters(df).collect()}
+    assert sent == [3] and len(got) == 504
+    assert [got["1", 7, u] for u in ("AAAA", "AAAT", "CCCC")] == [(2, "AAAA"), (1, "AAAA"), (1, "CCCC")] and got["1", 8, "AAAA"] == (1, "AAAA")
+
+
 def test_region_classes_are_counted_apart(spark):
     regions = [("exon", "x1", "1", 0, 100, "+"), ("exon", "x2", "1", 150, 300, "+"), ("intron", "i1", "1", 90, 400, "+"), ("intergenic", "g", "1", 0, 1000, "-"), ("other", "o", "1", 0, 1000, "+")]
     r = spark.createDataFrame(regions, "region_class string, region_id string, chrom string, s2 bigint, e2 bigint, strand string")

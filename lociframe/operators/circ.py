@@ -81,12 +81,15 @@ def nearest(points: DataFrame, marks: DataFrame, keys: list[str], ahead: int | N
 
 
 def first_starts(rows: DataFrame, keys: list[str], tol: int) -> DataFrame:
-    """keys, s: the starts that begin a cluster. A start points to the first one at least `tol` further on; the chain of pointers
-    from a key's least start is followed by doubling: each round knows twice as many of its members and jumps twice as far,
-    so rounds grow with the logarithm of the chain. Finished rounds are deleted."""
+    """keys, s: the starts that begin a cluster. A start that follows a gap of `tol` or more begins one, whatever lies before, so
+    the chains of all islands between such gaps are followed at once. A start points to the first one at least `tol` further
+    on; pointers are followed inside islands by doubling: each round knows twice as many members of a chain and jumps twice as
+    far, so rounds grow with the logarithm of the longest island's chain. Finished rounds are deleted."""
     starts = written(rows.where("s is not null").select(*keys, "s").distinct())
-    jump = written(nearest(starts, starts, keys, ahead=tol).where("near is not null"))
-    reached = written(starts.groupBy(*keys).agg(F.min("s").alias("s")))
+    behind_gaps = nearest(starts, starts, keys, ahead=1).where(F.col("near") - F.col("s") >= tol).select(*keys, F.col("near").alias("s"))
+    reached = written(starts.groupBy(*keys).agg(F.min("s").alias("s")).unionByName(behind_gaps))
+    jump = nearest(starts, starts, keys, ahead=tol).where("near is not null")
+    jump = written(jump.join(reached.select(*keys, F.col("s").alias("near")), [*keys, "near"], "left_anti").select(*keys, "s", "near"))
     while True:
         more = reached.join(jump, [*keys, "s"]).select(*keys, F.col("near").alias("s"))
         after = written(reached.unionByName(more))

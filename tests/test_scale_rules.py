@@ -156,6 +156,15 @@ def test_clusters_of_any_tolerance(spark, tol):
     assert got == sorted(want, key=str)
 
 
+def test_rounds_of_clusters_grow_with_islands_only(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("'a' as k", "(id div 3) * 50 + id % 3 * 4 as s")
+    tables, write = [], C.written
+    monkeypatch.setattr(C, "written", lambda df: tables.append(1) or write(df))
+    got = C.cluster_by_start(rows, ["k"], tol=5)
+    assert len(tables) <= 8
+    assert sorted((r.s, r.cluster) for r in got.collect()) == sorted((50 * k + d, 50 * k + (0 if d < 5 else d)) for k in range(1000) for d in (0, 4, 8))
+
+
 def test_novel_calls_are_not_ranked(spark):
     rows = spark.range(10).selectExpr("1 as sample_id", "'1' as chrom", "id as s", "id + 5 as e", "'+' as strand", "'g' as gene_id", "if(id < 7, 'novel', 'SYM') as symbol")
     got = {r.s: r.circ_id3 for r in C.number_within_gene(rows).collect()}

@@ -5,6 +5,8 @@ Nothing here sorts or joins a whole chromosome in one task: joins are equi-joins
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TILE = 100_000
@@ -64,14 +66,24 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int
     return a.join(b, [*keys, "__level", "__kind", "__bin"]).where(met).withColumn("overlap", high - low).drop("__level", "__kind", "__bin")
 
 
-def tiled_overlaps(rows: DataFrame, features: DataFrame, keys: list[str], names: list[str], width: int = 1000) -> DataFrame:
+def packed(blocks: Column) -> tuple[Column, Column, Column]:
+    """(base, near, far) of an array of s, e: where the first block starts, and start from there and length of each block, as small
+    integers if all of them are such, else as large ones."""
+    base = F.try_element_at(blocks, F.lit(1)).s.cast("bigint")
+    numbers = F.flatten(F.transform(blocks, lambda b: F.array(b.s - base, (b.e - b.s).cast("bigint"))))
+    small = F.coalesce(F.forall(numbers, lambda x: x.between(-(1 << 15), (1 << 15) - 1)), F.lit(False))
+    return base, F.when(small, numbers.cast("array<smallint>")), F.when(~small, numbers)
+
+
+def tiled_overlaps(rows: DataFrame, features: DataFrame, keys: list[str], names: list[str], width: int = 1000, among: Column | None = None, apart: Sequence[str] = ()) -> DataFrame:
     """rows (keys, blocks: array of s, e, and more) with `met`: an array of the features (keys, s2, e2, names) that share bases
     with the blocks, as names and `overlap`, once for each tile of CELL * width bases that a row touches; `whole` says that
-    the row touches one only, so that `met` has all of its features. Rows that meet nothing are left out.
+    the row touches one only, so that `met` has all of its features, and that `among` holds, if given. Rows that meet nothing
+    are left out. The columns in `apart` are what rows that are not whole are put together by, and null in whole ones.
 
     A tile's features are one row, so a row is shuffled once for each of its tiles, not for each bin of each block, and what
     it meets comes with it. A feature that crosses more than SPREAD tiles stands on a coarser level, and a row on every level
-    that has features. A tile's features are held in memory, the rows stream by unsorted.
+    that has features. A tile's features are held in memory, the rows stream by unsorted, their blocks packed.
     """
     tile = CELL * width
     own = features.where(F.col("s2") < F.col("e2")).withColumn("__level", _levels(features, "s2", "e2", tile))
@@ -84,15 +96,25 @@ def tiled_overlaps(rows: DataFrame, features: DataFrame, keys: list[str], names:
         touched = F.transform(F.filter("blocks", lambda b: b.s < b.e), lambda b: _bins(b.s, b.e, size(level)))
         return F.transform(F.array_distinct(F.flatten(touched)), lambda t: F.struct(level.alias("level"), t.alias("tile")))
 
+    more = [c for c in rows.columns if c not in (*keys, "blocks")]
     placed = rows.crossJoin(F.broadcast(levels)).withColumn("__tiles", F.flatten(F.transform("__levels", tiles))).drop("__levels")
-    low, high = F.array_min(F.col("blocks.s")), F.array_max(F.col("blocks.e"))
-    placed = placed.select(*rows.columns, (F.size("__tiles") == 1).alias("whole"), low.alias("__low"), high.alias("__high"), F.inline("__tiles").alias("__level", "__tile"))
-    # edges of the tile, as columns of the join: the functions below ask for them for every feature
-    placed = placed.withColumn("__low", F.greatest("__low", F.col("__tile") * size(F.col("__level")))).withColumn("__high", F.least("__high", (F.col("__tile") + 1) * size(F.col("__level"))))
+    placed = placed.withColumn("whole", (F.size("__tiles") == 1) & (among if among is not None else F.lit(True)))
+    placed = placed.withColumns({c: F.when(~F.col("whole"), F.col(c)) for c in apart})
+    base, near, far = packed(F.col("blocks"))
+    placed = placed.select(*keys, *more, "whole", base.alias("__base"), near.alias("__near"), far.alias("__far"), F.inline("__tiles").alias("__level", "__tile"))
     joined = placed.join(here.hint("shuffle_hash"), [*keys, "__level", "__tile"])
+    # generated, not projected: Spark would put a projection's expressions into the functions below, once for every feature
+    once = lambda df, **columns: df.select("*", F.inline(F.array(F.struct(*[x.alias(c) for c, x in columns.items()]))))
+    numbers = lambda i: F.element_at("__numbers", i.cast("int"))
+    joined = once(joined, __numbers=F.coalesce(F.col("__near").cast("array<bigint>"), F.col("__far")))
+    start = lambda i: F.col("__base") + numbers(2 * i + 1)
+    blocks = F.transform(F.sequence(F.lit(0), (F.size("__numbers") / 2 - 1).cast("int")), lambda i: F.struct(start(i).alias("s"), (start(i) + numbers(2 * i + 2)).alias("e")))
+    joined = once(joined, blocks=blocks.cast(rows.schema["blocks"].dataType))
+    low, high = F.array_min(F.col("blocks.s")), F.array_max(F.col("blocks.e"))
+    joined = once(joined, __low=F.greatest(low, F.col("__tile") * size(F.col("__level"))), __high=F.least(high, (F.col("__tile") + 1) * size(F.col("__level"))))
     shared = lambda x: F.aggregate("blocks", F.lit(0).cast("bigint"), lambda n, b: n + F.greatest(F.least(b.e, x.e2, F.col("__high")) - F.greatest(b.s, x.s2, F.col("__low")), F.lit(0)).cast("bigint"))
-    near = F.filter("__here", lambda x: (x.s2 < F.col("__high")) & (x.e2 > F.col("__low")))
-    met = F.filter(F.transform(near, lambda x: F.struct(*[x[n].alias(n) for n in names], shared(x).alias("overlap"))), lambda y: y.overlap > 0)
+    beside = F.filter("__here", lambda x: (x.s2 < F.col("__high")) & (x.e2 > F.col("__low")))
+    met = F.filter(F.transform(beside, lambda x: F.struct(*[x[n].alias(n) for n in names], shared(x).alias("overlap"))), lambda y: y.overlap > 0)
     return joined.select(*rows.columns, "whole", met.alias("met")).where(F.size("met") > 0)
 
 

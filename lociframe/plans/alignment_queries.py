@@ -230,7 +230,7 @@ QUERIES = {
         one AS (SELECT sample_id, k FROM h GROUP BY sample_id, qname, k HAVING count(*) = 1), nk AS (SELECT sample_id, k, count(*) AS reads FROM one GROUP BY 1, 2)
         SELECT s.sample_id, c.k + 1 AS ord, region_class, coalesce(reads, 0) AS reads, round(coalesce(reads, 0) / sum(coalesce(reads, 0)) OVER (PARTITION BY s.sample_id), 8) AS share
         FROM (SELECT DISTINCT sample_id FROM f) s CROSS JOIN c LEFT JOIN nk n ON n.sample_id = s.sample_id AND n.k = c.k""", HITS + ",", bases=1, share=0.0)),
-    "a20_unique_gene_counts": (lambda s, d: L.unique_gene_counts(sets(s, d, L.unique_fragments(marked(fragments(s, d))), ["spliced", "pas"]), X.gene_model(exons(s, d)).withColumn("exons", 1 + F.col("gene_id") % 2)),
+    "a20_unique_gene_counts": (lambda s, d: L.lone_gene_counts(L.unique_fragments(marked(fragments(s, d))), merged(s, d), X.gene_model(exons(s, d)).withColumn("exons", 1 + F.col("gene_id") % 2), width=64),
         fragment_sql("SELECT gene_id, count(*) AS count, count(*) FILTER (score % 2 = 0 AND gene_id % 2 = 1) AS splice, count(*) FILTER (score % 3 = 0) AS pas FROM gs JOIN f USING (frag) WHERE genes = 1 AND loci = 1 AND u GROUP BY 1")),
     "a28_base_classes": (lambda s, d: L.base_class_metrics(v_aln(s, d).select("sample_id", "chrom", F.inline(A.alignment_blocks(F.col("st"), F.col("cigar")))), merged(s, d).withColumn("base_class", F.when(F.col("gene_id") % 3 == 0, "coding").when(F.col("gene_id") % 3 == 1, "utr").otherwise("intron")), ["coding", "utr", "intron"], width=64).select("sample_id", "base_class", "bases", F.round("fraction", 6).alias("fraction")),
         sql("""b AS (SELECT sample_id, chrom, st AS s, st + m1 AS e FROM v_aln UNION ALL SELECT sample_id, chrom, st + m1 + gap, st + m1 + gap + m2 FROM v_aln), x AS (SELECT CAST(chrom AS VARCHAR) AS chrom, s, e, gene_id % 3 AS c FROM v_exon),

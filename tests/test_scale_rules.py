@@ -384,3 +384,40 @@ def test_kmers_of_reads_are_not_shuffled_unless_references_are_large(spark, monk
     # rows of one name are one read
     assert sorted(map(tuple, O.kmer_screen(reads, refs, k=6).collect())) == [("a", "r", 4), ("b", "r", 2)]
     assert most == 0 or "BroadcastHashJoin" in seen[1]
+
+
+FRAGMENT = "sample_id string, qname string, chrom string, blocks_r1 array<struct<s:bigint,e:bigint>>, blocks_r2 array<struct<s:bigint,e:bigint>>, rev1 boolean, rev2 boolean, score double, is_unique boolean"
+
+
+def test_blocks_go_to_tiles_packed(spark):
+    """Small integers where all are such, whatever the place; names only with rows that are not whole."""
+    at = 5_000_000_000
+    rows = [("near", [(at, at + 20), (at - 30_000, at - 29_900)]), ("far", [(7, 20), (40_000, 40_010)]), ("long", [(0, 32_768)]), ("edge", [(0, 32_767)]), ("whole", [(100, 120)])]
+    df = spark.createDataFrame([(k, "1", [{"s": a, "e": b} for a, b in x]) for k, x in rows], "name string, chrom string, blocks array<struct<s:bigint,e:bigint>>")
+    _, near, far = I.packed(F.col("blocks"))
+    assert {r.name: (r.n, r.f) for r in df.select("name", near.isNotNull().alias("n"), far.isNotNull().alias("f")).collect()} == {k: (k in ("near", "edge", "whole"), k in ("far", "long")) for k, _ in rows}
+    features = spark.createDataFrame([(k, "1", a, b) for k, x in rows for a, b in x], "gene string, chrom string, s2 bigint, e2 bigint")
+    got = {}
+    for x in I.tiled_overlaps(df.withColumn("of", F.col("name")), features, ["chrom"], ["gene"], width=64, among=F.col("name") != "edge", apart=["of"]).collect():
+        assert (x.of is None) == x.whole and x.whole == (x.name == "whole") and [(b.s, b.e) for b in x.blocks] == dict(rows)[x.name]
+        for y in x.met:
+            got[x.name, y.gene] = got.get((x.name, y.gene), 0) + y.overlap
+    want = {(k, g): n for k, x in rows for g, y in rows if (n := sum(max(0, min(b, d) - max(a, c)) for a, b in x for c, d in y))}
+    assert got == want
+    lines = plan(I.tiled_overlaps(df, features, ["chrom"], ["gene"])).split("\n")
+    shuffled = [b for a, b in zip(lines, lines[1:]) if "Exchange hashpartitioning" in a and " AS __" in b and "__tile" in a]
+    assert any(" AS __near" in x and ", blocks#" not in x.split("CASE")[0] for x in shuffled)
+
+
+def test_lone_genes_without_sets(spark):
+    rng = random.Random(8)
+    block = lambda a: [{"s": a, "e": a + rng.choice([5, 12, 30])}]
+    frags = [("s", f"q{k}", "1", block(a := rng.randrange(5000)), block(a + rng.choice([40, 900, 2500])) if rng.random() < 0.7 else None, rng.random() < 0.5, rng.random() < 0.5, float(k), True) for k in range(300)]
+    df = L.with_fragment_key(spark.createDataFrame(frags, FRAGMENT)).withColumn("spliced", F.col("score") % 2 == 0).withColumn("pas", F.col("score") % 3 == 0)
+    exons = spark.createDataFrame([(f"g{k % 70}", "1", s := rng.randrange(7000), s + rng.choice([4, 15, 80]), "+-"[k % 70 % 2]) for k in range(150)], "gene_id string, chrom string, s2 bigint, e2 bigint, strand string")
+    models = exons.groupBy("gene_id").agg(F.count("*").alias("exons")).where("gene_id <> 'g5'")
+    for library in ("unstrand", "reverse"):
+        found = L.lone_gene_counts(df, exons, models, library, min_fraction=0.3, width=8)
+        want = L.unique_gene_counts(L.gene_sets(L.fragment_gene_overlap(df, exons, library, min_fraction=0.3, width=8, carried=["spliced", "pas"]), ["spliced", "pas"]), models)
+        rows = sorted(map(tuple, found.select("gene_id", "count", "splice", "pas").collect()))
+        assert len(rows) > 20 and rows == sorted(map(tuple, want.select("gene_id", "count", "splice", "pas").collect()))

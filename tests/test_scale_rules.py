@@ -421,3 +421,18 @@ def test_lone_genes_without_sets(spark):
         want = L.unique_gene_counts(L.gene_sets(L.fragment_gene_overlap(df, exons, library, min_fraction=0.3, width=8, carried=["spliced", "pas"]), ["spliced", "pas"]), models)
         rows = sorted(map(tuple, found.select("gene_id", "count", "splice", "pas").collect()))
         assert len(rows) > 20 and rows == sorted(map(tuple, want.select("gene_id", "count", "splice", "pas").collect()))
+
+
+def test_tracks_ask_for_no_marks(spark):
+    """Without marks neither reads nor exons are looked at, and fragments are shuffled once, by read group."""
+    rng = random.Random(4)
+    rows = [(f"q{rng.randrange(100)}", rng.choice([99, 147, 83, 163]), rng.randrange(3000), rng.choice(["20M", "10M50N10M"]), rng.choice([1, 2])) for _ in range(200)]
+    aln = spark.createDataFrame([("s", q, f, "1", at, cigar, 255, nh, 1.0, "C" * 20, "I" * 20) for q, f, at, cigar, nh in rows], "sample_id string, qname string, flag int, chrom string, st bigint, cigar string, mapq int, nh int, score double, seq string, qual string")
+    exons = spark.createDataFrame([("g", "1", 0, 900, "+"), ("g", "1", 950, 1900, "+")], "gene_id string, chrom string, s bigint, e bigint, strand string")
+    bare, none = E.placed_fragments(aln, exons, mode="primary", marks=False)
+    text = plan(bare)
+    assert none is None and not {"spliced", "pas"} & set(bare.columns) and text.count("Exchange") == 1 and "Join" not in text
+    marked, _ = E.placed_fragments(aln, exons, mode="primary")
+    tracks = lambda x: sorted(map(tuple, E.quantification_tracks(x).collect()))
+    assert {"spliced", "pas"} <= set(marked.columns) and tracks(bare) == tracks(marked) != []
+    assert plan(E.quantification_tracks(bare)).count("Scan") == 2  # those of the coverage, which share a shuffle

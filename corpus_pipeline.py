@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lociframe.llm import bpe_automaton, decontamination, simhash, suffix_dedup, toxicity
 from lociframe.llm.queries import table
-from lociframe.llm.shared import dropped, written
+from lociframe.llm.shared import dropped, small_batches, written
 
 #: Repeated passages go from this many bytes on (about 40 words), or from this many words on.
 PASSAGE_BYTES, PASSAGE_WORDS = 250, 51
+#: Bytes of text that a task looks for passages in at once; the result does not depend on it, a worker's memory does.
+PASSAGE_PIECE = 150_000
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5. Null and empty texts score 0 and stay; repeated rows are judged alike; whole texts are
     scored, however long."""
+    small_batches(spark)
     net = toxicity.learned(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, net, score="__score").where(F.col("__score") < 0.5).select(*docs.columns)
 
@@ -23,13 +26,15 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """One document of each group of copies, exact or near (five-word shingles, similarity of 0.8 or more): that of the least
     doc_id, rows without one last. Null and empty texts are one group; repeated rows are copies; of equal rows any one
     stays."""
+    small_batches(spark)
     return simhash.deduplicated(docs, shingle=5, similarity=0.8)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once; n_chars follows the text. Every document stays, if with an
     empty text; a null text stays null, with a null n_chars; all occurrences of a passage go, those of repeated rows too."""
-    cut = suffix_dedup.without_repeats(docs, size=PASSAGE_BYTES, words=PASSAGE_WORDS, kept_text="text")
+    small_batches(spark)
+    cut = suffix_dedup.without_repeats(docs, size=PASSAGE_BYTES, words=PASSAGE_WORDS, kept_text="text", most=PASSAGE_PIECE)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -43,6 +48,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents with the number of their tokens, and digests of the ids and of what they decode to. A null text has none."""
     import public_tokenizers
 
+    small_batches(spark)
     return bpe_automaton.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

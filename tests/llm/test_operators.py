@@ -518,3 +518,26 @@ def test_toxicity_of_rows_held_out(spark):
     out = toxicity.scored(docs.join(labels.where(toxicity.held_out()).select("doc_id", "toxic"), "doc_id"), net).select("toxic", (F.col("score") >= 0.5).alias("caught")).collect()
     share = lambda kind: np.mean([r.caught for r in out if r.toxic == kind])
     assert len(out) > 500 and share(1) > 0.85 and share(0) < 0.04
+
+
+def test_stages_hand_texts_to_python_in_small_batches(spark):
+    """A stage asks for small batches of rows, wherever the user has not set their size; its result is the same in small pieces."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    line = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(k, f"{line} {k} " + f"own{k} " * 60_000 + line, "en", "s", 1) for k in range(30)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "2m")
+        corpus_pipeline.keep_one_of_copies(spark, docs.limit(0), "")
+        assert spark.conf.get(name) == "2m"
+        spark.conf.unset(name)
+        cut = corpus_pipeline.cut_repeats(spark, docs, "")
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+        assert sizes.agg(F.max("n")).first()[0] < 6_000_000 < sizes.agg(F.sum("n")).first()[0]
+        assert all(line not in r.text for r in cut.select("text").collect())
+    finally:
+        spark.conf.set(name, before)

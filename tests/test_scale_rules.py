@@ -446,3 +446,48 @@ def test_base_classes_are_not_broadcast(spark):
     assert {(r.sample_id, r.base_class): r.bases for r in found.collect()} == {("s", "coding"): 8, ("s", "utr"): 7, ("s", "intergenic"): 10, ("t", "utr"): 2, ("t", "intergenic"): 0}
     joins = [line for line in plan(found).splitlines() if "Join" in line and "__bin" in line]
     assert joins and all("ShuffledHashJoin" in line for line in joins)
+
+
+@pytest.mark.parametrize("few", [50_000, 7])
+def test_rounds_in_parts_are_rounds_of_places(spark, monkeypatch, few):
+    """However many parts there are: fractions, and the number of rounds, are those of plain Python, over tiles' edges too."""
+    from lociframe.operators import parts
+
+    monkeypatch.setattr(parts, "FEW", (few, 64))
+    rng = random.Random(3)
+    places = [("s%d" % rng.randrange(2), rng.choice("12"), f"q{rng.randrange(25)}", f"l{k}", float(rng.randrange(3)), [(a := rng.randrange(400), a + rng.choice([5, 60])), (a + rng.choice([70, 200]), a + 230)]) for k in range(60)]
+    unique = [("s%d" % rng.randrange(2), rng.choice("12"), a := rng.randrange(500), a + rng.choice([3, 40, 200]), float(rng.randrange(1, 4))) for _ in range(40)]
+    p = spark.createDataFrame(places, "sample_id string, chrom string, qname string, locus string, score double, spans array<struct<s:bigint,e:bigint>>")
+    u = spark.createDataFrame(unique, "sample_id string, chrom string, s bigint, e bigint, value double")
+    rounds, plain = [], E.next_fractions
+    monkeypatch.setattr(E, "next_fractions", lambda *a: (rounds.append(1), plain(*a))[1])
+    got = {r.locus: r.fraction for r in E.positional_em(p, u, width=4).collect()}
+    groups = {}
+    for s, c, q, k, score, spans in places:
+        groups.setdefault((s, q), []).append((k, (s, c), score, spans))
+    share = lambda ws: [w / sum(ws) for w in ws]
+    now = {k: f for own in groups.values() for (k, *_), f in zip(own, share([np.exp(x[2] - max(y[2] for y in own)) for x in own]))}
+    over = lambda one, two: sum(max(0, min(b, d) - max(a, c)) for a, b in one for c, d in two)
+    met = {k: [(j, n) for _, _, _, j, _, other in [x for x in places if x[:2] == (s, c)] if (n := over(spans, other))] for s, c, _, k, _, spans in places}
+    base = {k: sum(v * over(spans, [(a, b)]) for t, d, a, b, v in unique if (t, d) == (s, c)) for s, c, _, k, _, spans in places}
+    moved, times = 1.0, 0
+    while moved >= 1e-3 and times < 100:
+        after = {}
+        for own in groups.values():
+            best = max(x[2] for x in own)
+            ws = [(base[k] + sum(now[j] * n for j, n in met[k] if now[j] >= E.LEAST) + E.EPSILON) * np.exp(score - best) for k, _, score, _ in own]
+            after.update(zip((x[0] for x in own), share(ws)))
+        moved, now, times = max(abs(after[k] - now[k]) for k in now), after, times + 1
+    assert got.keys() == now.keys() and max(abs(got[k] - now[k]) for k in now) < 1e-9 and len(rounds) == times > 2
+
+
+def test_plain_cigars_are_not_walked(spark):
+    """Blocks of one or two matches need no walk over operations, and a filter on blocks does not make them twice."""
+    from lociframe.functions import align as A
+
+    cigars = ["20M", "5S20M", "10M5N10M3S", "2H5S10M5N10M3S2H", "10M2D10M", "10M5N10M5N10M", "3I10M", "5S", "*", None, "", "0M5N3M", "10=5X", "5M2P3M", "1M1N0M"]
+    df = spark.createDataFrame([(100, c) for c in cigars], "st bigint, cigar string")
+    rows = df.select("cigar", A.alignment_blocks(F.col("st"), F.col("cigar")).alias("a"), A._walked_blocks(F.col("st"), F.col("cigar")).alias("b"), A.has_blocks(F.col("cigar")).alias("has"), F.col("cigar").rlike(A.PLAIN).alias("plain")).collect()
+    assert all(r.a == r.b and bool(r.has) == bool(r.a) for r in rows) and sum(bool(r.plain) for r in rows) == 6
+    _, frags = fragments_of(spark)
+    assert plan(frags).count("aggregate(zip_with") == 1

@@ -491,3 +491,21 @@ def test_plain_cigars_are_not_walked(spark):
     assert all(r.a == r.b and bool(r.has) == bool(r.a) for r in rows) and sum(bool(r.plain) for r in rows) == 6
     _, frags = fragments_of(spark)
     assert plan(frags).count("aggregate(zip_with") == 1
+
+
+def test_rows_take_few_features_of_a_tile_along(spark):
+    """A tile of 16,000 bases with 800 features: a row is compared with those about its blocks, whatever long ones there are."""
+    rng = random.Random(9)
+    features = [(f"g{k}", "1", s := 20 * k, s + rng.choice([5, 30, 60])) for k in range(800)] + [("long", "1", 3000, 15_000), ("all", "1", 0, 16_000)]
+    rows = [(k, [(a := rng.randrange(15_800), a + 20), (b := rng.choice([a, a + 100, max(a - 300, 0)]), b + 30)]) for k in range(40)]
+    f = spark.createDataFrame(features, "gene string, chrom string, s2 bigint, e2 bigint")
+    r = spark.createDataFrame([(k, "1", [{"s": a, "e": b} for a, b in x]) for k, x in rows], "id int, chrom string, blocks array<struct<s:bigint,e:bigint>>")
+    found = I.tiled_overlaps(r, f, ["chrom"], ["gene"])
+    got = {}
+    for x in found.collect():
+        for y in x.met:
+            got[x.id, y.gene] = got.get((x.id, y.gene), 0) + y.overlap
+    assert got == {(k, g): n for k, own in rows for g, _, s, e in features if (n := sum(max(0, min(e, b) - max(s, a)) for a, b in own))}
+    # the generators behind the join carry the slice, not the tile's features
+    lines = [line for line in plan(found).splitlines() if "Generate inline" in line and "__numbers" in line]
+    assert lines and all("__beside" in line and "__here" not in line for line in lines)

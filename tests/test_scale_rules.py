@@ -509,3 +509,12 @@ def test_rows_take_few_features_of_a_tile_along(spark):
     # the generators behind the join carry the slice, not the tile's features
     lines = [line for line in plan(found).splitlines() if "Generate inline" in line and "__numbers" in line]
     assert lines and all("__beside" in line and "__here" not in line for line in lines)
+
+
+def test_a_summary_pairs_alignments_once(spark, monkeypatch):
+    from lociframe.plans import alignment_queries as P
+
+    calls, plain = [], L.pair_alignments
+    monkeypatch.setattr(L, "pair_alignments", lambda *a, **k: (calls.append(1), plain(*a, **k))[1])
+    assert P.QUERIES["a37_quant_summary"][0](spark, "/root/testdata/sf0.001").columns == ["read_groups", "ambiguous", "genes_unique", "genes_multi"]
+    assert len(calls) == 1
